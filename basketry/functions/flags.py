@@ -24,3 +24,13 @@ def positive_share(col: str) -> Column:
 
 def bool_mean(col: str) -> Column:
     return F.avg(F.col(col).cast("double"))
+
+
+def exact_mean(col: str, scale: int = 6) -> Column:
+    """Mean of a double column from an exact decimal sum.
+
+    A double ``avg`` depends on the order rows are added in (partitioning,
+    retries); summing ``decimal(24, scale)`` is exact, so the mean is the same
+    on every run and layout.  Values carry at most ``scale`` decimals here."""
+    v = F.col(col).cast(f"decimal(24,{scale})")
+    return F.sum(v).cast("double") / F.count(v)

@@ -131,7 +131,7 @@ def with_ctes(needs: list[str], body: str, extra: list[tuple[str, list[str]]] |
             visit(d)
         order.append(n)
 
-    for n in needs:
+    for n in list(needs) + [sql.split(" AS (", 1)[0].strip() for sql, _ in (extra or [])]:
         visit(n)
     return "WITH " + ",\n".join(table[n][0] for n in order) + "\n" + body
 
@@ -139,6 +139,11 @@ def with_ctes(needs: list[str], body: str, extra: list[tuple[str, list[str]]] |
 SQL: dict[str, str] = {}
 
 
+def exact_mean(col: str, scale: int = 6) -> str:
+    """Same rule as ``basketry.functions.flags.exact_mean``."""
+    return f"CAST(sum(CAST({col} AS DECIMAL(24,{scale}))) AS DOUBLE) / count({col})"
+
+
 def register(name: str, needs: list[str], body: str, extra=None) -> None:
     SQL[name] = with_ctes(needs, body, extra)
 
@@ -156,3 +161,87 @@ SELECT year_month,
        count(DISTINCT customer_id) AS customers,
        CAST(sum(total_amount) AS DOUBLE) / count(total_amount) AS avg_order_value
 FROM orders_clean GROUP BY year_month ORDER BY year_month""")
+
+SNAPSHOT = "(SELECT max(order_date) + INTERVAL 1 DAY FROM orders_clean)"
+
+
+def days_floor(later: str, earlier: str) -> str:
+    return f"CAST(floor((epoch({later}) - epoch({earlier})) / 86400) AS BIGINT)"
+
+
+register("rfm", ["orders_clean"], f"""
+SELECT customer_id,
+       {days_floor(SNAPSHOT, 'max(order_date)')} AS recency_days,
+       count(DISTINCT order_id) AS frequency,
+       CAST(coalesce(sum(total_amount), 0) AS DOUBLE) AS monetary
+FROM orders_clean GROUP BY customer_id""")
+
+FAVORITE = """fav AS (
+  SELECT customer_id, category AS favorite_category FROM (
+    SELECT customer_id, category, count(*) AS n FROM orders_clean
+    WHERE category IS NOT NULL GROUP BY customer_id, category)
+  QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY n DESC, category) = 1)"""
+
+BEHAVIOR = """behavior AS (
+  SELECT o.customer_id,
+         CAST(sum(total_amount) AS DOUBLE) / count(total_amount) AS avg_order_value,
+         CAST(coalesce(sum(quantity), 0) AS BIGINT) AS total_quantity,
+         avg(quantity) AS avg_basket_size,
+         avg(CASE WHEN discount_pct > 0 THEN 1.0 ELSE 0.0 END) AS discount_usage_rate,
+         avg(discount_pct) AS avg_discount_pct,
+         coalesce(any_value(f.favorite_category), 'Unknown') AS favorite_category,
+         count(DISTINCT category) AS category_diversity,
+         avg(CAST(is_returned AS DOUBLE)) AS return_rate,
+         min(order_date) AS first_purchase,
+         max(order_date) AS last_purchase
+  FROM orders_clean o LEFT JOIN fav f ON o.customer_id = f.customer_id
+  GROUP BY o.customer_id)"""
+
+register("behavior", ["orders_clean"], "SELECT * FROM behavior",
+         extra=[(FAVORITE, ["orders_clean"]), (BEHAVIOR, ["orders_clean", "fav"])])
+
+INTERVALS = """intervals AS (
+  SELECT customer_id, avg(gap) AS avg_purchase_interval_days FROM (
+    SELECT customer_id,
+           floor((epoch(order_date) - epoch(lag(order_date) OVER (
+                 PARTITION BY customer_id ORDER BY order_date))) / 86400) AS gap
+    FROM orders_clean)
+  GROUP BY customer_id)"""
+
+register("purchase_intervals", ["orders_clean"], "SELECT * FROM intervals",
+         extra=[(INTERVALS, ["orders_clean"])])
+
+WEB = """web AS (
+  SELECT customer_id,
+         count(DISTINCT session_id) AS total_sessions,
+         avg(pages_viewed) AS avg_pages_viewed,
+         CAST(sum(CAST(session_duration_min AS DECIMAL(24,6))) AS DOUBLE) / count(session_duration_min) AS avg_session_duration,
+         avg(converted) AS conversion_rate
+  FROM sessions_v GROUP BY customer_id)"""
+
+register("web_features", ["sessions_v"], "SELECT * FROM web", extra=[(WEB, ["sessions_v"])])
+
+FEATURES = f"""features AS (
+  SELECT r.customer_id, r.recency_days, r.frequency, r.monetary,
+         b.avg_order_value, b.total_quantity, b.avg_basket_size, b.discount_usage_rate,
+         b.avg_discount_pct, b.favorite_category, b.category_diversity, b.return_rate,
+         b.first_purchase, b.last_purchase,
+         coalesce(i.avg_purchase_interval_days,
+                  (SELECT median(avg_purchase_interval_days) FROM intervals)) AS avg_purchase_interval_days,
+         CAST(coalesce(w.total_sessions, 0) AS BIGINT) AS total_sessions,
+         coalesce(w.avg_pages_viewed, 0) AS avg_pages_viewed,
+         coalesce(w.avg_session_duration, 0) AS avg_session_duration,
+         coalesce(w.conversion_rate, 0) AS conversion_rate,
+         c.customer_name, c.gender, c.age, c.city, c.state, c.signup_date,
+         {days_floor(SNAPSHOT, 'c.signup_date')} AS tenure_days
+  FROM ({'SELECT customer_id, ' + days_floor(SNAPSHOT, 'max(order_date)') + ' AS recency_days, count(DISTINCT order_id) AS frequency, CAST(coalesce(sum(total_amount), 0) AS DOUBLE) AS monetary FROM orders_clean GROUP BY customer_id'}) r
+  LEFT JOIN behavior b ON r.customer_id = b.customer_id
+  LEFT JOIN intervals i ON r.customer_id = i.customer_id
+  LEFT JOIN web w ON r.customer_id = w.customer_id
+  LEFT JOIN customers_clean c ON r.customer_id = c.customer_id)"""
+
+FEATURE_DEPS = [(FAVORITE, ["orders_clean"]), (BEHAVIOR, ["orders_clean", "fav"]),
+                (INTERVALS, ["orders_clean"]), (WEB, ["sessions_v"]),
+                (FEATURES, ["orders_clean", "customers_clean", "behavior", "intervals", "web"])]
+
+register("customer_features", ["features"], "SELECT * FROM features", extra=FEATURE_DEPS)

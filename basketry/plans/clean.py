@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.dates import time_features
-from basketry.functions.flags import is_value
+from basketry.functions.flags import is_value, not_value
 from basketry.operators.dedup import keep_first
 from basketry.operators.quantile import fill_with_median
 from basketry.sources.schemas import CUSTOMER_COLUMNS, ORDER_COLUMNS
@@ -28,23 +28,37 @@ def dedup_orders(t: Tables) -> DataFrame:
     return keep_first(t.orders, "order_id", t.order_tiebreak).select(*ORDER_COLUMNS)
 
 
-def flagged_orders(t: Tables) -> DataFrame:
-    """Deduplicated orders, delivery days imputed (median over all deduplicated
-    rows, cancelled included, before the null drop), rows missing a required
-    field dropped, cancelled / returned flags (a missing status is neither)."""
-    o = dedup_orders(t)
-    o = fill_with_median(o, "delivery_days")
+def flag_orders(dedup: DataFrame) -> DataFrame:
+    """Delivery days imputed (median over all deduplicated rows, cancelled
+    included, before the null drop), rows missing a required field dropped,
+    cancelled / returned flags (a missing status is neither)."""
+    o = fill_with_median(dedup, "delivery_days")
     o = o.na.drop(how="any", subset=REQUIRED_ORDER_FIELDS)
     return (o.withColumn("is_cancelled", is_value("order_status", "Cancelled"))
              .withColumn("is_returned", is_value("order_status", "Returned")))
 
 
-def clean_orders(t: Tables) -> DataFrame:
+def clean_from_flagged(flagged: DataFrame) -> DataFrame:
     """Revenue-facing orders: cancellations excluded, calendar features added."""
-    o = flagged_orders(t).where(~F.col("is_cancelled"))
+    o = flagged.where(~F.col("is_cancelled"))
     return o.withColumns(time_features("order_date"))
 
 
+def flagged_orders(t: Tables) -> DataFrame:
+    return flag_orders(dedup_orders(t))
+
+
+def clean_orders(t: Tables) -> DataFrame:
+    return clean_from_flagged(flagged_orders(t))
+
+
+def valid_raw_orders(t: Tables) -> DataFrame:
+    """The dashboard's ``orders_valid``: raw order rows (duplicates kept, no
+    imputation, no null drop), cancellations removed, returned flag."""
+    o = t.orders.select(*ORDER_COLUMNS).where(not_value("order_status", "Cancelled"))
+    return o.withColumn("is_returned", is_value("order_status", "Returned"))
+
+
 def cleaning_audit(t: Tables) -> DataFrame:
     """(table, metric, value) rows: loaded rows, duplicates removed, rows
     dropped for a missing required field, cancellations excluded, rows kept.

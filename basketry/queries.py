@@ -1,24 +1,53 @@
-"""Query definitions (Spark side) registered by name."""
+"""Query definitions (Spark side) registered by name.
+
+Each function receives the shared ``Pipeline`` of its (session, data folder),
+so cleaned orders and the feature table are built once per session.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from basketry.plans import clean, trends
+from basketry.plans import clean, features, trends
+from basketry.plans.pipeline import Pipeline
 from basketry.registry import query
-from basketry.sources.tables import Tables
 
 
 @query("clean_orders")
-def q_clean_orders(t: Tables):
-    return clean.clean_orders(t)
+def q_clean_orders(p: Pipeline):
+    return p.orders_clean
 
 
 @query("clean_customers")
-def q_clean_customers(t: Tables):
-    return clean.clean_customers(t)
+def q_clean_customers(p: Pipeline):
+    return p.customers_clean
 
 
 @query("monthly_trend")
-def q_monthly_trend(t: Tables):
-    return trends.monthly_trend(clean.clean_orders(t))
+def q_monthly_trend(p: Pipeline):
+    return trends.monthly_trend(p.orders_clean)
+
+
+@query("rfm")
+def q_rfm(p: Pipeline):
+    return features.rfm(p.orders_clean)
+
+
+@query("behavior")
+def q_behavior(p: Pipeline):
+    return features.behavior(p.orders_clean)
+
+
+@query("purchase_intervals")
+def q_purchase_intervals(p: Pipeline):
+    return features.purchase_intervals(p.orders_clean)
+
+
+@query("web_features")
+def q_web_features(p: Pipeline):
+    return features.web_features(p.t.sessions)
+
+
+@query("customer_features")
+def q_customer_features(p: Pipeline):
+    return p.features

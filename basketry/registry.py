@@ -1,8 +1,8 @@
 """Named queries: ``name -> callable(spark, sf_dir) -> DataFrame``.
 
-Every query reads the driver test tables of ``sf_dir`` through
-``basketry.sources.tables.driver_tables``; the matching DuckDB statement
-lives in ``basketry.oracle``.
+Every query reads the driver test tables of ``sf_dir`` (through the shared
+``Pipeline`` of that folder); the matching DuckDB statement lives in
+``basketry.oracle``.
 """
 
 from __future__ import annotations
@@ -11,15 +11,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.sources.tables import Tables, driver_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(name: str):
-    def deco(fn: Callable[[Tables], DataFrame]):
+    def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(driver_tables(spark, sf_dir))
+            from basketry.plans.pipeline import pipeline_for
+            return fn(pipeline_for(spark, sf_dir))
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
