@@ -245,3 +245,123 @@ FEATURE_DEPS = [(FAVORITE, ["orders_clean"]), (BEHAVIOR, ["orders_clean", "fav"]
                 (FEATURES, ["orders_clean", "customers_clean", "behavior", "intervals", "web"])]
 
 register("customer_features", ["features"], "SELECT * FROM features", extra=FEATURE_DEPS)
+
+MONEY_SUM = "CAST(coalesce(sum(total_amount), 0) AS DOUBLE)"
+MONEY_MEAN = "CAST(sum(total_amount) AS DOUBLE) / count(total_amount)"
+WEEKDAY_DOMAIN = """weekdays AS (
+  SELECT * FROM (VALUES (0, 'Monday'), (1, 'Tuesday'), (2, 'Wednesday'), (3, 'Thursday'),
+                        (4, 'Friday'), (5, 'Saturday'), (6, 'Sunday')) AS t(pos, weekday))"""
+
+register("weekday_trend", ["orders_clean"], f"""
+SELECT d.weekday, a.revenue, a.orders FROM weekdays d LEFT JOIN (
+  SELECT weekday, {MONEY_SUM} AS revenue, count(DISTINCT order_id) AS orders
+  FROM orders_clean GROUP BY weekday) a ON d.weekday = a.weekday ORDER BY d.pos""",
+         extra=[(WEEKDAY_DOMAIN, [])])
+
+register("category_monthly_trend", ["orders_clean"], f"""
+SELECT year_month, category, {MONEY_SUM} AS total_amount
+FROM orders_clean WHERE category IS NOT NULL GROUP BY year_month, category""")
+
+register("new_customers_trend", ["orders_clean"], """
+SELECT strftime(first, '%Y-%m') AS year_month, count(*) AS new_customers FROM (
+  SELECT customer_id, min(order_date) AS first FROM orders_clean GROUP BY customer_id)
+GROUP BY 1""")
+
+register("quarterly_trend", ["orders_clean"], f"""
+SELECT year, quarter, {MONEY_SUM} AS revenue, count(DISTINCT order_id) AS orders,
+       'Q' || CAST(quarter AS VARCHAR) || ' ' || CAST(year AS VARCHAR) AS label
+FROM orders_clean GROUP BY year, quarter""")
+
+ORDERS_VALID = f"""orders_valid AS (
+  SELECT {ORDER_COLS}, coalesce(order_status = 'Returned', false) AS is_returned
+  FROM orders_raw WHERE order_status IS DISTINCT FROM 'Cancelled')"""
+
+register("dashboard_monthly_trend", ["orders_raw"], f"""
+SELECT strftime(order_date, '%Y-%m') AS year_month, {MONEY_SUM} AS revenue,
+       count(DISTINCT order_id) AS orders, count(DISTINCT customer_id) AS customers
+FROM orders_valid GROUP BY 1""", extra=[(ORDERS_VALID, ["orders_raw"])])
+
+register("dashboard_weekday_revenue", ["orders_raw"], f"""
+SELECT d.weekday, a.revenue FROM weekdays d LEFT JOIN (
+  SELECT dayname(order_date) AS weekday, {MONEY_SUM} AS revenue
+  FROM orders_valid GROUP BY 1) a ON d.weekday = a.weekday ORDER BY d.pos""",
+         extra=[(ORDERS_VALID, ["orders_raw"]), (WEEKDAY_DOMAIN, [])])
+
+register("time_features", ["orders_clean"], """
+SELECT order_id, order_date, year, month, month_name, year_month, week, weekday, quarter
+FROM orders_clean""")
+
+register("eda_kpis", ["orders_clean"], f"""
+SELECT {MONEY_SUM} AS total_revenue, count(DISTINCT order_id) AS total_orders,
+       count(DISTINCT customer_id) AS total_customers, {MONEY_MEAN} AS avg_order_value,
+       avg(CAST(is_returned AS DOUBLE)) AS return_rate_overall,
+       strftime(min(order_date), '%Y-%m-%d') AS date_min,
+       strftime(max(order_date), '%Y-%m-%d') AS date_max
+FROM orders_clean""")
+
+register("eda_kpis_raw", ["orders_raw"], f"""
+SELECT {MONEY_SUM} AS total_revenue, count(DISTINCT order_id) AS total_orders,
+       count(DISTINCT customer_id) AS active_customers, {MONEY_MEAN} AS avg_order_value,
+       avg(CAST(is_returned AS DOUBLE)) AS return_rate
+FROM orders_valid""", extra=[(ORDERS_VALID, ["orders_raw"])])
+
+register("revenue_by_category", ["orders_clean"], """
+SELECT category, CAST(round(sum(total_amount), 2) AS DOUBLE) AS revenue
+FROM orders_clean WHERE category IS NOT NULL GROUP BY category""")
+
+register("orders_by_payment", ["orders_clean"], """
+SELECT payment_method, count(*) AS orders FROM orders_clean
+WHERE payment_method IS NOT NULL GROUP BY payment_method""")
+
+register("orders_by_weekday", ["orders_clean"], """
+SELECT weekday, count(*) AS orders FROM orders_clean
+WHERE weekday IS NOT NULL GROUP BY weekday""")
+
+RFM = f"""rfm AS (
+  SELECT customer_id,
+         {days_floor(SNAPSHOT, 'max(order_date)')} AS recency_days,
+         count(DISTINCT order_id) AS frequency,
+         CAST(coalesce(sum(total_amount), 0) AS DOUBLE) AS monetary
+  FROM orders_clean GROUP BY customer_id)"""
+
+register("rfm_stats", ["orders_clean"], f"""
+SELECT avg(recency_days) AS recency_days_mean, median(recency_days) AS recency_days_median,
+       avg(frequency) AS frequency_mean, median(frequency) AS frequency_median,
+       {exact_mean('monetary', 4)} AS monetary_mean, median(monetary) AS monetary_median
+FROM rfm""", extra=[(RFM, ["orders_clean"])])
+
+register("cleaning_audit", ["orders_raw", "customers_raw"], """
+SELECT * FROM (
+  SELECT 'customers' AS table_name, 'rows_loaded' AS metric, (SELECT count(*) FROM customers_raw) AS value
+  UNION ALL SELECT 'customers', 'duplicates_removed',
+    (SELECT count(*) FROM customers_raw) - (SELECT count(*) FROM (SELECT DISTINCT customer_id FROM customers_raw))
+  UNION ALL SELECT 'customers', 'ages_imputed', (SELECT count(*) FROM customers_dedup WHERE age IS NULL)
+  UNION ALL SELECT 'customers', 'rows_kept', (SELECT count(*) FROM customers_dedup)
+  UNION ALL SELECT 'orders', 'rows_loaded', (SELECT count(*) FROM orders_raw)
+  UNION ALL SELECT 'orders', 'duplicates_removed', (SELECT count(*) FROM orders_raw) - (SELECT count(*) FROM orders_dedup)
+  UNION ALL SELECT 'orders', 'delivery_days_imputed', (SELECT count(*) FROM orders_dedup WHERE delivery_days IS NULL)
+  UNION ALL SELECT 'orders', 'null_rows_dropped', (SELECT count(*) FROM orders_dedup
+      WHERE order_date IS NULL OR customer_id IS NULL OR total_amount IS NULL)
+  UNION ALL SELECT 'orders', 'cancellations_excluded', (SELECT count(*) FROM orders_flagged WHERE is_cancelled)
+  UNION ALL SELECT 'orders', 'rows_kept', (SELECT count(*) FROM orders_flagged WHERE NOT is_cancelled))""",
+         extra=[("""customers_dedup AS (
+  SELECT * FROM customers_raw
+  QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY signup_date, customer_name) = 1)""", ["customers_raw"]),
+                (ORDERS_DEDUP, ["orders_raw"]), (ORDERS_FLAGGED, ["orders_dedup"])])
+
+register("load_report", ["customers_raw", "products_v", "orders_raw", "sessions_v"], """
+SELECT 'customers' AS table_name, count(*) AS rows FROM customers_raw
+UNION ALL SELECT 'products', count(*) FROM products_v
+UNION ALL SELECT 'orders', count(*) FROM orders_raw
+UNION ALL SELECT 'sessions', count(*) FROM sessions_v""")
+
+register("null_status_filter", ["orders_dedup"], """
+SELECT order_id, order_status, is_cancelled, is_returned FROM (
+  SELECT order_id, order_status,
+         coalesce(order_status = 'Cancelled', false) AS is_cancelled,
+         coalesce(order_status = 'Returned', false) AS is_returned
+  FROM (SELECT order_id, order_date, customer_id, total_amount,
+               CASE WHEN order_id % 7 <> 0 THEN order_status END AS order_status
+        FROM orders_dedup)
+  WHERE order_date IS NOT NULL AND customer_id IS NOT NULL AND total_amount IS NOT NULL)
+WHERE order_status IS DISTINCT FROM 'Cancelled'""")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from basketry.plans import clean, features, trends
+from basketry.plans import clean, eda, features, trends
 from basketry.plans.pipeline import Pipeline
 from basketry.registry import query
 
@@ -51,3 +51,89 @@ def q_web_features(p: Pipeline):
 @query("customer_features")
 def q_customer_features(p: Pipeline):
     return p.features
+
+
+@query("weekday_trend")
+def q_weekday_trend(p: Pipeline):
+    return trends.weekday_trend(p.orders_clean)
+
+
+@query("category_monthly_trend")
+def q_category_monthly_trend(p: Pipeline):
+    return trends.category_monthly_trend(p.orders_clean)
+
+
+@query("new_customers_trend")
+def q_new_customers_trend(p: Pipeline):
+    return trends.new_customers_trend(p.orders_clean)
+
+
+@query("quarterly_trend")
+def q_quarterly_trend(p: Pipeline):
+    return trends.quarterly_trend(p.orders_clean)
+
+
+@query("dashboard_monthly_trend")
+def q_dashboard_monthly_trend(p: Pipeline):
+    return trends.dashboard_monthly_trend(p.orders_valid)
+
+
+@query("dashboard_weekday_revenue")
+def q_dashboard_weekday_revenue(p: Pipeline):
+    return trends.dashboard_weekday_revenue(p.orders_valid)
+
+
+@query("time_features")
+def q_time_features(p: Pipeline):
+    return p.orders_clean.select("order_id", "order_date", "year", "month", "month_name",
+                                 "year_month", "week", "weekday", "quarter")
+
+
+@query("eda_kpis")
+def q_eda_kpis(p: Pipeline):
+    return eda.kpis(p.orders_clean)
+
+
+@query("eda_kpis_raw")
+def q_eda_kpis_raw(p: Pipeline):
+    return eda.kpis_raw(p.orders_valid)
+
+
+@query("revenue_by_category")
+def q_revenue_by_category(p: Pipeline):
+    return eda.revenue_by_category(p.orders_clean)
+
+
+@query("orders_by_payment")
+def q_orders_by_payment(p: Pipeline):
+    return eda.value_counts(p.orders_clean, "payment_method")
+
+
+@query("orders_by_weekday")
+def q_orders_by_weekday(p: Pipeline):
+    return eda.value_counts(p.orders_clean, "weekday")
+
+
+@query("rfm_stats")
+def q_rfm_stats(p: Pipeline):
+    return eda.rfm_stats(features.rfm(p.orders_clean))
+
+
+@query("cleaning_audit")
+def q_cleaning_audit(p: Pipeline):
+    return clean.cleaning_audit(p.t)
+
+
+@query("load_report")
+def q_load_report(p: Pipeline):
+    return clean.load_report(p.t)
+
+
+@query("null_status_filter")
+def q_null_status_filter(p: Pipeline):
+    """Status made missing for every 7th order id: such rows are neither
+    cancelled nor returned and stay in the revenue-facing table."""
+    o = p.orders_dedup.withColumn(
+        "order_status", F.when(F.col("order_id") % 7 != 0, F.col("order_status")))
+    kept = clean.flag_orders(o).where(~F.col("is_cancelled"))
+    return kept.select("order_id", "order_status", "is_cancelled", "is_returned")
