@@ -365,3 +365,168 @@ SELECT order_id, order_status, is_cancelled, is_returned FROM (
         FROM orders_dedup)
   WHERE order_date IS NOT NULL AND customer_id IS NOT NULL AND total_amount IS NOT NULL)
 WHERE order_status IS DISTINCT FROM 'Cancelled'""")
+
+# ---------------------------------------------------------------------------
+# segments on the fixed cluster column customer_id % 5
+# ---------------------------------------------------------------------------
+
+
+def _avg_rank(col: str) -> str:
+    """pandas rank(): mean position of the tie group, by counting."""
+    return (f"((SELECT count(*) FROM prof q WHERE q.{col} < p.{col}) + "
+            f"((SELECT count(*) FROM prof q WHERE q.{col} = p.{col}) + 1) / 2.0)")
+
+
+CLUSTERED = """clustered AS (SELECT *, CAST(customer_id % 5 AS INTEGER) AS cluster FROM features)"""
+PROF = f"""prof AS (
+  SELECT cluster, count(*) AS customers,
+         avg(recency_days) AS recency_days, avg(frequency) AS frequency,
+         {exact_mean('monetary')} AS monetary, avg(tenure_days) AS tenure_days,
+         {exact_mean('discount_usage_rate')} AS discount_usage_rate
+  FROM clustered GROUP BY cluster)"""
+MAPPING = """rules AS (
+  SELECT 1 AS ord, 'High Value Customers' AS segment,
+         (SELECT cluster FROM prof ORDER BY monetary DESC, cluster LIMIT 1) AS cluster
+  UNION ALL SELECT 2, 'New Customers', (SELECT cluster FROM prof ORDER BY tenure_days ASC, cluster LIMIT 1)
+  UNION ALL SELECT 3, 'At Risk / Inactive Customers',
+         (SELECT cluster FROM prof ORDER BY recency_days DESC, cluster LIMIT 1)
+  UNION ALL SELECT 4, 'Price Sensitive Customers',
+         (SELECT cluster FROM prof ORDER BY discount_usage_rate DESC, cluster LIMIT 1)),
+assigned AS (SELECT cluster, arg_min(segment, ord) AS segment FROM rules GROUP BY cluster),
+pool AS (SELECT * FROM (VALUES (0, 'High Value Customers'), (1, 'Occasional Buyers'), (2, 'New Customers'),
+                               (3, 'Price Sensitive Customers'), (4, 'At Risk / Inactive Customers')) t(pos, segment)),
+free_names AS (SELECT segment, row_number() OVER (ORDER BY pos) AS rn FROM pool
+               WHERE segment NOT IN (SELECT segment FROM assigned)),
+free_clusters AS (SELECT cluster, row_number() OVER (ORDER BY cluster) AS rn FROM prof
+                  WHERE cluster NOT IN (SELECT cluster FROM assigned)),
+mapping AS (
+  SELECT p.cluster, coalesce(a.segment, fn.segment, 'Occasional Buyers') AS segment
+  FROM prof p LEFT JOIN assigned a ON p.cluster = a.cluster
+  LEFT JOIN free_clusters fc ON p.cluster = fc.cluster
+  LEFT JOIN free_names fn ON fc.rn = fn.rn)"""
+SEG = """seg AS (SELECT c.*, m.segment FROM clustered c LEFT JOIN mapping m ON c.cluster = m.cluster)"""
+
+SEG_MEANS = f"""seg_means AS (
+  SELECT segment, count(customer_id) AS customers,
+         avg(recency_days) AS avg_recency_days, avg(frequency) AS avg_frequency,
+         {exact_mean('monetary')} AS avg_monetary, {exact_mean('avg_order_value')} AS avg_order_value,
+         {exact_mean('avg_basket_size')} AS avg_basket_size,
+         {exact_mean('discount_usage_rate')} AS discount_usage_rate,
+         {exact_mean('return_rate')} AS return_rate, avg(category_diversity) AS category_diversity,
+         {exact_mean('conversion_rate')} AS conversion_rate
+  FROM seg GROUP BY segment),
+seg_top AS (
+  SELECT segment, favorite_category AS top_category FROM (
+    SELECT segment, favorite_category, count(*) AS n FROM seg
+    WHERE favorite_category IS NOT NULL GROUP BY segment, favorite_category)
+  QUALIFY row_number() OVER (PARTITION BY segment ORDER BY n DESC, favorite_category) = 1),
+summary AS (
+  SELECT m.segment, customers,
+         round(avg_recency_days, 2) AS avg_recency_days, round(avg_frequency, 2) AS avg_frequency,
+         round(avg_monetary, 2) AS avg_monetary, round(avg_order_value, 2) AS avg_order_value,
+         round(avg_basket_size, 2) AS avg_basket_size, round(discount_usage_rate, 2) AS discount_usage_rate,
+         round(return_rate, 2) AS return_rate, round(category_diversity, 2) AS category_diversity,
+         round(conversion_rate, 2) AS conversion_rate,
+         round(customers / sum(customers) OVER () * 100, 1) AS pct_of_customers,
+         round(round(avg_monetary, 2) * customers / sum(round(avg_monetary, 2) * customers) OVER () * 100, 1)
+             AS pct_of_revenue,
+         t.top_category
+  FROM seg_means m LEFT JOIN seg_top t ON m.segment IS NOT DISTINCT FROM t.segment)"""
+
+SEG_DEPS = FEATURE_DEPS + [(CLUSTERED, ["features"]), (PROF, ["clustered"]),
+                           (MAPPING, ["prof"]), (SEG, ["clustered", "rules"])]
+SUMMARY_DEPS = SEG_DEPS + [(SEG_MEANS, ["seg"])]
+
+register("cluster_profile", [], f"""
+SELECT p.*, -{_avg_rank('recency_days')} + {_avg_rank('frequency')} + {_avg_rank('monetary')} AS score
+FROM prof p""", extra=FEATURE_DEPS + [(CLUSTERED, ["features"]), (PROF, ["clustered"])])
+
+register("label_clusters", [], """
+SELECT cluster, segment, count(*) AS customers FROM seg GROUP BY cluster, segment""", extra=SEG_DEPS)
+
+register("segmented_features", [], "SELECT * FROM seg", extra=SEG_DEPS)
+
+register("segment_summary", [], "SELECT * FROM summary", extra=SUMMARY_DEPS)
+
+register("segment_sizes", [], """
+SELECT segment, customers, customers = max(customers) OVER ()
+       AND segment = min(segment) FILTER (WHERE customers = mx) OVER () AS is_largest
+FROM (SELECT segment, count(*) AS customers, max(count(*)) OVER () AS mx
+      FROM seg WHERE segment IS NOT NULL GROUP BY segment)""", extra=SEG_DEPS)
+
+register("segment_leaders", [], f"""
+WITH means AS (
+  SELECT segment, avg(recency_days) AS recency_days, avg(frequency) AS frequency,
+         {exact_mean('monetary')} AS monetary FROM seg GROUP BY segment)
+SELECT * FROM (SELECT 'most_recent' AS metric, segment, CAST(recency_days AS DOUBLE) AS value FROM means
+               WHERE recency_days IS NOT NULL ORDER BY recency_days ASC, segment LIMIT 1)
+UNION ALL SELECT * FROM (SELECT 'most_frequent', segment, frequency FROM means
+               WHERE frequency IS NOT NULL ORDER BY frequency DESC, segment LIMIT 1)
+UNION ALL SELECT * FROM (SELECT 'highest_spend', segment, monetary FROM means
+               WHERE monetary IS NOT NULL ORDER BY monetary DESC, segment LIMIT 1)
+UNION ALL SELECT * FROM (SELECT 'highest_order_value', segment, avg_order_value FROM summary
+               WHERE avg_order_value IS NOT NULL ORDER BY avg_order_value DESC, segment LIMIT 1)
+UNION ALL SELECT * FROM (SELECT 'highest_discount_usage', segment, discount_usage_rate FROM summary
+               WHERE discount_usage_rate IS NOT NULL ORDER BY discount_usage_rate DESC, segment LIMIT 1)
+UNION ALL SELECT * FROM (SELECT 'highest_return_rate', segment, return_rate FROM summary
+               WHERE return_rate IS NOT NULL ORDER BY return_rate DESC, segment LIMIT 1)
+UNION ALL SELECT * FROM (SELECT 'most_diverse', segment, category_diversity FROM summary
+               WHERE category_diversity IS NOT NULL ORDER BY category_diversity DESC, segment LIMIT 1)
+UNION ALL SELECT * FROM (SELECT 'largest_segment', segment, CAST(customers AS DOUBLE) FROM summary
+               WHERE customers IS NOT NULL ORDER BY customers DESC, segment LIMIT 1)""".replace(
+    "\nWITH means AS (", "\n, means AS (", 1), extra=SUMMARY_DEPS)
+
+_BOX = []
+for _m in ["recency_days", "frequency", "monetary"]:
+    _BOX.append(f"""SELECT q.segment, '{_m}' AS metric, min(CAST(s.{_m} AS DOUBLE)) AS min, q.q1, q.median, q.q3,
+       max(CAST(s.{_m} AS DOUBLE)) AS max,
+       min(CAST(s.{_m} AS DOUBLE)) FILTER (WHERE s.{_m} >= q.q1 - 1.5 * (q.q3 - q.q1)) AS lower_whisker,
+       max(CAST(s.{_m} AS DOUBLE)) FILTER (WHERE s.{_m} <= q.q3 + 1.5 * (q.q3 - q.q1)) AS upper_whisker
+FROM (SELECT segment, quantile_cont(CAST({_m} AS DOUBLE), 0.25) AS q1, quantile_cont(CAST({_m} AS DOUBLE), 0.5) AS median,
+             quantile_cont(CAST({_m} AS DOUBLE), 0.75) AS q3
+      FROM seg WHERE {_m} IS NOT NULL GROUP BY segment) q
+JOIN seg s ON s.segment IS NOT DISTINCT FROM q.segment
+GROUP BY q.segment, q.q1, q.median, q.q3""")
+register("segment_box_stats", [], "\nUNION ALL\n".join(_BOX), extra=SEG_DEPS)
+
+register("segment_pref_category", [], """
+SELECT segment, favorite_category, count(*) AS customers FROM seg GROUP BY segment, favorite_category""",
+         extra=SEG_DEPS)
+
+register("segment_profile", [], """
+SELECT segment, customers, pct_of_customers AS "% of Customers", pct_of_revenue AS "% of Revenue",
+       avg_recency_days AS "Avg Recency (days)", avg_frequency AS "Avg Orders",
+       avg_monetary AS "Avg Lifetime Spend", avg_order_value AS "Avg Order Value",
+       top_category AS "Top Category"
+FROM summary""", extra=SUMMARY_DEPS)
+
+_RADAR = ["avg_recency_days", "avg_frequency", "avg_monetary", "avg_order_value", "category_diversity"]
+register("segment_radar", [], "\nUNION ALL\n".join(
+    f"SELECT segment, '{m}' AS metric, ({m} - min({m}) OVER ()) / (max({m}) OVER () - min({m}) OVER () + 1e-9) AS norm FROM summary"
+    for m in _RADAR), extra=SUMMARY_DEPS)
+
+register("share_vs_customers", [], """
+SELECT segment, pct_of_customers, pct_of_revenue, avg_monetary,
+       pct_of_revenue > pct_of_customers AS above_diagonal FROM summary""", extra=SUMMARY_DEPS)
+
+register("recency_spend_points", [], """
+SELECT customer_id, customer_name, segment, recency_days, monetary, frequency, avg_order_value FROM seg""",
+         extra=SEG_DEPS)
+
+register("weekday_pattern", [], """
+SELECT d.weekday, c.orders FROM weekdays d LEFT JOIN (
+  SELECT dayname(order_date) AS weekday, count(*) AS orders FROM orders_valid
+  WHERE customer_id IN (SELECT customer_id FROM seg WHERE customer_id IS NOT NULL)
+  GROUP BY 1) c ON d.weekday = c.weekday ORDER BY d.pos""",
+         extra=SEG_DEPS + [(ORDERS_VALID, ["orders_raw"]), (WEEKDAY_DOMAIN, [])])
+
+register("customer_explorer", [], """
+SELECT customer_id, customer_name, segment, recency_days, frequency, monetary, avg_order_value,
+       favorite_category, city
+FROM seg ORDER BY monetary DESC, customer_id LIMIT 200""", extra=SEG_DEPS)
+
+register("domain_values", [], """
+SELECT DISTINCT 'category' AS kind, category AS value FROM orders_valid WHERE category IS NOT NULL
+UNION ALL
+SELECT DISTINCT 'segment', segment FROM seg WHERE segment IS NOT NULL""",
+         extra=SEG_DEPS + [(ORDERS_VALID, ["orders_raw"])])

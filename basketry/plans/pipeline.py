@@ -16,7 +16,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.plans import clean, features
+from basketry.plans import clean, features, segments
 from basketry.session import checkpoint_dir
 from basketry.sources.tables import Tables, driver_tables
 
@@ -83,3 +83,38 @@ def pipeline_for(spark: SparkSession, sf_dir: str, materialize: bool = True) ->
         p = Pipeline(spark, driver_tables(spark, sf_dir), materialize=materialize)
         _RUNS[key] = p
     return p
+
+
+class _Segmented:
+    """Segment results for one cluster assignment of the feature table."""
+
+    def __init__(self, pipe: "Pipeline", clustered: DataFrame, name: str):
+        self.pipe = pipe
+        self.clustered = clustered
+        self.name = name
+
+    @cached_property
+    def profile(self) -> DataFrame:
+        return segments.cluster_profile(self.clustered)
+
+    @cached_property
+    def mapping(self) -> DataFrame:
+        return self.pipe.stage(f"{self.name}_mapping", segments.label_clusters(self.profile))
+
+    @cached_property
+    def segmented(self) -> DataFrame:
+        return self.pipe.stage(f"{self.name}_segmented",
+                               segments.assign_segments(self.clustered, self.mapping))
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        return self.pipe.stage(f"{self.name}_summary", segments.segment_summary(self.segmented))
+
+
+def _fixed(self: Pipeline) -> _Segmented:
+    """Segments from the deterministic fixture cluster column (customer_id % 5)."""
+    return _Segmented(self, segments.fixed_clusters(self.features, 5), "fixed")
+
+
+Pipeline.fixed = cached_property(_fixed)
+Pipeline.fixed.__set_name__(Pipeline, "fixed")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from basketry.plans import clean, eda, features, trends
+from basketry.plans import clean, eda, features, segments, trends
 from basketry.plans.pipeline import Pipeline
 from basketry.registry import query
 
@@ -137,3 +137,80 @@ def q_null_status_filter(p: Pipeline):
         "order_status", F.when(F.col("order_id") % 7 != 0, F.col("order_status")))
     kept = clean.flag_orders(o).where(~F.col("is_cancelled"))
     return kept.select("order_id", "order_status", "is_cancelled", "is_returned")
+
+
+# -- segments on the fixed cluster column (SQL-checkable) --------------------
+
+@query("cluster_profile")
+def q_cluster_profile(p: Pipeline):
+    return p.fixed.profile
+
+
+@query("label_clusters")
+def q_label_clusters(p: Pipeline):
+    return segments.cluster_sizes(p.fixed.segmented)
+
+
+@query("segmented_features")
+def q_segmented_features(p: Pipeline):
+    return p.fixed.segmented
+
+
+@query("segment_summary")
+def q_segment_summary(p: Pipeline):
+    return p.fixed.summary
+
+
+@query("segment_sizes")
+def q_segment_sizes(p: Pipeline):
+    return segments.segment_sizes(p.fixed.segmented)
+
+
+@query("segment_leaders")
+def q_segment_leaders(p: Pipeline):
+    return segments.segment_leaders(p.fixed.segmented, p.fixed.summary)
+
+
+@query("segment_box_stats")
+def q_segment_box_stats(p: Pipeline):
+    return segments.segment_box_stats(p.fixed.segmented)
+
+
+@query("segment_pref_category")
+def q_segment_pref_category(p: Pipeline):
+    return segments.segment_pref_category(p.fixed.segmented)
+
+
+@query("segment_profile")
+def q_segment_profile(p: Pipeline):
+    return segments.segment_profile(p.fixed.summary)
+
+
+@query("segment_radar")
+def q_segment_radar(p: Pipeline):
+    return segments.segment_radar(p.fixed.summary)
+
+
+@query("share_vs_customers")
+def q_share_vs_customers(p: Pipeline):
+    return segments.share_vs_customers(p.fixed.summary)
+
+
+@query("recency_spend_points")
+def q_recency_spend_points(p: Pipeline):
+    return segments.recency_spend_points(p.fixed.segmented)
+
+
+@query("weekday_pattern")
+def q_weekday_pattern(p: Pipeline):
+    return segments.weekday_pattern(p.orders_valid, p.fixed.segmented)
+
+
+@query("customer_explorer")
+def q_customer_explorer(p: Pipeline):
+    return segments.customer_explorer(p.fixed.segmented)
+
+
+@query("domain_values")
+def q_domain_values(p: Pipeline):
+    return segments.domain_values(p.orders_valid, p.fixed.segmented)
