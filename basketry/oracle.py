@@ -530,3 +530,133 @@ SELECT DISTINCT 'category' AS kind, category AS value FROM orders_valid WHERE ca
 UNION ALL
 SELECT DISTINCT 'segment', segment FROM seg WHERE segment IS NOT NULL""",
          extra=SEG_DEPS + [(ORDERS_VALID, ["orders_raw"])])
+
+# ---------------------------------------------------------------------------
+# facts, growth, scaling, calendar windows, reconciliation
+# ---------------------------------------------------------------------------
+
+_DASH = [(ORDERS_VALID, ["orders_raw"]), (WEEKDAY_DOMAIN, [])]
+PEAK = f"""monthly AS (
+  SELECT year_month, {MONEY_SUM} AS revenue FROM orders_clean GROUP BY year_month),
+rbc AS (SELECT category, CAST(round(sum(total_amount), 2) AS DOUBLE) AS revenue
+        FROM orders_clean WHERE category IS NOT NULL GROUP BY category),
+quarterly AS (SELECT year, quarter, 'Q' || CAST(quarter AS VARCHAR) || ' ' || CAST(year AS VARCHAR) AS label,
+                     {MONEY_SUM} AS revenue FROM orders_clean GROUP BY year, quarter),
+dash_wd AS (SELECT d.pos, d.weekday, a.revenue FROM weekdays d LEFT JOIN (
+              SELECT dayname(order_date) AS weekday, {MONEY_SUM} AS revenue FROM orders_valid GROUP BY 1) a
+            ON d.weekday = a.weekday),
+dash_cat AS (SELECT category, {MONEY_SUM} AS revenue
+             FROM orders_valid WHERE category IS NOT NULL GROUP BY category),
+sizes AS (SELECT segment, count(*) AS customers FROM seg WHERE segment IS NOT NULL GROUP BY segment),
+pref AS (SELECT segment, favorite_category, count(*) AS customers FROM seg GROUP BY 1, 2),
+pattern AS (SELECT d.pos, d.weekday, c.orders FROM weekdays d LEFT JOIN (
+              SELECT dayname(order_date) AS weekday, count(*) AS orders FROM orders_valid
+              WHERE customer_id IN (SELECT customer_id FROM seg WHERE customer_id IS NOT NULL) GROUP BY 1) c
+            ON d.weekday = c.weekday)"""
+
+register("peak_facts", [], """
+SELECT * FROM (SELECT 'peak_month' AS fact, year_month AS key, revenue AS value FROM monthly
+               WHERE revenue IS NOT NULL ORDER BY revenue DESC, year_month LIMIT 1)
+UNION ALL SELECT * FROM (SELECT 'slowest_month', year_month, revenue FROM monthly
+               WHERE revenue IS NOT NULL ORDER BY revenue ASC, year_month LIMIT 1)
+UNION ALL SELECT * FROM (SELECT 'top_category', category, revenue FROM rbc
+               WHERE revenue IS NOT NULL ORDER BY revenue DESC, category LIMIT 1)
+UNION ALL SELECT * FROM (SELECT 'peak_quarter', label, revenue FROM quarterly
+               WHERE revenue IS NOT NULL ORDER BY revenue DESC, year, quarter LIMIT 1)
+UNION ALL SELECT * FROM (SELECT 'peak_weekday', weekday, revenue FROM dash_wd
+               WHERE revenue IS NOT NULL ORDER BY revenue DESC, pos LIMIT 1)
+UNION ALL SELECT * FROM (SELECT 'strongest_category', category, revenue FROM dash_cat
+               WHERE revenue IS NOT NULL ORDER BY revenue DESC, category LIMIT 1)
+UNION ALL SELECT * FROM (SELECT 'largest_segment', segment, CAST(customers AS DOUBLE) FROM sizes
+               ORDER BY customers DESC, segment LIMIT 1)
+UNION ALL SELECT * FROM (SELECT 'top_segment_category', concat_ws(' / ', segment, favorite_category),
+               CAST(customers AS DOUBLE) FROM pref ORDER BY customers DESC, segment, favorite_category LIMIT 1)
+UNION ALL SELECT * FROM (SELECT 'busiest_purchase_day', weekday, CAST(orders AS DOUBLE) FROM pattern
+               WHERE orders IS NOT NULL ORDER BY orders DESC, pos LIMIT 1)""",
+         extra=SEG_DEPS + _DASH + [(PEAK, ["orders_clean", "orders_valid", "weekdays", "seg"])])
+
+
+def _growth_sql(label: str, table: str, value: str) -> str:
+    s, e = "start_value", "end_value"
+    return f"""SELECT '{label}' AS label, points, {s}, {e},
+       CASE WHEN points < 2 THEN 'stable' WHEN {e} > {s} THEN 'increased'
+            WHEN {e} < {s} THEN 'fell' ELSE 'flat' END AS direction,
+       CASE WHEN points < 2 THEN NULL WHEN {s} = 0 THEN 0.0
+            WHEN {e} > {s} THEN ({e} - {s}) / {s} * 100
+            WHEN {e} < {s} THEN ({s} - {e}) / {s} * 100 ELSE 0.0 END AS change_pct
+FROM (SELECT count(*) AS points, CAST(arg_min({value}, year_month) AS DOUBLE) AS {s},
+             CAST(arg_max({value}, year_month) AS DOUBLE) AS {e}
+      FROM {table} WHERE {value} IS NOT NULL)"""
+
+
+GROWTH_SERIES = f"""dash_monthly AS (
+  SELECT strftime(order_date, '%Y-%m') AS year_month, {MONEY_SUM} AS revenue,
+         count(DISTINCT order_id) AS orders FROM orders_valid GROUP BY 1),
+new_cust AS (
+  SELECT strftime(first, '%Y-%m') AS year_month, count(*) AS new_customers FROM (
+    SELECT customer_id, min(order_date) AS first FROM orders_clean GROUP BY customer_id) GROUP BY 1)"""
+
+register("growth", [], "\nUNION ALL\n".join([
+    _growth_sql("Revenue", "dash_monthly", "revenue"),
+    _growth_sql("Order volume", "dash_monthly", "orders"),
+    _growth_sql("New customer acquisition", "new_cust", "new_customers")]),
+    extra=[(ORDERS_VALID, ["orders_raw"]), (GROWTH_SERIES, ["orders_valid", "orders_clean"])])
+
+_FEATS = ["recency_days", "frequency", "monetary", "avg_order_value", "avg_basket_size",
+          "discount_usage_rate", "category_diversity"]
+_LOGS = {"monetary", "frequency", "avg_order_value"}
+_MATRIX = "matrix AS (SELECT customer_id, " + ", ".join(
+    (f"ln(1 + coalesce(CAST({c} AS DOUBLE), 0)) AS {c}" if c in _LOGS
+     else f"coalesce(CAST({c} AS DOUBLE), 0) AS {c}") for c in _FEATS) + " FROM features)"
+_STATS = "stats AS (SELECT " + ", ".join(
+    f"avg({c}) AS mu_{c}, stddev_pop({c}) AS sd_{c}" for c in _FEATS) + " FROM matrix)"
+register("feature_scaling", [], "SELECT customer_id, " + ", ".join(
+    f"round(({c} - mu_{c}) / CASE WHEN sd_{c} IS NULL OR sd_{c} = 0 THEN 1 ELSE sd_{c} END, 6) AS {c}"
+    for c in _FEATS) + " FROM matrix, stats",
+    extra=FEATURE_DEPS + [(_MATRIX, ["features"]), (_STATS, ["matrix"])])
+
+WINDOWS = """win AS (
+  SELECT * FROM (VALUES (101, 115, 1.3, 'New Year sale'), (301, 320, 1.2, 'Spring sale'),
+                        (801, 831, 1.4, 'Independence day / mid-year sale'),
+                        (1001, 1031, 1.8, 'Diwali / festive season'), (1120, 1130, 1.6, 'Black Friday'),
+                        (1215, 1231, 1.5, 'Christmas / year-end sale')) t(s, e, boost, name))"""
+DAILY = f"""daily AS (
+  SELECT CAST(order_date AS DATE) AS order_date, count(*) AS orders, {MONEY_SUM} AS revenue,
+         month(CAST(order_date AS DATE)) * 100 + day(CAST(order_date AS DATE)) AS md
+  FROM orders_clean GROUP BY 1),
+tags AS (
+  SELECT d.order_date, d.orders, d.revenue,
+         (SELECT name FROM win WHERE d.md BETWEEN s AND e ORDER BY boost DESC LIMIT 1) AS season,
+         coalesce((SELECT CAST(max(boost) AS DOUBLE) FROM win WHERE d.md BETWEEN s AND e), 1.0) AS multiplier
+  FROM daily d)"""
+
+register("seasonal_tags", [], "SELECT * FROM tags",
+         extra=[(WINDOWS, []), (DAILY, ["orders_clean", "win"])])
+
+register("demand_index", [], """
+SELECT order_date, orders, revenue, multiplier, growth, multiplier * growth AS demand_index,
+       revenue / (multiplier * growth) AS revenue_per_index
+FROM (SELECT t.*, 1.0 + CASE WHEN date_diff('day', d0, d1) > 0
+                             THEN date_diff('day', d0, order_date) / date_diff('day', d0, d1)
+                             ELSE 0.0 END * 0.35 AS growth
+      FROM tags t, (SELECT min(order_date) AS d0, max(order_date) AS d1 FROM tags))""",
+         extra=[(WINDOWS, []), (DAILY, ["orders_clean", "win"])])
+
+register("seasonal_range_join", [], "SELECT order_date, multiplier FROM tags",
+         extra=[(WINDOWS, []), (DAILY, ["orders_clean", "win"])])
+
+register("amount_reconciliation", ["orders_dedup"], """
+SELECT count(*) AS rows_checked,
+       CAST(sum(CASE WHEN eg <> gross_amount THEN 1 ELSE 0 END) AS BIGINT) AS gross_mismatches,
+       CAST(sum(CASE WHEN ed <> discount_amount THEN 1 ELSE 0 END) AS BIGINT) AS discount_mismatches,
+       CAST(sum(CASE WHEN gross_amount - ed <> total_amount THEN 1 ELSE 0 END) AS BIGINT) AS total_mismatches,
+       CAST(max(abs(gross_amount - ed - total_amount)) AS DOUBLE) AS max_total_diff
+FROM (SELECT *, round(CAST(unit_price AS DECIMAL(20,6)) * quantity, 2) AS eg,
+             round(gross_amount * discount_pct * CAST(0.01 AS DECIMAL(3,2)), 2) AS ed
+      FROM orders_dedup)""")
+
+register("append_dedup", ["orders_raw"], f"""
+SELECT {ORDER_COLS} FROM (
+  SELECT * FROM orders_raw UNION ALL SELECT * FROM orders_raw WHERE order_id % 3 = 0)
+QUALIFY row_number() OVER (PARTITION BY order_id
+                           ORDER BY ship_date, product_id, supplier_id, line_price) = 1""")

@@ -16,7 +16,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.plans import clean, features, segments
+from basketry.plans import clean, eda, features, kmeans, segments, trends
 from basketry.session import checkpoint_dir
 from basketry.sources.tables import Tables, driver_tables
 
@@ -118,3 +118,32 @@ def _fixed(self: Pipeline) -> _Segmented:
 
 Pipeline.fixed = cached_property(_fixed)
 Pipeline.fixed.__set_name__(Pipeline, "fixed")
+
+
+def _segmentation(self: Pipeline) -> kmeans.Segmentation:
+    return kmeans.Segmentation(self.spark, self.features, n_init=self.n_init, stage=self.stage)
+
+
+def _kmeans(self: Pipeline) -> _Segmented:
+    """Segments from the final KMeans model (canonical cluster numbering)."""
+    return _Segmented(self, self.segmentation.clustered(), "kmeans")
+
+
+def _monthly(self: Pipeline) -> DataFrame:
+    return trends.monthly_trend(self.orders_clean)
+
+
+def _kpis(self: Pipeline) -> DataFrame:
+    return eda.kpis(self.orders_clean)
+
+
+def _revenue_by_category(self: Pipeline) -> DataFrame:
+    return eda.revenue_by_category(self.orders_clean)
+
+
+for _name, _fn in [("segmentation", _segmentation), ("kmeans", _kmeans), ("monthly", _monthly),
+                   ("kpis", _kpis), ("revenue_by_category", _revenue_by_category)]:
+    _prop = cached_property(_fn)
+    _prop.__set_name__(Pipeline, _name)
+    setattr(Pipeline, _name, _prop)
+Pipeline.n_init = 10

@@ -246,14 +246,16 @@ def customer_explorer(segmented: DataFrame, n: int = 200) -> DataFrame:
     return segmented.select(*EXPLORER_COLUMNS).orderBy(F.desc("monetary"), "customer_id").limit(n)
 
 
-def weekday_pattern(orders_valid: DataFrame, segmented: DataFrame) -> DataFrame:
+def weekday_pattern(orders_valid: DataFrame, segmented: DataFrame,
+                    keep_position: bool = False) -> DataFrame:
     """Order rows per weekday for the customers in the segmented table
     (left-semi join on customer id), Monday first, absent days kept as null."""
     ids = segmented.select("customer_id").where(F.col("customer_id").isNotNull())
     seg_orders = orders_valid.join(ids, "customer_id", "left_semi")
     counts = seg_orders.groupBy(weekday_name("order_date").alias("weekday")) \
                        .agg(F.count(F.lit(1)).alias("orders"))
-    return reindex(counts, "weekday", WEEKDAYS).select("weekday", "orders")
+    cols = ["_pos", "weekday", "orders"] if keep_position else ["weekday", "orders"]
+    return reindex(counts, "weekday", WEEKDAYS, keep_position=True).select(*cols)
 
 
 def domain_values(orders_valid: DataFrame, segmented: DataFrame) -> DataFrame:

@@ -76,7 +76,22 @@ def dashboard_monthly_trend(orders_valid: DataFrame) -> DataFrame:
             .orderBy("year_month"))
 
 
-def dashboard_weekday_revenue(orders_valid: DataFrame) -> DataFrame:
+def dashboard_weekday_revenue(orders_valid: DataFrame, keep_position: bool = False) -> DataFrame:
     agg = orders_valid.groupBy(weekday_name("order_date").alias("weekday")) \
                       .agg(money_sum().alias("revenue"))
-    return reindex(agg, "weekday", WEEKDAYS).select("weekday", "revenue")
+    cols = ["_pos", "weekday", "revenue"] if keep_position else ["weekday", "revenue"]
+    return reindex(agg, "weekday", WEEKDAYS, keep_position=True).select(*cols)
+
+
+def dashboard_category_trend(orders_valid: DataFrame) -> DataFrame:
+    """Month x category revenue over the dashboard's raw rows."""
+    return (orders_valid.where(F.col("category").isNotNull())
+            .groupBy(year_month("order_date").alias("year_month"), "category")
+            .agg(money_sum().alias("revenue")))
+
+
+def category_totals(orders_valid: DataFrame) -> DataFrame:
+    """Roll-up of ``dashboard_category_trend`` to category (A29), summed from
+    the exact amounts."""
+    return (orders_valid.where(F.col("category").isNotNull())
+            .groupBy("category").agg(money_sum().alias("revenue")))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from basketry.plans import clean, eda, features, segments, trends
+from basketry.plans import calendar, checks, clean, eda, features, insights, kmeans, segments, summary, trends
 from basketry.plans.pipeline import Pipeline
 from basketry.registry import query
 
@@ -214,3 +214,104 @@ def q_customer_explorer(p: Pipeline):
 @query("domain_values")
 def q_domain_values(p: Pipeline):
     return segments.domain_values(p.orders_valid, p.fixed.segmented)
+
+
+# -- facts, growth, insights ------------------------------------------------
+
+@query("peak_facts")
+def q_peak_facts(p: Pipeline):
+    seg = p.fixed.segmented
+    return insights.peak_facts(
+        p.monthly, p.revenue_by_category, trends.quarterly_trend(p.orders_clean),
+        trends.dashboard_weekday_revenue(p.orders_valid, keep_position=True),
+        trends.category_totals(p.orders_valid),
+        segments.segment_sizes(seg), segments.segment_pref_category(seg),
+        segments.weekday_pattern(p.orders_valid, seg, keep_position=True))
+
+
+def _growth_rows(p: Pipeline):
+    dm = trends.dashboard_monthly_trend(p.orders_valid)
+    nc = trends.new_customers_trend(p.orders_clean)
+    return (insights.growth(dm, "Revenue", "year_month", "revenue")
+            .unionByName(insights.growth(dm, "Order volume", "year_month", "orders"))
+            .unionByName(insights.growth(nc, "New customer acquisition", "year_month", "new_customers")))
+
+
+@query("growth")
+def q_growth(p: Pipeline):
+    return _growth_rows(p)
+
+
+@query("growth_statements")
+def q_growth_statements(p: Pipeline):
+    return insights.growth_statements(_growth_rows(p))
+
+
+@query("insights")
+def q_insights(p: Pipeline):
+    return insights.insights(p.fixed.summary, p.revenue_by_category, p.monthly, p.kpis)
+
+
+# -- KMeans segmentation ------------------------------------------------------
+
+@query("feature_scaling")
+def q_feature_scaling(p: Pipeline):
+    scaled = kmeans.standardize(kmeans.feature_matrix(p.features))
+    return scaled.select("customer_id", *[F.round(c, 6).alias(c) for c in kmeans.CLUSTER_FEATURES])
+
+
+@query("kmeans_sweep")
+def q_kmeans_sweep(p: Pipeline):
+    return p.segmentation.sweep()
+
+
+@query("kmeans_segments")
+def q_kmeans_segments(p: Pipeline):
+    return segments.cluster_sizes(p.kmeans.segmented)
+
+
+@query("kmeans_segment_summary")
+def q_kmeans_segment_summary(p: Pipeline):
+    return p.kmeans.summary
+
+
+@query("summary_payload")
+def q_summary_payload(p: Pipeline):
+    ins = insights.insights(p.kmeans.summary, p.revenue_by_category, p.monthly, p.kpis)
+    return summary.summary_payload(
+        p.kpis, p.revenue_by_category,
+        eda.value_counts(p.orders_clean, "payment_method"),
+        eda.value_counts(p.orders_clean, "weekday"),
+        eda.rfm_stats(features.rfm(p.orders_clean)),
+        p.segmentation.sweep(), p.kmeans.mapping, ins)
+
+
+# -- calendar windows, reconciliation, append + dedup -------------------------
+
+@query("seasonal_tags")
+def q_seasonal_tags(p: Pipeline):
+    return calendar.seasonal_tags(p.orders_clean)
+
+
+@query("demand_index")
+def q_demand_index(p: Pipeline):
+    return calendar.demand_index(p.orders_clean)
+
+
+@query("seasonal_range_join")
+def q_seasonal_range_join(p: Pipeline):
+    dates = p.orders_clean.select(F.to_date("order_date").alias("order_date")).distinct()
+    return calendar.tag_with_windows(dates, "order_date", calendar.windows_frame(p.spark))
+
+
+@query("amount_reconciliation")
+def q_amount_reconciliation(p: Pipeline):
+    return checks.amount_reconciliation(p.orders_dedup)
+
+
+@query("append_dedup")
+def q_append_dedup(p: Pipeline):
+    from basketry.sources.schemas import ORDER_COLUMNS
+    o = p.t.orders
+    return checks.append_dedup(o, o.where(F.col("order_id") % 3 == 0), p.t.order_tiebreak) \
+        .select(*ORDER_COLUMNS)
