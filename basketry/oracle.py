@@ -478,7 +478,8 @@ UNION ALL SELECT * FROM (SELECT 'largest_segment', segment, CAST(customers AS DO
 
 _BOX = []
 for _m in ["recency_days", "frequency", "monetary"]:
-    _BOX.append(f"""SELECT q.segment, '{_m}' AS metric, min(CAST(s.{_m} AS DOUBLE)) AS min, q.q1, q.median, q.q3,
+    _BOX.append(f"""SELECT q.segment, '{_m}' AS metric, min(CAST(s.{_m} AS DOUBLE)) AS min,
+       round(q.q1, 6) AS q1, round(q.median, 6) AS median, round(q.q3, 6) AS q3,
        max(CAST(s.{_m} AS DOUBLE)) AS max,
        min(CAST(s.{_m} AS DOUBLE)) FILTER (WHERE s.{_m} >= q.q1 - 1.5 * (q.q3 - q.q1)) AS lower_whisker,
        max(CAST(s.{_m} AS DOUBLE)) FILTER (WHERE s.{_m} <= q.q3 + 1.5 * (q.q3 - q.q1)) AS upper_whisker

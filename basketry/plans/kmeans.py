@@ -58,19 +58,44 @@ def assemble(scaled: DataFrame) -> DataFrame:
         .transform(scaled).select("customer_id", "features")
 
 
-def _fit(data: DataFrame, k: int, seed: int, max_iter: int, tol: float) -> KMeansModel:
+def center_tolerance(k: int, rel_tol: float = 1e-4, mean_variance: float = 1.0) -> float:
+    """Spark's ``tol`` for the reference's convergence rule.
+
+    The reference stops when the *summed* squared shift of all centres is at
+    most ``rel_tol * mean feature variance``; Spark stops when *every*
+    centre moved at most ``tol`` (a distance).  Requiring each squared shift
+    to be at most ``rel_tol * var / k`` implies the summed rule, so
+    ``tol = sqrt(rel_tol * var / k)``.  Standardised features have variance 1.
+    """
+    return (rel_tol * mean_variance / k) ** 0.5
+
+
+def _fit(data: DataFrame, k: int, seed: int, max_iter: int, tol: float | None) -> KMeansModel:
+    tol = center_tolerance(k) if tol is None else tol
     return KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, initMode="k-means||",
                   featuresCol="features", predictionCol="cluster").fit(data)
 
 
+def fit_best_many(data: DataFrame, ks, n_init: int = 10, seed: int = 42,
+                  max_iter: int = 300, tol: float | None = None, parallel: int = 16) -> dict[int, KMeansModel]:
+    """Per k, the lowest-cost model of ``n_init`` seeded fits (first seed wins
+    ties).  All (k, seed) fits are independent Spark jobs submitted from a
+    thread pool: each fit is a chain of short jobs, so running them side by
+    side keeps the executors busy when the customer table is small, and costs
+    nothing extra when it is large."""
+    tasks = [(k, seed + i) for k in ks for i in range(n_init)]
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(tasks)))) as pool:
+        models = list(pool.map(lambda t: _fit(data, t[0], t[1], max_iter, tol), tasks))
+    best: dict[int, KMeansModel] = {}
+    for (k, _), m in zip(tasks, models):
+        if k not in best or m.summary.trainingCost < best[k].summary.trainingCost:
+            best[k] = m
+    return best
+
+
 def fit_best(data: DataFrame, k: int, n_init: int = 10, seed: int = 42,
-             max_iter: int = 300, tol: float = 1e-4, parallel: int = 4) -> KMeansModel:
-    """Lowest-cost model of ``n_init`` seeded fits (first seed wins ties)."""
-    seeds = [seed + i for i in range(n_init)]
-    with ThreadPoolExecutor(max_workers=max(1, min(parallel, n_init))) as pool:
-        models = list(pool.map(lambda s: _fit(data, k, s, max_iter, tol), seeds))
-    costs = [m.summary.trainingCost for m in models]
-    return models[costs.index(min(costs))]
+             max_iter: int = 300, tol: float | None = None, parallel: int = 16) -> KMeansModel:
+    return fit_best_many(data, [k], n_init, seed, max_iter, tol, parallel)[k]
 
 
 def silhouette(model: KMeansModel, data: DataFrame) -> float:
@@ -80,6 +105,20 @@ def silhouette(model: KMeansModel, data: DataFrame) -> float:
                                distanceMeasure="squaredEuclidean").evaluate(pred)
 
 
+ROWS_PER_PARTITION = 1_000_000   # 7 doubles + id: ~100 MB per task
+
+
+def size_partitions(data: DataFrame) -> DataFrame:
+    """Partition the matrix by its row count: every KMeans iteration is one
+    job over all partitions, so tiny inputs should not be spread over many
+    near-empty tasks, and large ones get ~1M rows per task.  The count of a
+    staged parquet table is answered from file footers."""
+    rows = data.count()
+    n = max(1, -(-rows // ROWS_PER_PARTITION))
+    cur = data.rdd.getNumPartitions()
+    return data.coalesce(n) if n <= cur else data.repartition(n)
+
+
 class Segmentation:
     """Sweep k over ``ks``, keep the models, label the final k."""
 
@@ -94,7 +133,7 @@ class Segmentation:
         data = assemble(standardize(feature_matrix(features)))
         if stage is not None:
             data = stage("kmeans_input", data)
-        self.data = data.persist(StorageLevel.MEMORY_AND_DISK)
+        self.data = size_partitions(data).persist(StorageLevel.MEMORY_AND_DISK)
         self.models: dict[int, KMeansModel] = {}
         self.metrics: dict[int, tuple[float, float]] = {}
 
@@ -105,10 +144,20 @@ class Segmentation:
             self.metrics[k] = (m.summary.trainingCost, silhouette(m, self.data))
         return self.models[k]
 
+    def fit_all(self) -> None:
+        todo = [k for k in dict.fromkeys(self.ks + [self.final_k]) if k not in self.models]
+        if not todo:
+            return
+        fitted = fit_best_many(self.data, todo, self.n_init, self.seed)
+        with ThreadPoolExecutor(max_workers=len(todo)) as pool:
+            sils = list(pool.map(lambda k: silhouette(fitted[k], self.data), todo))
+        for k, sil in zip(todo, sils):
+            self.models[k] = fitted[k]
+            self.metrics[k] = (fitted[k].summary.trainingCost, sil)
+
     def sweep(self) -> DataFrame:
         """Elbow table (k, inertia, silhouette, suggested)."""
-        for k in self.ks:
-            self.model(k)
+        self.fit_all()
         rows = [(k, float(self.metrics[k][0]), float(self.metrics[k][1])) for k in self.ks]
         best = max(rows, key=lambda r: (r[2], -r[0]))[0]
         return self.spark.createDataFrame(

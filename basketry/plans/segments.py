@@ -186,8 +186,12 @@ def segment_box_stats(segmented: DataFrame) -> DataFrame:
             F.min("_x").alias("min"), F.max("_x").alias("max"),
             F.min(F.when(F.col("_x") >= lo_fence, F.col("_x"))).alias("lower_whisker"),
             F.max(F.when(F.col("_x") <= hi_fence, F.col("_x"))).alias("upper_whisker"))
+        # inputs carry <= 4 decimals and quartile fractions are quarters, so
+        # the exact quartiles have <= 6 decimals: rounding to 6 removes the
+        # last-bit noise of the floating interpolation
         r = q.join(agg, "segment").select(
-            "segment", F.lit(m).alias("metric"), "min", "q1", "median", "q3", "max",
+            "segment", F.lit(m).alias("metric"), "min",
+            *[F.round(c, 6).alias(c) for c in ["q1", "median", "q3"]], "max",
             "lower_whisker", "upper_whisker")
         out = r if out is None else out.unionByName(r)
     return out
