@@ -661,3 +661,53 @@ SELECT {ORDER_COLS} FROM (
   SELECT * FROM orders_raw UNION ALL SELECT * FROM orders_raw WHERE order_id % 3 = 0)
 QUALIFY row_number() OVER (PARTITION BY order_id
                            ORDER BY ship_date, product_id, supplier_id, line_price) = 1""")
+
+# ---------------------------------------------------------------------------
+# formatted text
+# ---------------------------------------------------------------------------
+
+
+def _sql_literal(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _growth_text_sql() -> str:
+    """Sentences over the ``growth`` CTE (the numeric growth query)."""
+    from basketry.plans.insights import GROWTH_TEXT
+    pct = "printf('%.1f', change_pct)"
+    st = "format('{:,.0f}', start_value)"
+    en = "format('{:,.0f}', end_value)"
+    return f"""SELECT label, CASE direction
+  WHEN 'stable' THEN printf({_sql_literal(GROWTH_TEXT['stable'])}, label)
+  WHEN 'increased' THEN printf({_sql_literal(GROWTH_TEXT['increased'])}, label, {pct}, {st}, {en})
+  WHEN 'fell' THEN printf({_sql_literal(GROWTH_TEXT['fell'])}, label, {pct}, {st}, {en})
+  ELSE printf({_sql_literal(GROWTH_TEXT['flat'])}, label) END AS text
+FROM growth"""
+
+
+# the growth statement reuses the growth query as a CTE
+_head, _body = SQL["growth"][len("WITH "):].split("\nSELECT '", 1)
+SQL["growth_statements"] = ("WITH " + _head + ",\ngrowth AS (SELECT '" + _body + ")\n"
+                            + _growth_text_sql())
+
+
+def _insights_sql() -> str:
+    from basketry.plans.insights import INSIGHT_TEXT
+    t = [_sql_literal(x) for x in INSIGHT_TEXT]
+    return f"""
+SELECT 1 AS n, printf({t[0]}, segment, CAST(pct_of_customers AS VARCHAR), CAST(pct_of_revenue AS VARCHAR)) AS text
+FROM (SELECT * FROM summary WHERE avg_monetary IS NOT NULL ORDER BY avg_monetary DESC, segment LIMIT 1)
+UNION ALL SELECT 2, printf({t[1]}, printf('%.0f', coalesce(
+    (SELECT first(avg_recency_days) FROM summary WHERE segment = 'At Risk / Inactive Customers'), 0.0)))
+UNION ALL SELECT 3, printf({t[2]}, (SELECT category FROM rbc WHERE revenue IS NOT NULL
+                                    ORDER BY revenue DESC, category LIMIT 1))
+UNION ALL SELECT 4, printf({t[3]}, b.year_month, format('{{:,.0f}}', b.revenue), w.year_month, format('{{:,.0f}}', w.revenue))
+FROM (SELECT * FROM monthly WHERE revenue IS NOT NULL ORDER BY revenue DESC, year_month LIMIT 1) b,
+     (SELECT * FROM monthly WHERE revenue IS NOT NULL ORDER BY revenue ASC, year_month LIMIT 1) w
+UNION ALL SELECT 5, printf({t[4]}, printf('%.1f', (SELECT avg(CAST(is_returned AS DOUBLE)) FROM orders_clean) * 100))
+UNION ALL SELECT 6, {t[5]}
+UNION ALL SELECT 7, printf({t[6]}, '7')"""
+
+
+register("insights", [], _insights_sql(),
+         extra=SUMMARY_DEPS + _DASH + [(PEAK, ["orders_clean", "orders_valid", "weekdays", "seg"])])
