@@ -1,0 +1,3 @@
+from basketry.streaming.trends import MonthlyTrendStream
+
+__all__ = ["MonthlyTrendStream"]
