@@ -4,16 +4,19 @@
 * M2  standardisation with the *population* standard deviation (as the
       reference's scaler; a zero deviation scales by 1), computed by one
       global aggregate and broadcast as a 1-row frame
-* M3  k sweep; Spark's KMeans has no ``n_init``, so each k is fitted from
-      ``n_init`` seeds (concurrent Spark jobs) and the lowest cost wins
-* M4  inertia = ``trainingCost`` (sum of squared distances)
+* M3  k sweep; every k is fitted from ``n_init`` seeds and the lowest cost
+      wins.  By default all (k, seed) runs advance together, one pass over
+      the points per iteration (``operators/multikmeans``); ``engine="ml"``
+      fits each run with ``pyspark.ml`` KMeans instead
+* M4  inertia = sum of squared distances to the final centres
 * M5  silhouette from ``ClusteringEvaluator`` (squared Euclidean, linear
       time).  The reference's all-pairs Euclidean silhouette is quadratic in
       the number of customers and is not reproduced.
 * M6-M8 suggested k, final model, elbow table
 
 The scaled matrix is written once to the checkpoint folder and cached, so the
-iterative fits re-read a short lineage.
+iterative fits re-read a short lineage.  Predictions and silhouettes are JVM
+expressions over the centres (k x 7 terms).
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from basketry.operators.scalar import attach
+from basketry.session import checkpoint_dir
 
 CLUSTER_FEATURES = ["recency_days", "frequency", "monetary", "avg_order_value",
                     "avg_basket_size", "discount_usage_rate", "category_diversity"]
@@ -98,13 +102,6 @@ def fit_best(data: DataFrame, k: int, n_init: int = 10, seed: int = 42,
     return fit_best_many(data, [k], n_init, seed, max_iter, tol, parallel)[k]
 
 
-def silhouette(model: KMeansModel, data: DataFrame) -> float:
-    pred = model.transform(data)
-    return ClusteringEvaluator(featuresCol="features", predictionCol="cluster",
-                               metricName="silhouette",
-                               distanceMeasure="squaredEuclidean").evaluate(pred)
-
-
 ROWS_PER_PARTITION = 1_000_000   # 7 doubles + id: ~100 MB per task
 
 
@@ -119,41 +116,80 @@ def size_partitions(data: DataFrame) -> DataFrame:
     return data.coalesce(n) if n <= cur else data.repartition(n)
 
 
+def predict_expr(centers: list[list[float]], cols=CLUSTER_FEATURES) -> F.Column:
+    """Index of the nearest centre as a JVM expression (k x dims terms, first
+    index on ties): ``least`` over (distance, index) structs."""
+    parts = []
+    for j, c in enumerate(centers):
+        d = None
+        for x, cx in zip(cols, c):
+            t = (F.col(x) - F.lit(float(cx))) * (F.col(x) - F.lit(float(cx)))
+            d = t if d is None else d + t
+        parts.append(F.struct(d.alias("d"), F.lit(j).alias("j")))
+    return (F.least(*parts) if len(parts) > 1 else parts[0])["j"].cast("int")
+
+
 class Segmentation:
-    """Sweep k over ``ks``, keep the models, label the final k."""
+    """Sweep k over ``ks`` (``n_init`` seeds each), keep the best model per k,
+    label the final k.
+
+    ``engine="batched"`` (default) fits all (k, seed) runs together, one pass
+    over the points per Lloyd iteration (``operators/multikmeans``);
+    ``engine="ml"`` fits each run with ``pyspark.ml.clustering.KMeans``
+    (k-means|| init), concurrently."""
 
     def __init__(self, spark: SparkSession, features: DataFrame, ks=range(2, 9), final_k: int = 5,
-                 n_init: int = 10, seed: int = 42, stage=None):
+                 n_init: int = 10, seed: int = 42, stage=None, engine: str = "batched"):
         self.spark = spark
         self.features = features
         self.ks = list(ks)
         self.final_k = final_k
         self.n_init = n_init
         self.seed = seed
-        data = assemble(standardize(feature_matrix(features)))
+        self.engine = engine
+        scaled = standardize(feature_matrix(features))
+        # every iteration re-plans over this input: always cut its lineage,
+        # as a staged parquet table or a reliable checkpoint (shared folder)
         if stage is not None:
-            data = stage("kmeans_input", data)
-        self.data = size_partitions(data).persist(StorageLevel.MEMORY_AND_DISK)
-        self.models: dict[int, KMeansModel] = {}
+            scaled = stage("kmeans_input", scaled)
+        else:
+            checkpoint_dir(spark)
+            scaled = scaled.checkpoint(eager=True)
+        self.scaled = size_partitions(scaled).persist(StorageLevel.MEMORY_AND_DISK)
+        self.centers: dict[int, list[list[float]]] = {}
         self.metrics: dict[int, tuple[float, float]] = {}
 
-    def model(self, k: int) -> KMeansModel:
-        if k not in self.models:
-            m = fit_best(self.data, k, self.n_init, self.seed)
-            self.models[k] = m
-            self.metrics[k] = (m.summary.trainingCost, silhouette(m, self.data))
-        return self.models[k]
+    def _vectors(self) -> DataFrame:
+        return assemble(self.scaled)
 
     def fit_all(self) -> None:
-        todo = [k for k in dict.fromkeys(self.ks + [self.final_k]) if k not in self.models]
+        todo = [k for k in dict.fromkeys(self.ks + [self.final_k]) if k not in self.centers]
         if not todo:
             return
-        fitted = fit_best_many(self.data, todo, self.n_init, self.seed)
+        if self.engine == "ml":
+            data = self._vectors().persist(StorageLevel.MEMORY_AND_DISK)
+            fitted = fit_best_many(data, todo, self.n_init, self.seed)
+            found = {k: ([list(c) for c in m.clusterCenters()], m.summary.trainingCost)
+                     for k, m in fitted.items()}
+        else:
+            from basketry.operators import multikmeans as mk
+            pts = mk.prepare(self.scaled, "customer_id", CLUSTER_FEATURES) \
+                    .persist(StorageLevel.MEMORY_AND_DISK)
+            runs = mk.fit_runs(pts, mk.make_runs(todo, self.n_init, self.seed))
+            found = {k: (r.centers, r.inertia) for k, r in mk.best_per_k(runs).items()}
+            pts.unpersist()
+        def sil(k):
+            pred = VectorAssembler(inputCols=CLUSTER_FEATURES, outputCol="features").transform(
+                self.scaled.withColumn("cluster", predict_expr(found[k][0])))
+            return ClusteringEvaluator(featuresCol="features", predictionCol="cluster",
+                                       metricName="silhouette",
+                                       distanceMeasure="squaredEuclidean").evaluate(pred)
+
         with ThreadPoolExecutor(max_workers=len(todo)) as pool:
-            sils = list(pool.map(lambda k: silhouette(fitted[k], self.data), todo))
-        for k, sil in zip(todo, sils):
-            self.models[k] = fitted[k]
-            self.metrics[k] = (fitted[k].summary.trainingCost, sil)
+            sils = list(pool.map(sil, todo))
+        for k, s_ in zip(todo, sils):
+            self.centers[k] = found[k][0]
+            self.metrics[k] = (found[k][1], s_)
 
     def sweep(self) -> DataFrame:
         """Elbow table (k, inertia, silhouette, suggested)."""
@@ -168,7 +204,8 @@ class Segmentation:
         """Feature table + canonical cluster id: clusters renumbered by mean
         spend (desc), then mean recency, then the model's id, so positional
         labels do not depend on arbitrary model ids."""
-        pred = self.model(self.final_k).transform(self.data).select("customer_id", F.col("cluster").alias("_raw"))
+        self.fit_all()
+        pred = self.scaled.select("customer_id", predict_expr(self.centers[self.final_k]).alias("_raw"))
         joined = self.features.join(pred, "customer_id", "inner")
         order = joined.groupBy("_raw").agg(F.avg("monetary").alias("_m"), F.avg("recency_days").alias("_r"))
         renum = order.select("_raw", (F.row_number().over(

@@ -121,7 +121,9 @@ Pipeline.fixed.__set_name__(Pipeline, "fixed")
 
 
 def _segmentation(self: Pipeline) -> kmeans.Segmentation:
-    return kmeans.Segmentation(self.spark, self.features, n_init=self.n_init, stage=self.stage)
+    return kmeans.Segmentation(self.spark, self.features, n_init=self.n_init,
+                               stage=self.stage if self.materialize else None,
+                               engine=self.kmeans_engine)
 
 
 def _kmeans(self: Pipeline) -> _Segmented:
@@ -147,3 +149,4 @@ for _name, _fn in [("segmentation", _segmentation), ("kmeans", _kmeans), ("month
     _prop.__set_name__(Pipeline, _name)
     setattr(Pipeline, _name, _prop)
 Pipeline.n_init = 10
+Pipeline.kmeans_engine = "batched"

@@ -29,6 +29,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the only JVM
+            builder = builder.config("spark.driver.memory", os.environ.get("BASKETRY_DRIVER_MEMORY", "8g"))
     builder = builder.config("spark.ui.enabled", "false") \
                      .config("spark.ui.showConsoleProgress", "false")
     for k, v in REQUIRED_CONF.items():

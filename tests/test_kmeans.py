@@ -42,7 +42,7 @@ def test_standardize_uses_population_std(spark):
 def test_canonical_renumbering_orders_by_spend(spark):
     from basketry.plans.pipeline import Pipeline
     from basketry.sources.tables import driver_tables
-    p = Pipeline(spark, driver_tables(spark, "/root/testdata/sf0.001"), materialize=False)
+    p = Pipeline(spark, driver_tables(spark, "/root/testdata/sf0.001"))
     p.n_init = 2
     seg = p.segmentation
     clustered = seg.clustered()
@@ -51,3 +51,21 @@ def test_canonical_renumbering_orders_by_spend(spark):
     assert all(a.m >= b.m for a, b in zip(means, means[1:]))
     mapping = segments.label_clusters(segments.cluster_profile(clustered)).collect()
     assert len(mapping) == 5
+
+
+def test_batched_runs_recover_blobs_and_match_single_runs(spark):
+    from basketry.operators import multikmeans as mk
+    df = _blobs(spark)
+    pts = mk.prepare(df, "customer_id", ["a", "b"]).cache()
+    runs = mk.fit_runs(pts, mk.make_runs([3, 5], n_init=3, seed=7))
+    best = mk.best_per_k(runs)
+    pred = df.withColumn("cluster", kmeans.predict_expr(best[5].centers, ["a", "b"]))
+    pairs = pred.groupBy("truth").agg(F.countDistinct("cluster").alias("n")).collect()
+    assert all(r.n == 1 for r in pairs)
+    assert pred.select("cluster").distinct().count() == 5
+    # inertia is the sum of squared distances to the final centres
+    c = best[5].centers
+    rows = df.collect()
+    brute = sum(min((r.a - x) ** 2 + (r.b - y) ** 2 for x, y in c) for r in rows)
+    assert abs(best[5].inertia - brute) < 1e-6 * brute
+    assert best[3].inertia > best[5].inertia
