@@ -15,26 +15,37 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def epoch_seconds(ts) -> Column:
-    """Seconds since epoch of a naive (NTZ) or zoned timestamp, as long."""
-    return F.unix_seconds(_col(ts).cast("timestamp"))
+MICROS_PER_DAY = SECONDS_PER_DAY * 1_000_000
 
 
-def whole_days(later, earlier) -> Column:
-    """Duration ``later - earlier`` floored to whole days (a negative 1.5 days
-    gives -2), matching ``Timedelta.days``.  ``datediff`` would count
-    midnights instead and ``timestampdiff`` truncates toward zero."""
-    secs = epoch_seconds(later) - epoch_seconds(earlier)
-    return F.floor(secs / F.lit(SECONDS_PER_DAY)).cast("bigint")
+def day_number(ts) -> Column:
+    """Calendar day of the (wall-clock) timestamp as days since 1970-01-01.
+    For TIMESTAMP_NTZ this does not depend on the session time zone."""
+    return F.unix_date(F.to_date(_col(ts))).cast("bigint")
 
 
-def day_number(ts) -> Column:
-    """Whole days since 1970-01-01 (floor), for day-level arithmetic."""
-    return F.floor(epoch_seconds(ts) / F.lit(SECONDS_PER_DAY)).cast("bigint")
+def micros_of_day(ts) -> Column:
+    c = _col(ts)
+    secs = F.hour(c) * 3600 + F.minute(c) * 60
+    return (secs.cast("bigint") * 1_000_000
+            + (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("bigint"))
 
 
 def second_of_day(ts) -> Column:
-    return (epoch_seconds(ts) - day_number(ts) * SECONDS_PER_DAY).cast("bigint")
+    """Wall-clock time of day in microseconds (name kept for readability:
+    only its order matters to callers)."""
+    return micros_of_day(ts)
+
+
+def whole_days(later, earlier) -> Column:
+    """Duration ``later - earlier`` floored to whole days (a negative 1.5 days
+    gives -2), matching ``Timedelta.days`` on naive timestamps.  ``datediff``
+    would count midnights instead and ``timestampdiff`` truncates toward
+    zero.  Computed from calendar day numbers and time of day, so the result
+    is the same in every session time zone."""
+    micros = ((day_number(later) - day_number(earlier)) * MICROS_PER_DAY
+              + micros_of_day(later) - micros_of_day(earlier))
+    return F.floor(micros / F.lit(MICROS_PER_DAY)).cast("bigint")
 
 
 def plus_days(ts, n: int) -> Column:
