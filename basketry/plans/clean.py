@@ -18,7 +18,10 @@ REQUIRED_ORDER_FIELDS = ["order_date", "customer_id", "total_amount"]
 def clean_customers(t: Tables) -> DataFrame:
     """Keep first row per customer_id, fill missing age with the median age of
     the deduplicated table, signup date as timestamp."""
-    cust = keep_first(t.customers, "customer_id", t.customer_tiebreak)
+    return clean_from_dedup(keep_first(t.customers, "customer_id", t.customer_tiebreak))
+
+
+def clean_from_dedup(cust: DataFrame) -> DataFrame:
     cust = fill_with_median(cust, "age")
     cust = cust.withColumn("signup_date", F.col("signup_date").cast("timestamp_ntz"))
     return cust.select(*CUSTOMER_COLUMNS)
@@ -59,7 +62,8 @@ def valid_raw_orders(t: Tables) -> DataFrame:
     return o.withColumn("is_returned", is_value("order_status", "Returned"))
 
 
-def cleaning_audit(t: Tables) -> DataFrame:
+def cleaning_audit(t: Tables, orders_dedup: DataFrame | None = None,
+                   customers_dedup: DataFrame | None = None) -> DataFrame:
     """(table, metric, value) rows: loaded rows, duplicates removed, rows
     dropped for a missing required field, cancellations excluded, rows kept.
     Each figure is one aggregate; the orders "duplicates" figure of the
@@ -68,7 +72,7 @@ def cleaning_audit(t: Tables) -> DataFrame:
     cust_dedup = t.customers.agg(F.count_distinct("customer_id").alias("d"),
                                  F.max(F.col("customer_id").isNull().cast("int")).alias("has_null"))
     ord_raw = t.orders.agg(F.count(F.lit(1)).alias("n"))
-    dedup = dedup_orders(t)
+    dedup = dedup_orders(t) if orders_dedup is None else orders_dedup
     dd = dedup.agg(
         F.count(F.lit(1)).alias("d"),
         F.sum(F.when(F.col("order_date").isNull() | F.col("customer_id").isNull()
@@ -78,8 +82,9 @@ def cleaning_audit(t: Tables) -> DataFrame:
                      & is_value("order_status", "Cancelled"), 1).otherwise(0)).alias("cancelled"),
         F.sum(F.when(F.col("delivery_days").isNull(), 1).otherwise(0)).alias("imputed_delivery"),
     )
-    cust_age = keep_first(t.customers, "customer_id", t.customer_tiebreak) \
-        .agg(F.sum(F.when(F.col("age").isNull(), 1).otherwise(0)).alias("imputed_age"))
+    cdedup = keep_first(t.customers, "customer_id", t.customer_tiebreak) \
+        if customers_dedup is None else customers_dedup
+    cust_age = cdedup.agg(F.sum(F.when(F.col("age").isNull(), 1).otherwise(0)).alias("imputed_age"))
 
     c = cust_raw.crossJoin(cust_dedup).crossJoin(cust_age)
     o = ord_raw.crossJoin(dd)

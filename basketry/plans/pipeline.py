@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.plans import clean, eda, features, kmeans, segments, trends
+from basketry.operators.dedup import keep_first
 from basketry.session import checkpoint_dir
+from basketry.sources.schemas import CUSTOMER_COLUMNS
 from basketry.sources.tables import Tables, driver_tables
 
 
@@ -56,9 +58,14 @@ class Pipeline:
     def orders_clean(self) -> DataFrame:
         return self.stage("orders_clean", clean.clean_from_flagged(self.orders_flagged))
 
+    @cached_property
+    def customers_dedup(self) -> DataFrame:
+        return self.stage("customers_dedup", keep_first(
+            self.t.customers, "customer_id", self.t.customer_tiebreak).select(*CUSTOMER_COLUMNS))
+
     @cached_property
     def customers_clean(self) -> DataFrame:
-        return self.stage("customers_clean", clean.clean_customers(self.t))
+        return self.stage("customers_clean", clean.clean_from_dedup(self.customers_dedup))
 
     @cached_property
     def orders_valid(self) -> DataFrame:

@@ -121,7 +121,7 @@ def q_rfm_stats(p: Pipeline):
 
 @query("cleaning_audit")
 def q_cleaning_audit(p: Pipeline):
-    return clean.cleaning_audit(p.t)
+    return clean.cleaning_audit(p.t, p.orders_dedup, p.customers_dedup)
 
 
 @query("load_report")
