@@ -117,36 +117,62 @@ def kmeans_pp_init(points: DataFrame, runs: list[Run], dims: int) -> None:
             runs[i].centers.append(picked.get(i, list(runs[i].centers[-1])))
 
 
-def _partials(points: DataFrame, runs: list[Run], ids: list[int], dims: int) -> DataFrame:
+# Partial-sum rows a pass may hand to the driver directly (partitions x sum(k));
+# above it the partials are folded by a Spark aggregate first.
+DRIVER_FOLD_ROWS = 200_000
+
+
+def _partials(points: DataFrame, runs: list[Run], ids: list[int], dims: int) -> list:
+    """Per (run, cluster): n, coordinate sums x0.., cost.  Each task folds all
+    its Arrow batches into one sum(k)-row table; the tables are summed on the
+    driver when their total size is within ``DRIVER_FOLD_ROWS``, else by an
+    aggregate with a map-side partial step."""
     cents = {i: np.array(runs[i].centers) for i in ids}
     xs = [f"x{d}" for d in range(dims)]
 
     def stats(batches):
+        acc = {i: None for i in ids}
         for pdf in batches:
             if pdf.empty:
                 continue
             X = pdf[xs].to_numpy(dtype=np.float64)
-            frames = []
             for i in ids:
                 C = cents[i]
                 k = C.shape[0]
                 d2 = _sqdist(X, C)
                 lab = d2.argmin(axis=1)
                 dmin = d2[np.arange(len(lab)), lab]
-                n = np.bincount(lab, minlength=k)
-                sums = np.stack([np.bincount(lab, weights=X[:, d], minlength=k) for d in range(dims)], axis=1)
-                cost = np.bincount(lab, weights=dmin, minlength=k)
-                f = pd.DataFrame(sums, columns=xs)
-                f.insert(0, "n", n.astype(np.int64))
-                f.insert(0, "cluster", np.arange(k, dtype=np.int32))
-                f.insert(0, "run", np.int32(i))
-                f["cost"] = cost
-                frames.append(f)
+                part = np.column_stack([
+                    np.bincount(lab, minlength=k).astype(np.float64),
+                    *[np.bincount(lab, weights=X[:, d], minlength=k) for d in range(dims)],
+                    np.bincount(lab, weights=dmin, minlength=k)])
+                acc[i] = part if acc[i] is None else acc[i] + part
+        frames = []
+        for i in ids:
+            if acc[i] is None:
+                continue
+            f = pd.DataFrame(acc[i][:, 1:], columns=[*xs, "cost"])
+            f.insert(0, "n", acc[i][:, 0].astype(np.int64))
+            f.insert(0, "cluster", np.arange(acc[i].shape[0], dtype=np.int32))
+            f.insert(0, "run", np.int32(i))
+            frames.append(f)
+        if frames:
             yield pd.concat(frames, ignore_index=True)
 
     schema = "run int, cluster int, n long, " + ", ".join(f"{x} double" for x in xs) + ", cost double"
-    return (points.mapInPandas(stats, schema).groupBy("run", "cluster")
-                  .agg(F.sum("n").alias("n"), *[F.sum(x).alias(x) for x in xs], F.sum("cost").alias("cost")))
+    parts = points.mapInPandas(stats, schema)
+    rows = points.rdd.getNumPartitions() * sum(len(runs[i].centers) for i in ids)
+    if rows <= DRIVER_FOLD_ROWS:
+        folded: dict = {}
+        for r in parts.collect():
+            key = (r.run, r.cluster)
+            vals = [r.n, *[r[x] for x in xs], r.cost]
+            folded[key] = vals if key not in folded else [a + b for a, b in zip(folded[key], vals)]
+        return [dict(run=k[0], cluster=k[1], n=v[0], cost=v[-1], **dict(zip(xs, v[1:-1])))
+                for k, v in folded.items()]
+    agg = parts.groupBy("run", "cluster").agg(
+        F.sum("n").alias("n"), *[F.sum(x).alias(x) for x in xs], F.sum("cost").alias("cost"))
+    return [r.asDict() for r in agg.collect()]
 
 
 def fit_runs(points: DataFrame, runs: list[Run], max_iter: int = 300, tol: float = 1e-4) -> list[Run]:
@@ -157,7 +183,7 @@ def fit_runs(points: DataFrame, runs: list[Run], max_iter: int = 300, tol: float
     kmeans_pp_init(points, runs, dims)
     active = list(range(len(runs)))
     while active:
-        got = {(r.run, r.cluster): r for r in _partials(points, runs, active, dims).collect()}
+        got = {(r["run"], r["cluster"]): r for r in _partials(points, runs, active, dims)}
         still = []
         for i in active:
             run = runs[i]
@@ -174,10 +200,10 @@ def fit_runs(points: DataFrame, runs: list[Run], max_iter: int = 300, tol: float
             elif run.n_iter < max_iter:
                 still.append(i)
         active = still
-    costs = _partials(points, runs, list(range(len(runs))), dims).groupBy("run") \
-        .agg(F.sum("cost").alias("inertia")).collect()
-    for r in costs:
-        runs[r.run].inertia = float(r.inertia)
+    for r in runs:
+        r.inertia = 0.0
+    for r in _partials(points, runs, list(range(len(runs))), dims):
+        runs[r["run"]].inertia += float(r["cost"])
     return runs
 
 

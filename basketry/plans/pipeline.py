@@ -10,6 +10,7 @@ query.  ``materialize=False`` keeps everything lazy (one plan per result).
 
 from __future__ import annotations
 
+import threading
 import uuid
 from functools import cached_property
 
@@ -41,7 +42,8 @@ class Pipeline:
     def stage(self, name: str, df: DataFrame) -> DataFrame:
         if not self.materialize:
             return df
-        path = self._stage_path(name)
+        # unique per write: concurrent callers never share an output folder
+        path = self._stage_path(f"{name}-{uuid.uuid4().hex[:8]}")
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
@@ -79,16 +81,18 @@ class Pipeline:
 
 
 _RUNS: dict[tuple[str, str], Pipeline] = {}
+_RUNS_LOCK = threading.Lock()
 
 
 def pipeline_for(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Pipeline:
     """One pipeline per (application, data folder): queries registered by name
     share its intermediates within a session."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), materialize)
-    p = _RUNS.get(key)
-    if p is None:
-        p = Pipeline(spark, driver_tables(spark, sf_dir), materialize=materialize)
-        _RUNS[key] = p
+    with _RUNS_LOCK:
+        p = _RUNS.get(key)
+        if p is None:
+            p = Pipeline(spark, driver_tables(spark, sf_dir), materialize=materialize)
+            _RUNS[key] = p
     return p
 
 
