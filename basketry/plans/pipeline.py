@@ -15,7 +15,6 @@ import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from basketry.plans import clean, eda, features, kmeans, segments, trends
 from basketry.operators.dedup import keep_first

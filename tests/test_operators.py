@@ -5,7 +5,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from basketry.operators.quantile import exact_quantiles, fill_with_median
 from basketry.plans import calendar

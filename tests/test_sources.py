@@ -6,7 +6,6 @@ import tempfile
 from pyspark.sql import functions as F
 
 from basketry.plans import clean, trends
-from basketry.plans.summary import summary_payload  # noqa: F401  (import check)
 from basketry.sources import files
 from basketry.sources.tables import driver_tables, read_csv_tables
 
