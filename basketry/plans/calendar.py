@@ -80,19 +80,24 @@ def demand_index(orders_clean: DataFrame) -> DataFrame:
                       (F.col("revenue") / F.col("demand_index")).alias("revenue_per_index"))
 
 
-def tag_with_windows(dates: DataFrame, date_col: str, windows: DataFrame) -> DataFrame:
-    """Range join against a window table (start_md, end_md, boost, name).
-
-    Each window is exploded into the months it covers, giving an equi-join key
-    (month) so the join is a hash/sort-merge join instead of a nested loop;
-    the inclusive between-test then runs on the matched pairs only.  A date
-    matches at most #windows-per-month rows; the max boost per date wins."""
+def tag_with_windows(df: DataFrame, date_col: str, windows: DataFrame) -> DataFrame:
+    """Range join against a window table (start_md, end_md, boost, name):
+    ``df`` plus the largest matching boost (1.0 when none) as ``multiplier``.
+
+    Only the distinct calendar days of ``df`` take part in the range join,
+    with each window exploded into the months it covers, so the month is an
+    equi-join key and the inclusive between-test runs on matched pairs only.
+    The tagged day table is bounded by the number of calendar days in the
+    data (not by its rows), so it is broadcast back to the rows: a day that
+    holds a third of all orders is never shuffled into one task."""
     months = F.sequence((F.col("start_md") / 100).cast("int"), (F.col("end_md") / 100).cast("int"))
-    w = windows.select("*", F.explode(months).alias("_month"))
-    d = dates.withColumn("_md", month_day(date_col)).withColumn("_month", F.month(date_col))
-    j = d.join(w, (d["_month"] == w["_month"]) & d["_md"].between(w["start_md"], w["end_md"]), "left")
-    keep = [c for c in dates.columns]
-    return j.groupBy(*keep).agg(F.coalesce(F.max("boost"), F.lit(1.0)).alias("multiplier"))
+    w = windows.select("start_md", "end_md", "boost", F.explode(months).alias("_month"))
+    days = df.select(F.to_date(date_col).alias("_day")).distinct() \
+             .withColumn("_md", month_day("_day")).withColumn("_month", F.month("_day"))
+    tagged = (days.join(w, (days["_month"] == w["_month"]) & days["_md"].between(w["start_md"], w["end_md"]), "left")
+                  .groupBy("_day").agg(F.coalesce(F.max("boost"), F.lit(1.0)).alias("multiplier")))
+    return (df.join(F.broadcast(tagged), F.to_date(df[date_col]) == tagged["_day"], "left")
+              .drop("_day"))
 
 
 def windows_frame(spark, windows=SEASONAL_WINDOWS) -> DataFrame:
