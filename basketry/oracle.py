@@ -152,7 +152,11 @@ def register(name: str, needs: list[str], body: str, extra=None) -> None:
 # queries
 # ---------------------------------------------------------------------------
 
-register("clean_orders", ["orders_clean"], "SELECT * FROM orders_clean")
+register("clean_orders", ["orders_clean"], """
+SELECT * REPLACE (CAST(gross_amount AS DOUBLE) AS gross_amount,
+                  CAST(discount_amount AS DOUBLE) AS discount_amount,
+                  CAST(total_amount AS DOUBLE) AS total_amount)
+FROM orders_clean""")
 register("clean_customers", ["customers_clean"], "SELECT * FROM customers_clean")
 register("monthly_trend", ["orders_clean"], """
 SELECT year_month,
@@ -622,9 +626,9 @@ WINDOWS = """win AS (
                         (1001, 1031, 1.8, 'Diwali / festive season'), (1120, 1130, 1.6, 'Black Friday'),
                         (1215, 1231, 1.5, 'Christmas / year-end sale')) t(s, e, boost, name))"""
 DAILY = f"""daily AS (
-  SELECT CAST(order_date AS DATE) AS order_date, count(*) AS orders, {MONEY_SUM} AS revenue,
-         month(CAST(order_date AS DATE)) * 100 + day(CAST(order_date AS DATE)) AS md
-  FROM orders_clean GROUP BY 1),
+  SELECT CAST(d AS TIMESTAMP) AS order_date, count(*) AS orders, {MONEY_SUM} AS revenue,
+         month(d) * 100 + day(d) AS md
+  FROM (SELECT *, CAST(order_date AS DATE) AS d FROM orders_clean) GROUP BY d),
 tags AS (
   SELECT d.order_date, d.orders, d.revenue,
          (SELECT name FROM win WHERE d.md BETWEEN s AND e ORDER BY boost DESC LIMIT 1) AS season,
@@ -657,10 +661,13 @@ FROM (SELECT *, round(CAST(unit_price AS DECIMAL(20,6)) * quantity, 2) AS eg,
       FROM orders_dedup)""")
 
 register("append_dedup", ["orders_raw"], f"""
+SELECT * REPLACE (CAST(gross_amount AS DOUBLE) AS gross_amount,
+                  CAST(discount_amount AS DOUBLE) AS discount_amount,
+                  CAST(total_amount AS DOUBLE) AS total_amount) FROM (
 SELECT {ORDER_COLS} FROM (
   SELECT * FROM orders_raw UNION ALL SELECT * FROM orders_raw WHERE order_id % 3 = 0)
 QUALIFY row_number() OVER (PARTITION BY order_id
-                           ORDER BY ship_date, product_id, supplier_id, line_price) = 1""")
+                           ORDER BY ship_date, product_id, supplier_id, line_price) = 1)""")
 
 # ---------------------------------------------------------------------------
 # formatted text

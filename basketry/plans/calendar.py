@@ -57,7 +57,7 @@ def seasonal_name(ts, windows=SEASONAL_WINDOWS) -> Column:
 
 def seasonal_tags(orders_clean: DataFrame) -> DataFrame:
     """Per order date: orders, revenue, window name and multiplier."""
-    daily = orders_clean.groupBy(F.to_date("order_date").alias("order_date")).agg(
+    daily = orders_clean.groupBy(F.to_date("order_date").cast("timestamp_ntz").alias("order_date")).agg(
         F.count(F.lit(1)).alias("orders"),
         F.coalesce(F.sum("total_amount"), F.lit(0)).cast("double").alias("revenue"))
     return daily.select("order_date", "orders", "revenue",

@@ -13,9 +13,17 @@ from basketry.plans.pipeline import Pipeline
 from basketry.registry import query
 
 
+def decimals_as_double(df):
+    """Result view for exchange: decimal money columns as doubles (exact
+    decimal values, correctly rounded), so every consumer reads plain floats.
+    The staged tables keep decimals for exact sums."""
+    return df.select(*[F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c)
+                       for c, t in df.dtypes])
+
+
 @query("clean_orders")
 def q_clean_orders(p: Pipeline):
-    return p.orders_clean
+    return decimals_as_double(p.orders_clean)
 
 
 @query("clean_customers")
@@ -300,7 +308,7 @@ def q_demand_index(p: Pipeline):
 
 @query("seasonal_range_join")
 def q_seasonal_range_join(p: Pipeline):
-    dates = p.orders_clean.select(F.to_date("order_date").alias("order_date")).distinct()
+    dates = p.orders_clean.select(F.to_date("order_date").cast("timestamp_ntz").alias("order_date")).distinct()
     return calendar.tag_with_windows(dates, "order_date", calendar.windows_frame(p.spark))
 
 
@@ -313,5 +321,5 @@ def q_amount_reconciliation(p: Pipeline):
 def q_append_dedup(p: Pipeline):
     from basketry.sources.schemas import ORDER_COLUMNS
     o = p.t.orders
-    return checks.append_dedup(o, o.where(F.col("order_id") % 3 == 0), p.t.order_tiebreak) \
-        .select(*ORDER_COLUMNS)
+    return decimals_as_double(checks.append_dedup(
+        o, o.where(F.col("order_id") % 3 == 0), p.t.order_tiebreak).select(*ORDER_COLUMNS))
