@@ -109,7 +109,9 @@ class _Segmented:
 
     @cached_property
     def mapping(self) -> DataFrame:
-        return self.pipe.stage(f"{self.name}_mapping", segments.label_clusters(self.profile))
+        # k rows from an aggregate of the (staged) feature table: cheap to
+        # recompute, evaluated once inside the staging of ``segmented``
+        return segments.label_clusters(self.profile)
 
     @cached_property
     def segmented(self) -> DataFrame:
@@ -118,7 +120,8 @@ class _Segmented:
 
     @cached_property
     def summary(self) -> DataFrame:
-        return self.pipe.stage(f"{self.name}_summary", segments.segment_summary(self.segmented))
+        # one row per segment, aggregated from the staged segmented table
+        return segments.segment_summary(self.segmented)
 
 
 def _fixed(self: Pipeline) -> _Segmented:
