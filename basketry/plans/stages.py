@@ -1,4 +1,4 @@
-"""A pipeline run: the shared intermediate tables, each built once.
+"""One analytics run: the shared intermediate tables, each built once.
 
 Cleaned orders feed ~20 results and the customer feature table ~15 more, so
 they are materialised once as parquet in the cluster's shared checkpoint
@@ -16,14 +16,46 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.plans import clean, eda, features, kmeans, segments, trends
 from basketry.operators.dedup import keep_first
+from basketry.plans import clean, eda, features, kmeans, segments, trends
 from basketry.session import checkpoint_dir
 from basketry.sources.schemas import CUSTOMER_COLUMNS
 from basketry.sources.tables import Tables, driver_tables
 
 
-class Pipeline:
+class Segmented:
+    """Segment results for one cluster assignment of the feature table."""
+
+    def __init__(self, run: "AnalyticsRun", clustered: DataFrame, name: str):
+        self.run = run
+        self.clustered = clustered
+        self.name = name
+
+    @cached_property
+    def profile(self) -> DataFrame:
+        return segments.cluster_profile(self.clustered)
+
+    @cached_property
+    def mapping(self) -> DataFrame:
+        # k rows from an aggregate of the (staged) feature table: cheap to
+        # recompute, evaluated once inside the staging of ``segmented``
+        return segments.label_clusters(self.profile)
+
+    @cached_property
+    def segmented(self) -> DataFrame:
+        return self.run.stage(f"{self.name}_segmented",
+                              segments.assign_segments(self.clustered, self.mapping))
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        # one row per segment, aggregated from the staged segmented table
+        return segments.segment_summary(self.segmented)
+
+
+class AnalyticsRun:
+    n_init = 10
+    kmeans_engine = "batched"
+
     def __init__(self, spark: SparkSession, tables: Tables, materialize: bool = True,
                  run_id: str | None = None):
         self.spark = spark
@@ -46,7 +78,7 @@ class Pipeline:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
-    # -- shared intermediates ---------------------------------------------
+    # -- cleaned tables ---------------------------------------------------
     @cached_property
     def orders_dedup(self) -> DataFrame:
         return self.stage("orders_dedup", clean.dedup_orders(self.t))
@@ -73,93 +105,53 @@ class Pipeline:
         """Dashboard view: raw rows (no dedup), cancellations removed."""
         return clean.valid_raw_orders(self.t)
 
+    # -- features and summaries ---------------------------------------------
     @cached_property
     def features(self) -> DataFrame:
         return self.stage("customer_features", features.customer_features(
             self.orders_clean, self.t.sessions, self.customers_clean))
 
-
-_RUNS: dict[tuple[str, str], Pipeline] = {}
-_RUNS_LOCK = threading.Lock()
-
-
-def pipeline_for(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Pipeline:
-    """One pipeline per (application, data folder): queries registered by name
-    share its intermediates within a session."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), materialize)
-    with _RUNS_LOCK:
-        p = _RUNS.get(key)
-        if p is None:
-            p = Pipeline(spark, driver_tables(spark, sf_dir), materialize=materialize)
-            _RUNS[key] = p
-    return p
-
-
-class _Segmented:
-    """Segment results for one cluster assignment of the feature table."""
-
-    def __init__(self, pipe: "Pipeline", clustered: DataFrame, name: str):
-        self.pipe = pipe
-        self.clustered = clustered
-        self.name = name
-
     @cached_property
-    def profile(self) -> DataFrame:
-        return segments.cluster_profile(self.clustered)
+    def monthly(self) -> DataFrame:
+        return trends.monthly_trend(self.orders_clean)
 
     @cached_property
-    def mapping(self) -> DataFrame:
-        # k rows from an aggregate of the (staged) feature table: cheap to
-        # recompute, evaluated once inside the staging of ``segmented``
-        return segments.label_clusters(self.profile)
+    def kpis(self) -> DataFrame:
+        return eda.kpis(self.orders_clean)
 
     @cached_property
-    def segmented(self) -> DataFrame:
-        return self.pipe.stage(f"{self.name}_segmented",
-                               segments.assign_segments(self.clustered, self.mapping))
+    def revenue_by_category(self) -> DataFrame:
+        return eda.revenue_by_category(self.orders_clean)
 
+    # -- segments -------------------------------------------------------------
     @cached_property
-    def summary(self) -> DataFrame:
-        # one row per segment, aggregated from the staged segmented table
-        return segments.segment_summary(self.segmented)
-
-
-def _fixed(self: Pipeline) -> _Segmented:
-    """Segments from the deterministic fixture cluster column (customer_id % 5)."""
-    return _Segmented(self, segments.fixed_clusters(self.features, 5), "fixed")
-
-
-Pipeline.fixed = cached_property(_fixed)
-Pipeline.fixed.__set_name__(Pipeline, "fixed")
-
-
-def _segmentation(self: Pipeline) -> kmeans.Segmentation:
-    return kmeans.Segmentation(self.spark, self.features, n_init=self.n_init,
-                               stage=self.stage if self.materialize else None,
-                               engine=self.kmeans_engine)
-
-
-def _kmeans(self: Pipeline) -> _Segmented:
-    """Segments from the final KMeans model (canonical cluster numbering)."""
-    return _Segmented(self, self.segmentation.clustered(), "kmeans")
-
-
-def _monthly(self: Pipeline) -> DataFrame:
-    return trends.monthly_trend(self.orders_clean)
+    def fixed(self) -> Segmented:
+        """Segments from the deterministic fixture cluster column (customer_id % 5)."""
+        return Segmented(self, segments.fixed_clusters(self.features, 5), "fixed")
 
+    @cached_property
+    def segmentation(self) -> kmeans.Segmentation:
+        return kmeans.Segmentation(self.spark, self.features, n_init=self.n_init,
+                                   stage=self.stage if self.materialize else None,
+                                   engine=self.kmeans_engine)
 
-def _kpis(self: Pipeline) -> DataFrame:
-    return eda.kpis(self.orders_clean)
+    @cached_property
+    def kmeans(self) -> Segmented:
+        """Segments from the final KMeans model (canonical cluster numbering)."""
+        return Segmented(self, self.segmentation.clustered(), "kmeans")
 
 
-def _revenue_by_category(self: Pipeline) -> DataFrame:
-    return eda.revenue_by_category(self.orders_clean)
+_RUNS: dict[tuple, AnalyticsRun] = {}
+_RUNS_LOCK = threading.Lock()
 
 
-for _name, _fn in [("segmentation", _segmentation), ("kmeans", _kmeans), ("monthly", _monthly),
-                   ("kpis", _kpis), ("revenue_by_category", _revenue_by_category)]:
-    _prop = cached_property(_fn)
-    _prop.__set_name__(Pipeline, _name)
-    setattr(Pipeline, _name, _prop)
-Pipeline.n_init = 10
-Pipeline.kmeans_engine = "batched"
+def run_for(spark: SparkSession, sf_dir: str, materialize: bool = True) -> AnalyticsRun:
+    """One run per (application, data folder): queries registered by name
+    share its intermediates within a session."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), materialize)
+    with _RUNS_LOCK:
+        run = _RUNS.get(key)
+        if run is None:
+            run = AnalyticsRun(spark, driver_tables(spark, sf_dir), materialize=materialize)
+            _RUNS[key] = run
+    return run

@@ -1,6 +1,6 @@
 """Query definitions (Spark side) registered by name.
 
-Each function receives the shared ``Pipeline`` of its (session, data folder),
+Each function receives the shared ``AnalyticsRun`` of its (session, data folder),
 so cleaned orders and the feature table are built once per session.
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from basketry.plans import calendar, checks, clean, eda, features, insights, kmeans, segments, summary, trends
-from basketry.plans.pipeline import Pipeline
+from basketry.plans.stages import AnalyticsRun
 from basketry.registry import query
 
 
@@ -22,123 +22,123 @@ def decimals_as_double(df):
 
 
 @query("clean_orders")
-def q_clean_orders(p: Pipeline):
+def q_clean_orders(p: AnalyticsRun):
     return decimals_as_double(p.orders_clean)
 
 
 @query("clean_customers")
-def q_clean_customers(p: Pipeline):
+def q_clean_customers(p: AnalyticsRun):
     return p.customers_clean
 
 
 @query("monthly_trend")
-def q_monthly_trend(p: Pipeline):
+def q_monthly_trend(p: AnalyticsRun):
     return trends.monthly_trend(p.orders_clean)
 
 
 @query("rfm")
-def q_rfm(p: Pipeline):
+def q_rfm(p: AnalyticsRun):
     return features.rfm(p.orders_clean)
 
 
 @query("behavior")
-def q_behavior(p: Pipeline):
+def q_behavior(p: AnalyticsRun):
     return features.behavior(p.orders_clean)
 
 
 @query("purchase_intervals")
-def q_purchase_intervals(p: Pipeline):
+def q_purchase_intervals(p: AnalyticsRun):
     return features.purchase_intervals(p.orders_clean)
 
 
 @query("web_features")
-def q_web_features(p: Pipeline):
+def q_web_features(p: AnalyticsRun):
     return features.web_features(p.t.sessions)
 
 
 @query("customer_features")
-def q_customer_features(p: Pipeline):
+def q_customer_features(p: AnalyticsRun):
     return p.features
 
 
 @query("weekday_trend")
-def q_weekday_trend(p: Pipeline):
+def q_weekday_trend(p: AnalyticsRun):
     return trends.weekday_trend(p.orders_clean)
 
 
 @query("category_monthly_trend")
-def q_category_monthly_trend(p: Pipeline):
+def q_category_monthly_trend(p: AnalyticsRun):
     return trends.category_monthly_trend(p.orders_clean)
 
 
 @query("new_customers_trend")
-def q_new_customers_trend(p: Pipeline):
+def q_new_customers_trend(p: AnalyticsRun):
     return trends.new_customers_trend(p.orders_clean)
 
 
 @query("quarterly_trend")
-def q_quarterly_trend(p: Pipeline):
+def q_quarterly_trend(p: AnalyticsRun):
     return trends.quarterly_trend(p.orders_clean)
 
 
 @query("dashboard_monthly_trend")
-def q_dashboard_monthly_trend(p: Pipeline):
+def q_dashboard_monthly_trend(p: AnalyticsRun):
     return trends.dashboard_monthly_trend(p.orders_valid)
 
 
 @query("dashboard_weekday_revenue")
-def q_dashboard_weekday_revenue(p: Pipeline):
+def q_dashboard_weekday_revenue(p: AnalyticsRun):
     return trends.dashboard_weekday_revenue(p.orders_valid)
 
 
 @query("time_features")
-def q_time_features(p: Pipeline):
+def q_time_features(p: AnalyticsRun):
     return p.orders_clean.select("order_id", "order_date", "year", "month", "month_name",
                                  "year_month", "week", "weekday", "quarter")
 
 
 @query("eda_kpis")
-def q_eda_kpis(p: Pipeline):
+def q_eda_kpis(p: AnalyticsRun):
     return eda.kpis(p.orders_clean)
 
 
 @query("eda_kpis_raw")
-def q_eda_kpis_raw(p: Pipeline):
+def q_eda_kpis_raw(p: AnalyticsRun):
     return eda.kpis_raw(p.orders_valid)
 
 
 @query("revenue_by_category")
-def q_revenue_by_category(p: Pipeline):
+def q_revenue_by_category(p: AnalyticsRun):
     return eda.revenue_by_category(p.orders_clean)
 
 
 @query("orders_by_payment")
-def q_orders_by_payment(p: Pipeline):
+def q_orders_by_payment(p: AnalyticsRun):
     return eda.value_counts(p.orders_clean, "payment_method")
 
 
 @query("orders_by_weekday")
-def q_orders_by_weekday(p: Pipeline):
+def q_orders_by_weekday(p: AnalyticsRun):
     return eda.value_counts(p.orders_clean, "weekday")
 
 
 @query("rfm_stats")
-def q_rfm_stats(p: Pipeline):
+def q_rfm_stats(p: AnalyticsRun):
     return eda.rfm_stats(features.rfm(p.orders_clean))
 
 
 @query("cleaning_audit")
-def q_cleaning_audit(p: Pipeline):
+def q_cleaning_audit(p: AnalyticsRun):
     return clean.cleaning_audit(p.t, p.orders_dedup, p.customers_dedup)
 
 
 @query("load_report")
-def q_load_report(p: Pipeline):
+def q_load_report(p: AnalyticsRun):
     return clean.load_report(p.t)
 
 
 @query("null_status_filter")
-def q_null_status_filter(p: Pipeline):
+def q_null_status_filter(p: AnalyticsRun):
     """Status made missing for every 7th order id: such rows are neither
     cancelled nor returned and stay in the revenue-facing table."""
     o = p.orders_dedup.withColumn(
@@ -150,84 +150,84 @@ def q_null_status_filter(p: Pipeline):
 # -- segments on the fixed cluster column (SQL-checkable) --------------------
 
 @query("cluster_profile")
-def q_cluster_profile(p: Pipeline):
+def q_cluster_profile(p: AnalyticsRun):
     return p.fixed.profile
 
 
 @query("label_clusters")
-def q_label_clusters(p: Pipeline):
+def q_label_clusters(p: AnalyticsRun):
     return segments.cluster_sizes(p.fixed.segmented)
 
 
 @query("segmented_features")
-def q_segmented_features(p: Pipeline):
+def q_segmented_features(p: AnalyticsRun):
     return p.fixed.segmented
 
 
 @query("segment_summary")
-def q_segment_summary(p: Pipeline):
+def q_segment_summary(p: AnalyticsRun):
     return p.fixed.summary
 
 
 @query("segment_sizes")
-def q_segment_sizes(p: Pipeline):
+def q_segment_sizes(p: AnalyticsRun):
     return segments.segment_sizes(p.fixed.segmented)
 
 
 @query("segment_leaders")
-def q_segment_leaders(p: Pipeline):
+def q_segment_leaders(p: AnalyticsRun):
     return segments.segment_leaders(p.fixed.segmented, p.fixed.summary)
 
 
 @query("segment_box_stats")
-def q_segment_box_stats(p: Pipeline):
+def q_segment_box_stats(p: AnalyticsRun):
     return segments.segment_box_stats(p.fixed.segmented)
 
 
 @query("segment_pref_category")
-def q_segment_pref_category(p: Pipeline):
+def q_segment_pref_category(p: AnalyticsRun):
     return segments.segment_pref_category(p.fixed.segmented)
 
 
 @query("segment_profile")
-def q_segment_profile(p: Pipeline):
+def q_segment_profile(p: AnalyticsRun):
     return segments.segment_profile(p.fixed.summary)
 
 
 @query("segment_radar")
-def q_segment_radar(p: Pipeline):
+def q_segment_radar(p: AnalyticsRun):
     return segments.segment_radar(p.fixed.summary)
 
 
 @query("share_vs_customers")
-def q_share_vs_customers(p: Pipeline):
+def q_share_vs_customers(p: AnalyticsRun):
     return segments.share_vs_customers(p.fixed.summary)
 
 
 @query("recency_spend_points")
-def q_recency_spend_points(p: Pipeline):
+def q_recency_spend_points(p: AnalyticsRun):
     return segments.recency_spend_points(p.fixed.segmented)
 
 
 @query("weekday_pattern")
-def q_weekday_pattern(p: Pipeline):
+def q_weekday_pattern(p: AnalyticsRun):
     return segments.weekday_pattern(p.orders_valid, p.fixed.segmented)
 
 
 @query("customer_explorer")
-def q_customer_explorer(p: Pipeline):
+def q_customer_explorer(p: AnalyticsRun):
     return segments.customer_explorer(p.fixed.segmented)
 
 
 @query("domain_values")
-def q_domain_values(p: Pipeline):
+def q_domain_values(p: AnalyticsRun):
     return segments.domain_values(p.orders_valid, p.fixed.segmented)
 
 
 # -- facts, growth, insights ------------------------------------------------
 
 @query("peak_facts")
-def q_peak_facts(p: Pipeline):
+def q_peak_facts(p: AnalyticsRun):
     seg = p.fixed.segmented
     return insights.peak_facts(
         p.monthly, p.revenue_by_category, trends.quarterly_trend(p.orders_clean),
@@ -237,7 +237,7 @@ def q_peak_facts(p: Pipeline):
         segments.weekday_pattern(p.orders_valid, seg, keep_position=True))
 
 
-def _growth_rows(p: Pipeline):
+def _growth_rows(p: AnalyticsRun):
     dm = trends.dashboard_monthly_trend(p.orders_valid)
     nc = trends.new_customers_trend(p.orders_clean)
     return (insights.growth(dm, "Revenue", "year_month", "revenue")
@@ -246,45 +246,45 @@ def _growth_rows(p: Pipeline):
 
 
 @query("growth")
-def q_growth(p: Pipeline):
+def q_growth(p: AnalyticsRun):
     return _growth_rows(p)
 
 
 @query("growth_statements")
-def q_growth_statements(p: Pipeline):
+def q_growth_statements(p: AnalyticsRun):
     return insights.growth_statements(_growth_rows(p))
 
 
 @query("insights")
-def q_insights(p: Pipeline):
+def q_insights(p: AnalyticsRun):
     return insights.insights(p.fixed.summary, p.revenue_by_category, p.monthly, p.kpis)
 
 
 # -- KMeans segmentation ------------------------------------------------------
 
 @query("feature_scaling")
-def q_feature_scaling(p: Pipeline):
+def q_feature_scaling(p: AnalyticsRun):
     scaled = kmeans.standardize(kmeans.feature_matrix(p.features))
     return scaled.select("customer_id", *[F.round(c, 6).alias(c) for c in kmeans.CLUSTER_FEATURES])
 
 
 @query("kmeans_sweep")
-def q_kmeans_sweep(p: Pipeline):
+def q_kmeans_sweep(p: AnalyticsRun):
     return p.segmentation.sweep()
 
 
 @query("kmeans_segments")
-def q_kmeans_segments(p: Pipeline):
+def q_kmeans_segments(p: AnalyticsRun):
     return segments.cluster_sizes(p.kmeans.segmented)
 
 
 @query("kmeans_segment_summary")
-def q_kmeans_segment_summary(p: Pipeline):
+def q_kmeans_segment_summary(p: AnalyticsRun):
     return p.kmeans.summary
 
 
 @query("summary_payload")
-def q_summary_payload(p: Pipeline):
+def q_summary_payload(p: AnalyticsRun):
     ins = insights.insights(p.kmeans.summary, p.revenue_by_category, p.monthly, p.kpis)
     return summary.summary_payload(
         p.kpis, p.revenue_by_category,
@@ -297,28 +297,28 @@ def q_summary_payload(p: Pipeline):
 # -- calendar windows, reconciliation, append + dedup -------------------------
 
 @query("seasonal_tags")
-def q_seasonal_tags(p: Pipeline):
+def q_seasonal_tags(p: AnalyticsRun):
     return calendar.seasonal_tags(p.orders_clean)
 
 
 @query("demand_index")
-def q_demand_index(p: Pipeline):
+def q_demand_index(p: AnalyticsRun):
     return calendar.demand_index(p.orders_clean)
 
 
 @query("seasonal_range_join")
-def q_seasonal_range_join(p: Pipeline):
+def q_seasonal_range_join(p: AnalyticsRun):
     dates = p.orders_clean.select(F.to_date("order_date").cast("timestamp_ntz").alias("order_date")).distinct()
     return calendar.tag_with_windows(dates, "order_date", calendar.windows_frame(p.spark))
 
 
 @query("amount_reconciliation")
-def q_amount_reconciliation(p: Pipeline):
+def q_amount_reconciliation(p: AnalyticsRun):
     return checks.amount_reconciliation(p.orders_dedup)
 
 
 @query("append_dedup")
-def q_append_dedup(p: Pipeline):
+def q_append_dedup(p: AnalyticsRun):
     from basketry.sources.schemas import ORDER_COLUMNS
     o = p.t.orders
     return decimals_as_double(checks.append_dedup(

@@ -1,7 +1,7 @@
 """Named queries: ``name -> callable(spark, sf_dir) -> DataFrame``.
 
 Every query reads the driver test tables of ``sf_dir`` (through the shared
-``Pipeline`` of that folder); the matching DuckDB statement lives in
+``AnalyticsRun`` of that folder); the matching DuckDB statement lives in
 ``basketry.oracle``.
 """
 
@@ -18,8 +18,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 def query(name: str):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            from basketry.plans.pipeline import pipeline_for
-            return fn(pipeline_for(spark, sf_dir))
+            from basketry.plans.stages import run_for
+            return fn(run_for(spark, sf_dir))
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run

@@ -17,12 +17,12 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from basketry.plans import eda, features as feat, insights, segments, summary, trends
-from basketry.plans.pipeline import Pipeline
+from basketry.plans.stages import AnalyticsRun
 from basketry.sources import files
 from basketry.sources.tables import driver_tables, read_csv_tables
 
 
-def results(p: Pipeline) -> dict[str, DataFrame]:
+def results(p: AnalyticsRun) -> dict[str, DataFrame]:
     seg = p.kmeans
     oc = p.orders_clean
     ins = insights.insights(seg.summary, p.revenue_by_category, p.monthly, p.kpis)
@@ -44,7 +44,7 @@ def results(p: Pipeline) -> dict[str, DataFrame]:
     }
 
 
-def dashboard(p: Pipeline) -> dict[str, DataFrame]:
+def dashboard(p: AnalyticsRun) -> dict[str, DataFrame]:
     seg = p.kmeans
     ov = p.orders_valid
     dm = trends.dashboard_monthly_trend(ov)
@@ -87,7 +87,7 @@ def main(argv=None) -> None:
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
     tables = read_csv_tables(spark, a.csv) if a.csv else driver_tables(spark, a.parquet)
-    p = Pipeline(spark, tables)
+    p = AnalyticsRun(spark, tables)
     p.n_init = a.n_init
     out = results(p)
     if a.dashboard:

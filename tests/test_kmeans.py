@@ -40,9 +40,9 @@ def test_standardize_uses_population_std(spark):
 
 
 def test_canonical_renumbering_orders_by_spend(spark):
-    from basketry.plans.pipeline import Pipeline
+    from basketry.plans.stages import AnalyticsRun
     from basketry.sources.tables import driver_tables
-    p = Pipeline(spark, driver_tables(spark, "/root/testdata/sf0.001"))
+    p = AnalyticsRun(spark, driver_tables(spark, "/root/testdata/sf0.001"))
     p.n_init = 2
     seg = p.segmentation
     clustered = seg.clustered()

@@ -2,7 +2,7 @@
 no cartesian products of growing tables."""
 
 from basketry.plans import clean, features, trends
-from basketry.plans.pipeline import pipeline_for
+from basketry.plans.stages import run_for
 from basketry.sources.tables import driver_tables
 
 SF = "/root/testdata/sf0.001"
@@ -13,7 +13,7 @@ def plan(df) -> str:
 
 
 def test_monthly_trend_reads_only_needed_columns_and_has_no_expand(spark):
-    p = pipeline_for(spark, SF)
+    p = run_for(spark, SF)
     text = plan(trends.monthly_trend(p.orders_clean))
     assert "Expand" not in text
     read = [line for line in text.splitlines() if "ReadSchema" in line or "FileScan" in line]
@@ -36,7 +36,7 @@ def test_dedup_aggregates_map_side_before_the_shuffle(spark):
 
 
 def test_feature_table_has_no_cartesian_product_of_growing_tables(spark):
-    p = pipeline_for(spark, SF)
+    p = run_for(spark, SF)
     df = features.customer_features(p.orders_clean, p.t.sessions, p.customers_clean)
     text = df._jdf.queryExecution().optimizedPlan().toString()
     # cross joins only attach 1-row aggregates (snapshot, median)

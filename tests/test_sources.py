@@ -37,8 +37,8 @@ def test_csv_tables_load_and_clean(spark):
     assert dict(t.customers.dtypes)["signup_date"] == "timestamp_ntz"
     oc = clean.clean_orders(t)
     # same cleaned row count as the parquet path (file order = dedup order here)
-    from basketry.plans.pipeline import Pipeline
-    ref = Pipeline(spark, driver_tables(spark, SF), materialize=False).orders_clean
+    from basketry.plans.stages import AnalyticsRun
+    ref = AnalyticsRun(spark, driver_tables(spark, SF), materialize=False).orders_clean
     assert oc.count() == ref.count()
     cc = clean.clean_customers(t)
     assert cc.count() == cc.select("customer_id").distinct().count()
@@ -48,8 +48,8 @@ def test_csv_tables_load_and_clean(spark):
 def test_sinks_round_trip(spark):
     d = tempfile.mkdtemp(prefix="basketry-out-")
     t = driver_tables(spark, SF)
-    from basketry.plans.pipeline import Pipeline
-    p = Pipeline(spark, t, materialize=False)
+    from basketry.plans.stages import AnalyticsRun
+    p = AnalyticsRun(spark, t, materialize=False)
     m = trends.monthly_trend(p.orders_clean)
     paths = files.write_results({"monthly_trend": m}, d, fmt="csv")
     back = files.read_table(spark, paths["monthly_trend"], "csv", schema=m.schema)

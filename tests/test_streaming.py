@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from basketry.plans import trends
-from basketry.plans.pipeline import Pipeline
+from basketry.plans.stages import AnalyticsRun
 from basketry.sources.tables import driver_tables
 from basketry.streaming.trends import MonthlyTrendStream
 
@@ -26,7 +26,7 @@ def test_stream_matches_batch(spark):
     q = s.start(d, schema, files_per_batch=1)
     q.awaitTermination(300)
     got = sorted(s.monthly_trend().collect())
-    want = sorted(trends.monthly_trend(Pipeline(spark, t, materialize=False).orders_clean).collect())
+    want = sorted(trends.monthly_trend(AnalyticsRun(spark, t, materialize=False).orders_clean).collect())
     assert len(got) == len(want)
     for a, b in zip(got, want):
         assert a.year_month == b.year_month and a.orders == b.orders and a.customers == b.customers

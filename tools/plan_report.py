@@ -19,11 +19,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from basketry.plans import clean, features, segments, trends
-    from basketry.plans.pipeline import Pipeline
+    from basketry.plans.stages import AnalyticsRun
     from basketry.session import get_session
     from basketry.sources.tables import driver_tables
     spark = get_session("local[8]", 8)
-    p = Pipeline(spark, driver_tables(spark, sf))
+    p = AnalyticsRun(spark, driver_tables(spark, sf))
     oc, cc, seg = p.orders_clean, p.customers_clean, p.fixed.segmented
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
