@@ -48,8 +48,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when nothing is configured (local tests) a
-    scratch folder is created and registered.
+    Read from the session; only when nothing is configured and the master is
+    local (tests) a scratch folder is created and registered.  On a cluster
+    a missing setting is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,6 +60,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        # a machine-local folder is not visible to other executors: stages and
+        # checkpoints must live on the cluster's shared file system
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) "
+                           "before running on a cluster")
     local = tempfile.mkdtemp(prefix="basketry-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()
