@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from basketry.operators.scalar import combine
 
 
 def keep_first(df: DataFrame, keys: str | Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -33,4 +34,4 @@ def duplicates_removed(before: DataFrame, after: DataFrame) -> DataFrame:
     """1-row audit: rows before, rows after, removed."""
     b = before.agg(F.count(F.lit(1)).alias("rows_before"))
     a = after.agg(F.count(F.lit(1)).alias("rows_after"))
-    return b.crossJoin(a).withColumn("removed", F.col("rows_before") - F.col("rows_after"))
+    return combine(b, a).withColumn("removed", F.col("rows_before") - F.col("rows_after"))

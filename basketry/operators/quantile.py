@@ -23,6 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from basketry.operators.scalar import attach
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
@@ -87,6 +88,6 @@ def fill_with_median(df: DataFrame, column: str, basis: DataFrame | None = None)
     basis = df if basis is None else basis
     med = exact_median(basis, column, "_median")
     dtype = dict(df.dtypes)[column]
-    filled = df.crossJoin(F.broadcast(med)).withColumn(
+    filled = attach(df, med).withColumn(
         column, F.coalesce(F.col(column), F.col("_median").cast(dtype)))
     return filled.drop("_median")

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from basketry.operators.scalar import attach
 
 
 def _c(c) -> Column:
@@ -44,7 +45,7 @@ def average_rank(value: str, ascending: bool = True) -> Column:
 def share_of_total(df: DataFrame, value: Column, name: str, scale: float = 100.0) -> DataFrame:
     """``x / sum(x) * scale`` using a broadcast 1-row total (no global window)."""
     total = df.groupBy().agg(F.sum(value).alias("_total"))
-    return (df.crossJoin(F.broadcast(total))
+    return (attach(df, total)
               .withColumn(name, value / F.col("_total") * F.lit(scale)).drop("_total"))
 
 
@@ -53,7 +54,7 @@ def minmax_scale(df: DataFrame, columns: Sequence[str], eps: float = 1e-9) -> Da
     broadcast 1-row min/max aggregate."""
     mm = df.groupBy().agg(*[F.min(c).alias(f"_min_{c}") for c in columns],
                           *[F.max(c).alias(f"_max_{c}") for c in columns])
-    out = df.crossJoin(F.broadcast(mm))
+    out = attach(df, mm)
     for c in columns:
         out = out.withColumn(c, (F.col(c) - F.col(f"_min_{c}")) /
                              (F.col(f"_max_{c}") - F.col(f"_min_{c}") + F.lit(eps)))

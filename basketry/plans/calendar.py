@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.dates import whole_days
+from basketry.operators.scalar import attach
 
 # Seasonal windows ((start month, day), (end month, day), boost, name).
 SEASONAL_WINDOWS = [
@@ -70,7 +71,7 @@ def demand_index(orders_clean: DataFrame) -> DataFrame:
     0.35, index = seasonal multiplier * growth, and revenue per index point."""
     tags = seasonal_tags(orders_clean)
     span = tags.groupBy().agg(F.min("order_date").alias("_d0"), F.max("order_date").alias("_d1"))
-    t = tags.crossJoin(F.broadcast(span))
+    t = attach(tags, span)
     days = whole_days(F.col("order_date").cast("timestamp_ntz"), F.col("_d0").cast("timestamp_ntz"))
     width = whole_days(F.col("_d1").cast("timestamp_ntz"), F.col("_d0").cast("timestamp_ntz"))
     growth = F.lit(1.0) + F.when(width > 0, days / width).otherwise(F.lit(0.0)) * F.lit(GROWTH_SPAN)

@@ -11,6 +11,7 @@ from basketry.operators.dedup import keep_first
 from basketry.operators.quantile import fill_with_median
 from basketry.sources.schemas import CUSTOMER_COLUMNS, ORDER_COLUMNS
 from basketry.sources.tables import Tables
+from basketry.operators.scalar import combine
 
 REQUIRED_ORDER_FIELDS = ["order_date", "customer_id", "total_amount"]
 
@@ -86,8 +87,8 @@ def cleaning_audit(t: Tables, orders_dedup: DataFrame | None = None,
         if customers_dedup is None else customers_dedup
     cust_age = cdedup.agg(F.sum(F.when(F.col("age").isNull(), 1).otherwise(0)).alias("imputed_age"))
 
-    c = cust_raw.crossJoin(cust_dedup).crossJoin(cust_age)
-    o = ord_raw.crossJoin(dd)
+    c = combine(cust_raw, cust_dedup, cust_age)
+    o = combine(ord_raw, dd)
     d_cust = F.col("d") + F.coalesce(F.col("has_null"), F.lit(0))
     rows = [
         c.select(F.lit("customers").alias("table_name"), F.lit("rows_loaded").alias("metric"), F.col("n").cast("bigint").alias("value")),

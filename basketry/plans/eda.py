@@ -9,6 +9,7 @@ from basketry.functions.dates import date_text
 from basketry.functions.flags import bool_mean, exact_mean
 from basketry.operators.quantile import exact_median
 from basketry.plans.trends import money_mean, money_sum
+from basketry.operators.scalar import combine
 
 
 def kpis(orders_clean: DataFrame) -> DataFrame:
@@ -36,7 +37,7 @@ def kpis_raw(orders_valid: DataFrame) -> DataFrame:
         money_mean().alias("avg_order_value"),
         bool_mean("is_returned").alias("return_rate"))
     b = orders_valid.groupBy().agg(F.count_distinct("order_id").alias("total_orders"))
-    return a.crossJoin(b).select("total_revenue", "total_orders", "active_customers",
+    return combine(a, b).select("total_revenue", "total_orders", "active_customers",
                                  "avg_order_value", "return_rate")
 
 
@@ -64,6 +65,6 @@ def rfm_stats(rfm: DataFrame) -> DataFrame:
         exact_mean("monetary", 4).alias("monetary_mean"))
     out = means
     for c in ["recency_days", "frequency", "monetary"]:
-        out = out.crossJoin(exact_median(rfm, c, f"{c}_median"))
+        out = combine(out, exact_median(rfm, c, f"{c}_median"))
     return out.select("recency_days_mean", "recency_days_median", "frequency_mean",
                       "frequency_median", "monetary_mean", "monetary_median")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from basketry.operators.rank import argmax, argmin
 from basketry.plans.segments import AT_RISK
+from basketry.operators.scalar import combine
 
 
 def _fact(df: DataFrame, fact: str, key, value: str) -> DataFrame:
@@ -128,7 +129,7 @@ def insights(summary: DataFrame, revenue_by_category: DataFrame, monthly: DataFr
                                   F.col("pct_of_revenue").cast("string")).alias("text")),
         risk.select(F.format_string(INSIGHT_TEXT[1], F.format_string("%.0f", F.col("r"))).alias("text")),
         top.select(F.format_string(INSIGHT_TEXT[2], "category").alias("text")),
-        best.crossJoin(worst).select(F.format_string(
+        combine(best, worst).select(F.format_string(
             INSIGHT_TEXT[3], "bm", F.format_number("br", 0), "wm", F.format_number("wr", 0)).alias("text")),
         one.select(F.format_string(INSIGHT_TEXT[4], F.format_string(
             "%.1f", F.col("return_rate_overall") * 100)).alias("text")),

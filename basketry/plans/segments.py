@@ -17,6 +17,7 @@ from basketry.functions.flags import exact_mean
 from basketry.operators.domain import reindex
 from basketry.operators.quantile import exact_quantiles
 from basketry.operators.rank import argmax, argmin, average_rank, minmax_scale
+from basketry.operators.scalar import attach
 
 # Business segment names.
 HIGH_VALUE = "High Value Customers"
@@ -123,7 +124,7 @@ def segment_summary(segmented: DataFrame) -> DataFrame:
                        "top_category")
     rounded = rounded.withColumn("_rev", F.col("avg_monetary") * F.col("customers"))
     tot = rounded.groupBy().agg(F.sum("customers").alias("_nc"), F.sum("_rev").alias("_nr"))
-    out = rounded.crossJoin(F.broadcast(tot)).withColumns({
+    out = attach(rounded, tot).withColumns({
         "pct_of_customers": F.round(F.col("customers") / F.col("_nc") * 100, 1),
         "pct_of_revenue": F.round(F.col("_rev") / F.col("_nr") * 100, 1),
     })

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from basketry.operators.scalar import combine
 
 
 def _as_map(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
@@ -26,7 +27,7 @@ def summary_payload(kpis: DataFrame, revenue_by_category: DataFrame, by_payment:
         F.struct(F.col("frequency_mean").alias("mean"), F.col("frequency_median").alias("median")).alias("frequency"),
         F.struct(F.col("monetary_mean").alias("mean"), F.col("monetary_median").alias("median")).alias("monetary"),
     ).alias("rfm_stats"))
-    eda = (kpis.crossJoin(rbc).crossJoin(pay).crossJoin(wd).crossJoin(rfm)
+    eda = (combine(kpis, rbc, pay, wd, rfm)
            .select(F.struct(
                "total_revenue", "total_orders", "total_customers", "avg_order_value",
                "return_rate_overall", F.array("date_min", "date_max").alias("date_range"),
@@ -37,4 +38,4 @@ def summary_payload(kpis: DataFrame, revenue_by_category: DataFrame, by_payment:
     cmap = _as_map(mapping, "cluster", "segment", "cluster_mapping")
     ins = insights.groupBy().agg(F.sort_array(F.collect_list(F.struct("n", "text"))).alias("_i")) \
                   .select(F.col("_i.text").alias("insights"))
-    return eda.crossJoin(elbow_s).crossJoin(cmap).crossJoin(ins)
+    return combine(eda, elbow_s, cmap, ins)
