@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
 from basketry.operators.scalar import combine
 
 

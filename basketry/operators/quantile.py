@@ -23,6 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+
 from basketry.operators.scalar import attach
 
 
