@@ -58,7 +58,8 @@ def value_counts(df: DataFrame, col: str, name: str = "orders") -> DataFrame:
 
 
 def rfm_stats(rfm: DataFrame) -> DataFrame:
-    """1 row: exact mean and median of recency, frequency, monetary."""
+    """1 row: exact mean and median of recency, frequency, monetary.  ``rfm``
+    is the RFM table or the feature table (same customers, same columns)."""
     means = rfm.groupBy().agg(
         F.avg("recency_days").alias("recency_days_mean"),
         F.avg("frequency").alias("frequency_mean"),

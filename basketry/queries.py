@@ -124,7 +124,7 @@ def q_orders_by_weekday(p: AnalyticsRun):
 
 @query("rfm_stats")
 def q_rfm_stats(p: AnalyticsRun):
-    return eda.rfm_stats(features.rfm(p.orders_clean))
+    return eda.rfm_stats(p.features)
 
 
 @query("cleaning_audit")
@@ -290,7 +290,7 @@ def q_summary_payload(p: AnalyticsRun):
         p.kpis, p.revenue_by_category,
         eda.value_counts(p.orders_clean, "payment_method"),
         eda.value_counts(p.orders_clean, "weekday"),
-        eda.rfm_stats(features.rfm(p.orders_clean)),
+        eda.rfm_stats(p.features),
         p.segmentation.sweep(), p.kmeans.mapping, ins)
 
 

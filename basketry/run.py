@@ -16,7 +16,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.plans import eda, features as feat, insights, segments, summary, trends
+from basketry.plans import eda, insights, segments, summary, trends
 from basketry.plans.stages import AnalyticsRun
 from basketry.sources import files
 from basketry.sources.tables import driver_tables, read_csv_tables
@@ -28,7 +28,7 @@ def results(p: AnalyticsRun) -> dict[str, DataFrame]:
     ins = insights.insights(seg.summary, p.revenue_by_category, p.monthly, p.kpis)
     payload = summary.summary_payload(
         p.kpis, p.revenue_by_category, eda.value_counts(oc, "payment_method"),
-        eda.value_counts(oc, "weekday"), eda.rfm_stats(feat.rfm(oc)),
+        eda.value_counts(oc, "weekday"), eda.rfm_stats(p.features),
         p.segmentation.sweep(), seg.mapping, ins)
     return {
         "customer_features": p.features,
