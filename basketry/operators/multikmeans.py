@@ -10,11 +10,13 @@ an aggregate with a map-side partial step folds them to sum(k) rows, which
 is all the driver sees.  Centres ship in the task closure (sum(k) x dims
 doubles, bounded by the sweep, not by the data).
 
-* init: k-means++ (D^2 weighting), batched the same way: step j draws the
-  j-th centre of every run in one pass, each batch proposing its point with
-  the smallest exponential key ``-ln(u) / D^2`` and a global ``min_by``
-  picking the winner (u from a seeded hash of the point id, so a rerun on a
-  different partitioning draws the same points);
+* init: greedy k-means++ (D^2 weighting, 2 + floor(ln k) candidates per
+  step, the one leaving the smallest potential wins), batched the same way:
+  one pass draws the candidates of every run -- each batch proposes its
+  point with the smallest exponential key ``-ln(u) / D^2`` and a global
+  ``min_by`` picks the draw (u from a seeded hash of the point id, so a rerun
+  on a different partitioning draws the same points) -- and one pass scores
+  them;
 * convergence: a run stops when the summed squared centre shift is at most
   ``tol * mean feature variance`` (the reference's rule); an emptied cluster
   keeps its previous centre;
@@ -74,8 +76,17 @@ def prepare(features: DataFrame, id_col: str, cols: Sequence[str]) -> DataFrame:
                            *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
 
 
-def _init_step(points: DataFrame, runs: list[Run], todo: list[int], step: int, dims: int):
-    cents = {i: np.array(runs[i].centers) for i in todo}
+def local_trials(k: int) -> int:
+    """Candidates per greedy k-means++ step: 2 + floor(ln k)."""
+    return 2 + int(np.log(k))
+
+
+def _propose(points: DataFrame, runs: list[Run], todo: list[int], step: int, dims: int,
+             trials: dict[int, int]) -> dict[tuple[int, int], list[float]]:
+    """One pass: for every run in ``todo`` and trial l, a D^2-weighted draw
+    (uniform at step 0).  Each batch proposes its smallest exponential key
+    per (run, trial); a global ``min_by`` picks the draw."""
+    cents = {i: np.array(runs[i].centers) for i in todo if runs[i].centers}
     seeds = {i: runs[i].seed for i in todo}
     xs = [f"x{d}" for d in range(dims)]
 
@@ -87,34 +98,76 @@ def _init_step(points: DataFrame, runs: list[Run], todo: list[int], step: int, d
             h = pdf["h"].to_numpy()
             out = []
             for i in todo:
-                u = _uniform(h, seeds[i], step)
-                if step == 0:
-                    key = -np.log(u)
-                else:
-                    d2 = _sqdist(X, cents[i]).min(axis=1)
-                    with np.errstate(divide="ignore"):
-                        key = np.where(d2 > 0, -np.log(u) / d2, np.inf)
-                j = int(np.argmin(key))
-                if np.isfinite(key[j]):
-                    out.append((i, float(key[j]), *X[j].tolist()))
-            yield pd.DataFrame(out, columns=["run", "key", *xs])
-
-    schema = "run int, key double, " + ", ".join(f"{x} double" for x in xs)
-    best = (points.mapInPandas(propose, schema)
-                  .groupBy("run").agg(F.min_by(F.array(*xs), F.col("key")).alias("c")).collect())
-    return {r.run: list(r.c) for r in best}
-
-
-def kmeans_pp_init(points: DataFrame, runs: list[Run], dims: int) -> None:
-    first = _init_step(points, runs, list(range(len(runs))), 0, dims)
+                d2 = _sqdist(X, cents[i]).min(axis=1) if i in cents else None
+                for trial in range(trials[i]):
+                    u = _uniform(h, seeds[i], step * 64 + trial)
+                    if d2 is None:
+                        key = -np.log(u)
+                    else:
+                        with np.errstate(divide="ignore"):
+                            key = np.where(d2 > 0, -np.log(u) / d2, np.inf)
+                    j = int(np.argmin(key))
+                    if np.isfinite(key[j]):
+                        out.append((i, trial, float(key[j]), *X[j].tolist()))
+            yield pd.DataFrame(out, columns=["run", "trial", "key", *xs])
+
+    schema = "run int, trial int, key double, " + ", ".join(f"{x} double" for x in xs)
+    best = (points.mapInPandas(propose, schema).groupBy("run", "trial")
+                  .agg(F.min_by(F.array(*xs), F.col("key")).alias("c")).collect())
+    return {(r.run, r.trial): list(r.c) for r in best}
+
+
+def _potentials(points: DataFrame, runs: list[Run], cands: dict[tuple[int, int], list[float]],
+                dims: int) -> dict[tuple[int, int], float]:
+    """One pass: for every candidate, the summed squared distance to the
+    nearest of (current centres + candidate)."""
+    by_run: dict[int, list] = {}
+    for (i, trial), c in cands.items():
+        by_run.setdefault(i, []).append((trial, c))
+    cents = {i: np.array(runs[i].centers) for i in by_run}
+    cand_arr = {i: (np.array([t for t, _ in v]), np.array([c for _, c in v])) for i, v in by_run.items()}
+    xs = [f"x{d}" for d in range(dims)]
+
+    def pot(batches):
+        acc: dict[int, np.ndarray] = {}
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            X = pdf[xs].to_numpy(dtype=np.float64)
+            for i in by_run:
+                d2 = _sqdist(X, cents[i]).min(axis=1)
+                dc = _sqdist(X, cand_arr[i][1])                    # n x trials
+                part = np.minimum(dc, d2[:, None]).sum(axis=0)
+                acc[i] = part if i not in acc else acc[i] + part
+        rows = [(i, int(t), float(v)) for i, a in acc.items() for t, v in zip(cand_arr[i][0], a)]
+        if rows:
+            yield pd.DataFrame(rows, columns=["run", "trial", "pot"])
+
+    out: dict[tuple[int, int], float] = {}
+    for r in points.mapInPandas(pot, "run int, trial int, pot double").collect():
+        out[(r.run, r.trial)] = out.get((r.run, r.trial), 0.0) + r.pot
+    return out
+
+
+def kmeans_pp_init(points: DataFrame, runs: list[Run], dims: int, greedy: bool = True) -> None:
+    """Greedy k-means++ (the reference's default init): the first centre is a
+    uniform draw; each next one is the best, by resulting potential, of
+    ``2 + floor(ln k)`` D^2-weighted draws.  ``greedy=False``: one draw per step."""
+    first = _propose(points, runs, list(range(len(runs))), 0, dims, {i: 1 for i in range(len(runs))})
     for i, r in enumerate(runs):
-        r.centers = [first[i]]
+        r.centers = [first[(i, 0)]]
     for step in range(1, max(r.k for r in runs)):
         todo = [i for i, r in enumerate(runs) if r.k > step]
-        picked = _init_step(points, runs, todo, step, dims)
+        trials = {i: local_trials(runs[i].k) if greedy else 1 for i in todo}
+        cands = _propose(points, runs, todo, step, dims, trials)
+        pots = _potentials(points, runs, cands, dims) if greedy else {}
         for i in todo:
-            # fewer distinct points than k: repeat the last centre
-            runs[i].centers.append(picked.get(i, list(runs[i].centers[-1])))
+            mine = sorted(t for (j, t) in cands if j == i)
+            if not mine:   # fewer distinct points than k: repeat the last centre
+                runs[i].centers.append(list(runs[i].centers[-1]))
+                continue
+            best = min(mine, key=lambda t: (pots.get((i, t), 0.0), t))
+            runs[i].centers.append(cands[(i, best)])
 
 
 # Partial-sum rows a pass may hand to the driver directly (partitions x sum(k));
