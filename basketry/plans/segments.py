@@ -203,6 +203,7 @@ def segment_pref_category(segmented: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("customers"))
 
 
+# Display names of the segment profile table.
 PROFILE_RENAMES = {
     "pct_of_customers": "% of Customers", "pct_of_revenue": "% of Revenue",
     "avg_recency_days": "Avg Recency (days)", "avg_frequency": "Avg Orders",
