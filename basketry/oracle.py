@@ -501,7 +501,7 @@ SELECT segment, favorite_category, count(*) AS customers FROM seg GROUP BY segme
 register("segment_profile", [], """
 SELECT segment, customers, pct_of_customers AS "% of Customers", pct_of_revenue AS "% of Revenue",
        avg_recency_days AS "Avg Recency (days)", avg_frequency AS "Avg Orders",
-       avg_monetary AS "Avg Lifetime Spend", avg_order_value AS "Avg Order Value",
+       avg_monetary AS "Avg Lifetime Spend (₹)", avg_order_value AS "Avg Order Value (₹)",
        top_category AS "Top Category"
 FROM summary""", extra=SUMMARY_DEPS)
 

@@ -207,7 +207,7 @@ def segment_pref_category(segmented: DataFrame) -> DataFrame:
 PROFILE_RENAMES = {
     "pct_of_customers": "% of Customers", "pct_of_revenue": "% of Revenue",
     "avg_recency_days": "Avg Recency (days)", "avg_frequency": "Avg Orders",
-    "avg_monetary": "Avg Lifetime Spend", "avg_order_value": "Avg Order Value",
+    "avg_monetary": "Avg Lifetime Spend (₹)", "avg_order_value": "Avg Order Value (₹)",
     "top_category": "Top Category",
 }
 PROFILE_COLUMNS = ["segment", "customers", "pct_of_customers", "pct_of_revenue",
