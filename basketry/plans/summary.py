@@ -34,8 +34,11 @@ def summary_payload(kpis: DataFrame, revenue_by_category: DataFrame, by_payment:
                "return_rate_overall", F.array("date_min", "date_max").alias("date_range"),
                "revenue_by_category", "orders_by_payment_method", "orders_by_weekday",
                "rfm_stats").alias("eda_summary")))
+    # {"k": [...], "inertia": [...], "silhouette": [...]}, ordered by k
     elbow_s = elbow.groupBy().agg(F.sort_array(F.collect_list(
-        F.struct("k", "inertia", "silhouette"))).alias("elbow_data"))
+        F.struct("k", "inertia", "silhouette"))).alias("_e")).select(
+        F.struct(F.col("_e.k").alias("k"), F.col("_e.inertia").alias("inertia"),
+                 F.col("_e.silhouette").alias("silhouette")).alias("elbow_data"))
     cmap = _as_map(mapping, "cluster", "segment", "cluster_mapping")
     ins = insights.groupBy().agg(F.sort_array(F.collect_list(F.struct("n", "text"))).alias("_i")) \
                   .select(F.col("_i.text").alias("insights"))
