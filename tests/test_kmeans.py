@@ -69,3 +69,15 @@ def test_batched_runs_recover_blobs_and_match_single_runs(spark):
     brute = sum(min((r.a - x) ** 2 + (r.b - y) ** 2 for x, y in c) for r in rows)
     assert abs(best[5].inertia - brute) < 1e-6 * brute
     assert best[3].inertia > best[5].inertia
+
+
+def test_batched_and_ml_engines_agree_on_blobs(spark):
+    from pyspark.ml.feature import VectorAssembler
+
+    from basketry.operators import multikmeans as mk
+    df = _blobs(spark, k=4, n=50, seed=3)
+    pts = mk.prepare(df, "customer_id", ["a", "b"]).cache()
+    batched = mk.best_per_k(mk.fit_runs(pts, mk.make_runs([4], n_init=3, seed=1)))[4].inertia
+    data = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df).cache()
+    ml = kmeans.fit_best_many(data, [4], n_init=3, seed=1)[4].summary.trainingCost
+    assert abs(batched - ml) <= 1e-6 * ml
