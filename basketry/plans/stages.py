@@ -78,6 +78,25 @@ class AnalyticsRun:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
+    def close(self) -> None:
+        """Delete this run's stage folder (only ``basketry-stages/<run_id>``).
+        Call once every result of the run has been written: staged frames
+        read lazily from it."""
+        if self._root is None:
+            return
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self._root)
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        fs.delete(path, True)
+        self._root = None
+        # forget frames that read from the deleted folder; a later call builds anew
+        for name, attr in vars(type(self)).items():
+            if isinstance(attr, cached_property):
+                self.__dict__.pop(name, None)
+        with _RUNS_LOCK:
+            for key in [k for k, v in _RUNS.items() if v is self]:
+                del _RUNS[key]
+
     # -- cleaned tables ---------------------------------------------------
     @cached_property
     def orders_dedup(self) -> DataFrame:

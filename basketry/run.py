@@ -94,6 +94,7 @@ def main(argv=None) -> None:
         out.update({f"dashboard_{k}": v for k, v in dashboard(p).items()})
     for name, path in files.write_results(out, a.out, a.format).items():
         print(f"{name}: {path}")
+    p.close()
 
 
 if __name__ == "__main__":

@@ -40,6 +40,8 @@ def main():
         df.write.format("noop").mode("overwrite").save()
         times[n] = round(time.time() - t0, 3)
     total = round(time.time() - t_all, 3)
+    from basketry.plans.stages import run_for
+    run_for(spark, sf_dir).close()
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec",
                       "queries": times, "sf": sf}))
