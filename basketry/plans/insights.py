@@ -78,8 +78,15 @@ GROWTH_TEXT = {
 }
 
 
+def fixed(col, digits: int):
+    """Python-style fixed-point text: ties to even (``f"{x:.1f}"``), where
+    Java's ``%.1f`` would round half up."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.format_string(f"%.{digits}f", F.bround(c, digits))
+
+
 def growth_statements(g: DataFrame) -> DataFrame:
-    pct = F.format_string("%.1f", F.col("change_pct"))
+    pct = fixed("change_pct", 1)
     start = F.format_number(F.col("start_value"), 0)
     end = F.format_number(F.col("end_value"), 0)
     text = (F.when(F.col("direction") == "stable", F.format_string(GROWTH_TEXT["stable"], F.col("label")))
@@ -127,12 +134,12 @@ def insights(summary: DataFrame, revenue_by_category: DataFrame, monthly: DataFr
     rows = [
         hv.select(F.format_string(INSIGHT_TEXT[0], "segment", F.col("pct_of_customers").cast("string"),
                                   F.col("pct_of_revenue").cast("string")).alias("text")),
-        risk.select(F.format_string(INSIGHT_TEXT[1], F.format_string("%.0f", F.col("r"))).alias("text")),
+        risk.select(F.format_string(INSIGHT_TEXT[1], fixed("r", 0)).alias("text")),
         top.select(F.format_string(INSIGHT_TEXT[2], "category").alias("text")),
         combine(best, worst).select(F.format_string(
             INSIGHT_TEXT[3], "bm", F.format_number("br", 0), "wm", F.format_number("wr", 0)).alias("text")),
-        one.select(F.format_string(INSIGHT_TEXT[4], F.format_string(
-            "%.1f", F.col("return_rate_overall") * 100)).alias("text")),
+        one.select(F.format_string(INSIGHT_TEXT[4], fixed(
+            F.col("return_rate_overall") * 100, 1)).alias("text")),
         one.select(F.lit(INSIGHT_TEXT[5]).alias("text")),
         one.select(F.format_string(INSIGHT_TEXT[6], F.lit(str(n_features))).alias("text")),
     ]
