@@ -34,3 +34,12 @@ def exact_mean(col: str, scale: int = 6) -> Column:
     on every run and layout.  Values carry at most ``scale`` decimals here."""
     v = F.col(col).cast(f"decimal(24,{scale})")
     return F.sum(v).cast("double") / F.count(v)
+
+
+def np_round(col, digits: int) -> Column:
+    """The reference's ``.round(digits)``: ``rint(x * 10^d) / 10^d`` on the
+    double (ties to even on the binary product), not Spark's half-up
+    ``round`` on the decimal text."""
+    c = F.col(col) if isinstance(col, str) else col
+    scale = float(10 ** digits)
+    return F.rint(c * F.lit(scale)) / F.lit(scale)

@@ -310,7 +310,7 @@ SELECT {MONEY_SUM} AS total_revenue, count(DISTINCT order_id) AS total_orders,
 FROM orders_valid""", extra=[(ORDERS_VALID, ["orders_raw"])])
 
 register("revenue_by_category", ["orders_clean"], """
-SELECT category, CAST(round(sum(total_amount), 2) AS DOUBLE) AS revenue
+SELECT category, round_even(CAST(sum(total_amount) AS DOUBLE) * 100, 0) / 100 AS revenue
 FROM orders_clean WHERE category IS NOT NULL GROUP BY category""")
 
 register("orders_by_payment", ["orders_clean"], """
@@ -426,13 +426,14 @@ seg_top AS (
   QUALIFY row_number() OVER (PARTITION BY segment ORDER BY n DESC, favorite_category) = 1),
 summary AS (
   SELECT m.segment, customers,
-         round(avg_recency_days, 2) AS avg_recency_days, round(avg_frequency, 2) AS avg_frequency,
-         round(avg_monetary, 2) AS avg_monetary, round(avg_order_value, 2) AS avg_order_value,
-         round(avg_basket_size, 2) AS avg_basket_size, round(discount_usage_rate, 2) AS discount_usage_rate,
-         round(return_rate, 2) AS return_rate, round(category_diversity, 2) AS category_diversity,
-         round(conversion_rate, 2) AS conversion_rate,
-         round(customers / sum(customers) OVER () * 100, 1) AS pct_of_customers,
-         round(round(avg_monetary, 2) * customers / sum(round(avg_monetary, 2) * customers) OVER () * 100, 1)
+         round_even(avg_recency_days * 100, 0) / 100 AS avg_recency_days, round_even(avg_frequency * 100, 0) / 100 AS avg_frequency,
+         round_even(avg_monetary * 100, 0) / 100 AS avg_monetary, round_even(avg_order_value * 100, 0) / 100 AS avg_order_value,
+         round_even(avg_basket_size * 100, 0) / 100 AS avg_basket_size, round_even(discount_usage_rate * 100, 0) / 100 AS discount_usage_rate,
+         round_even(return_rate * 100, 0) / 100 AS return_rate, round_even(category_diversity * 100, 0) / 100 AS category_diversity,
+         round_even(conversion_rate * 100, 0) / 100 AS conversion_rate,
+         round_even(customers / sum(customers) OVER () * 100 * 10, 0) / 10 AS pct_of_customers,
+         round_even((round_even(avg_monetary * 100, 0) / 100) * customers
+                    / sum((round_even(avg_monetary * 100, 0) / 100) * customers) OVER () * 100 * 10, 0) / 10
              AS pct_of_revenue,
          t.top_category
   FROM seg_means m LEFT JOIN seg_top t ON m.segment IS NOT DISTINCT FROM t.segment)"""
@@ -543,7 +544,7 @@ SELECT DISTINCT 'segment', segment FROM seg WHERE segment IS NOT NULL""",
 _DASH = [(ORDERS_VALID, ["orders_raw"]), (WEEKDAY_DOMAIN, [])]
 PEAK = f"""monthly AS (
   SELECT year_month, {MONEY_SUM} AS revenue FROM orders_clean GROUP BY year_month),
-rbc AS (SELECT category, CAST(round(sum(total_amount), 2) AS DOUBLE) AS revenue
+rbc AS (SELECT category, round_even(CAST(sum(total_amount) AS DOUBLE) * 100, 0) / 100 AS revenue
         FROM orders_clean WHERE category IS NOT NULL GROUP BY category),
 quarterly AS (SELECT year, quarter, 'Q' || CAST(quarter AS VARCHAR) || ' ' || CAST(year AS VARCHAR) AS label,
                      {MONEY_SUM} AS revenue FROM orders_clean GROUP BY year, quarter),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.dates import date_text
-from basketry.functions.flags import bool_mean, exact_mean
+from basketry.functions.flags import bool_mean, exact_mean, np_round
 from basketry.operators.quantile import exact_median
 from basketry.plans.trends import money_mean, money_sum
 from basketry.operators.scalar import combine
@@ -42,11 +42,12 @@ def kpis_raw(orders_valid: DataFrame) -> DataFrame:
 
 
 def revenue_by_category(orders_clean: DataFrame) -> DataFrame:
-    """Exact decimal sum per category, rounded to cents, largest first.
+    """Exact decimal sum per category, rounded to cents as the reference
+    rounds floats (``np_round``), largest first.
     A missing category is not a group (pandas drops null keys)."""
     return (orders_clean.where(F.col("category").isNotNull())
             .groupBy("category")
-            .agg(F.round(F.sum("total_amount"), 2).cast("double").alias("revenue"))
+            .agg(np_round(F.sum("total_amount").cast("double"), 2).alias("revenue"))
             .orderBy(F.desc("revenue"), "category"))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.dates import WEEKDAYS, weekday_name
-from basketry.functions.flags import exact_mean
+from basketry.functions.flags import exact_mean, np_round
 from basketry.operators.domain import reindex
 from basketry.operators.quantile import exact_quantiles
 from basketry.operators.rank import argmax, argmin, average_rank, minmax_scale
@@ -120,13 +120,13 @@ def segment_summary(segmented: DataFrame) -> DataFrame:
     reference does).  One row per segment, so totals are a tiny aggregate."""
     m = segment_means(segmented)
     rounded = m.select("segment", "customers",
-                       *[F.round(name, 2).alias(name) for name, _ in SUMMARY_MEANS],
+                       *[np_round(name, 2).alias(name) for name, _ in SUMMARY_MEANS],
                        "top_category")
     rounded = rounded.withColumn("_rev", F.col("avg_monetary") * F.col("customers"))
     tot = rounded.groupBy().agg(F.sum("customers").alias("_nc"), F.sum("_rev").alias("_nr"))
     out = attach(rounded, tot).withColumns({
-        "pct_of_customers": F.round(F.col("customers") / F.col("_nc") * 100, 1),
-        "pct_of_revenue": F.round(F.col("_rev") / F.col("_nr") * 100, 1),
+        "pct_of_customers": np_round(F.col("customers") / F.col("_nc") * 100, 1),
+        "pct_of_revenue": np_round(F.col("_rev") / F.col("_nr") * 100, 1),
     })
     return out.select("segment", "customers", *[n for n, _ in SUMMARY_MEANS],
                       "pct_of_customers", "pct_of_revenue", "top_category")
