@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry
 from tools.check_oracle import TABLES, rows_of
 
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("BASKETRY_ORACLE_SF", "/root/testdata/sf0.001")
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()
 
