@@ -156,11 +156,12 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     """Header CSV with a fixed schema; empty fields are nulls.  Dates written as
-    ``YYYY-MM-DD`` or ``YYYY-MM-DD HH:MM:SS`` parse into TIMESTAMP_NTZ."""
+    ``YYYY-MM-DD``, ``YYYY-MM-DD HH:MM:SS`` or with a fraction of a second
+    parse into TIMESTAMP_NTZ."""
     return (spark.read.schema(schema)
             .option("header", True)
             .option("mode", "FAILFAST")
-            .option("timestampNTZFormat", "yyyy-MM-dd[ HH:mm:ss]")
+            .option("timestampNTZFormat", "yyyy-MM-dd[ HH:mm:ss[.SSSSSS]]")
             .csv(path))
 
 

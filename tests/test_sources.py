@@ -43,6 +43,15 @@ def test_csv_tables_load_and_clean(spark):
     cc = clean.clean_customers(t)
     assert cc.count() == cc.select("customer_id").distinct().count()
     assert cc.where(F.col("age").isNull()).count() == 0
+    # sessions carry times of day with microseconds
+    from basketry.plans import features
+    web_csv = {str(r.customer_id): (r.total_sessions, r.avg_pages_viewed)
+               for r in features.web_features(t.sessions).collect()}
+    web_pq = {str(r.customer_id): (r.total_sessions, r.avg_pages_viewed)
+              for r in features.web_features(driver_tables(spark, SF).sessions).collect()}
+    assert web_csv == web_pq
+    assert t.sessions.agg(F.max("visit_date")).first()[0] == \
+        driver_tables(spark, SF).sessions.agg(F.max("visit_date")).first()[0]
 
 
 def test_sinks_round_trip(spark):
