@@ -55,7 +55,9 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
         F.coalesce(F.sum("_ptot").over(before), F.lit(0)).alias("_off"),
         F.sum("_ptot").over(whole).alias("_n"))
 
-    r = ranked.join(offsets, ["_pid", *by], "inner")
+    # null-safe on the group keys: a null group is a group, as in groupBy
+    cond = [ranked["_pid"] == offsets["_pid"]] + [ranked[b].eqNullSafe(offsets[b]) for b in by]
+    r = ranked.join(offsets, cond, "inner").drop(*[offsets[c] for c in ["_pid", *by]])
     first = F.col("_off") + F.col("_cum") - F.col("_c")       # rank of first copy (0-based)
     last = F.col("_off") + F.col("_cum") - F.lit(1)
     covers, picks, outs = [], [], []

@@ -16,7 +16,7 @@ def test_exact_quantiles_match_numpy_with_hot_group(spark):
     for g, n in [("hot", 3000), ("a", 7), ("b", 1), ("c", 2)]:
         for _ in range(n):
             rows.append((g, float(random.choice([1, 2, 2, 3, 5, 8, 8, 8]) if g == "hot" else random.random())))
-    rows += [("a", None), ("d", None)]
+    rows += [("a", None), ("d", None), (None, 4.0), (None, 1.0)]
     df = spark.createDataFrame(rows, "g string, v double")
     probs = [0.25, 0.5, 0.75, 0.1]
     got = {r.g: r for r in exact_quantiles(df, "v", probs, ["q1", "q2", "q3", "q4"], by=["g"],
@@ -26,6 +26,7 @@ def test_exact_quantiles_match_numpy_with_hot_group(spark):
         for name, p in zip(["q1", "q2", "q3", "q4"], probs):
             assert getattr(got[g], name) == pytest.approx(float(np.quantile(xs, p)), rel=1e-12), (g, p)
     assert "d" not in got   # no values -> no row
+    assert got[None].q2 == 2.5   # a null group is a group
 
 
 def test_global_median_and_fill(spark):
