@@ -47,7 +47,7 @@ def share_of_total(df: DataFrame, value: Column, name: str, scale: float = 100.0
     """``x / sum(x) * scale`` using a broadcast 1-row total (no global window)."""
     total = df.groupBy().agg(F.sum(value).alias("_total"))
     return (attach(df, total)
-              .withColumn(name, value / F.col("_total") * F.lit(scale)).drop("_total"))
+              .withColumn(name, F.try_divide(value, F.col("_total")) * F.lit(scale)).drop("_total"))
 
 
 def minmax_scale(df: DataFrame, columns: Sequence[str], eps: float = 1e-9) -> DataFrame:

@@ -125,8 +125,9 @@ def segment_summary(segmented: DataFrame) -> DataFrame:
     rounded = rounded.withColumn("_rev", F.col("avg_monetary") * F.col("customers"))
     tot = rounded.groupBy().agg(F.sum("customers").alias("_nc"), F.sum("_rev").alias("_nr"))
     out = attach(rounded, tot).withColumns({
-        "pct_of_customers": np_round(F.col("customers") / F.col("_nc") * 100, 1),
-        "pct_of_revenue": np_round(F.col("_rev") / F.col("_nr") * 100, 1),
+        # try_divide: an all-zero total gives null (pandas: NaN), not an error
+        "pct_of_customers": np_round(F.try_divide(F.col("customers"), F.col("_nc")) * 100, 1),
+        "pct_of_revenue": np_round(F.try_divide(F.col("_rev"), F.col("_nr")) * 100, 1),
     })
     return out.select("segment", "customers", *[n for n, _ in SUMMARY_MEANS],
                       "pct_of_customers", "pct_of_revenue", "top_category")
