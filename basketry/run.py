@@ -80,6 +80,8 @@ def main(argv=None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--format", choices=["csv", "parquet"], default="csv")
     ap.add_argument("--n-init", type=int, default=10)
+    ap.add_argument("--kmeans-engine", choices=["batched", "ml"], default="batched",
+                    help="batched: all (k, seed) runs share each pass; ml: pyspark.ml KMeans per run")
     ap.add_argument("--dashboard", action="store_true")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
@@ -89,6 +91,7 @@ def main(argv=None) -> None:
     tables = read_csv_tables(spark, a.csv) if a.csv else driver_tables(spark, a.parquet)
     p = AnalyticsRun(spark, tables)
     p.n_init = a.n_init
+    p.kmeans_engine = a.kmeans_engine
     out = results(p)
     if a.dashboard:
         out.update({f"dashboard_{k}": v for k, v in dashboard(p).items()})
