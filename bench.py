@@ -1,5 +1,5 @@
 """Benchmark: the headline results on $BENCH_SF_DIR (default sf0.1) with
-local[$BENCH_CPUS].  Prints one JSON line.
+local[$BENCH_CPUS] ($BENCH_SHUFFLE_PARTITIONS, default 2 x cpus).  Prints one JSON line.
 
 The queries run in one session, the way the library is used: the
 first query pays for cleaning (dedup, imputation) and writes the cleaned
@@ -30,7 +30,7 @@ def main():
     names = sys.argv[1:] or HEADLINE
     from basketry.session import get_session
     from basketry.registry import all_queries
-    spark = get_session(f"local[{cpus}]", int(cpus) * 2 if cpus.isdigit() else 16)
+    spark = get_session(f"local[{cpus}]", int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus) * 2 if cpus.isdigit() else 16)))
     qs = all_queries()
     times = {}
     t_all = time.time()
