@@ -1,4 +1,4 @@
-"""Customer segmentation with ``pyspark.ml`` KMeans (M1-M8, C7).
+"""Customer segmentation with KMeans (M1-M8, C7): batched Lloyd runs or ``pyspark.ml``.
 
 * M1  feature matrix: 7 features, missing -> 0, log1p on three skewed ones
 * M2  standardisation with the *population* standard deviation (as the
