@@ -48,3 +48,27 @@ def test_filters_reach_the_scan(spark):
     t = driver_tables(spark, SF)
     text = plan(t.orders.where("order_date >= timestamp_ntz'1998-01-01'"))
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in text
+
+
+def test_feature_table_broadcasts_only_global_aggregates_at_scale(spark):
+    """With size-based broadcast off (the 100 TB shape), what is still
+    broadcast must be 1-row: a global aggregate (keys=[])."""
+    p = run_for(spark, SF)
+    oc, cc = p.orders_clean, p.customers_clean
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = features.customer_features(oc, p.t.sessions, cc)
+        lines = df._jdf.queryExecution().executedPlan().treeString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    found = 0
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" not in line:
+            continue
+        found += 1
+        below = next(x for x in lines[i + 1:] if "Aggregate(" in x or "Exchange" in x or "Scan" in x)
+        assert "Aggregate(keys=[]" in below, below
+    assert found >= 1
+    assert not any("SortMergeJoin" in x and "Cross" in x for x in lines)
