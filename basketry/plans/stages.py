@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import threading
 import uuid
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,9 +99,17 @@ class AnalyticsRun:
                 del _RUNS[key]
 
     # -- cleaned tables ---------------------------------------------------
+    @cached_property
+    def tables(self) -> Tables:
+        """Source tables; a text source's orders are parsed once and staged as
+        parquet, since both the cleaning and the dashboard's raw view read them."""
+        if self.t.columnar or not self.materialize:
+            return self.t
+        return replace(self.t, orders=self.stage("orders_raw", self.t.orders))
+
     @cached_property
     def orders_dedup(self) -> DataFrame:
-        return self.stage("orders_dedup", clean.dedup_orders(self.t))
+        return self.stage("orders_dedup", clean.dedup_orders(self.tables))
 
     @cached_property
     def orders_flagged(self) -> DataFrame:
@@ -122,7 +131,7 @@ class AnalyticsRun:
     @cached_property
     def orders_valid(self) -> DataFrame:
         """Dashboard view: raw rows (no dedup), cancellations removed."""
-        return clean.valid_raw_orders(self.t)
+        return clean.valid_raw_orders(self.tables)
 
     # -- features and summaries ---------------------------------------------
     @cached_property

@@ -32,6 +32,9 @@ class Tables:
     # keep-first order for duplicated keys (total order expected)
     order_tiebreak: list = field(default_factory=list)
     customer_tiebreak: list = field(default_factory=list)
+    # columnar sources (parquet) are cheap to re-read with column pruning;
+    # text sources (CSV) are parsed once and staged before repeated use
+    columnar: bool = True
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {"customers": self.customers, "products": self.products,
@@ -185,4 +188,5 @@ def read_csv_tables(spark: SparkSession, data_dir: str) -> Tables:
         sessions=read_csv(spark, f"{d}/website_sessions.csv", schemas.SESSIONS),
         order_tiebreak=["_file", "_pos"],
         customer_tiebreak=["_file", "_pos"],
+        columnar=False,
     )
