@@ -20,15 +20,21 @@ from pyspark.sql import functions as F
 from basketry.operators.scalar import combine
 
 
+def _q(name: str):
+    """Column by exact name (dots or spaces in a name are not nesting)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def keep_first(df: DataFrame, keys: str | Sequence[str], order: Sequence[str]) -> DataFrame:
     keys = [keys] if isinstance(keys, str) else list(keys)
     if not order:
         raise ValueError("keep_first needs an ordering: the first row is only defined by one")
     order = [c for c in order if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*[F.col(c) for c in order + rest])
-    first = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
-    return first.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in order + rest]).select(*df.columns)
+    packed = F.struct(*[_q(c) for c in order + rest])
+    first = df.groupBy(*[_q(k) for k in keys]).agg(F.min(packed).alias("_first"))
+    fields = [F.col("_first").getField(c).alias(c) for c in order + rest]
+    return first.select(*[_q(k) for k in keys], *fields).select(*[_q(c) for c in df.columns])
 
 
 def duplicates_removed(before: DataFrame, after: DataFrame) -> DataFrame:
