@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.dates import date_text
 from basketry.functions.flags import bool_mean, exact_mean, np_round
-from basketry.operators.quantile import exact_median
+from basketry.operators.quantile import exact_quantiles
 from basketry.plans.trends import money_mean, money_sum
 from basketry.operators.scalar import combine
 
@@ -60,13 +60,20 @@ def value_counts(df: DataFrame, col: str, name: str = "orders") -> DataFrame:
 
 def rfm_stats(rfm: DataFrame) -> DataFrame:
     """1 row: exact mean and median of recency, frequency, monetary.  ``rfm``
-    is the RFM table or the feature table (same customers, same columns)."""
+    is the RFM table or the feature table (same customers, same columns).
+    The three medians come from one quantile pass over the unpivoted
+    (metric, value) rows, grouped by metric."""
     means = rfm.groupBy().agg(
         F.avg("recency_days").alias("recency_days_mean"),
         F.avg("frequency").alias("frequency_mean"),
         exact_mean("monetary", 4).alias("monetary_mean"))
-    out = means
-    for c in ["recency_days", "frequency", "monetary"]:
-        out = combine(out, exact_median(rfm, c, f"{c}_median"))
-    return out.select("recency_days_mean", "recency_days_median", "frequency_mean",
-                      "frequency_median", "monetary_mean", "monetary_median")
+    metrics = ["recency_days", "frequency", "monetary"]
+    long = rfm.select(F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics
+    ])).alias("_m")).select("_m.*")
+    med = exact_quantiles(long, "value", [0.5], ["median"], by=["metric"])
+    wide = med.groupBy().agg(*[F.max(F.when(F.col("metric") == m, F.col("median"))).alias(f"{m}_median")
+                               for m in metrics])
+    return combine(means, wide).select(
+        "recency_days_mean", "recency_days_median", "frequency_mean",
+        "frequency_median", "monetary_mean", "monetary_median")

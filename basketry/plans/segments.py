@@ -175,28 +175,29 @@ BOX_METRICS = ["recency_days", "frequency", "monetary"]
 
 def segment_box_stats(segmented: DataFrame) -> DataFrame:
     """Per segment and metric: min, q1, median, q3, max (exact, linear) and the
-    whisker ends: the most extreme values within 1.5 IQR of the quartiles."""
-    out = None
-    for m in BOX_METRICS:
-        q = exact_quantiles(segmented, m, [0.25, 0.5, 0.75], ["q1", "median", "q3"], by=["segment"])
-        q = q.withColumn("_iqr", F.col("q3") - F.col("q1"))
-        pts = segmented.select("segment", F.col(m).cast("double").alias("_x")) \
-                       .join(F.broadcast(q), "segment", "inner")
-        lo_fence = F.col("q1") - 1.5 * F.col("_iqr")
-        hi_fence = F.col("q3") + 1.5 * F.col("_iqr")
-        agg = pts.groupBy("segment").agg(
-            F.min("_x").alias("min"), F.max("_x").alias("max"),
-            F.min(F.when(F.col("_x") >= lo_fence, F.col("_x"))).alias("lower_whisker"),
-            F.max(F.when(F.col("_x") <= hi_fence, F.col("_x"))).alias("upper_whisker"))
-        # inputs carry <= 4 decimals and quartile fractions are quarters, so
-        # the exact quartiles have <= 6 decimals: rounding to 6 removes the
-        # last-bit noise of the floating interpolation
-        r = q.join(agg, "segment").select(
-            "segment", F.lit(m).alias("metric"), "min",
-            *[F.round(c, 6).alias(c) for c in ["q1", "median", "q3"]], "max",
-            "lower_whisker", "upper_whisker")
-        out = r if out is None else out.unionByName(r)
-    return out
+    whisker ends: the most extreme values within 1.5 IQR of the quartiles.
+    The three metrics are unpivoted to (segment, metric, x) rows so one
+    quantile pass and one aggregate serve them all."""
+    long = segmented.select("segment", F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("_x")) for m in BOX_METRICS
+    ])).alias("_m")).select("segment", "_m.*")
+    q = exact_quantiles(long, "_x", [0.25, 0.5, 0.75], ["q1", "median", "q3"], by=["segment", "metric"])
+    q = q.withColumn("_iqr", F.col("q3") - F.col("q1"))
+    # (segment, metric) rows: bounded by segments x 3
+    pts = long.join(F.broadcast(q), ["segment", "metric"], "inner")
+    lo_fence = F.col("q1") - 1.5 * F.col("_iqr")
+    hi_fence = F.col("q3") + 1.5 * F.col("_iqr")
+    agg = pts.groupBy("segment", "metric").agg(
+        F.min("_x").alias("min"), F.max("_x").alias("max"),
+        F.min(F.when(F.col("_x") >= lo_fence, F.col("_x"))).alias("lower_whisker"),
+        F.max(F.when(F.col("_x") <= hi_fence, F.col("_x"))).alias("upper_whisker"))
+    # inputs carry <= 4 decimals and quartile fractions are quarters, so the
+    # exact quartiles have <= 6 decimals: rounding to 6 removes the last-bit
+    # noise of the floating interpolation
+    return q.join(agg, ["segment", "metric"]).select(
+        "segment", "metric", "min",
+        *[F.round(c, 6).alias(c) for c in ["q1", "median", "q3"]], "max",
+        "lower_whisker", "upper_whisker")
 
 
 def segment_pref_category(segmented: DataFrame) -> DataFrame:
