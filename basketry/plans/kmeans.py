@@ -38,27 +38,44 @@ CLUSTER_FEATURES = ["recency_days", "frequency", "monetary", "avg_order_value",
 LOG_FEATURES = ["monetary", "frequency", "avg_order_value"]
 
 
+def _transformed(c: str) -> F.Column:
+    x = F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    return F.log1p(x) if c in LOG_FEATURES else x
+
+
 def feature_matrix(features: DataFrame) -> DataFrame:
-    cols = []
-    for c in CLUSTER_FEATURES:
-        x = F.coalesce(F.col(c).cast("double"), F.lit(0.0))
-        cols.append((F.log1p(x) if c in LOG_FEATURES else x).alias(c))
-    return features.select("customer_id", *cols)
+    return features.select("customer_id", *[_transformed(c).alias(c) for c in CLUSTER_FEATURES])
 
 
-def standardize(matrix: DataFrame) -> DataFrame:
-    stats = matrix.groupBy().agg(*[F.avg(c).alias(f"_mu_{c}") for c in CLUSTER_FEATURES],
-                                 *[F.stddev_pop(c).alias(f"_sd_{c}") for c in CLUSTER_FEATURES])
-    out = attach(matrix, stats)
-    for c in CLUSTER_FEATURES:
+def standardize_cols(df: DataFrame, cols) -> DataFrame:
+    """Replace ``cols`` by (x - mean) / population std (a zero std scales by
+    1), statistics from one global aggregate attached as a 1-row frame."""
+    stats = df.groupBy().agg(*[F.avg(c).alias(f"_mu_{c}") for c in cols],
+                             *[F.stddev_pop(c).alias(f"_sd_{c}") for c in cols])
+    out = attach(df, stats)
+    for c in cols:
         sd = F.col(f"_sd_{c}")
         scale = F.when(sd.isNull() | (sd == 0), F.lit(1.0)).otherwise(sd)
         out = out.withColumn(c, (F.col(c) - F.col(f"_mu_{c}")) / scale)
-    return out.select("customer_id", *CLUSTER_FEATURES)
+    return out.drop(*[f"_mu_{c}" for c in cols], *[f"_sd_{c}" for c in cols])
+
+
+def standardize(matrix: DataFrame) -> DataFrame:
+    return standardize_cols(matrix, CLUSTER_FEATURES).select("customer_id", *CLUSTER_FEATURES)
+
+
+# standardised copies of the cluster features, kept next to the feature
+# columns so that assigning clusters is a projection, not a join
+Z_FEATURES = [f"z_{c}" for c in CLUSTER_FEATURES]
+
+
+def with_scaled(features: DataFrame) -> DataFrame:
+    wide = features.select("*", *[_transformed(c).alias(f"z_{c}") for c in CLUSTER_FEATURES])
+    return standardize_cols(wide, Z_FEATURES)
 
 
-def assemble(scaled: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=CLUSTER_FEATURES, outputCol="features") \
+def assemble(scaled: DataFrame, cols=CLUSTER_FEATURES) -> DataFrame:
+    return VectorAssembler(inputCols=list(cols), outputCol="features") \
         .transform(scaled).select("customer_id", "features")
 
 
@@ -147,7 +164,7 @@ class Segmentation:
         self.n_init = n_init
         self.seed = seed
         self.engine = engine
-        scaled = standardize(feature_matrix(features))
+        scaled = with_scaled(features)
         # every iteration re-plans over this input: always cut its lineage,
         # as a staged parquet table or a reliable checkpoint (shared folder)
         if stage is not None:
@@ -160,7 +177,7 @@ class Segmentation:
         self.metrics: dict[int, tuple[float, float]] = {}
 
     def _vectors(self) -> DataFrame:
-        return assemble(self.scaled)
+        return assemble(self.scaled, Z_FEATURES)
 
     def fit_all(self) -> None:
         todo = [k for k in dict.fromkeys(self.ks + [self.final_k]) if k not in self.centers]
@@ -173,14 +190,14 @@ class Segmentation:
                      for k, m in fitted.items()}
         else:
             from basketry.operators import multikmeans as mk
-            pts = mk.prepare(self.scaled, "customer_id", CLUSTER_FEATURES) \
+            pts = mk.prepare(self.scaled, "customer_id", Z_FEATURES) \
                     .persist(StorageLevel.MEMORY_AND_DISK)
             runs = mk.fit_runs(pts, mk.make_runs(todo, self.n_init, self.seed))
             found = {k: (r.centers, r.inertia) for k, r in mk.best_per_k(runs).items()}
             pts.unpersist()
         def sil(k):
-            pred = VectorAssembler(inputCols=CLUSTER_FEATURES, outputCol="features").transform(
-                self.scaled.withColumn("cluster", predict_expr(found[k][0])))
+            pred = VectorAssembler(inputCols=Z_FEATURES, outputCol="features").transform(
+                self.scaled.withColumn("cluster", predict_expr(found[k][0], Z_FEATURES)))
             return ClusteringEvaluator(featuresCol="features", predictionCol="cluster",
                                        metricName="silhouette",
                                        distanceMeasure="squaredEuclidean").evaluate(pred)
@@ -205,8 +222,9 @@ class Segmentation:
         spend (desc), then mean recency, then the model's id, so positional
         labels do not depend on arbitrary model ids."""
         self.fit_all()
-        pred = self.scaled.select("customer_id", predict_expr(self.centers[self.final_k]).alias("_raw"))
-        joined = self.features.join(pred, "customer_id", "inner")
+        # the staged input holds the feature columns too: a projection, no join
+        joined = self.scaled.withColumn("_raw", predict_expr(self.centers[self.final_k], Z_FEATURES)) \
+                            .drop(*Z_FEATURES)
         order = joined.groupBy("_raw").agg(F.avg("monetary").alias("_m"), F.avg("recency_days").alias("_r"))
         renum = order.select("_raw", (F.row_number().over(
             Window.orderBy(F.desc("_m"), F.asc("_r"), F.asc("_raw"))) - 1).cast("int").alias("cluster"))
