@@ -80,9 +80,13 @@ class AnalyticsRun:
         return self.spark.read.parquet(path)
 
     def close(self) -> None:
-        """Delete this run's stage folder (only ``basketry-stages/<run_id>``).
+        """Release the KMeans cache and delete this run's stage folder (only
+        ``basketry-stages/<run_id>``).
         Call once every result of the run has been written: staged frames
         read lazily from it."""
+        seg = self.__dict__.get("segmentation")
+        if seg is not None:
+            seg.scaled.unpersist()
         if self._root is None:
             return
         jvm = self.spark.sparkContext._jvm
