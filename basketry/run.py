@@ -95,7 +95,8 @@ def main(argv=None) -> None:
     out = results(p)
     if a.dashboard:
         out.update({f"dashboard_{k}": v for k, v in dashboard(p).items()})
-    for name, path in files.write_results(out, a.out, a.format).items():
+    json_names = ("business_insights", "summary")
+    for name, path in files.write_results(out, a.out, a.format, json_names).items():
         print(f"{name}: {path}")
     p.close()
 

@@ -44,11 +44,15 @@ def read_json(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return r.json(path)
 
 
-def write_results(results: dict[str, DataFrame], out_dir: str, fmt: str = "parquet") -> dict[str, str]:
+def write_results(results: dict[str, DataFrame], out_dir: str, fmt: str = "parquet",
+                  json_names: tuple = ()) -> dict[str, str]:
+    """One folder per result: CSV/parquet, or JSON for nested results and
+    for the names in ``json_names``."""
     paths = {}
     for name, df in results.items():
         p = f"{out_dir.rstrip('/')}/{name}"
-        if fmt == "csv" and any(t.startswith(("struct", "array", "map")) for _, t in df.dtypes):
+        nested = any(t.startswith(("struct", "array", "map")) for _, t in df.dtypes)
+        if name in json_names or (fmt == "csv" and nested):
             write_json(df, p)
         else:
             write_table(df, p, fmt)

@@ -24,6 +24,8 @@ def test_job_writes_all_results(spark):
     assert set(payload.asDict()) == {"eda_summary", "elbow_data", "cluster_mapping", "insights"}
     assert payload.elbow_data.k == [2, 3, 4, 5, 6, 7, 8] and len(payload.insights) == 7
     assert len(payload.cluster_mapping.asDict()) == 5
+    ins = spark.read.json(f"{out}/business_insights").orderBy("n").collect()
+    assert [r.n for r in ins] == list(range(1, 8))
     seg = spark.read.option("header", True).csv(f"{out}/customer_features_segmented")
     assert seg.count() == spark.read.option("header", True).csv(f"{out}/customer_features").count()
 
