@@ -36,6 +36,10 @@ from pyspark.sql import functions as F
 
 _M64 = (1 << 64) - 1
 
+# Per-task rows a pass may hand to the driver directly (partitions x sum(k),
+# or partitions x candidates); above it a Spark aggregate folds them first.
+DRIVER_FOLD_ROWS = 200_000
+
 # The per-batch functions below run in Python workers; ship them (and the
 # helpers they call) by value so workers need not import this package.
 try:
@@ -91,12 +95,12 @@ def _propose(points: DataFrame, runs: list[Run], todo: list[int], step: int, dim
     xs = [f"x{d}" for d in range(dims)]
 
     def propose(batches):
+        best: dict = {}    # (run, trial) -> (key, point), kept across the task's batches
         for pdf in batches:
             if pdf.empty:
                 continue
             X = pdf[xs].to_numpy(dtype=np.float64)
             h = pdf["h"].to_numpy()
-            out = []
             for i in todo:
                 d2 = _sqdist(X, cents[i]).min(axis=1) if i in cents else None
                 for trial in range(trials[i]):
@@ -107,13 +111,21 @@ def _propose(points: DataFrame, runs: list[Run], todo: list[int], step: int, dim
                         with np.errstate(divide="ignore"):
                             key = np.where(d2 > 0, -np.log(u) / d2, np.inf)
                     j = int(np.argmin(key))
-                    if np.isfinite(key[j]):
-                        out.append((i, trial, float(key[j]), *X[j].tolist()))
-            yield pd.DataFrame(out, columns=["run", "trial", "key", *xs])
+                    if np.isfinite(key[j]) and ((i, trial) not in best or key[j] < best[(i, trial)][0]):
+                        best[(i, trial)] = (float(key[j]), X[j].tolist())
+        if best:
+            yield pd.DataFrame([(i, t, k, *x) for (i, t), (k, x) in best.items()],
+                               columns=["run", "trial", "key", *xs])
 
     schema = "run int, trial int, key double, " + ", ".join(f"{x} double" for x in xs)
-    best = (points.mapInPandas(propose, schema).groupBy("run", "trial")
-                  .agg(F.min_by(F.array(*xs), F.col("key")).alias("c")).collect())
+    parts = points.mapInPandas(propose, schema)
+    if points.rdd.getNumPartitions() * sum(trials.values()) <= DRIVER_FOLD_ROWS:
+        picked: dict = {}
+        for r in parts.collect():
+            if (r.run, r.trial) not in picked or r.key < picked[(r.run, r.trial)][0]:
+                picked[(r.run, r.trial)] = (r.key, [r[x] for x in xs])
+        return {k: v[1] for k, v in picked.items()}
+    best = parts.groupBy("run", "trial").agg(F.min_by(F.array(*xs), F.col("key")).alias("c")).collect()
     return {(r.run, r.trial): list(r.c) for r in best}
 
 
@@ -170,11 +182,6 @@ def kmeans_pp_init(points: DataFrame, runs: list[Run], dims: int, greedy: bool =
             runs[i].centers.append(cands[(i, best)])
 
 
-# Partial-sum rows a pass may hand to the driver directly (partitions x sum(k));
-# above it the partials are folded by a Spark aggregate first.
-DRIVER_FOLD_ROWS = 200_000
-
-
 def _partials(points: DataFrame, runs: list[Run], ids: list[int], dims: int) -> list:
     """Per (run, cluster): n, coordinate sums x0.., cost.  Each task folds all
     its Arrow batches into one sum(k)-row table; the tables are summed on the
