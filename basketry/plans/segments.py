@@ -4,7 +4,9 @@
 Everything downstream of the k-row cluster profile works on DataFrames whose
 size is bounded by k (clusters) or the number of segment names, so broadcasts
 of those frames are bounded by construction.  The per-customer inputs (the
-feature table) are only ever aggregated or joined against those small frames.
+feature table) are aggregated or joined against those small frames; the one
+customer-grain join (the weekday pattern's semi-join with the segmented ids)
+runs on (customer, weekday) counts, not on order rows.
 """
 
 from __future__ import annotations
