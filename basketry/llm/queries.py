@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, mixing, url_rules
+from basketry.llm import chat, mixing, secrets, url_rules
 from basketry.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +121,57 @@ SELECT conv_id, count(*) AS n_turns,
          AS formatted_chars
 FROM esc GROUP BY conv_id
 """
+
+
+@query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base findings and linked weak findings of every document."""
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+SQL["op8_secret_scan"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+pat(rank, kind, re, grp, least) AS (VALUES
+  (0, 'assign', '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 12),
+  (1, 'access', 'AKIA[A-Z0-9]+', 0, 18), (2, 'hex', '[0-9a-f]{16,}', 0, 16),
+  (5, 'key40', '[A-Za-z0-9/+]{40,}', 0, 40),
+  (9, 'endpoint', '[A-Za-z][A-Za-z0-9+.-]*://[^\x20\x09-\x0D"''<>]+', 0, 1)),
+cut AS (
+  SELECT r, 0 AS rank, 'assign' AS kind, string_split_regex(text, (SELECT re FROM pat WHERE rank = 0)) AS pieces,
+         regexp_extract_all(text, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 0) AS found,
+         regexp_extract_all(text, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2) AS val FROM d
+  UNION ALL SELECT r, 1, 'access', string_split_regex(text, 'AKIA[A-Z0-9]+'),
+         regexp_extract_all(text, 'AKIA[A-Z0-9]+'), regexp_extract_all(text, 'AKIA[A-Z0-9]+') FROM d
+  UNION ALL SELECT r, 2, 'hex', string_split_regex(text, '[0-9a-f]{16,}'),
+         regexp_extract_all(text, '[0-9a-f]{16,}'), regexp_extract_all(text, '[0-9a-f]{16,}') FROM d
+  UNION ALL SELECT r, 5, 'key40', string_split_regex(text, '[A-Za-z0-9/+]{40,}'),
+         regexp_extract_all(text, '[A-Za-z0-9/+]{40,}'), regexp_extract_all(text, '[A-Za-z0-9/+]{40,}') FROM d
+  UNION ALL SELECT r, 9, 'endpoint', string_split_regex(text, '[A-Za-z][A-Za-z0-9+.-]*://[^\x20\x09-\x0D"''<>]+'),
+         regexp_extract_all(text, '[A-Za-z][A-Za-z0-9+.-]*://[^\x20\x09-\x0D"''<>]+'),
+         regexp_extract_all(text, '[A-Za-z][A-Za-z0-9+.-]*://[^\x20\x09-\x0D"''<>]+') FROM d),
+one AS (SELECT r, rank, kind, unnest(found) AS m, unnest(val) AS v, unnest(range(1, len(found) + 1)) AS i, pieces, found
+        FROM cut WHERE len(found) > 0),
+hit AS (SELECT r, rank, kind, v, length(v) AS n, length(m) AS mlen,
+               (list_sum(list_transform(pieces[1:i], lambda x: length(x)))
+                + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0))::BIGINT AS s
+        FROM one),
+part AS (
+  SELECT r, s, s + mlen AS e,
+         CASE WHEN kind = 'assign' AND n >= 12 THEN 0 WHEN kind = 'access' AND n >= 18 THEN 1 WHEN kind = 'hex' THEN 2
+              WHEN kind = 'assign' AND n >= 6 THEN 3 WHEN kind = 'access' AND n >= 16 THEN 4
+              WHEN kind = 'key40' AND n = 40 AND regexp_matches(v, '[A-Z]') AND regexp_matches(v, '[a-z]')
+                   AND regexp_matches(v, '[0-9]') THEN 5
+              WHEN kind = 'endpoint' THEN 9 END AS k FROM hit),
+shown AS (
+  SELECT * FROM part WHERE k <= 2
+  UNION ALL
+  SELECT * FROM part w WHERE k IN (3, 4, 5) AND EXISTS (
+    SELECT 1 FROM part c WHERE c.r = w.r AND c.s - w.e <= 200 AND w.s - c.e <= 200 AND (c.s <> w.s OR c.e <> w.e)
+      AND ((w.k IN (3, 5) AND c.k IN (1, 4, 9)) OR (w.k = 4 AND c.k IN (0, 2, 3, 5))))),
+txt AS (SELECT r, k, s, ['assign', 'access', 'hex', 'assign_short', 'access_short', 'key40'][k + 1] || ':' || s || ':' || e AS t FROM shown)
+SELECT doc_id,
+       count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access, count(*) FILTER (WHERE k = 2) AS n_hex,
+       sha256(coalesce(string_agg(t, ',' ORDER BY s, k) FILTER (WHERE k <= 2), '')) AS base_sha256,
+       coalesce(string_agg(t, ',' ORDER BY s, k), '') AS spans
+FROM d LEFT JOIN txt USING (r) GROUP BY d.r, doc_id
+"""
