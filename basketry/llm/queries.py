@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, mixing, secrets, url_rules
+from basketry.llm import chat, language, mixing, secrets, url_rules
 from basketry.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,13 +131,8 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL["op8_secret_scan"] = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
-pat(rank, kind, re, grp, least) AS (VALUES
-  (0, 'assign', '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 12),
-  (1, 'access', 'AKIA[A-Z0-9]+', 0, 18), (2, 'hex', '[0-9a-f]{16,}', 0, 16),
-  (5, 'key40', '[A-Za-z0-9/+]{40,}', 0, 40),
-  (9, 'endpoint', '[A-Za-z][A-Za-z0-9+.-]*://[^\x20\x09-\x0D"''<>]+', 0, 1)),
 cut AS (
-  SELECT r, 0 AS rank, 'assign' AS kind, string_split_regex(text, (SELECT re FROM pat WHERE rank = 0)) AS pieces,
+  SELECT r, 0 AS rank, 'assign' AS kind, string_split_regex(text, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)') AS pieces,
          regexp_extract_all(text, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 0) AS found,
          regexp_extract_all(text, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2) AS val FROM d
   UNION ALL SELECT r, 1, 'access', string_split_regex(text, 'AKIA[A-Z0-9]+'),
@@ -175,3 +170,12 @@ SELECT doc_id,
        coalesce(string_agg(t, ',' ORDER BY s, k), '') AS spans
 FROM d LEFT JOIN txt USING (r) GROUP BY d.r, doc_id
 """
+
+
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit_documents(docs)
+    return language.label_languages(docs.select("doc_id", "text"), model) \
+        .select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
