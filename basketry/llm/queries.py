@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, language, mixing, secrets, url_rules
+from basketry.llm import chat, decontaminate, language, mixing, secrets, url_rules
 from basketry.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -179,3 +179,9 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.fit_documents(docs)
     return language.label_languages(docs.select("doc_id", "text"), model) \
         .select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+@query
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in documents, up to a quarter of the words edited."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

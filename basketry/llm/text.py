@@ -71,8 +71,9 @@ class Words:
         at = np.arange(self.starts[0], len(self.data)) - np.repeat(self.starts, span)
         body = self.data[self.starts[0]:]
         val = (body.astype(np.uint64) + np.uint64(1)) * _powers(int(span.max()) + 1)[at]
-        val[_SPACE[body]] = 0
-        size = (self.ends - self.starts).astype(np.uint64)
+        size = self.ends - self.starts
+        val[at >= np.repeat(size, span)] = 0
+        size = size.astype(np.uint64)
         return mix64(np.add.reduceat(val, self.starts - self.starts[0]) + size * _M2)
 
 
@@ -105,9 +106,10 @@ def word_chunks(col: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Words
         yield split_words(lo, hi, _LOWER[raw], off)
 
 
-def split_words(lo: int, hi: int, data: np.ndarray, off: np.ndarray) -> Words:
-    """Word bounds in lower-cased bytes; a word never crosses a row's end."""
-    solid = ~_SPACE[data]
+def split_words(lo: int, hi: int, data: np.ndarray, off: np.ndarray, gap: np.ndarray = _SPACE) -> Words:
+    """Word bounds in lower-cased bytes (``gap``: the bytes between words); a word
+    never crosses a row's end."""
+    solid = ~gap[data]
     cut = np.zeros(len(data) + 1, dtype=bool)
     cut[off] = True
     before = np.empty(len(data), dtype=bool)
@@ -129,7 +131,7 @@ def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
         return words[:0]
     width = min(k, n)
     p = _powers(width)
-    acc = np.full(n - width + 1, np.uint64(width) * _M1, dtype=np.uint64)
+    acc = np.full(n - width + 1, width * int(_M1) % 2 ** 64, dtype=np.uint64)
     for i in range(width):
         acc += words[i:n - width + 1 + i] * p[width - 1 - i]
     return mix64(acc)
