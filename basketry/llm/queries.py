@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, decontaminate, language, mixing, secrets, url_rules
+from basketry.llm import chat, decontaminate, language, mixing, secrets, shingle_join, url_rules
 from basketry.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -185,3 +185,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in documents, up to a quarter of the words edited."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document."""
+    return shingle_join.link_components(table(spark, sf_dir, "documents").select("doc_id", "text")) \
+        .select("doc_id", "n_shingles", "component_id")
