@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, decontaminate, language, mixing, secrets, shingle_join, url_rules
+from basketry.llm import chat, decontaminate, language, mixing, secrets, shingle_join, suffix_tree, url_rules
 from basketry.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -192,3 +192,9 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of every document."""
     return shingle_join.link_components(table(spark, sf_dir, "documents").select("doc_id", "text")) \
         .select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram base score and suffix-tree score of every document."""
+    return suffix_tree.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
