@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, decontaminate, language, mixing, secrets, shingle_join, suffix_tree, url_rules
+from basketry.llm import chat, decontaminate, html_text, language, mixing, secrets, shingle_join, suffix_tree, url_rules
 from basketry.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,3 +198,10 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram base score and suffix-tree score of every document."""
     return suffix_tree.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract_main_text(pages, html_text.fit_weights(pages)).select("page_id", "url", "text", "n_chars")

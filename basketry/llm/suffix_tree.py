@@ -39,9 +39,9 @@ from pyspark.sql import functions as F
 from basketry.llm.tables import shared_table, shuffle_width
 from basketry.llm.text import Words, mix64, text_column, word_chunks
 
-DEPTH = 5
-P_MIN = 3e-5
-GAIN = 20.0
+DEPTH = 6
+P_MIN = 5e-6
+GAIN = 3.0
 HOT = 1 / 2500
 SEGMENT = 512
 MERGE_ROWS = 4_000_000
