@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, decontaminate, html_text, language, mixing, secrets, shingle_join, suffix_tree, url_rules
+from basketry.llm import chat, decontaminate, hamming, html_text, language, mixing, secrets, shingle_join, suffix_tree, url_rules
 from basketry.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -205,3 +205,21 @@ def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_text.extract_main_text(pages, html_text.fit_weights(pages)).select("page_id", "url", "text", "n_chars")
+
+
+@query
+def op6_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest sign codes of every row whose id is divisible by 100."""
+    return hamming.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+SQL["op6_hamming_topk"] = r"""
+WITH c AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: coalesce(x, 0) > 0) AS code FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(embedding) > 0),
+d AS (SELECT q.vec_id AS query_id, q.code AS query, c.vec_id,
+             len(list_filter(list_zip(q.code, c.code), lambda p: p[1] <> p[2]))::INTEGER AS distance
+      FROM c q JOIN c ON len(q.code) = len(c.code) AND q.vec_id <> c.vec_id
+      WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id, query ORDER BY distance, vec_id)::INTEGER AS rank FROM d)
+SELECT query_id, rank, vec_id, distance FROM r WHERE rank <= 10
+"""
