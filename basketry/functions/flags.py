@@ -26,14 +26,17 @@ def bool_mean(col: str) -> Column:
     return F.avg(F.col(col).cast("double"))
 
 
-def exact_mean(col: str, scale: int = 6) -> Column:
-    """Mean of a double column from an exact decimal sum.
-
-    A double ``avg`` depends on the order rows are added in (partitioning,
-    retries); summing ``decimal(24, scale)`` is exact, so the mean is the same
-    on every run and layout.  Values carry at most ``scale`` decimals here."""
-    v = F.col(col).cast(f"decimal(24,{scale})")
-    return F.sum(v).cast("double") / F.count(v)
+def stable_mean(col: str) -> Column:
+    """Mean of a double column that doesn't depend on the order of the rows.
+
+    A double sum depends on the order rows are added in (partitioning, retries).
+    Each value is split, without loss, into a multiple of 2^-20 and a rest
+    below 2^-20: sums of the multiples are exact up to 2^33, and the rests are too
+    small for their order to show.  Nothing is rounded away; sums beyond
+    2^33 are ordinary double sums."""
+    x = F.col(col).cast("double")
+    grid = F.when(F.abs(x) < float(2 ** 42), F.floor(x * float(2 ** 20)).cast("double") / float(2 ** 20)).otherwise(x)
+    return (F.sum(grid) + F.sum(x - grid)) / F.count(x)
 
 
 def np_round(col, digits: int) -> Column:

@@ -139,9 +139,18 @@ def with_ctes(needs: list[str], body: str, extra: list[tuple[str, list[str]]] |
 SQL: dict[str, str] = {}
 
 
-def exact_mean(col: str, scale: int = 6) -> str:
-    """Same rule as ``basketry.functions.flags.exact_mean``."""
-    return f"CAST(sum(CAST({col} AS DECIMAL(24,{scale}))) AS DOUBLE) / count({col})"
+def stable_mean(col: str) -> str:
+    """Mean from sums of the multiples of 2^-20 in each value and of the rests."""
+    x = f"CAST({col} AS DOUBLE)"
+    grid = f"CASE WHEN abs({x}) < 4398046511104 THEN floor({x} * 1048576.0::DOUBLE) / 1048576.0::DOUBLE ELSE {x} END"
+    return f"(sum({grid}) + sum({x} - {grid})) / count({col})"
+
+
+def interpolated(p: float) -> str:
+    """Quantile p of x from its zero-based rank rn among n values of the group."""
+    lo = f"max(x) FILTER (WHERE rn = floor({p}::DOUBLE * (n - 1)))"
+    hi = f"max(x) FILTER (WHERE rn = ceil({p}::DOUBLE * (n - 1)))"
+    return f"{lo} + ({hi} - {lo}) * max({p}::DOUBLE * (n - 1) - floor({p}::DOUBLE * (n - 1)))"
 
 
 def register(name: str, needs: list[str], body: str, extra=None) -> None:
@@ -215,11 +224,11 @@ INTERVALS = """intervals AS (
 register("purchase_intervals", ["orders_clean"], "SELECT * FROM intervals",
          extra=[(INTERVALS, ["orders_clean"])])
 
-WEB = """web AS (
+WEB = f"""web AS (
   SELECT customer_id,
          count(DISTINCT session_id) AS total_sessions,
          avg(pages_viewed) AS avg_pages_viewed,
-         CAST(sum(CAST(session_duration_min AS DECIMAL(24,6))) AS DOUBLE) / count(session_duration_min) AS avg_session_duration,
+         {stable_mean('session_duration_min')} AS avg_session_duration,
          avg(converted) AS conversion_rate
   FROM sessions_v GROUP BY customer_id)"""
 
@@ -331,7 +340,7 @@ RFM = f"""rfm AS (
 register("rfm_stats", ["orders_clean"], f"""
 SELECT avg(recency_days) AS recency_days_mean, median(recency_days) AS recency_days_median,
        avg(frequency) AS frequency_mean, median(frequency) AS frequency_median,
-       {exact_mean('monetary', 4)} AS monetary_mean, median(monetary) AS monetary_median
+       {stable_mean('monetary')} AS monetary_mean, median(monetary) AS monetary_median
 FROM rfm""", extra=[(RFM, ["orders_clean"])])
 
 register("cleaning_audit", ["orders_raw", "customers_raw"], """
@@ -385,8 +394,8 @@ CLUSTERED = """clustered AS (SELECT *, CAST(customer_id % 5 AS INTEGER) AS clust
 PROF = f"""prof AS (
   SELECT cluster, count(*) AS customers,
          avg(recency_days) AS recency_days, avg(frequency) AS frequency,
-         {exact_mean('monetary')} AS monetary, avg(tenure_days) AS tenure_days,
-         {exact_mean('discount_usage_rate')} AS discount_usage_rate
+         {stable_mean('monetary')} AS monetary, avg(tenure_days) AS tenure_days,
+         {stable_mean('discount_usage_rate')} AS discount_usage_rate
   FROM clustered GROUP BY cluster)"""
 MAPPING = """rules AS (
   SELECT 1 AS ord, 'High Value Customers' AS segment,
@@ -413,11 +422,11 @@ SEG = """seg AS (SELECT c.*, m.segment FROM clustered c LEFT JOIN mapping m ON c
 SEG_MEANS = f"""seg_means AS (
   SELECT segment, count(customer_id) AS customers,
          avg(recency_days) AS avg_recency_days, avg(frequency) AS avg_frequency,
-         {exact_mean('monetary')} AS avg_monetary, {exact_mean('avg_order_value')} AS avg_order_value,
-         {exact_mean('avg_basket_size')} AS avg_basket_size,
-         {exact_mean('discount_usage_rate')} AS discount_usage_rate,
-         {exact_mean('return_rate')} AS return_rate, avg(category_diversity) AS category_diversity,
-         {exact_mean('conversion_rate')} AS conversion_rate
+         {stable_mean('monetary')} AS avg_monetary, {stable_mean('avg_order_value')} AS avg_order_value,
+         {stable_mean('avg_basket_size')} AS avg_basket_size,
+         {stable_mean('discount_usage_rate')} AS discount_usage_rate,
+         {stable_mean('return_rate')} AS return_rate, avg(category_diversity) AS category_diversity,
+         {stable_mean('conversion_rate')} AS conversion_rate
   FROM seg GROUP BY segment),
 seg_top AS (
   SELECT segment, favorite_category AS top_category FROM (
@@ -462,7 +471,7 @@ FROM (SELECT segment, count(*) AS customers, max(count(*)) OVER () AS mx
 register("segment_leaders", [], f"""
 WITH means AS (
   SELECT segment, avg(recency_days) AS recency_days, avg(frequency) AS frequency,
-         {exact_mean('monetary')} AS monetary FROM seg GROUP BY segment)
+         {stable_mean('monetary')} AS monetary FROM seg GROUP BY segment)
 SELECT * FROM (SELECT 'most_recent' AS metric, segment, CAST(recency_days AS DOUBLE) AS value FROM means
                WHERE recency_days IS NOT NULL ORDER BY recency_days ASC, segment LIMIT 1)
 UNION ALL SELECT * FROM (SELECT 'most_frequent', segment, frequency FROM means
@@ -484,13 +493,14 @@ UNION ALL SELECT * FROM (SELECT 'largest_segment', segment, CAST(customers AS DO
 _BOX = []
 for _m in ["recency_days", "frequency", "monetary"]:
     _BOX.append(f"""SELECT q.segment, '{_m}' AS metric, min(CAST(s.{_m} AS DOUBLE)) AS min,
-       round(q.q1, 6) AS q1, round(q.median, 6) AS median, round(q.q3, 6) AS q3,
+       q.q1, q.median, q.q3,
        max(CAST(s.{_m} AS DOUBLE)) AS max,
        min(CAST(s.{_m} AS DOUBLE)) FILTER (WHERE s.{_m} >= q.q1 - 1.5 * (q.q3 - q.q1)) AS lower_whisker,
        max(CAST(s.{_m} AS DOUBLE)) FILTER (WHERE s.{_m} <= q.q3 + 1.5 * (q.q3 - q.q1)) AS upper_whisker
-FROM (SELECT segment, quantile_cont(CAST({_m} AS DOUBLE), 0.25) AS q1, quantile_cont(CAST({_m} AS DOUBLE), 0.5) AS median,
-             quantile_cont(CAST({_m} AS DOUBLE), 0.75) AS q3
-      FROM seg WHERE {_m} IS NOT NULL GROUP BY segment) q
+FROM (SELECT segment, {interpolated(0.25)} AS q1, {interpolated(0.5)} AS median, {interpolated(0.75)} AS q3
+      FROM (SELECT segment, CAST({_m} AS DOUBLE) AS x, row_number() OVER (PARTITION BY segment ORDER BY {_m}) - 1 AS rn,
+                   count(*) OVER (PARTITION BY segment) AS n
+            FROM seg WHERE {_m} IS NOT NULL) GROUP BY segment) q
 JOIN seg s ON s.segment IS NOT DISTINCT FROM q.segment
 GROUP BY q.segment, q.q1, q.median, q.q3""")
 register("segment_box_stats", [], "\nUNION ALL\n".join(_BOX), extra=SEG_DEPS)

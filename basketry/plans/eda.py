@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.dates import date_text
-from basketry.functions.flags import bool_mean, exact_mean, np_round
+from basketry.functions.flags import bool_mean, stable_mean, np_round
 from basketry.operators.quantile import exact_quantiles
 from basketry.plans.trends import money_mean, money_sum
 from basketry.operators.scalar import combine
@@ -66,12 +66,12 @@ def rfm_stats(rfm: DataFrame) -> DataFrame:
     means = rfm.groupBy().agg(
         F.avg("recency_days").alias("recency_days_mean"),
         F.avg("frequency").alias("frequency_mean"),
-        exact_mean("monetary", 4).alias("monetary_mean"))
+        stable_mean("monetary").alias("monetary_mean"))
     metrics = ["recency_days", "frequency", "monetary"]
     long = rfm.select(F.explode(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics
     ])).alias("_m")).select("_m.*")
-    med = exact_quantiles(long, "value", [0.5], ["median"], by=["metric"])
+    med = exact_quantiles(long, "value", [0.5], ["median"], by=["metric"], wide=True)
     wide = med.groupBy().agg(*[F.max(F.when(F.col("metric") == m, F.col("median"))).alias(f"{m}_median")
                                for m in metrics])
     return combine(means, wide).select(

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.dates import day_number, plus_days, second_of_day, whole_days
-from basketry.functions.flags import bool_mean, exact_mean, positive_share
+from basketry.functions.flags import bool_mean, stable_mean, positive_share
 from basketry.operators.quantile import fill_with_median
 from basketry.operators.scalar import attach, global_agg
 
@@ -102,10 +102,10 @@ def purchase_intervals(orders_clean: DataFrame) -> DataFrame:
 
 def web_features(sessions: DataFrame) -> DataFrame:
     """Per customer: distinct sessions, mean pages, mean duration, conversion."""
-    return sessions.groupBy("customer_id").agg(
+    return sessions.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
         F.count_distinct("session_id").alias("total_sessions"),
         F.avg("pages_viewed").alias("avg_pages_viewed"),
-        exact_mean("session_duration_min").alias("avg_session_duration"),
+        stable_mean("session_duration_min").alias("avg_session_duration"),
         F.avg("converted").alias("conversion_rate"))
 
 
@@ -123,7 +123,7 @@ def customer_features(orders_clean: DataFrame, sessions: DataFrame,
                .join(web_features(sessions), "customer_id", "left")
                .join(customers_clean.select("customer_id", *CUSTOMER_ATTRS), "customer_id", "left"))
     # same customer set as the feature rows, so the median needs only ``iv``
-    base = fill_with_median(base, "avg_purchase_interval_days", basis=iv)
+    base = fill_with_median(base, "avg_purchase_interval_days", basis=iv, wide=True)
     base = attach(base, snap).withColumns({
         "recency_days": whole_days("snapshot_date", "last_purchase"),
         "tenure_days": whole_days("snapshot_date", "signup_date"),

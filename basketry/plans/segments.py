@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.dates import WEEKDAYS, weekday_name
-from basketry.functions.flags import exact_mean, np_round
+from basketry.functions.flags import stable_mean, np_round
 from basketry.operators.domain import reindex
 from basketry.operators.quantile import exact_quantiles
 from basketry.operators.rank import argmax, argmin, average_rank, minmax_scale
@@ -44,7 +44,7 @@ DOUBLE_FEATURES = {"monetary", "avg_order_value", "avg_basket_size", "discount_u
 
 def mean_of(col: str) -> F.Column:
     """Order-independent mean: exact decimal sum for double features."""
-    return exact_mean(col) if col in DOUBLE_FEATURES else F.avg(col)
+    return stable_mean(col) if col in DOUBLE_FEATURES else F.avg(col)
 
 
 def fixed_clusters(features: DataFrame, k: int = 5) -> DataFrame:
@@ -183,7 +183,7 @@ def segment_box_stats(segmented: DataFrame) -> DataFrame:
     long = segmented.select("segment", F.explode(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("_x")) for m in BOX_METRICS
     ])).alias("_m")).select("segment", "_m.*")
-    q = exact_quantiles(long, "_x", [0.25, 0.5, 0.75], ["q1", "median", "q3"], by=["segment", "metric"])
+    q = exact_quantiles(long, "_x", [0.25, 0.5, 0.75], ["q1", "median", "q3"], by=["segment", "metric"], wide=True)
     q = q.withColumn("_iqr", F.col("q3") - F.col("q1"))
     # (segment, metric) rows: bounded by segments x 3
     pts = long.join(F.broadcast(q), ["segment", "metric"], "inner")
@@ -193,12 +193,8 @@ def segment_box_stats(segmented: DataFrame) -> DataFrame:
         F.min("_x").alias("min"), F.max("_x").alias("max"),
         F.min(F.when(F.col("_x") >= lo_fence, F.col("_x"))).alias("lower_whisker"),
         F.max(F.when(F.col("_x") <= hi_fence, F.col("_x"))).alias("upper_whisker"))
-    # inputs carry <= 4 decimals and quartile fractions are quarters, so the
-    # exact quartiles have <= 6 decimals: rounding to 6 removes the last-bit
-    # noise of the floating interpolation
     return q.join(agg, ["segment", "metric"]).select(
-        "segment", "metric", "min",
-        *[F.round(c, 6).alias(c) for c in ["q1", "median", "q3"]], "max",
+        "segment", "metric", "min", "q1", "median", "q3", "max",
         "lower_whisker", "upper_whisker")
 
 

@@ -25,10 +25,10 @@ def test_keep_first_equals_pandas_in_order(spark, data):
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows, st.sampled_from([0.0, 0.25, 0.5, 0.9, 1.0]), st.integers(1, 6))
-def test_exact_quantiles_equal_numpy(spark, data, p, parts):
+@given(rows, st.sampled_from([0.0, 0.25, 0.5, 0.9, 1.0]), st.booleans())
+def test_exact_quantiles_equal_numpy(spark, data, p, wide):
     df = spark.createDataFrame(data, "g int, x int, v double")
-    got = {r.g: r.q for r in exact_quantiles(df, "v", [p], ["q"], by=["g"], partitions=parts).collect()}
+    got = {r.g: r.q for r in exact_quantiles(df, "v", [p], ["q"], by=["g"], wide=wide).collect()}
     frame = pd.DataFrame(data, columns=["g", "x", "v"])
     for g, grp in frame.groupby("g"):
         assert got[g] == pytest.approx(float(np.quantile(grp["v"].to_numpy(), p)), rel=1e-9, abs=1e-9)

@@ -198,3 +198,18 @@ def test_reindex_drops_values_outside_domain(spark):
     agg = spark.createDataFrame([("Monday", 1), ("Funday", 2)], "weekday string, n int")
     out = reindex(agg, "weekday", ["Monday", "Tuesday"]).collect()
     assert [(r.weekday, r.n) for r in out] == [("Monday", 1), ("Tuesday", None)]
+
+
+def test_means_of_tiny_values_are_kept(spark):
+    from basketry.functions.flags import stable_mean
+    df = spark.createDataFrame([(1e-7,), (2e-7,), (None,)], "x double")
+    assert abs(df.agg(stable_mean("x").alias("m")).first().m - 1.5e-7) < 1e-20
+    big = spark.createDataFrame([(1e300,), (1e300,)], "x double")
+    assert big.agg(stable_mean("x").alias("m")).first().m == 1e300
+
+
+def test_sessions_without_customer_are_no_group(spark):
+    from basketry.plans.features import web_features
+    s = spark.createDataFrame([("s1", None, 1, 1.0, 0), ("s2", 5, 2, 2.0, 1)],
+                              "session_id string, customer_id int, pages_viewed int, session_duration_min double, converted int")
+    assert [r.customer_id for r in web_features(s).collect()] == [5]
