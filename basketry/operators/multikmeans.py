@@ -19,7 +19,9 @@ doubles, bounded by the sweep, not by the data).
   them;
 * convergence: a run stops when the summed squared centre shift is at most
   ``tol * mean feature variance`` (the reference's rule); an emptied cluster
-  keeps its previous centre;
+  keeps its previous centre (the reference's library moves it to a far point
+  instead, so a run here can end with fewer than k non-empty clusters; with
+  ten starts per k the best run is kept, and planted blobs are recovered);
 * inertia: sum of squared distances to the final centres (one extra pass).
 """
 
@@ -36,10 +38,6 @@ from pyspark.sql import functions as F
 
 _M64 = (1 << 64) - 1
 
-# Per-task rows a pass may hand to the driver directly (partitions x sum(k),
-# or partitions x candidates); above it a Spark aggregate folds them first.
-DRIVER_FOLD_ROWS = 200_000
-
 # The per-batch functions below run in Python workers; ship them (and the
 # helpers they call) by value so workers need not import this package.
 try:
@@ -119,12 +117,6 @@ def _propose(points: DataFrame, runs: list[Run], todo: list[int], step: int, dim
 
     schema = "run int, trial int, key double, " + ", ".join(f"{x} double" for x in xs)
     parts = points.mapInPandas(propose, schema)
-    if points.rdd.getNumPartitions() * sum(trials.values()) <= DRIVER_FOLD_ROWS:
-        picked: dict = {}
-        for r in parts.collect():
-            if (r.run, r.trial) not in picked or r.key < picked[(r.run, r.trial)][0]:
-                picked[(r.run, r.trial)] = (r.key, [r[x] for x in xs])
-        return {k: v[1] for k, v in picked.items()}
     best = parts.groupBy("run", "trial").agg(F.min_by(F.array(*xs), F.col("key")).alias("c")).collect()
     return {(r.run, r.trial): list(r.c) for r in best}
 
@@ -155,10 +147,8 @@ def _potentials(points: DataFrame, runs: list[Run], cands: dict[tuple[int, int],
         if rows:
             yield pd.DataFrame(rows, columns=["run", "trial", "pot"])
 
-    out: dict[tuple[int, int], float] = {}
-    for r in points.mapInPandas(pot, "run int, trial int, pot double").collect():
-        out[(r.run, r.trial)] = out.get((r.run, r.trial), 0.0) + r.pot
-    return out
+    parts = points.mapInPandas(pot, "run int, trial int, pot double")
+    return {(r.run, r.trial): r.pot for r in parts.groupBy("run", "trial").agg(F.sum("pot").alias("pot")).collect()}
 
 
 def kmeans_pp_init(points: DataFrame, runs: list[Run], dims: int, greedy: bool = True) -> None:
@@ -184,9 +174,8 @@ def kmeans_pp_init(points: DataFrame, runs: list[Run], dims: int, greedy: bool =
 
 def _partials(points: DataFrame, runs: list[Run], ids: list[int], dims: int) -> list:
     """Per (run, cluster): n, coordinate sums x0.., cost.  Each task folds all
-    its Arrow batches into one sum(k)-row table; the tables are summed on the
-    driver when their total size is within ``DRIVER_FOLD_ROWS``, else by an
-    aggregate with a map-side partial step."""
+    its Arrow batches into one sum(k)-row table; a Spark aggregate sums the
+    tables, so the driver gets sum(k) rows at any size."""
     cents = {i: np.array(runs[i].centers) for i in ids}
     xs = [f"x{d}" for d in range(dims)]
 
@@ -221,15 +210,6 @@ def _partials(points: DataFrame, runs: list[Run], ids: list[int], dims: int) ->
 
     schema = "run int, cluster int, n long, " + ", ".join(f"{x} double" for x in xs) + ", cost double"
     parts = points.mapInPandas(stats, schema)
-    rows = points.rdd.getNumPartitions() * sum(len(runs[i].centers) for i in ids)
-    if rows <= DRIVER_FOLD_ROWS:
-        folded: dict = {}
-        for r in parts.collect():
-            key = (r.run, r.cluster)
-            vals = [r.n, *[r[x] for x in xs], r.cost]
-            folded[key] = vals if key not in folded else [a + b for a, b in zip(folded[key], vals)]
-        return [dict(run=k[0], cluster=k[1], n=v[0], cost=v[-1], **dict(zip(xs, v[1:-1])))
-                for k, v in folded.items()]
     agg = parts.groupBy("run", "cluster").agg(
         F.sum("n").alias("n"), *[F.sum(x).alias(x) for x in xs], F.sum("cost").alias("cost"))
     return [r.asDict() for r in agg.collect()]

@@ -119,20 +119,6 @@ def fit_best(data: DataFrame, k: int, n_init: int = 10, seed: int = 42,
     return fit_best_many(data, [k], n_init, seed, max_iter, tol, parallel)[k]
 
 
-ROWS_PER_PARTITION = 1_000_000   # 7 doubles + id: ~100 MB per task
-
-
-def size_partitions(data: DataFrame) -> DataFrame:
-    """Partition the matrix by its row count: every KMeans iteration is one
-    job over all partitions, so tiny inputs should not be spread over many
-    near-empty tasks, and large ones get ~1M rows per task.  The count of a
-    staged parquet table is answered from file footers."""
-    rows = data.count()
-    n = max(1, -(-rows // ROWS_PER_PARTITION))
-    cur = data.rdd.getNumPartitions()
-    return data.coalesce(n) if n <= cur else data.repartition(n)
-
-
 def predict_expr(centers: list[list[float]], cols=CLUSTER_FEATURES) -> F.Column:
     """Index of the nearest centre as a JVM expression (k x dims terms, first
     index on ties): ``least`` over (distance, index) structs."""
@@ -172,7 +158,7 @@ class Segmentation:
         else:
             checkpoint_dir(spark)
             scaled = scaled.checkpoint(eager=True)
-        self.scaled = size_partitions(scaled).persist(StorageLevel.MEMORY_AND_DISK)
+        self.scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
         self.centers: dict[int, list[list[float]]] = {}
         self.metrics: dict[int, tuple[float, float]] = {}
 
@@ -186,6 +172,7 @@ class Segmentation:
         if self.engine == "ml":
             data = self._vectors().persist(StorageLevel.MEMORY_AND_DISK)
             fitted = fit_best_many(data, todo, self.n_init, self.seed)
+            data.unpersist()
             found = {k: ([list(c) for c in m.clusterCenters()], m.summary.trainingCost)
                      for k, m in fitted.items()}
         else:
