@@ -10,7 +10,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -59,7 +58,3 @@ def write_results(results: dict[str, DataFrame], out_dir: str, fmt: str = "parqu
         paths[name] = p
     return paths
 
-
-def cached(df: DataFrame) -> DataFrame:
-    """Keep a re-read table in memory (spilling to disk) for repeated use."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketry.sources import schemas
 
@@ -158,14 +159,25 @@ def driver_tables(spark: SparkSession, sf_dir: str) -> Tables:
 # --------------------------------------------------------------------------
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Header CSV with a fixed schema; empty fields are nulls.  Dates written as
-    ``YYYY-MM-DD``, ``YYYY-MM-DD HH:MM:SS`` or with a fraction of a second
-    parse into TIMESTAMP_NTZ."""
-    return (spark.read.schema(schema)
-            .option("header", True)
+    """Header CSV read by column name; empty fields are nulls, quotes inside
+    quoted fields are doubled.  Columns may come in any order, others are ignored;
+    a missing column is an error.  All files of a folder have the same header.  Dates
+    written as ``YYYY-MM-DD``, ``YYYY-MM-DD HH:MM:SS`` or with a fraction of a
+    second parse into TIMESTAMP_NTZ."""
+    def reader():
+        return spark.read.option("header", True).option("quote", '"').option("escape", '"')
+
+    header = reader().csv(path).columns
+    known = {f.name: f for f in schema.fields}
+    missing = [c for c in known if c not in header]
+    if missing:
+        raise ValueError(f"{path}: missing column(s) {', '.join(missing)}")
+    in_file_order = T.StructType([known.get(c, T.StructField(c, T.StringType())) for c in header])
+    return (reader().schema(in_file_order)
             .option("mode", "FAILFAST")
             .option("timestampNTZFormat", "yyyy-MM-dd[ HH:mm:ss[.SSSSSS]]")
-            .csv(path))
+            .csv(path)
+            .select(*known))
 
 
 def with_file_position(df: DataFrame) -> DataFrame:

@@ -69,3 +69,27 @@ def test_sinks_round_trip(spark):
     files.write_json(payload, f"{d}/payload")
     j = files.read_json(spark, f"{d}/payload")
     assert len(j.first().months) == m.count()
+
+
+def _products(tmp_path, text):
+    (tmp_path / "products.csv").write_text(text)
+    return str(tmp_path / "products.csv")
+
+
+def test_csv_is_read_by_name_with_doubled_quotes(spark, tmp_path):
+    from basketry.sources import schemas
+    from basketry.sources.tables import read_csv
+    path = _products(tmp_path, 'product_id,sub_category,category,extra,product_name,unit_price\n'
+                               'P1,Bakeware,Kitchen,x,"12"" tray, steel",9.50\n')
+    row = read_csv(spark, path, schemas.PRODUCTS).first()
+    assert row.asDict() == {"product_id": "P1", "category": "Kitchen", "sub_category": "Bakeware",
+                            "product_name": '12" tray, steel', "unit_price": __import__("decimal").Decimal("9.50")}
+
+
+def test_csv_missing_column_is_an_error(spark, tmp_path):
+    import pytest
+    from basketry.sources import schemas
+    from basketry.sources.tables import read_csv
+    path = _products(tmp_path, "product_id,category,product_name,unit_price\nP1,Kitchen,Tray,9.50\n")
+    with pytest.raises(ValueError, match="sub_category"):
+        read_csv(spark, path, schemas.PRODUCTS)
