@@ -79,8 +79,9 @@ GROWTH_TEXT = {
 
 
 def fixed(col, digits: int):
-    """Python-style fixed-point text: ties to even (``f"{x:.1f}"``), where
-    Java's ``%.1f`` would round half up."""
+    """Fixed-point text; ties of the decimal text go to the even digit, where
+    Java's ``%.1f`` would round half up.  (Python rounds the exact binary value:
+    0.35, stored a little below, prints as 0.3 there and as 0.4 here.)"""
     c = F.col(col) if isinstance(col, str) else col
     return F.format_string(f"%.{digits}f", F.bround(c, digits))
 

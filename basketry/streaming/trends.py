@@ -20,6 +20,7 @@ distinct pairs) into the batch result's columns.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from basketry.functions.dates import year_month
@@ -42,8 +43,10 @@ class MonthlyTrendStream:
     def _earlier(self, name: str, epoch: int, schema: str) -> DataFrame:
         try:
             df = self.spark.read.parquet(self._path(name))
-        except Exception:  # nothing written yet
-            return self.spark.createDataFrame([], schema)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)  # nothing written yet
         return df.where(F.col("epoch") < epoch).drop("epoch")
 
     def _write(self, df: DataFrame, name: str, epoch: int) -> None:
