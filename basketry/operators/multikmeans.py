@@ -215,6 +215,21 @@ def _partials(points: DataFrame, runs: list[Run], ids: list[int], dims: int) ->
     return [r.asDict() for r in agg.collect()]
 
 
+def lloyd_step(points: DataFrame, runs: list[Run], ids: list[int], dims: int) -> dict[int, float]:
+    """Move the centres of the given runs to the means of their points, in place;
+    the summed squared shift of each run.  An empty cluster keeps its centre."""
+    got = {(r["run"], r["cluster"]): r for r in _partials(points, runs, ids, dims)}
+    shifts = {}
+    for i in ids:
+        new = []
+        for j, old in enumerate(runs[i].centers):
+            s = got.get((i, j))
+            new.append([s[f"x{d}"] / s["n"] for d in range(dims)] if s is not None and s["n"] > 0 else old)
+        shifts[i] = sum((a - b) ** 2 for c, old in zip(new, runs[i].centers) for a, b in zip(c, old))
+        runs[i].centers = new
+    return shifts
+
+
 def fit_runs(points: DataFrame, runs: list[Run], max_iter: int = 300, tol: float = 1e-4) -> list[Run]:
     """``points`` from ``prepare``; fits every run (in place) and returns them."""
     dims = len([c for c in points.columns if c.startswith("x")])
@@ -223,23 +238,11 @@ def fit_runs(points: DataFrame, runs: list[Run], max_iter: int = 300, tol: float
     kmeans_pp_init(points, runs, dims)
     active = list(range(len(runs)))
     while active:
-        got = {(r["run"], r["cluster"]): r for r in _partials(points, runs, active, dims)}
-        still = []
-        for i in active:
-            run = runs[i]
-            new, shift = [], 0.0
-            for j, old in enumerate(run.centers):
-                s = got.get((i, j))
-                c = [s[f"x{d}"] / s["n"] for d in range(dims)] if s is not None and s["n"] > 0 else old
-                shift += sum((a - b) ** 2 for a, b in zip(c, old))
-                new.append(c)
-            run.centers = new
-            run.n_iter += 1
-            if shift <= threshold:
-                run.converged = True
-            elif run.n_iter < max_iter:
-                still.append(i)
-        active = still
+        shifts = lloyd_step(points, runs, active, dims)
+        for i, shift in shifts.items():
+            runs[i].n_iter += 1
+            runs[i].converged = shift <= threshold
+        active = [i for i in active if not runs[i].converged and runs[i].n_iter < max_iter]
     for r in runs:
         r.inertia = 0.0
     for r in _partials(points, runs, list(range(len(runs))), dims):

@@ -230,7 +230,7 @@ WEB = f"""web AS (
          avg(pages_viewed) AS avg_pages_viewed,
          {stable_mean('session_duration_min')} AS avg_session_duration,
          avg(converted) AS conversion_rate
-  FROM sessions_v GROUP BY customer_id)"""
+  FROM sessions_v WHERE customer_id IS NOT NULL GROUP BY customer_id)"""
 
 register("web_features", ["sessions_v"], "SELECT * FROM web", extra=[(WEB, ["sessions_v"])])
 
@@ -631,6 +631,46 @@ register("feature_scaling", [], "SELECT customer_id, " + ", ".join(
     for c in _FEATS) + " FROM matrix, stats",
     extra=FEATURE_DEPS + [(_MATRIX, ["features"]), (_STATS, ["matrix"])])
 
+_ZED = "zed AS (SELECT customer_id, " + ", ".join(
+    f"({c} - mu_{c}) / CASE WHEN sd_{c} IS NULL OR sd_{c} = 0 THEN 1 ELSE sd_{c} END AS x{i}"
+    for i, c in enumerate(_FEATS)) + " FROM matrix, stats)"
+_DIMS = range(len(_FEATS))
+#: the documented centres: coordinate d of centre j is ((7j + 3d) mod 5 - 2) * 0.6
+_CENTRES = "centres AS (SELECT kk.k, jj.j, " + ", ".join(
+    f"((7 * jj.j + 3 * {d}) % 5 - 2) * 0.6::DOUBLE AS c{d}" for d in _DIMS) + """
+  FROM (VALUES (2), (3), (5)) kk(k) JOIN (SELECT unnest(range(5)) AS j) jj ON jj.j < kk.k)"""
+_NEAR = "near AS (SELECT * FROM (SELECT z.*, c.k, c.j, " + " + ".join(
+    f"(x{d} - c{d}) * (x{d} - c{d})" for d in _DIMS) + """ AS dist,
+         row_number() OVER (PARTITION BY z.customer_id, c.k ORDER BY """ + " + ".join(
+    f"(x{d} - c{d}) * (x{d} - c{d})" for d in _DIMS) + """, c.j) AS rn
+  FROM zed z, centres c) WHERE rn = 1)"""
+_NEAR_DEPS = FEATURE_DEPS + [(_MATRIX, ["features"]), (_STATS, ["matrix"]), (_ZED, ["matrix", "stats"]),
+                             (_CENTRES, []), (_NEAR, ["zed", "centres"])]
+
+register("kmeans_fixed_labels", [], "SELECT customer_id, j::INTEGER AS cluster FROM near WHERE k = 5", extra=_NEAR_DEPS)
+
+register("kmeans_fixed_metrics", [], f"""
+, clus AS (SELECT k, j, count(*) AS n, {", ".join(f"sum(x{d}) AS s{d}" for d in _DIMS)},
+                sum({" + ".join(f"x{d} * x{d}" for d in _DIMS)}) AS sq FROM near GROUP BY k, j),
+mean_d AS (
+  SELECT p.k, p.customer_id, p.j, c.j AS other, c.n,
+         {" + ".join(f"x{d} * x{d}" for d in _DIMS)} + c.sq / c.n
+         - 2 * ({" + ".join(f"x{d} * s{d}" for d in _DIMS)}) / c.n AS d
+  FROM near p JOIN clus c ON c.k = p.k),
+ab AS (SELECT k, customer_id, max(n) FILTER (WHERE other = j) AS n,
+              max(d * n / (n - 1)) FILTER (WHERE other = j AND n > 1) AS a, min(d) FILTER (WHERE other <> j) AS b
+       FROM mean_d GROUP BY k, customer_id),
+sil AS (SELECT k, avg(CASE WHEN n = 1 THEN 0 WHEN a = b THEN 0 ELSE (b - a) / greatest(a, b) END) AS s FROM ab GROUP BY k)
+SELECT i.k::INTEGER AS k, round(i.inertia, 2) AS inertia, round(s, 4) AS squared_silhouette
+FROM (SELECT k, sum(dist) AS inertia FROM near GROUP BY k) i JOIN sil USING (k)""", extra=_NEAR_DEPS)
+
+register("kmeans_lloyd_step", [], f"""
+SELECT c.k::INTEGER AS k, c.j::INTEGER AS cluster,
+       {", ".join(f"round(coalesce(m.x{d}, c.c{d}), 6) AS x{d}" for d in _DIMS)}
+FROM centres c LEFT JOIN (SELECT k, j, {", ".join(f"avg(x{d}) AS x{d}" for d in _DIMS)} FROM near GROUP BY k, j) m
+  ON m.k = c.k AND m.j = c.j
+WHERE c.k IN (2, 5)""", extra=_NEAR_DEPS)
+
 WINDOWS = """win AS (
   SELECT * FROM (VALUES (101, 115, 1.3, 'New Year sale'), (301, 320, 1.2, 'Spring sale'),
                         (801, 831, 1.4, 'Independence day / mid-year sale'),

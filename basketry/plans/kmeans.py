@@ -132,6 +132,37 @@ def predict_expr(centers: list[list[float]], cols=CLUSTER_FEATURES) -> F.Column:
     return (F.least(*parts) if len(parts) > 1 else parts[0])["j"].cast("int")
 
 
+def assign(scaled: DataFrame, centers: list[list[float]]) -> DataFrame:
+    """``scaled`` (with the z_ columns) + cluster: the nearest centre."""
+    return scaled.withColumn("cluster", predict_expr(centers, Z_FEATURES))
+
+
+def inertia(scaled: DataFrame, centers: list[list[float]]) -> float:
+    """Sum of squared distances to the nearest centres."""
+    near = None
+    for c in centers:
+        d = sum(((F.col(x) - F.lit(float(v))) * (F.col(x) - F.lit(float(v))) for x, v in zip(Z_FEATURES, c)), F.lit(0.0))
+        near = d if near is None else F.least(near, d)
+    return scaled.agg(F.sum(near)).first()[0] or 0.0
+
+
+def squared_silhouette(scaled: DataFrame, centers: list[list[float]]) -> float:
+    """Silhouette over squared Euclidean distances (not the Euclidean one)."""
+    pred = VectorAssembler(inputCols=Z_FEATURES, outputCol="features").transform(assign(scaled, centers))
+    return ClusteringEvaluator(featuresCol="features", predictionCol="cluster", metricName="silhouette",
+                               distanceMeasure="squaredEuclidean").evaluate(pred)
+
+
+def elbow_row(k: int, cost: float, silhouette: float) -> tuple:
+    """k, inertia and silhouette with the digits of the elbow table."""
+    return k, round(float(cost), 2), round(float(silhouette), 4)
+
+
+def fixed_centers(k: int) -> list[list[float]]:
+    """Documented centres for checks: coordinate d of centre j is ((7j + 3d) mod 5 - 2) * 0.6."""
+    return [[((7 * j + 3 * d) % 5 - 2) * 0.6 for d in range(len(CLUSTER_FEATURES))] for j in range(k)]
+
+
 class Segmentation:
     """Sweep k over ``ks`` (``n_init`` seeds each), keep the best model per k,
     label the final k.
@@ -183,11 +214,7 @@ class Segmentation:
             found = {k: (r.centers, r.inertia) for k, r in mk.best_per_k(runs).items()}
             pts.unpersist()
         def sil(k):
-            pred = VectorAssembler(inputCols=Z_FEATURES, outputCol="features").transform(
-                self.scaled.withColumn("cluster", predict_expr(found[k][0], Z_FEATURES)))
-            return ClusteringEvaluator(featuresCol="features", predictionCol="cluster",
-                                       metricName="silhouette",
-                                       distanceMeasure="squaredEuclidean").evaluate(pred)
+            return squared_silhouette(self.scaled, found[k][0])
 
         with ThreadPoolExecutor(max_workers=len(todo)) as pool:
             sils = list(pool.map(sil, todo))
@@ -201,7 +228,7 @@ class Segmentation:
         rows = [(k, float(self.metrics[k][0]), float(self.metrics[k][1])) for k in self.ks]
         best = max(rows, key=lambda r: (r[2], -r[0]))[0]
         return self.spark.createDataFrame(
-            [(k, round(i, 2), round(s, 4), k == best) for k, i, s in rows],
+            [(*elbow_row(*r), r[0] == best) for r in rows],
             "k int, inertia double, silhouette double, suggested boolean")
 
     def clustered(self) -> DataFrame:

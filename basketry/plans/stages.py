@@ -105,9 +105,9 @@ class AnalyticsRun:
     # -- cleaned tables ---------------------------------------------------
     @cached_property
     def tables(self) -> Tables:
-        """Source tables; a text source's orders are parsed once and staged as
-        parquet, since both the cleaning and the dashboard's raw view read them."""
-        if self.t.columnar or not self.materialize:
+        """Source tables with the raw orders staged once as parquet: the cleaning and every
+        raw dashboard query read them, whether they are parsed text or a join of tables."""
+        if not self.materialize:
             return self.t
         return replace(self.t, orders=self.stage("orders_raw", self.t.orders))
 

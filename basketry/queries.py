@@ -264,8 +264,41 @@ def q_insights(p: AnalyticsRun):
 
 @query("feature_scaling")
 def q_feature_scaling(p: AnalyticsRun):
-    scaled = kmeans.standardize(kmeans.feature_matrix(p.features))
-    return scaled.select("customer_id", *[F.round(c, 6).alias(c) for c in kmeans.CLUSTER_FEATURES])
+    """The standardised features that the clustering uses, to 6 decimals (``log1p``
+    differs in its last bits between math libraries)."""
+    scaled = kmeans.with_scaled(p.features)
+    return scaled.select("customer_id", *[F.round(f"z_{c}", 6).alias(c) for c in kmeans.CLUSTER_FEATURES])
+
+
+@query("kmeans_fixed_labels")
+def q_kmeans_fixed_labels(p: AnalyticsRun):
+    """Nearest of five documented centres, through the production assignment."""
+    return kmeans.assign(kmeans.with_scaled(p.features), kmeans.fixed_centers(5)).select("customer_id", "cluster")
+
+
+@query("kmeans_fixed_metrics")
+def q_kmeans_fixed_metrics(p: AnalyticsRun):
+    """Inertia and squared-distance silhouette of documented centres per k, with the
+    digits of the elbow table."""
+    scaled = kmeans.with_scaled(p.features)
+    rows = [kmeans.elbow_row(k, kmeans.inertia(scaled, c), kmeans.squared_silhouette(scaled, c))
+            for k, c in ((k, kmeans.fixed_centers(k)) for k in (2, 3, 5))]
+    return p.spark.createDataFrame(rows, "k int, inertia double, squared_silhouette double")
+
+
+@query("kmeans_lloyd_step")
+def q_kmeans_lloyd_step(p: AnalyticsRun):
+    """Centres after one Lloyd step from documented centres, through the production
+    step, to 6 decimals."""
+    from basketry.operators import multikmeans as mk
+    dims = len(kmeans.CLUSTER_FEATURES)
+    points = mk.prepare(kmeans.with_scaled(p.features), "customer_id", kmeans.Z_FEATURES)
+    runs = [mk.Run(k=k, seed=0, centers=kmeans.fixed_centers(k)) for k in (2, 5)]
+    mk.lloyd_step(points, runs, list(range(len(runs))), dims)
+    rows = [(r.k, j, *c) for r in runs for j, c in enumerate(r.centers)]
+    names = [f"x{d}" for d in range(dims)]
+    df = p.spark.createDataFrame(rows, "k int, cluster int, " + ", ".join(f"{x} double" for x in names))
+    return df.select("k", "cluster", *[F.round(x, 6).alias(x) for x in names])
 
 
 @query("kmeans_sweep")
