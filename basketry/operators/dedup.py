@@ -4,10 +4,11 @@
 keeps an arbitrary one.  So the caller names a total order and the operator
 returns, per key, the row that is smallest in that order.
 
-Plan: one hash aggregate ``min(struct(order..., rest...))`` per key.  Unlike a
-``row_number`` window, the aggregate runs a map-side partial step, so a key
-repeated millions of times is reduced to one row per map task before the
-shuffle and never lands whole in one task.
+Plan: one aggregate ``min(struct(order..., rest...))`` per key, which Spark runs as
+a sort aggregate (the buffer is a struct) on both sides of the shuffle.  Unlike a
+plain ``row_number`` window, it has a map-side partial step, so a key repeated
+millions of times is reduced to one row per map task before the shuffle and
+never lands whole in one task.
 """
 
 from __future__ import annotations

@@ -672,10 +672,10 @@ FROM centres c LEFT JOIN (SELECT k, j, {", ".join(f"avg(x{d}) AS x{d}" for d in
 WHERE c.k IN (2, 5)""", extra=_NEAR_DEPS)
 
 WINDOWS = """win AS (
-  SELECT * FROM (VALUES (101, 115, 1.3, 'New Year sale'), (301, 320, 1.2, 'Spring sale'),
-                        (801, 831, 1.4, 'Independence day / mid-year sale'),
-                        (1001, 1031, 1.8, 'Diwali / festive season'), (1120, 1130, 1.6, 'Black Friday'),
-                        (1215, 1231, 1.5, 'Christmas / year-end sale')) t(s, e, boost, name))"""
+  SELECT * FROM (VALUES (101, 115, 1.3, 'early January'), (301, 320, 1.2, 'early March'),
+                        (801, 831, 1.4, 'August'),
+                        (1001, 1031, 1.8, 'October'), (1120, 1130, 1.6, 'late November'),
+                        (1215, 1231, 1.5, 'late December')) t(s, e, boost, name))"""
 DAILY = f"""daily AS (
   SELECT CAST(d AS TIMESTAMP) AS order_date, count(*) AS orders, {MONEY_SUM} AS revenue,
          month(d) * 100 + day(d) AS md

@@ -31,7 +31,7 @@ def test_dedup_aggregates_map_side_before_the_shuffle(spark):
     lines = text.splitlines()
     ex = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning(order_id" in line)
     # the partial aggregate sits below (after, in tree text) the exchange
-    assert any("Aggregate" in line for line in lines[ex + 1:])
+    assert any("SortAggregate" in line for line in lines[ex + 1:])
     assert "Window" not in text
 
 
