@@ -34,6 +34,23 @@ def argmin(df: DataFrame, value: str, key: str | Sequence[str]) -> DataFrame:
     return argmax(df, value, key, largest=False)
 
 
+def extreme_rows(df: DataFrame, specs: Sequence[tuple]) -> DataFrame:
+    """(fact, key, value) of several argmax/argmin picks over one table, in one aggregate.
+
+    A spec is (fact, value column, order columns, key column, largest): the row with the
+    largest (smallest) non-null value, the first in the order columns on ties; the key as text,
+    the value as double.  A fact without any value has no row."""
+    picks = []
+    for i, (_, value, order, key, largest) in enumerate(specs):
+        v = F.col(value)
+        row = F.struct((-v if largest else v).alias("_first"), *[F.col(c).alias(f"_o{j}") for j, c in enumerate(order)],
+                       _c(key).cast("string").alias("key"), v.cast("double").alias("value"))
+        picks.append(F.min(F.when(v.isNotNull(), row)).alias(f"_p{i}"))
+    rows = F.array(*[F.struct(F.lit(spec[0]).alias("fact"), F.col(f"_p{i}.key").alias("key"), F.col(f"_p{i}.value").alias("value"))
+                     for i, spec in enumerate(specs)])
+    return df.groupBy().agg(*picks).select(F.explode(rows).alias("r")).select("r.*").where(F.col("value").isNotNull())
+
+
 def average_rank(value: str, ascending: bool = True) -> Column:
     """pandas ``rank()``: ties share the mean of their positions.  For bounded
     tables only (whole-table window)."""

@@ -11,17 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.operators.rank import argmax, argmin
+from basketry.operators.rank import argmax, argmin, extreme_rows
 from basketry.plans.segments import AT_RISK
 from basketry.operators.scalar import combine
 
 
-def _fact(df: DataFrame, fact: str, key, value: str) -> DataFrame:
-    return df.select(F.lit(fact).alias("fact"), F.col(key).cast("string").alias("key")
-                     if isinstance(key, str) else key.alias("key"),
-                     F.col(value).cast("double").alias("value"))
-
-
 def peak_facts(monthly: DataFrame, revenue_by_category: DataFrame, quarterly: DataFrame,
                dash_weekday: DataFrame, dash_category: DataFrame, sizes: DataFrame,
                pref: DataFrame, pattern: DataFrame) -> DataFrame:
@@ -29,23 +23,19 @@ def peak_facts(monthly: DataFrame, revenue_by_category: DataFrame, quarterly: Da
     (``_pos``), other ties to the smallest key.  ``dash_category`` holds the
     per-category totals of the month x category table (rolled up exactly from
     the decimal amounts, not by re-adding rounded month sums)."""
-    cat_tot = dash_category
-    top_pair = argmax(pref, "customers", ["segment", "favorite_category"])
-    facts = [
-        _fact(argmax(monthly, "revenue", "year_month"), "peak_month", "year_month", "revenue"),
-        _fact(argmin(monthly, "revenue", "year_month"), "slowest_month", "year_month", "revenue"),
-        _fact(argmax(revenue_by_category, "revenue", "category"), "top_category", "category", "revenue"),
-        _fact(argmax(quarterly, "revenue", ["year", "quarter"]), "peak_quarter", "label", "revenue"),
-        _fact(argmax(dash_weekday, "revenue", "_pos"), "peak_weekday", "weekday", "revenue"),
-        _fact(argmax(cat_tot, "revenue", "category"), "strongest_category", "category", "revenue"),
-        _fact(argmax(sizes, "customers", "segment"), "largest_segment", "segment", "customers"),
-        _fact(top_pair, "top_segment_category",
-              F.concat_ws(" / ", F.col("segment"), F.col("favorite_category")), "customers"),
-        _fact(argmax(pattern, "orders", "_pos"), "busiest_purchase_day", "weekday", "orders"),
-    ]
-    out = facts[0]
-    for f in facts[1:]:
-        out = out.unionByName(f)
+    out = extreme_rows(monthly, [("peak_month", "revenue", ["year_month"], "year_month", True),
+                                 ("slowest_month", "revenue", ["year_month"], "year_month", False)])
+    pair = F.concat_ws(" / ", F.col("segment"), F.col("favorite_category"))
+    for df, spec in [
+        (revenue_by_category, ("top_category", "revenue", ["category"], "category", True)),
+        (quarterly, ("peak_quarter", "revenue", ["year", "quarter"], "label", True)),
+        (dash_weekday, ("peak_weekday", "revenue", ["_pos"], "weekday", True)),
+        (dash_category, ("strongest_category", "revenue", ["category"], "category", True)),
+        (sizes, ("largest_segment", "customers", ["segment"], "segment", True)),
+        (pref, ("top_segment_category", "customers", ["segment", "favorite_category"], pair, True)),
+        (pattern, ("busiest_purchase_day", "orders", ["_pos"], "weekday", True)),
+    ]:
+        out = out.unionByName(extreme_rows(df, [spec]))
     return out
 
 

@@ -18,7 +18,7 @@ from basketry.functions.dates import WEEKDAYS, weekday_name
 from basketry.functions.flags import stable_mean, np_round
 from basketry.operators.domain import reindex
 from basketry.operators.quantile import exact_quantiles
-from basketry.operators.rank import argmax, argmin, average_rank, minmax_scale
+from basketry.operators.rank import argmax, average_rank, extreme_rows, minmax_scale
 from basketry.operators.scalar import attach
 
 # Business segment names.
@@ -66,11 +66,6 @@ def cluster_profile(clustered: DataFrame) -> DataFrame:
         "score", -average_rank("recency_days") + average_rank("frequency") + average_rank("monetary"))
 
 
-def _rule(prof: DataFrame, order: int, name: str, value: str, largest: bool) -> DataFrame:
-    pick = argmax(prof, value, "cluster") if largest else argmin(prof, value, "cluster")
-    return pick.select(F.lit(order).alias("rule"), F.lit(name).alias("segment"), "cluster")
-
-
 def label_clusters(prof: DataFrame) -> DataFrame:
     """(cluster, segment) for every cluster of the k-row profile.
 
@@ -82,10 +77,11 @@ def label_clusters(prof: DataFrame) -> DataFrame:
     4. anything left is "Occasional Buyers".
     """
     spark = prof.sparkSession
-    rules = (_rule(prof, 1, HIGH_VALUE, "monetary", True)
-             .unionByName(_rule(prof, 2, NEW, "tenure_days", False))
-             .unionByName(_rule(prof, 3, AT_RISK, "recency_days", True))
-             .unionByName(_rule(prof, 4, PRICE_SENSITIVE, "discount_usage_rate", True)))
+    wins = [(HIGH_VALUE, "monetary", True), (NEW, "tenure_days", False), (AT_RISK, "recency_days", True),
+            (PRICE_SENSITIVE, "discount_usage_rate", True)]
+    rules = extreme_rows(prof, [(name, value, ["cluster"], "cluster", largest) for name, value, largest in wins])
+    rules = rules.select(F.col("key").cast(prof.schema["cluster"].dataType).alias("cluster"), F.col("fact").alias("segment"),
+                         F.array_position(F.array(*[F.lit(w[0]) for w in wins]), F.col("fact")).alias("rule"))
     assigned = rules.groupBy("cluster").agg(F.min_by("segment", "rule").alias("segment"))
     pool = spark.createDataFrame(list(enumerate(LABEL_POOL)), "pos int, segment string")
     free_names = pool.join(assigned, "segment", "left_anti") \
@@ -154,22 +150,15 @@ def segment_leaders(segmented: DataFrame, summary: DataFrame) -> DataFrame:
         mean_of("recency_days").alias("recency_days"),
         mean_of("frequency").alias("frequency"),
         mean_of("monetary").alias("monetary"))
-    picks = [
-        ("most_recent", argmin(means, "recency_days", "segment"), "recency_days"),
-        ("most_frequent", argmax(means, "frequency", "segment"), "frequency"),
-        ("highest_spend", argmax(means, "monetary", "segment"), "monetary"),
-        ("highest_order_value", argmax(summary, "avg_order_value", "segment"), "avg_order_value"),
-        ("highest_discount_usage", argmax(summary, "discount_usage_rate", "segment"), "discount_usage_rate"),
-        ("highest_return_rate", argmax(summary, "return_rate", "segment"), "return_rate"),
-        ("most_diverse", argmax(summary, "category_diversity", "segment"), "category_diversity"),
-        ("largest_segment", argmax(summary, "customers", "segment"), "customers"),
-    ]
-    out = None
-    for metric, df, col in picks:
-        r = df.select(F.lit(metric).alias("metric"), "segment",
-                      F.col(col).cast("double").alias("value"))
-        out = r if out is None else out.unionByName(r)
-    return out
+    spec = lambda metric, col, largest=True: (metric, col, ["segment"], "segment", largest)
+    from_means = extreme_rows(means, [spec("most_recent", "recency_days", False), spec("most_frequent", "frequency"),
+                                      spec("highest_spend", "monetary")])
+    from_summary = extreme_rows(summary, [spec("highest_order_value", "avg_order_value"),
+                                          spec("highest_discount_usage", "discount_usage_rate"),
+                                          spec("highest_return_rate", "return_rate"),
+                                          spec("most_diverse", "category_diversity"), spec("largest_segment", "customers")])
+    return from_means.unionByName(from_summary) \
+        .select(F.col("fact").alias("metric"), F.col("key").alias("segment"), "value")
 
 
 BOX_METRICS = ["recency_days", "frequency", "monetary"]
