@@ -284,12 +284,14 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOC
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("edits", pa.int32()), ("n_words", pa.int32()),
                                ("begin", pa.int64()), ("end", pa.int64())]))
     for items in _blocks(benchmark, block_words):
-        index = docs.sparkSession.sparkContext.broadcast(build_index(sorted(items, key=lambda r: (r[0] is None, r[0] or 0, r[1]))))
+        index = docs.sparkSession.sparkContext.broadcast(
+            tuple(vars(build_index(sorted(items, key=lambda r: (r[0] is None, r[0] or 0, r[1])))).values()))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+            items = ItemIndex(*index.value)
             for batch in batches:
                 at = batch.schema.get_field_index("hits")
-                hits = [a + b for a, b in zip(batch.column(at).to_pylist(), _hits(index.value, text_column(batch, "text")))]
+                hits = [a + b for a, b in zip(batch.column(at).to_pylist(), _hits(items, text_column(batch, "text")))]
                 cols = [*batch.columns]
                 cols[at] = pa.array(hits, kind)
                 yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names)

@@ -267,10 +267,10 @@ def label_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``docs`` (text, ..) with lang_pred, lang_score and lang_spans (language, begin, end in
     code points of the text, end exclusive)."""
     kept = docs.select(*[c for c in docs.columns if c not in ("lang_pred", "lang_score", "lang_spans")])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.table, model.allowed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = LanguageModel(*shared.value)
         limit = max(1, LATTICE // max(1, len(m.langs)))
 
         def out(batch, lo, hi, parts, scores, letters):

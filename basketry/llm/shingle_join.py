@@ -24,9 +24,9 @@ there.  Sets with a common signature form a group.  Verification (exact, on the
 texts) runs in three steps, so that groups are never expanded into all pairs:
 every set against the smallest set of its groups; then the other star links between
 different components; then, for groups that still hold several components,
-the pairs across components, in blocks, after an exact lower bound on the
-difference (64-bin histograms) has passed them.  A pair inside one component can't change
-the components, so nothing is lost.
+the pairs across components, in blocks.  Texts are sent only for pairs that an exact
+lower bound on the difference (parity sketches, about 1.25 bits a shingle) doesn't rule
+out.  A pair inside one component can't change the components, so nothing is lost.
 
 Scale.  Rows shuffled are packed signatures (about n/4 + n/4 per document), each text at most
 once, and the texts of sets that share a signature.  A hub with many members is salted.
@@ -42,7 +42,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -50,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.components import connected_components
+from basketry.llm.components import forest_roots, merge_roots
 from basketry.llm.tables import shared_table, shuffle_width
 from basketry.llm.text import mix64, shingle_hashes, text_column, word_chunks
 
@@ -62,7 +61,7 @@ HUB_MEMBERS = 200
 BLOCK = 512
 #: what verifying a chance match costs, in signatures
 CHECK_COST = 250
-BINS = 64
+SKETCH_MIN = 256
 _SEED = 0x9E3779B97F4A7C15
 _WORD = 2 ** 64
 
@@ -79,10 +78,28 @@ def set_id(s: np.ndarray) -> int:
     return int(mix64(np.array([total % _WORD], dtype=np.uint64)).view(np.int64)[0])
 
 
-def histogram(s: np.ndarray) -> np.ndarray:
-    """Set size by bin of the hash (255 at most): sum |difference| over the bins is a lower
-    bound of the symmetric difference of two sets."""
-    return np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=BINS), 255).astype(np.uint8)
+def parity_sketch(s: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles per bin of the hash, as packed bits; the number of
+    bins is the power of two from ``SKETCH_MIN`` on that is at least 1.25 times the set.
+
+    Two sets differ by at least the number of bins of unequal parity (an exact lower bound)."""
+    bins = SKETCH_MIN
+    while 4 * bins < 5 * len(s):
+        bins *= 2
+    count = np.bincount((s & np.uint64(bins - 1)).astype(np.int64), minlength=bins)
+    return np.packbits((count & 1).astype(np.uint8))
+
+
+def folded(sketch: np.ndarray, size: int) -> np.ndarray:
+    """The sketch of the same set over fewer bins (``size`` bytes)."""
+    while len(sketch) > size:
+        sketch = sketch[:len(sketch) // 2] ^ sketch[len(sketch) // 2:]
+    return sketch
+
+
+def may_link(least, na, nb, percent: int):
+    """Whether sets of these sizes that differ by ``least`` shingles or more can link."""
+    return (least * (100 + percent) <= (na + nb) * (100 - percent)) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
 
 
 def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
@@ -94,24 +111,30 @@ def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
 
 # --- schemes ------------------------------------------------------------------------
 
-@lru_cache(maxsize=None)
+_SCHEMES: dict[tuple[int, int], tuple[int, int, int, int]] = {}
+
+
 def band_start(j: int, percent: int = PERCENT) -> int:
-    return 1 if j == 0 else band_start(j - 1, percent) * 100 // percent + 1
+    start = 1
+    for _ in range(j):
+        start = start * 100 // percent + 1
+    return start
 
 
 def band_of(n: int, percent: int = PERCENT) -> int:
-    j = 0
-    while band_start(j + 1, percent) <= n:
-        j += 1
+    j, after = 0, 100 // percent + 1
+    while after <= n:
+        j, after = j + 1, after * 100 // percent + 1
     return j
 
 
-@lru_cache(maxsize=None)
 def scheme(j: int, percent: int = PERCENT) -> tuple[int, int, int, int]:
     """(H, segments with deletions, all segments, slack E) of band j, by expected cost.
 
     H: a set of x <= y shingles linked at ``percent`` has x + y - 2 * common <= x * (100 -
     percent) / percent differences, x at most the band's last size."""
+    if (j, percent) in _SCHEMES:
+        return _SCHEMES[j, percent]
     lo, hi = band_start(j, percent), band_start(j + 1, percent) - 1
     h = hi * (100 - percent) // percent
     size = (lo + hi) / 2
@@ -130,7 +153,8 @@ def scheme(j: int, percent: int = PERCENT) -> tuple[int, int, int, int]:
                     + twos * (1 + part) * (1 + CHECK_COST * alike ** max(part - 1, 0)))
             if best is None or cost < best[0]:
                 best = (cost, twos, m, slack)
-    return h, best[1], best[2], best[3]
+    _SCHEMES[j, percent] = h, best[1], best[2], best[3]
+    return _SCHEMES[j, percent]
 
 
 def signatures(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -176,15 +200,15 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 # --- passes over the documents ----------------------------------------------------------
 
 def set_table(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n (set size), sid (0 for the empty set), hist."""
+    """One row per document: doc_id, n (set size), sid (0 for the empty set), sketch."""
     def run(batches):
         for batch in batches:
-            rows = [(len(s), set_id(s) if len(s) else 0, histogram(s).tobytes()) for _, s in _sets(batch)]
+            rows = [(len(s), set_id(s) if len(s) else 0, parity_sketch(s).tobytes()) for _, s in _sets(batch)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-                 pa.array([r[2] for r in rows], pa.binary())], names=["doc_id", "n", "sid", "hist"])
+                 pa.array([r[2] for r in rows], pa.binary())], names=["doc_id", "n", "sid", "sketch"])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
-        .mapInArrow(run, "doc_id long, n long, sid long, hist binary")
+        .mapInArrow(run, "doc_id long, n long, sid long, sketch binary")
 
 
 def _pack(sig: np.ndarray, sid: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, bytes, bytes, bytes]]:
@@ -297,10 +321,26 @@ def set_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 # --- verification -----------------------------------------------------------------------
 
+def plausible(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Distinct (a, b) pairs that sizes and sketches don't rule out."""
+    side = lambda x: sets.select(F.col("sid").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
+    both = pairs.select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb")
+
+    def run(batches):
+        for batch in batches:
+            na, nb = (batch.column(c).to_numpy() for c in (2, 3))
+            least = np.zeros(batch.num_rows, np.int64)
+            for i, (x, y) in enumerate(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())):
+                size = min(len(x), len(y))
+                x, y = (folded(np.frombuffer(z, np.uint8), size) for z in (x, y))
+                least[i] = np.bitwise_count(x ^ y).sum()
+            yield batch.select(["a", "b"]).filter(pa.array(may_link(least, na, nb, percent)))
+    return both.mapInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The (a, b) pairs whose sets link.  Members travel to their hub ``a``; a hub with many members
     is sent to several places, each with a share of them."""
-    pairs = pairs.select("a", "b").distinct()
     hubs = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB_MEMBERS).cast("int").alias("salts"))
     members = pairs.join(hubs, "a").select(
         F.col("b").alias("sid"), F.col("a").alias("hub"), F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("role"))
@@ -334,30 +374,37 @@ def across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def group_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs across components inside groups that hold several, if sizes and histograms
+    """Pairs across components inside groups that hold several, if sizes and sketches
     allow a link.  Groups are worked through in blocks of about ``BLOCK`` members."""
     m = members.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left") \
         .select("grp", "sid", F.coalesce("root", "sid").alias("root"))
     mixed = m.groupBy("grp").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("k")) \
         .where("lo <> hi").select("grp", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
-    m = m.join(mixed, "grp").join(sets.select("sid", "n", "hist"), "sid")
+    m = m.join(mixed, "grp").join(sets.select("sid", "n", "sketch"), "sid")
     own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     m = m.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     m = m.select("grp", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
-                 (F.col("own") <= F.col("other")).alias("left"), "sid", "root", "n", "hist")
+                 (F.col("own") <= F.col("other")).alias("left"), "sid", "root", "n", "sketch")
 
     def pairs_in(key, pdf):
-        alone = key[1] == key[2]
-        a, b = (pdf, pdf) if alone else (pdf[pdf["left"]], pdf[~pdf["left"]])
-        (sa, ra, na, ha), (sb, rb, nb, hb) = (
-            (x["sid"].to_numpy(), x["root"].to_numpy(), x["n"].to_numpy(),
-             np.frombuffer(b"".join(x["hist"]), np.uint8).reshape(-1, BINS).astype(np.int32)) for x in (a, b))
+        pdf = pdf.sort_values("n", kind="stable")
+        size = min(map(len, pdf["sketch"]))
+        bits = np.stack([folded(np.frombuffer(x, np.uint8), size) for x in pdf["sketch"]]).view(np.uint64)
+        sid, root, n, left = (pdf[c].to_numpy() for c in ("sid", "root", "n", "left"))
+        if key[1] != key[2]:
+            a, b = np.flatnonzero(left), np.flatnonzero(~left)
+        else:
+            a = b = np.arange(len(sid))
+        sb, rb, nb, tb = sid[b], root[b], n[b], bits[b]
+        lo = np.searchsorted(nb, np.ceil(n[a] * percent / 100), "left")
+        hi = np.searchsorted(nb, np.floor(n[a] * 100 / percent), "right")
         out = [np.zeros((0, 2), np.int64)]
-        for i in range(len(sa)):
-            least = np.abs(hb - ha[i]).sum(axis=1)
-            ok = (rb != ra[i]) & (least * (100 + percent) <= (na[i] + nb) * (100 - percent))
-            ok &= 100 * np.minimum(na[i], nb) >= percent * np.maximum(na[i], nb)
-            out.append(np.stack([np.minimum(sb[ok], sa[i]), np.maximum(sb[ok], sa[i])], axis=1))
+        for i, l, h in zip(a, lo, hi):
+            at = l + np.flatnonzero(rb[l:h] != root[i])
+            if len(at):
+                least = np.bitwise_count(tb[at] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                near = sb[at[may_link(least, n[i], nb[at], percent)]]
+                out.append(np.stack([np.minimum(near, sid[i]), np.maximum(near, sid[i])], axis=1))
         found = np.unique(np.concatenate(out), axis=0)
         return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
 
@@ -375,21 +422,17 @@ def link_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     found = shared_table(groups_of(packed_signatures(docs, buckets, percent), width), "groups")
     star = found.where("kind = 0").select("a", "b").distinct()
     members = found.where("kind = 1").select(F.col("a").alias("grp"), F.col("b").alias("sid")).distinct()
-    nodes = full.groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("hist").alias("hist"))
+    nodes = shared_table(full.groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
+                                                 F.first("sketch").alias("sketch")), "nodes")
     star = shared_table(star, "star")
+    hubs = shared_table(plausible(star.groupBy("b").agg(F.min("a").alias("a")), nodes, percent), "hubs")
     shared = star.select(F.col("a").alias("sid")).unionByName(star.select(F.col("b").alias("sid"))).distinct()
     texts = shared_table(set_texts(docs, nodes.join(shared, "sid").select("sid", "doc_id")), "texts")
-    hubs = star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = shared_table(verified(hubs, texts, percent), "links-hub")
-    roots = shared_table(connected_components(links), "roots")
-    rest = shared_table(across(star, roots), "star-rest")
-    if not rest.isEmpty():
-        links = links.unionByName(shared_table(verified(rest, texts, percent), "links-star"))
-        roots = shared_table(connected_components(links), "roots")
-        more = shared_table(group_pairs(members, roots, nodes, percent), "group-pairs")
-        if not more.isEmpty():
-            links = links.unionByName(shared_table(verified(more, texts, percent), "links-group"))
-            roots = shared_table(connected_components(links), "roots")
+    roots = forest_roots(verified(hubs, texts, percent).select(F.col("b").alias("node"), F.col("a").alias("up")))
+    rest = shared_table(plausible(across(star, roots), nodes, percent), "star-rest")
+    roots = merge_roots(roots, shared_table(verified(rest, texts, percent), "links-star"))
+    more = shared_table(group_pairs(members, roots, nodes, percent), "group-pairs")
+    roots = merge_roots(roots, shared_table(verified(more, texts, percent), "links-group"))
     least = nodes.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left") \
         .select("sid", "doc_id", F.coalesce("root", "sid").alias("root"))
     least = least.join(least.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root").select("sid", "component_id")

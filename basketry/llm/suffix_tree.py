@@ -12,8 +12,10 @@ the root, which gives every byte some mass.  A symbol is scored in the state of
 suffix of its history that is a node; the states form an automaton (nodes and their prefixes, with
 fallback to the longest suffix), so scoring is one table step per symbol.
 
-Size.  At most ``1 / P_MIN`` contexts per depth are frequent enough, whatever the corpus, so the
-model that is broadcast is bounded; the counts it is made from cover all training texts.
+Size.  The model that is broadcast has a fixed bound, whatever the corpus: at most ``1 / P_MIN``
+contexts per depth are frequent enough, and of these the ``NODES_PER_DEPTH`` with the
+highest gain become nodes (with their suffixes and prefixes as states).  The counts it
+is made from cover all training texts.
 
 Base score (unigrams).  Words are counted over all training texts.  Words with at least ``HOT``
 of all tokens (at most ``1 / HOT`` of them) are broadcast with their counts; all others go, as packed
@@ -40,8 +42,9 @@ from basketry.llm.tables import shared_table, shuffle_width
 from basketry.llm.text import Words, mix64, text_column, word_chunks
 
 DEPTH = 6
-P_MIN = 5e-6
+P_MIN = 3e-6
 GAIN = 3.0
+NODES_PER_DEPTH = 50_000
 HOT = 1 / 2500
 SEGMENT = 512
 MERGE_ROWS = 4_000_000
@@ -170,7 +173,8 @@ def tree_nodes(grams: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, gain:
         rows = rows.join(up, (F.col("suffix") == F.col("uctx")) & (F.col("sym") == F.col("usym"))) \
             .join(usum, F.col("suffix") == F.col("tctx"))
         score = F.sum(F.col("n") * F.log(F.col("n") * F.col("utotal") / (F.col("un") * F.col("total"))))
-        mine = rows.groupBy("ctx").agg(score.alias("gain")).where(F.col("gain") >= gain).select("ctx")
+        mine = rows.groupBy("ctx").agg(score.alias("gain")).where(F.col("gain") >= gain) \
+            .orderBy(F.desc("gain"), "ctx").limit(NODES_PER_DEPTH).select("ctx")
         if kept is not None:
             mine = mine.unionByName(kept.select(F.col("ctx").bitwiseAND(F.lit((1 << 8 * d) - 1)).alias("ctx"))).distinct()
         kept = shared_table(mine, f"nodes{d}")
@@ -273,6 +277,7 @@ def _score_pass(model, hot, buckets: int):
         from pyspark import TaskContext
         part, number = TaskContext.get().partitionId(), 0
         keys, counts = hot_hash.value, hot_count.value
+        tree = SuffixAutomaton(*model.value)
         for batch in batches:
             ids = batch.column(0)
             train = ~np.array(batch.column(1).to_pylist(), dtype=bool)
@@ -280,8 +285,8 @@ def _score_pass(model, hot, buckets: int):
             score, tokens, known, base = np.zeros(n), np.ones(n, np.int64), np.zeros(n, np.int64), np.zeros(n)
             rows, words, times = [], [], []
             for w in word_chunks(text_column(batch, "text")):
-                stream, begin, scored = symbols(w, model.value.depth)
-                score[w.lo:w.hi] = stream_scores(model.value, stream, scored, begin)
+                stream, begin, scored = symbols(w, tree.depth)
+                score[w.lo:w.hi] = stream_scores(tree, stream, scored, begin)
                 tokens[w.lo:w.hi] += np.diff(w.first)
                 r, h, c = _word_counts(w.hashes(), np.repeat(np.arange(w.lo, w.hi), np.diff(w.first)))
                 at = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
@@ -398,7 +403,7 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, g
     code = hot.column("code").to_numpy().view(np.uint64)
     order = np.argsort(code)
     send = (sc.broadcast(code[order]), sc.broadcast(hot.column("n").to_numpy()[order]))
-    packed = rows.mapInArrow(_score_pass(sc.broadcast(model), send, width), _ROWS)
+    packed = rows.mapInArrow(_score_pass(sc.broadcast(tuple(vars(model).values())), send, width), _ROWS)
     sums = packed.repartition(width, "place").sortWithinPartitions("place", "batch", "kind").mapInArrow(_bucket_pass, _ROWS)
     done = sums.repartition(width, "batch").sortWithinPartitions("batch", "kind", "place").mapInArrow(_batch_pass, SCORES)
     scale = float(np.log10(tokens + 0.1 * (vocabulary + 1)))
