@@ -42,12 +42,12 @@ from basketry.llm.tables import shared_table, shuffle_width
 from basketry.llm.text import Words, mix64, text_column, word_chunks
 
 DEPTH = 6
-P_MIN = 3e-6
+P_MIN = 5e-6
 GAIN = 3.0
 NODES_PER_DEPTH = 50_000
 HOT = 1 / 2500
 SEGMENT = 512
-MERGE_ROWS = 4_000_000
+MERGE_ROWS = 3_000_000
 SHIFT = np.uint64(8)
 LOG10 = np.log(10.0)
 
@@ -109,7 +109,7 @@ class _Counter:
             if self.held > MERGE_ROWS:
                 self.parts = [_merge(self.parts)]
                 self.held = len(self.parts[0][0])
-                if self.held > MERGE_ROWS // 2:
+                if self.held > MERGE_ROWS * 4 // 5:
                     return self.drain()
         return None
 
