@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.tables import shared_table, shuffle_width
-from basketry.llm.text import Words, mix64, text_column, word_chunks
+from basketry.llm.text import Words, text_column, word_chunks
 
 DEPTH = 6
 P_MIN = 5e-6

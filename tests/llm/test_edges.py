@@ -6,7 +6,6 @@ import pytest
 
 from basketry.llm import (chat, decontaminate, hamming, html_text, language, mixing, secrets, shingle_join,
                           suffix_tree, url_rules)
-from basketry.llm.queries import QUERIES, SQL  # noqa: F401
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = " ".join(f"word{i % 97} of the {i % 13}" for i in range(30_000))
