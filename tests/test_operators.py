@@ -10,7 +10,8 @@ from basketry.operators.quantile import exact_quantiles, fill_with_median
 from basketry.plans import calendar
 
 
-def test_exact_quantiles_match_numpy_with_hot_group(spark):
+@pytest.mark.parametrize("wide", [False, True])
+def test_exact_quantiles_match_numpy_with_hot_group(spark, wide):
     random.seed(3)
     rows = []
     for g, n in [("hot", 3000), ("a", 7), ("b", 1), ("c", 2)]:
@@ -20,7 +21,7 @@ def test_exact_quantiles_match_numpy_with_hot_group(spark):
     df = spark.createDataFrame(rows, "g string, v double")
     probs = [0.25, 0.5, 0.75, 0.1]
     got = {r.g: r for r in exact_quantiles(df, "v", probs, ["q1", "q2", "q3", "q4"], by=["g"],
-                                           partitions=5).collect()}
+                                           wide=wide).collect()}
     for g in ["hot", "a", "b", "c"]:
         xs = np.array([v for k, v in rows if k == g and v is not None])
         for name, p in zip(["q1", "q2", "q3", "q4"], probs):
