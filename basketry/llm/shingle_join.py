@@ -21,10 +21,11 @@ sets short of credits, chance matches).
 
 Signatures go to buckets as packed arrays, one row per task and bucket, and are sorted
 there.  Sets with a common signature form a group.  Verification (exact, on the
-texts) runs in three steps, so that groups are never expanded into all pairs:
+texts) runs in four steps, so that groups are never expanded into all pairs:
 every set against the smallest set of its groups; then the other star links between
-different components; then, for groups that still hold several components,
-the pairs across components, in blocks.  Texts are sent only for pairs that an exact
+different components; then, in groups that still hold several components, every
+set against a few of nearest size; then the pairs that still lie across
+components, in blocks.  Texts are sent only for pairs that an exact
 lower bound on the difference (parity sketches, about 1.25 bits a shingle) doesn't rule
 out.  A pair inside one component can't change the components, so nothing is lost.
 
@@ -44,7 +45,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,6 +59,10 @@ BUCKET_SIGNATURES = 4_000_000
 FLUSH_SIGNATURES = 4_000_000
 HUB_MEMBERS = 200
 BLOCK = 512
+#: row pairs compared at a time in a task
+PAIRS = 1 << 18
+#: next sets by size tried before all pairs of a group
+REACH = 3
 #: what verifying a chance match costs, in signatures
 CHECK_COST = 250
 SKETCH_MIN = 256
@@ -308,7 +312,8 @@ def groups_of(packed: DataFrame, width: int) -> DataFrame:
 
 
 def set_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sid, text) of the wanted sets; one text each, from the document with that id."""
+    """(sid, text) of the wanted sets; one text each, from the document with that id.  A
+    sort-merge join at every size: the wanted sets grow with the documents."""
     def run(batches):
         for batch in batches:
             sid = pa.array([set_id(s) if len(s) else 0 for _, s in _sets(batch)], pa.int64())
@@ -316,7 +321,7 @@ def set_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")) \
         .mapInArrow(run, "doc_id long, sid long, text string")
     on = every["sid"].eqNullSafe(wanted["sid"]) & every["doc_id"].eqNullSafe(wanted["doc_id"])
-    return every.join(wanted, on).select(every["sid"], "text")
+    return every.join(wanted.hint("merge"), on).select(every["sid"], "text")
 
 
 # --- verification -----------------------------------------------------------------------
@@ -373,42 +378,97 @@ def across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return x.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
-def group_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+def _block_pairs(size: np.ndarray, mid: np.ndarray, reach: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Row pairs of consecutive blocks: rows of a block with each other (mid 0), or its first
+    ``mid`` rows with the others; ``reach``: only with so many of the next rows."""
+    start = np.cumsum(size) - size
+    row = np.arange(int(size.sum()))
+    begin, end = np.repeat(start, size), np.repeat(start + size, size)
+    cut = np.repeat(start + mid, size)
+    one = np.repeat(mid == 0, size)
+    lo = np.where(one, row + 1, np.where(row < cut, cut, end))
+    n = end - lo if reach is None else np.minimum(end - lo, reach)
+    left = np.repeat(row, n)
+    return left, np.repeat(lo, n) + np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n)
+
+
+def _near_pairs(rows: dict, size: np.ndarray, mid: np.ndarray, reach: int | None, percent: int) -> np.ndarray:
+    """(a, b) of the row pairs of different components that sizes and sketches allow."""
+    out = [np.zeros((0, 2), np.int64)]
+    length = np.array([len(x) for x in rows["sketch"]])
+    at = 0
+    while at < len(size):  # blocks, about PAIRS pairs at a time
+        upto = at + max(1, int(np.searchsorted(np.cumsum(size[at:].astype(np.int64) ** 2 // 2 + 1), PAIRS)))
+        lo = int(size[:at].sum())
+        left, right = _block_pairs(size[at:upto], mid[at:upto], reach)
+        left, right = left + lo, right + lo
+        ok = rows["root"][left] != rows["root"][right]
+        left, right = left[ok], right[ok]
+        na, nb = rows["n"][left], rows["n"][right]
+        ok = may_link(np.zeros(len(left), np.int64), na, nb, percent)
+        left, right = left[ok], right[ok]
+        short = np.minimum(length[left], length[right])
+        for width in np.unique(short):
+            x, y = left[short == width], right[short == width]
+            used, inv = np.unique(np.concatenate([x, y]), return_inverse=True)
+            bits = np.stack([folded(np.frombuffer(rows["sketch"][i], np.uint8), width) for i in used]).view(np.uint64)
+            for c in range(0, len(x), PAIRS // 8):
+                i, j = x[c:c + PAIRS // 8], y[c:c + PAIRS // 8]
+                least = np.bitwise_count(bits[inv[c:c + len(i)]] ^ bits[inv[len(x) + c:len(x) + c + len(i)]]).sum(axis=1, dtype=np.int64)
+                ok = may_link(least, rows["n"][i], rows["n"][j], percent)
+                a, b = rows["sid"][i[ok]], rows["sid"][j[ok]]
+                out.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
+        at = upto
+    return np.unique(np.concatenate(out), axis=0)
+
+
+def group_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int = PERCENT, reach: int | None = None) -> DataFrame:
     """Pairs across components inside groups that hold several, if sizes and sketches
-    allow a link.  Groups are worked through in blocks of about ``BLOCK`` members."""
+    allow a link.  Groups are worked through in blocks of about ``BLOCK`` members, every block
+    with every block; with ``reach``, only the next sets by size inside a block."""
     m = members.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left") \
         .select("grp", "sid", F.coalesce("root", "sid").alias("root"))
     mixed = m.groupBy("grp").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("k")) \
         .where("lo <> hi").select("grp", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
     m = m.join(mixed, "grp").join(sets.select("sid", "n", "sketch"), "sid")
-    own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
-    m = m.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    m = m.withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+    others = F.array("own") if reach is not None else F.sequence(F.lit(0), F.col("blocks") - 1)
+    m = m.withColumn("other", F.explode(others))
     m = m.select("grp", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
-                 (F.col("own") <= F.col("other")).alias("left"), "sid", "root", "n", "sketch")
-
-    def pairs_in(key, pdf):
-        pdf = pdf.sort_values("n", kind="stable")
-        size = min(map(len, pdf["sketch"]))
-        bits = np.stack([folded(np.frombuffer(x, np.uint8), size) for x in pdf["sketch"]]).view(np.uint64)
-        sid, root, n, left = (pdf[c].to_numpy() for c in ("sid", "root", "n", "left"))
-        if key[1] != key[2]:
-            a, b = np.flatnonzero(left), np.flatnonzero(~left)
-        else:
-            a = b = np.arange(len(sid))
-        sb, rb, nb, tb = sid[b], root[b], n[b], bits[b]
-        lo = np.searchsorted(nb, np.ceil(n[a] * percent / 100), "left")
-        hi = np.searchsorted(nb, np.floor(n[a] * 100 / percent), "right")
-        out = [np.zeros((0, 2), np.int64)]
-        for i, l, h in zip(a, lo, hi):
-            at = l + np.flatnonzero(rb[l:h] != root[i])
-            if len(at):
-                least = np.bitwise_count(tb[at] ^ bits[i]).sum(axis=1, dtype=np.int64)
-                near = sb[at[may_link(least, n[i], nb[at], percent)]]
-                out.append(np.stack([np.minimum(near, sid[i]), np.maximum(near, sid[i])], axis=1))
-        found = np.unique(np.concatenate(out), axis=0)
-        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
-
-    return m.groupBy("grp", "x", "y").applyInPandas(pairs_in, "a long, b long").distinct()
+                 (F.col("own") > F.col("other")).alias("second"), "n", "sid", "root", "sketch")
+
+    def run(batches):
+        held = None
+        for batch in _then_none(batches):
+            if batch is not None:
+                held = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            if held is None or not held.num_rows:
+                continue
+            grp, x, y = (held.column(c).to_numpy() for c in ("grp", "x", "y"))
+            first = np.flatnonzero(np.concatenate([[True], (grp[1:] != grp[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
+            done = held.num_rows if batch is None else int(first[-1])  # the last block may go on
+            if done:
+                size = np.diff(np.append(first, held.num_rows))[:len(first) if batch is None else -1]
+                part = held.slice(0, done)
+                rows = {c: part.column(c).to_numpy() for c in ("n", "sid", "root")} | {"sketch": part.column("sketch").to_pylist()}
+                second = part.column("second").to_numpy(zero_copy_only=False)
+                start = first[:len(size)]
+                mid = np.where(x[start] == y[start], 0, size - np.add.reduceat(second.astype(np.int64), start))
+                # blocks of two need rows from both
+                keep = (x[start] == y[start]) | ((mid > 0) & (mid < size))
+                pick = np.repeat(keep, size)
+                rows = {k: v[pick] if k != "sketch" else [s for s, p in zip(v, pick) if p] for k, v in rows.items()}
+                found = _near_pairs(rows, size[keep], mid[keep], reach, percent)
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+            held = None if batch is None else held.slice(done)
+    width = shuffle_width(members.sparkSession)
+    return m.repartition(width, "grp", "x", "y").sortWithinPartitions("grp", "x", "y", "second", "n", "sid") \
+        .mapInArrow(run, "a long, b long").distinct()
+
+
+def _then_none(batches):
+    yield from batches
+    yield None
 
 
 def link_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -431,6 +491,8 @@ def link_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     roots = forest_roots(verified(hubs, texts, percent).select(F.col("b").alias("node"), F.col("a").alias("up")))
     rest = shared_table(plausible(across(star, roots), nodes, percent), "star-rest")
     roots = merge_roots(roots, shared_table(verified(rest, texts, percent), "links-star"))
+    some = shared_table(group_pairs(members, roots, nodes, percent, REACH), "group-near")
+    roots = merge_roots(roots, shared_table(verified(some, texts, percent), "links-near"))
     more = shared_table(group_pairs(members, roots, nodes, percent), "group-pairs")
     roots = merge_roots(roots, shared_table(verified(more, texts, percent), "links-group"))
     least = nodes.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left") \
