@@ -30,7 +30,9 @@ lower bound on the difference (parity sketches, about 1.25 bits a shingle) doesn
 out.  A pair inside one component can't change the components, so nothing is lost.
 
 Scale.  Rows shuffled are packed signatures (about n/4 + n/4 per document), each text at most
-once, and the texts of sets that share a signature.  A hub with many members is salted.
+once, and the texts of sets that share a signature.  A hub with many members is salted.  Joins of tables
+that grow with the documents are sort-merge joins at every size, so that what a run
+needs grows evenly.
 Buckets hold about ``BUCKET_SIGNATURES`` signatures; equal sets are merged in the task that reads
 them, before the shuffle.
 
@@ -329,7 +331,7 @@ def set_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def plausible(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Distinct (a, b) pairs that sizes and sketches don't rule out."""
     side = lambda x: sets.select(F.col("sid").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
-    both = pairs.select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb")
+    both = pairs.select("a", "b").distinct().join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b").select("a", "b", "na", "nb", "sa", "sb")
 
     def run(batches):
         for batch in batches:
@@ -351,7 +353,7 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Data
         F.col("b").alias("sid"), F.col("a").alias("hub"), F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("role"))
     heads = hubs.select(F.col("a").alias("sid"), F.col("a").alias("hub"),
                         F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"))
-    sent = members.unionByName(heads).join(texts, "sid")
+    sent = members.unionByName(heads).join(texts.hint("merge"), "sid")
 
     def run(batches):
         here, head = None, None
@@ -430,7 +432,7 @@ def group_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, percent:
         .select("grp", "sid", F.coalesce("root", "sid").alias("root"))
     mixed = m.groupBy("grp").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("k")) \
         .where("lo <> hi").select("grp", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
-    m = m.join(mixed, "grp").join(sets.select("sid", "n", "sketch"), "sid")
+    m = m.join(mixed, "grp").join(sets.select("sid", "n", "sketch").hint("merge"), "sid")
     m = m.withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
     others = F.array("own") if reach is not None else F.sequence(F.lit(0), F.col("blocks") - 1)
     m = m.withColumn("other", F.explode(others))
@@ -508,7 +510,7 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     stay = link_components(docs, percent).where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))) \
         .groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
     stay = shared_table(stay, "stay")
-    out = docs.join(stay.where("doc_id is not null").select("doc_id"), "doc_id", "left_semi")
+    out = docs.join(stay.where("doc_id is not null").select("doc_id").hint("merge"), "doc_id", "left_semi")
     if stay.where("rows > 1 and doc_id is not null").isEmpty():
         only = out
     else:
