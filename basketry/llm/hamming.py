@@ -7,7 +7,8 @@ Method: incremental multi-index hashing.  A code is cut into m segments (about l
 bits each); the index maps (segment, value) to codes.  In round a every unfinished
 query probes each segment with all values at segment distance exactly a from its own.  After
 round a, every code within distance m * (a + 1) - 1 has been met, because its
-differences can't exceed a in all m segments.  All met codes are verified (full
+differences can't exceed a in all m segments.  A query whose k-th distance so far is
+m * a + j needs only segments 0 to j in round a: that covers distance m * a + j.  All met codes are verified (full
 distance); a query is finished when its k-th best verified distance is covered by that bound,
 or when it has met every row.  Results are exact; radii grow only as far as the data ask.
 
@@ -116,24 +117,30 @@ def _top_k(clean: DataFrame, dims: int, k: int, every: int) -> DataFrame:
     listed = codes.withColumn("_n", F.row_number().over(few)).where(F.col("_n") <= k + 1).drop("_n")
     index = shared_table(listed.select("vec_id", "code", F.explode(_keys(F.col("code"), segs)).alias("s"))
                          .select("vec_id", "code", "s.seg", "s.key"), "index")
-    active = codes.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.col("code").alias("query"))
+    active = codes.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), F.col("code").alias("query"),
+                                                             F.lit(None).cast("int").alias("kth"))
     active = shared_table(active, "queries")
     best = None
     for a in range(max(b for _, _, b in segs) + 1):
-        probes = active.select("query_id", "query", F.explode(_keys(F.col("query"), segs)).alias("s")).select("query_id", "query", "s.*")
-        probes = probes.where(F.col("bits") >= a).select("query_id", "query", "seg", "key", F.explode(_mask_column(segs, a)).alias("mask")) \
+        # a k-th distance so far of m * a + j is covered by segments 0..j of this round
+        probes = active.select("query_id", "query", "kth", F.explode(_keys(F.col("query"), segs)).alias("s")) \
+            .select("query_id", "query", "s.*", "kth")
+        needed = F.col("kth").isNull() | (F.col("seg") <= F.col("kth") - F.lit(len(segs) * a))
+        probes = probes.where((F.col("bits") >= a) & needed).select("query_id", "query", "seg", "key", F.explode(_mask_column(segs, a)).alias("mask")) \
             .select("query_id", "query", "seg", F.col("key").bitwiseXOR(F.col("mask")).alias("key"))
-        met = probes.join(index, ["seg", "key"]).where("vec_id <> query_id") \
+        met = probes.join(index.hint("merge"), ["seg", "key"]).where("vec_id <> query_id") \
             .select("query_id", "query", "vec_id", _distance("query", "code", words).alias("distance"))
         if best is not None:
             met = met.unionByName(best.select("query_id", "query", "vec_id", "distance"))
         best = shared_table(_best(met, k), f"best{a}")
         # distances up to the bound are complete; a query with fewer than k results goes on to the last round
         bound = len(segs) * (a + 1) - 1
-        done = best.where((F.col("rank") == k) & (F.col("distance") <= bound)).select("query_id", "query")
+        last = best.where(F.col("rank") == k).select("query_id", "query", F.col("distance").alias("now"))
         if bound >= dims:
             break
-        active = shared_table(active.join(done, ["query_id", "query"], "left_anti"), "queries")
+        active = shared_table(active.join(last, ["query_id", "query"], "left")
+                              .where(F.col("now").isNull() | ((F.coalesce("kth", F.lit(dims + bound)) > bound) & (F.col("now") > bound)))
+                              .select("query_id", "query", F.col("now").alias("kth")), "queries")
         if active.isEmpty():
             break
     return best.select("query_id", "rank", "vec_id", "distance")
