@@ -4,18 +4,21 @@ Text as symbols.  Words (``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased) are spelled
 bytes, each followed by a space; a text ends with the symbol 0 and starts after zeros.
 
 Model.  Contexts of up to ``DEPTH`` symbols are counted over all training texts.  A context is a
-node if it is frequent enough (``P_MIN`` of all symbols) and its next-symbol counts diverge from
-those of the context one symbol shorter (log-likelihood gain of at least ``GAIN`` nats); the
+node if it was seen at least ``MIN_COUNT`` times and its next-symbol counts diverge from
+those of the context one symbol shorter (log-likelihood gain of at least ``GAIN`` nats), so the tree
+grows with the corpus and no context that passes is left out; the
 suffixes of a node are nodes as well.  A node's distribution is its counts, smoothed with its
 suffix's distribution in proportion to the number of different successors (Witten-Bell), down to
 the root, which gives every byte some mass.  A symbol is scored in the state of the longest
-suffix of its history that is a node; the states form an automaton (nodes and their prefixes, with
-fallback to the longest suffix), so scoring is one table step per symbol.
+suffix of its history that is a node.
 
-Size.  The model that is broadcast has a fixed bound, whatever the corpus: at most ``1 / P_MIN``
-contexts per depth are frequent enough, and of these the ``NODES_PER_DEPTH`` with the
-highest gain become nodes (with their suffixes and prefixes as states).  The counts it
-is made from cover all training texts.
+Size.  The tree is a set of tables keyed by context, never collected or broadcast.  One join per
+depth, over the distinct grams (history and symbol) of the corpus, training or not, turns counts into
+probabilities from the root upwards.  The ``HOT_GRAMS`` most frequent grams are broadcast with their
+probabilities; all other occurrences go, as packed (gram, document) arrays, to the bucket of their
+gram's hash, where the rest of the probabilities are, and come back as partial sums.  So the broadcast
+has a fixed bound, and no gram is scored by anything but the whole tree.  ``automaton`` is the same
+model as one table in memory.
 
 Base score (unigrams).  Words are counted over all training texts.  Words with at least ``HOT``
 of all tokens (at most ``1 / HOT`` of them) are broadcast with their counts; all others go, as packed
@@ -39,12 +42,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.tables import shared_table, shuffle_width
-from basketry.llm.text import Words, text_column, word_chunks
+from basketry.llm.text import Words, mix64, text_column, word_chunks
 
 DEPTH = 6
-P_MIN = 5e-6
+MIN_COUNT = 16
 GAIN = 3.0
-NODES_PER_DEPTH = 50_000
+HOT_GRAMS = 1 << 20
 HOT = 1 / 2500
 SEGMENT = 512
 MERGE_ROWS = 3_000_000
@@ -89,6 +92,7 @@ def gram_codes(stream: np.ndarray, scored: np.ndarray, depth: int) -> np.ndarray
 
 def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     code, n = (np.concatenate(c) for c in zip(*parts))
+    parts.clear()  # the pieces are not needed twice
     order = np.argsort(code, kind="stable")
     code, n = code[order], n[order]
     first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
@@ -101,10 +105,10 @@ class _Counter:
     def __init__(self):
         self.parts, self.held = [], 0
 
-    def add(self, codes: np.ndarray) -> None:
+    def add(self, codes: np.ndarray, weight: int = 1):
         if len(codes):
             code, n = np.unique(codes, return_counts=True)
-            self.parts.append((code, n))
+            self.parts.append((code, n * weight))
             self.held += len(code)
             if self.held > MERGE_ROWS:
                 self.parts = [_merge(self.parts)]
@@ -124,23 +128,30 @@ def _count_batch(kind: int, got) -> pa.RecordBatch:
                                        pa.array(got[1].astype(np.int64))], names=["kind", "code", "n"])
 
 
-def corpus_counts(train: DataFrame, depth: int = DEPTH) -> DataFrame:
+def corpus_counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(kind, code, n) over all training texts: kind 0, packed symbol grams; kind 1, words (hash).
-    Every task sends each of its distinct codes once."""
+    Every task sends each of its distinct codes once.  Without a column held_out all texts are
+    training texts; grams that only held-out texts have get n = 0."""
+    held = F.col("held_out") if "held_out" in docs.columns else F.lit(False)
+
     def run(batches):
         grams, words = _Counter(), _Counter()
         for batch in batches:
+            train = ~np.array(batch.column(1).to_pylist(), dtype=bool)
             for w in word_chunks(text_column(batch, "text")):
-                stream, _, scored = symbols(w, depth)
-                for kind, counter, codes in ((0, grams, gram_codes(stream, scored, depth)), (1, words, w.hashes())):
-                    got = counter.add(codes)
+                stream, begin, scored = symbols(w, depth)
+                codes, here = gram_codes(stream, scored, depth), train[w.lo:w.hi]
+                known = np.repeat(here, np.diff(np.append(begin, len(stream))) - depth)
+                spoken = w.hashes()[np.repeat(here, np.diff(w.first))]
+                for kind, counter, some, weight in ((0, grams, codes[known], 1), (0, grams, codes[~known], 0), (1, words, spoken, 1)):
+                    got = counter.add(some, weight)
                     if got is not None:
                         yield _count_batch(kind, got)
         for kind, counter in ((0, grams), (1, words)):
             got = counter.drain()
             if got is not None:
                 yield _count_batch(kind, got)
-    return train.select("text").mapInArrow(run, "kind int, code long, n long") \
+    return docs.select("text", held.alias("held_out")).mapInArrow(run, "kind int, code long, n long") \
         .groupBy("kind", "code").agg(F.sum("n").alias("n"))
 
 
@@ -156,38 +167,80 @@ def _level(grams: DataFrame, d: int) -> DataFrame:
     return grams.groupBy(F.col("code").bitwiseAND(F.lit((1 << 8 * (d + 1)) - 1)).alias("code")).agg(F.sum("n").alias("n"))
 
 
-def tree_nodes(grams: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, gain: float = GAIN) -> DataFrame:
-    """(d, ctx, sym, n): next-symbol counts of the tree's nodes, the root at d = 0."""
-    total = grams.agg(F.sum("n")).first()[0] or 0
+def gram_levels(grams: DataFrame, depth: int = DEPTH) -> dict[int, DataFrame]:
+    """Per depth d (code, n): the distinct grams with d symbols of history."""
     levels, own = {}, grams
     for d in range(depth, -1, -1):
-        own = shared_table(_level(own, d), f"grams{d}")
-        levels[d] = own.select(F.shiftright("code", 8).alias("ctx"), F.col("code").bitwiseAND(F.lit(255)).alias("sym"), "n")
-    kept, out = None, []
+        own = levels[d] = shared_table(_level(own, d), f"grams{d}")
+    return levels
+
+
+def tree_contexts(levels: dict[int, DataFrame], least: float = MIN_COUNT, gain: float = GAIN) -> dict[int, DataFrame]:
+    """Per depth from 1 (ctx, total, kinds): the nodes, all contexts that pass and their suffixes."""
+    kept: dict[int, DataFrame] = {}
+    depth = max(levels)
+    seen = {d: x.where("n > 0").select(F.shiftright("code", 8).alias("ctx"), F.col("code").bitwiseAND(F.lit(255)).alias("sym"), "n")
+            for d, x in levels.items()}
     for d in range(depth, 0, -1):
         low = (1 << 8 * (d - 1)) - 1
-        sums = levels[d].groupBy("ctx").agg(F.sum("n").alias("total")).where(F.col("total") >= F.lit(p_min * total))
-        up = levels[d - 1].select(F.col("ctx").alias("uctx"), F.col("sym").alias("usym"), F.col("n").alias("un"))
-        usum = levels[d - 1].groupBy(F.col("ctx").alias("tctx")).agg(F.sum("n").alias("utotal"))
-        rows = levels[d].join(sums, "ctx").withColumn("suffix", F.col("ctx").bitwiseAND(F.lit(low)))
+        sums = seen[d].groupBy("ctx").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")).where(F.col("total") >= F.lit(least))
+        up = seen[d - 1].select(F.col("ctx").alias("uctx"), F.col("sym").alias("usym"), F.col("n").alias("un"))
+        usum = seen[d - 1].groupBy(F.col("ctx").alias("tctx")).agg(F.sum("n").alias("utotal"))
+        rows = seen[d].join(sums, "ctx").withColumn("suffix", F.col("ctx").bitwiseAND(F.lit(low)))
         rows = rows.join(up, (F.col("suffix") == F.col("uctx")) & (F.col("sym") == F.col("usym"))) \
             .join(usum, F.col("suffix") == F.col("tctx"))
         score = F.sum(F.col("n") * F.log(F.col("n") * F.col("utotal") / (F.col("un") * F.col("total"))))
-        mine = rows.groupBy("ctx").agg(score.alias("gain")).where(F.col("gain") >= gain) \
-            .orderBy(F.desc("gain"), "ctx").limit(NODES_PER_DEPTH).select("ctx")
-        if kept is not None:
-            mine = mine.unionByName(kept.select(F.col("ctx").bitwiseAND(F.lit((1 << 8 * d) - 1)).alias("ctx"))).distinct()
-        kept = shared_table(mine, f"nodes{d}")
-        out.append(levels[d].join(kept, "ctx", "left_semi").select(F.lit(d).alias("d"), "ctx", "sym", "n"))
-    out.append(levels[0].select(F.lit(0).alias("d"), "ctx", "sym", "n"))
-    every = out[0]
-    for x in out[1:]:
-        every = every.unionByName(x)
+        mine = rows.groupBy("ctx").agg(score.alias("gain"), F.first("total").alias("total"), F.first("kinds").alias("kinds"))
+        good = F.col("gain") >= gain
+        if d < depth:
+            below = kept[d + 1].select(F.col("ctx").bitwiseAND(F.lit((1 << 8 * d) - 1)).alias("ctx")).distinct().withColumn("below", F.lit(True))
+            mine, good = mine.join(below, "ctx", "left"), good | F.col("below").isNotNull()
+        kept[d] = shared_table(mine.where(good).select("ctx", "total", "kinds"), f"nodes{d}")
+    return kept
+
+
+def tree_nodes(grams: DataFrame, depth: int = DEPTH, p_min: float = 0.0, gain: float = GAIN, least: float = MIN_COUNT) -> DataFrame:
+    """(d, ctx, sym, n): next-symbol counts of the tree's nodes, the root at d = 0; a node has at least
+    ``least`` occurrences and ``p_min`` of all symbols."""
+    levels = gram_levels(grams, depth)
+    total = levels[0].agg(F.sum("n")).first()[0] or 0
+    kept = tree_contexts(levels, max(least, p_min * total), gain)
+    every = None
+    for d in range(depth, -1, -1):
+        rows = levels[d].where("n > 0").select(F.lit(d).alias("d"), F.shiftright("code", 8).alias("ctx"), F.col("code").bitwiseAND(F.lit(255)).alias("sym"), "n")
+        rows = rows.join(kept[d], "ctx", "left_semi").select("d", "ctx", "sym", "n") if d else rows
+        every = rows if every is None else every.unionByName(rows)
     return every
 
 
+def gram_scores(levels: dict[int, DataFrame], kept: dict[int, DataFrame]) -> DataFrame:
+    """(code, n, logp): log10 probability of the last symbol of every gram of the deepest level."""
+    root = levels[0].where("n > 0").agg(F.count(F.lit(1)), F.sum("n")).first()
+    columns, rest = root[0] + 1, max(1, 256 - root[0])  # unseen bytes share one column
+    whole = (root[1] or 0) + 0.5 * columns
+    p = levels[0].select("code", "n", (F.when(F.col("n") > 0, F.col("n") + F.lit(0.5)).otherwise(F.lit(0.5 / rest)) / F.lit(whole)).alias("p"))
+    for d in range(1, max(levels) + 1):
+        up = p.select(F.col("code").alias("ucode"), F.col("p").alias("up"))
+        mine = levels[d].withColumn("ucode", F.col("code").bitwiseAND(F.lit((1 << 8 * d) - 1))).withColumn("ctx", F.shiftright("code", 8))
+        own = (F.col("n") + F.col("kinds") * F.col("up")) / (F.col("total") + F.col("kinds"))
+        p = mine.join(up, "ucode").join(kept[d], "ctx", "left").select("code", "n", F.coalesce(own, F.col("up")).alias("p"))
+    return p.select("code", "n", F.log10("p").cast("float").alias("logp"))
+
+
+def hot_from(scores: DataFrame, most: int = HOT_GRAMS) -> Column:
+    """Whether a gram is among the ``most`` most frequent (whole steps of an eighth of a power of two)."""
+    step = F.floor(F.log2(F.col("n") + 1) * 8)
+    held, least = 0, None
+    for value, n in sorted(scores.groupBy(step).count().collect(), reverse=True):
+        held += n
+        if held > most:
+            break
+        least = value
+    return F.lit(False) if least is None else step >= F.lit(least)
+
+
 def automaton(nodes: pa.Table, depth: int = DEPTH) -> SuffixAutomaton:
-    """Scoring tables from the rows of ``tree_nodes`` (bounded by P_MIN)."""
+    """Scoring tables from the rows of ``tree_nodes`` (for a tree that fits one process)."""
     d, ctx, sym, n = (nodes.column(c).to_numpy().astype(np.int64) for c in ("d", "ctx", "sym", "n"))
     seen = np.unique(sym[d == 0])
     columns = len(seen) + 1
@@ -250,7 +303,7 @@ def stream_scores(a: SuffixAutomaton, stream: np.ndarray, scored: np.ndarray, be
 
 # --- scoring pass ----------------------------------------------------------------------
 
-_HEAD, _WORDS, _SUMS = 0, 1, 2
+_HEAD, _WORDS, _SUMS, _ANSWERS, _GRAMS, _GRAM_SUMS = range(6)
 _ROWS = "place long, batch long, kind int, a binary, b binary, c binary, d binary"
 
 
@@ -268,25 +321,65 @@ def _word_counts(h: np.ndarray, row: np.ndarray):
     return row[first], h[first], np.diff(np.append(first, len(h)))
 
 
-def _score_pass(model, hot, buckets: int):
-    """Map side: per batch of rows a head (ids, flags, token counts, model scores and hot-word sums)
-    and, per bucket, the other words of the rows."""
+def _buckets(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return ((hashes & np.uint64(0xFFFFFFFF)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def _dealt(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket that has any with the places of its entries, in order."""
+    order = np.argsort(bucket, kind="stable")
+    edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    for b in range(buckets):
+        if edge[b + 1] > edge[b]:
+            yield b, order[edge[b]:edge[b + 1]]
+
+
+def _answers(buckets: int):
+    """Rows (code, logp) packed by the bucket of the gram."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            code, logp = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+            yield _packed([(buckets + b, -1, _ANSWERS, code[pick].tobytes(), logp[pick].tobytes(), b"", b"")
+                           for b, pick in _dealt(_buckets(mix64(code), buckets), buckets)])
+    return run
+
+
+def hot_scores(hot, codes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per row (of grams, ``first`` the index of each row's first) the log10 probabilities of its hot
+    grams, and the places of all others."""
+    keys, logps = hot
+    if not len(keys):
+        return np.zeros(len(first)), np.arange(len(codes))
+    order = np.argsort(codes)
+    want = codes[order]
+    at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+    hit = keys[at] == want
+    value = np.empty(len(codes))
+    value[order] = np.where(hit, logps[at], 0)
+    return np.add.reduceat(value, first), np.sort(order[~hit])
+
+
+def _score_pass(depth: int, hot_grams, hot, buckets: int):
+    """Map side: per batch of rows a head (ids, flags, token counts and the sums of hot grams and hot
+    words) and, per bucket, the other grams and words of the rows."""
     hot_hash, hot_count = hot
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part, number = TaskContext.get().partitionId(), 0
         keys, counts = hot_hash.value, hot_count.value
-        tree = SuffixAutomaton(*model.value)
         for batch in batches:
             ids = batch.column(0)
             train = ~np.array(batch.column(1).to_pylist(), dtype=bool)
             n = batch.num_rows
             score, tokens, known, base = np.zeros(n), np.ones(n, np.int64), np.zeros(n, np.int64), np.zeros(n)
-            rows, words, times = [], [], []
+            rows, words, times, cold, cold_rows = [], [], [], [], []
             for w in word_chunks(text_column(batch, "text")):
-                stream, begin, scored = symbols(w, tree.depth)
-                score[w.lo:w.hi] = stream_scores(tree, stream, scored, begin)
+                stream, begin, scored = symbols(w, depth)
+                codes, first = gram_codes(stream, scored, depth), begin - depth * np.arange(w.hi - w.lo)
+                score[w.lo:w.hi], rest = hot_scores(hot_grams.value, codes, first)
+                cold.append(codes[rest])
+                cold_rows.append(w.lo + np.searchsorted(first, rest, side="right") - 1)
                 tokens[w.lo:w.hi] += np.diff(w.first)
                 r, h, c = _word_counts(w.hashes(), np.repeat(np.arange(w.lo, w.hi), np.diff(w.first)))
                 at = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
@@ -301,21 +394,21 @@ def _score_pass(model, hot, buckets: int):
             out = [(here % buckets, here, _HEAD, pa.array(ids, pa.int64()).fill_null(0).to_numpy(zero_copy_only=False).tobytes(),
                     np.stack([tokens, known, train.astype(np.int64), np.array(ids.is_null())]).astype(np.int64).tobytes(), score.tobytes(), base.tobytes())]
             row, word, time = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (rows, words, times))
-            bucket = ((word & np.uint64(0xFFFFFFFF)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for b in range(buckets):
-                pick = order[edge[b]:edge[b + 1]]
-                if len(pick):
-                    out.append((b, here, _WORDS, word[pick].tobytes(), row[pick].astype(np.uint32).tobytes(),
-                                np.minimum(time[pick], 2 ** 32 - 1).astype(np.uint32).tobytes(), np.packbits(train).tobytes()))
+            for b, pick in _dealt(_buckets(word, buckets), buckets):
+                out.append((b, here, _WORDS, word[pick].tobytes(), row[pick].astype(np.uint32).tobytes(),
+                            np.minimum(time[pick], 2 ** 32 - 1).astype(np.uint32).tobytes(), np.packbits(train).tobytes()))
+            yield _packed(out)
+            out, rows, words, times, word, time = [], [], [], [], None, None
+            gram, row = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (cold, cold_rows))
+            for b, pick in _dealt(_buckets(mix64(gram), buckets), buckets):
+                out.append((buckets + b, here, _GRAMS, gram[pick].tobytes(), row[pick].astype(np.uint32).tobytes(), b"", b""))
             yield _packed(out)
     return run
 
 
 def _bucket_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One bucket at a time: counts of its words from the training rows, then the partial sums of
-    every batch; heads pass through."""
+    every batch; or probabilities of its grams, then the same; heads pass through."""
     def emit(parts):
         word = np.concatenate([np.frombuffer(p[1], np.uint64) for p in parts])
         size = [len(p[1]) // 8 for p in parts]
@@ -334,16 +427,29 @@ def _bucket_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at += k
         return _packed(out)
 
-    now, parts = None, []
+    def gram_sums(name, known, a, b):
+        code, row = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint32)
+        at = np.searchsorted(known[0], code)
+        which, inv = np.unique(row, return_inverse=True)
+        return 0, name, _GRAM_SUMS, which.tobytes(), np.bincount(inv, weights=known[1][at]).tobytes(), b"", b""
+
+    now, parts, answers, known = None, [], [], None
     for batch in batches:
         heads = []
         for place, name, kind, a, b, c, d in zip(*[x.to_pylist() for x in batch.columns]):
             if place != now:
                 if parts:
                     yield emit(parts)
-                now, parts = place, []
+                now, parts, answers, known = place, [], [], None
             if kind == _HEAD:
                 heads.append((place, name, kind, a, b, c, d))
+            elif kind == _ANSWERS:
+                answers.append((np.frombuffer(a, np.uint64), np.frombuffer(b, np.float32)))
+            elif kind == _GRAMS:
+                if known is None:
+                    known = tuple(np.concatenate(x) for x in zip(*answers))
+                    known, answers = tuple(x[np.argsort(known[0])] for x in known), []
+                heads.append(gram_sums(name, known, a, b))
             else:
                 parts.append((name, a, b, c, d))
         if heads:
@@ -373,29 +479,33 @@ def _batch_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield emit(head)
                 now = name
                 ids = np.frombuffer(a, np.int64)
-                head = (ids, np.frombuffer(b, np.int64).reshape(4, len(ids)).copy(), np.frombuffer(c, np.float64), np.frombuffer(d, np.float64).copy())
+                head = (ids, np.frombuffer(b, np.int64).reshape(4, len(ids)).copy(), np.frombuffer(c, np.float64).copy(), np.frombuffer(d, np.float64).copy())
             else:
                 assert name == now
                 at = np.frombuffer(a, np.uint32)
+                if kind == _GRAM_SUMS:
+                    head[2][at] += np.frombuffer(b, np.float64)
+                    continue
                 head[3][at] += np.frombuffer(b, np.float64)
                 head[1][1][at] += np.frombuffer(c, np.int64)
     if head is not None:
         yield emit(head)
 
 
-def fit(train: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, gain: float = GAIN):
-    """(automaton, word counts (code, n)) from all training texts."""
-    counts = shared_table(corpus_counts(train, depth), "counts")
-    nodes = tree_nodes(counts.where("kind = 0").select("code", "n"), depth, p_min, gain).toArrow()
-    return automaton(nodes, depth), counts.where("kind = 1").select("code", "n")
-
-
-def score_documents(docs: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, gain: float = GAIN) -> DataFrame:
+def score_documents(docs: DataFrame, depth: int = DEPTH, least: float = MIN_COUNT, gain: float = GAIN, hot_grams: int = HOT_GRAMS) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     sc, width = docs.sparkSession.sparkContext, shuffle_width(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
     train = rows.where("not held_out")
-    model, words = fit(train, depth, p_min, gain)
+    counts = shared_table(corpus_counts(rows, depth), "counts")
+    words = counts.where("kind = 1").select("code", "n")
+    levels = gram_levels(counts.where("kind = 0").select("code", "n"), depth)
+    scores = shared_table(gram_scores(levels, tree_contexts(levels, least, gain)), "scores")
+    is_hot = hot_from(scores, hot_grams)
+    often = scores.where(is_hot).select("code", "logp").toArrow()
+    code = often.column("code").to_numpy().view(np.uint64)
+    order = np.argsort(code)
+    send_grams = sc.broadcast((code[order], often.column("logp").to_numpy()[order]))
     ends = train.count()
     spoken, kinds = words.agg(F.sum("n"), F.count(F.lit(1))).first()
     tokens, vocabulary = (spoken or 0) + ends, kinds + (ends > 0)
@@ -403,7 +513,8 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, g
     code = hot.column("code").to_numpy().view(np.uint64)
     order = np.argsort(code)
     send = (sc.broadcast(code[order]), sc.broadcast(hot.column("n").to_numpy()[order]))
-    packed = rows.mapInArrow(_score_pass(sc.broadcast(tuple(vars(model).values())), send, width), _ROWS)
+    packed = rows.mapInArrow(_score_pass(depth, send_grams, send, width), _ROWS) \
+        .unionByName(scores.where(~is_hot).select("code", "logp").mapInArrow(_answers(width), _ROWS))
     sums = packed.repartition(width, "place").sortWithinPartitions("place", "batch", "kind").mapInArrow(_bucket_pass, _ROWS)
     done = sums.repartition(width, "batch").sortWithinPartitions("batch", "kind", "place").mapInArrow(_batch_pass, SCORES)
     scale = float(np.log10(tokens + 0.1 * (vocabulary + 1)))

@@ -12,6 +12,7 @@ import zlib
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from basketry.llm import chat, decontaminate, html_text, language, secrets, shingle_join, suffix_tree, url_rules
 from basketry.llm.queries import QUERIES
@@ -166,6 +167,36 @@ def test_suffix_tree_beats_the_base_on_held_out_texts(spark):
     assert rows and sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 
+def test_suffix_tree_keeps_every_context_that_passes(spark):
+    """60,000 contexts of one depth, each seen 20 times before one symbol."""
+    ctx = F.shiftleft("id", 8) + 97
+    grams = spark.range(60_000).select((F.shiftleft(ctx, 8) + F.col("id") % 50 + 1).alias("code"), F.lit(20).cast("long").alias("n"))
+    assert suffix_tree.tree_nodes(grams, 3).where("d = 3").count() == 60_000
+
+
+def test_suffix_tree_contexts_need_a_count_not_a_share(spark):
+    """A context seen 20 times stays a node however much else there is."""
+    rare, rest = (ord("q") << 16 | ord("z") << 8 | ord("x"), 20), [(ord("a") << 16 | ord("b") << 8 | s, 10 ** 8) for s in range(97, 107)]
+    grams = spark.createDataFrame([rare, *rest], "code long, n long")
+    assert suffix_tree.tree_nodes(grams, 2).where(f"d = 1 and ctx = {ord('z')}").count() == 1
+
+
+@pytest.mark.parametrize("hot", [0, 1000, suffix_tree.HOT_GRAMS])
+def test_suffix_tree_tables_score_like_the_automaton(spark, documents, hot):
+    import pyarrow as pa
+    from basketry.llm.text import word_chunks
+    docs = spark.createDataFrame([(i, r.text) for i, r in sorted(documents.items())], "doc_id long, text string")
+    got = {r.doc_id: r for r in suffix_tree.score_documents(docs, hot_grams=hot).collect()}
+    train = docs.where(~suffix_tree.held_out(F.col("doc_id")))
+    nodes = suffix_tree.tree_nodes(suffix_tree.corpus_counts(train).where("kind = 0").select("code", "n"))
+    model = suffix_tree.automaton(nodes.toArrow())
+    assert len(got) == len(documents) and any(r.held_out for r in got.values())
+    for r in docs.collect():
+        w = next(iter(word_chunks(pa.array([r.text or ""]))))
+        stream, begin, scored = suffix_tree.symbols(w, suffix_tree.DEPTH)
+        assert math.isclose(suffix_tree.stream_scores(model, stream, scored, begin)[0], got[r.doc_id].score, rel_tol=1e-5, abs_tol=1e-4)
+
+
 # --- 4: main text -------------------------------------------------------------------------
 
 def test_main_text_of_marked_articles(spark):
