@@ -68,7 +68,8 @@ LIMIT = 3.0
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>"
                     r"|</?[a-zA-Z][^<>]*(?:>|\Z)|[^<]+|<", re.S)
-_NAMES = re.compile(r"""(?:^|\s)(class|id|role|aria-hidden|style|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: one attribute after the other: name, optional value (never searched for names)
+_ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
 _WORDS = re.compile(r"[a-z0-9]+")
 
 
@@ -85,7 +86,7 @@ def _is_aside(tag: str, attrs: str, inside_content: bool) -> bool:
         return True
     if not attrs:
         return False
-    for m in _NAMES.finditer(attrs):
+    for m in _ATTRIBUTE.finditer(attrs):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none", value)):
             return True

@@ -225,6 +225,16 @@ def test_main_text_of_other_layouts(page, want):
     assert html_text.main_text(page, html_text.DEFAULT_WEIGHTS) == want
 
 
+@pytest.mark.parametrize("attrs, shown", [
+    ('title="the hidden life"', True), ("aria-label='show hidden text'", True), ('data-style="overflow: hidden"', True),
+    ('data-x="a class=ad id=menu role=alert"', True), ("title='x style=\"display:none\" y'", True), ("data-a=x/hidden", True),
+    ("hidden", False), ("HIDDEN=''", False), ('title="a" hidden', False), ('title="a"hidden', False), ("class = 'ad'", False), ("data-a=x hidden", False),
+])
+def test_attribute_values_are_not_searched_for_names(attrs, shown):
+    page = f"<article><p>first words of it</p><p {attrs}>second words of it</p></article>"
+    assert html_text.main_text(page, html_text.DEFAULT_WEIGHTS) == "first words of it" + "\nsecond words of it" * shown
+
+
 def test_best_region_against_all_regions():
     rng = random.Random(1)
     for _ in range(300):
