@@ -9,6 +9,12 @@ contiguous region of the highest total.  The region is then completed to the sma
 element that holds it, unless that is the whole body, and its blocks are
 written out without the zones that are not main text.
 
+Zones.  Elements and roles that name what is not main text, and hidden elements, are left out.
+Class and id words and forms only mark a zone, as layout wrappers bear them too: its words
+weigh less, and it is left out of the text unless it holds the region.  A marked zone with more
+than half of the page's words outside links counts as not marked, and where no text would be
+left, none is.
+
 Text rules.  Character references are decoded; white space inside a block becomes one
 space; blocks are trimmed, empty ones left out, the rest joined by one newline in page
 order.  Nothing is cut or capped.  Broken markup is read as browsers do in
@@ -45,10 +51,11 @@ BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "dd", "d
          "html", "legend", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot",
          "th", "thead", "tr", "ul"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
-ASIDE_TAGS = {"aside", "button", "dialog", "footer", "form", "head", "menu", "nav", "audio", "video"}
-ASIDE_ROLES = {"alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar", "navigation",
+ASIDE_TAGS = {"aside", "button", "dialog", "footer", "head", "menu", "nav", "audio", "video"}
+ASIDE_ROLES = {"alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "menu", "menubar", "navigation",
                "search", "toolbar"}
-#: words of class and id attributes that name what is not main text (fixed values)
+#: what marks a zone that is probably not main text: elements and roles, words of class and id attributes (fixed values)
+MARKED = {"form"}
 ASIDE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion", "banner",
                "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "sidebar", "footer", "masthead", "topbar",
                "cookie", "cookies", "consent", "gdpr", "notice", "notices", "popup", "modal", "overlay", "newsletter", "subscribe",
@@ -61,7 +68,7 @@ ENDS_PARAGRAPH = BLOCK - {"html", "body"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 CLOSE_LIMIT = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
 
-DEFAULT_WEIGHTS = {"word p": 1.0, "word heading": 0.5, "word li": 0.2, "word other": 0.3, "word link": -1.0, "word aside": -2.0}
+DEFAULT_WEIGHTS = {"word p": 1.0, "word heading": 0.5, "word li": 0.2, "word other": 0.3, "word link": -1.0, "word marked": -1.0, "word aside": -2.0}
 DEFAULT_TAG = -0.3
 TAG_AT_MOST = -0.05
 LIMIT = 3.0
@@ -74,29 +81,55 @@ _WORDS = re.compile(r"[a-z0-9]+")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "aside", "link", "depth", "header")
+    __slots__ = ("tag", "parent", "aside", "link", "depth", "header", "zone", "words", "wide")
 
-    def __init__(self, tag, parent, aside, link, header):
+    def __init__(self, tag, parent, aside, link, header, marked=False):
         self.tag, self.parent, self.aside, self.link, self.header = tag, parent, aside, link, header
         self.depth = parent.depth + 1 if parent else 0
+        self.zone = self if marked else parent.zone if parent else None  # the nearest marked element
+        self.words, self.wide = 0, False
 
 
-def _is_aside(tag: str, attrs: str, inside_content: bool) -> bool:
+def _is_aside(tag: str, attrs: str, inside_content: bool) -> tuple[bool, bool]:
+    """Whether an element is no main text, and whether it is marked as probably none."""
     if tag in ASIDE_TAGS:
-        return True
-    if not attrs:
-        return False
-    for m in _ATTRIBUTE.finditer(attrs):
+        return True, False
+    marked = tag in MARKED
+    for m in _ATTRIBUTE.finditer(attrs or ""):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none", value)):
-            return True
-        if name == "role" and value in ASIDE_ROLES:
-            return True
+            return True, False
+        if name == "role":
+            if value in ASIDE_ROLES:
+                return True, False
+            marked = marked or value in MARKED
         if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
             words = set(_WORDS.findall(value))
-            if words & ASIDE_WORDS or ("header" in words and not inside_content and tag not in HEADINGS):
-                return True
-    return False
+            marked = marked or bool(words & ASIDE_WORDS) or ("header" in words and not inside_content and tag not in HEADINGS)
+    return False, marked
+
+
+def _zones(e: Element) -> Iterator[Element]:
+    """The marked elements around a place, those that hold more than half of the page left out."""
+    z = e.zone
+    while z is not None:
+        if not z.wide:
+            yield z
+        z = z.parent.zone if z.parent is not None else None
+
+
+def _weigh_zones(tokens: list[tuple[str, Element, str]]) -> None:
+    """Marked elements with more than half of the page's words outside links are wrappers."""
+    total, zones = 0, {}
+    for kind, e, text in tokens:
+        if kind == "text" and not e.aside and not e.link:
+            n = len(text.split())
+            total += n
+            for z in _zones(e):
+                zones[id(z)] = z
+                z.words += n
+    for z in zones.values():
+        z.wide = 2 * z.words > total
 
 
 def parse(page: str) -> list[tuple[str, object, str]]:
@@ -155,8 +188,10 @@ def parse(page: str) -> list[tuple[str, object, str]]:
             inside = e.tag in CONTENT_TAGS
             e = e.parent
         header = now.header or (tag == "header" and inside)
-        aside = now.aside or (tag == "header" and not inside) or _is_aside(tag, attrs, inside)
-        now = Element(tag, now, aside, now.link or tag == "a", header)
+        never, marked = _is_aside(tag, attrs, inside)
+        aside = now.aside or (tag == "header" and not inside) or never
+        now = Element(tag, now, aside, now.link or tag == "a", header, marked)
+    _weigh_zones(out)
     return out
 
 
@@ -166,10 +201,15 @@ def block_of(e: Element) -> Element:
     return e
 
 
-def dropped(e: Element) -> bool:
-    """Not main text: in an aside zone, or in an article's header but no heading."""
-    if e.aside:
+def dropped(e: Element, region: Element | None = None) -> bool:
+    """Not main text: in an aside zone, in a marked zone that does not hold the region's element,
+    or in an article's header but no heading."""
+    if e.aside or any(region is None or not _within(region, z) for z in _zones(e)):
         return True
+    return _in_header(e)
+
+
+def _in_header(e: Element) -> bool:
     if not e.header:
         return False
     while e is not None and e.tag not in HEADINGS:
@@ -178,8 +218,10 @@ def dropped(e: Element) -> bool:
 
 
 def word_kind(e: Element) -> str:
-    if dropped(e):
+    if e.aside or _in_header(e):
         return "word aside"
+    if any(_zones(e)):
+        return "word marked"
     if e.link:
         return "word link"
     tag = block_of(e).tag
@@ -195,7 +237,7 @@ def _within(e: Element | None, outer: Element) -> bool:
 def labelled_counts(page: str) -> Counter | None:
     """(kind, inside content) counts of a page with exactly one content element."""
     tokens = parse(page)
-    marked = {id(x): x for _, e, _ in tokens for x in _ancestors(e) if x.tag in CONTENT_TAGS and not x.aside}
+    marked = {id(x): x for _, e, _ in tokens for x in _ancestors(e) if x.tag in CONTENT_TAGS and not x.aside and not any(_zones(x))}
     outer = [x for x in marked.values() if not any(_within(x.parent, y) for y in marked.values())]
     if len(outer) != 1:
         return None
@@ -241,6 +283,17 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 
 def main_text(page: str, weights: dict[str, float]) -> str:
     tokens = parse(page)
+    text = _region_text(tokens, weights)
+    if not text:
+        marked = [z for _, e, _ in tokens for z in _zones(e)]
+        if marked:
+            for z in marked:
+                z.wide = True
+            text = _region_text(tokens, weights)
+    return text
+
+
+def _region_text(tokens: list[tuple[str, Element, str]], weights: dict[str, float]) -> str:
     words = [len(t.split()) if k == "text" else 0 for k, _, t in tokens]
     scores = [weights.get(word_kind(e), 0.0) * n if k == "text" else weights.get("tag " + t, DEFAULT_TAG)
               for (k, e, t), n in zip(tokens, words)]
@@ -249,7 +302,7 @@ def main_text(page: str, weights: dict[str, float]) -> str:
         return ""
     common = None
     for (k, e, _), n in zip(tokens[lo:hi], words[lo:hi]):
-        if n and not dropped(e):
+        if n and not e.aside and not _in_header(e):
             b = block_of(e)
             if common is None:
                 common = b
@@ -273,7 +326,7 @@ def main_text(page: str, weights: dict[str, float]) -> str:
                 blocks.append([])
             elif t == "br":
                 blocks[-1].append(" ")
-        elif inside(e) and not dropped(e):
+        elif inside(e) and not dropped(e, common):
             blocks[-1].append(t)
     lines = (" ".join(entities.unescape("".join(b)).split()) for b in blocks if b)
     return "\n".join(x for x in lines if x)

@@ -235,6 +235,29 @@ def test_attribute_values_are_not_searched_for_names(attrs, shown):
     assert html_text.main_text(page, html_text.DEFAULT_WEIGHTS) == "first words of it" + "\nsecond words of it" * shown
 
 
+@pytest.mark.parametrize("wrapper", ['div class="content with-sidebar"', 'div id="page" class="has-nav"',
+                                     'section class="post social-share-enabled"', 'form id=aspnet', 'div role="form"'])
+def test_marked_wrappers_keep_the_text(wrapper):
+    """A word of a class or id, or a form around it all, does not empty the page; small zones still go."""
+    inner = '<p>the first part of the text is here</p><div class="share">Share me</div><p>and this is its last part</p>'
+    page = f'<body><div class="menu">Home</div><{wrapper}>{inner}</{wrapper.split()[0]}><div class="footer">all rights</div></body>'
+    assert html_text.main_text(page, html_text.DEFAULT_WEIGHTS) == "the first part of the text is here\nand this is its last part"
+
+
+def test_text_in_small_marked_zones_only_is_not_lost():
+    zones = [f'<div class="widget w{i}"><p>{w} words in here</p></div>' for i, w in enumerate(["some few", "many more and then other", "some new"])]
+    page = "<body>" + "<hr>".join(zones) + "</body>"
+    assert "many more and then other words in here" in html_text.main_text(page, html_text.DEFAULT_WEIGHTS)
+
+
+def test_a_marked_zone_around_the_region_stays():
+    weights = {**html_text.DEFAULT_WEIGHTS, "word marked": 0.5}
+    page = ('<body><div class="with-sidebar"><p>words of the text itself here</p></div><a href=x>one two three four five six seven</a>'
+            '<table><tr><td><a href=y>more</a></table><div class="ad">buy</div><section><nav>x</nav></section>'
+            '<div hidden>none</div><ul><li><a href=z>a b c d e f g h i j</a></ul><dl><dd>p q r s t u v</dl></body>')
+    assert html_text.main_text(page, weights) == "words of the text itself here"
+
+
 def test_best_region_against_all_regions():
     rng = random.Random(1)
     for _ in range(300):
