@@ -50,6 +50,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketry.llm.components import forest_roots, merge_roots
 from basketry.llm.tables import shared_table, shuffle_width
@@ -475,6 +476,12 @@ def _then_none(batches):
 
 def link_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, sid, component_id."""
+    return _linked(docs, percent).drop("stays")
+
+
+def _linked(docs: DataFrame, percent: int) -> DataFrame:
+    """The components, and whether a row is the one that stands for its component: that of the smallest
+    (doc_id, sid), ids before nulls.  Empty texts stand for themselves."""
     spark = docs.sparkSession
     width = shuffle_width(spark)
     table = shared_table(set_table(docs), "sets")
@@ -499,20 +506,37 @@ def link_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     roots = merge_roots(roots, shared_table(verified(more, texts, percent), "links-group"))
     least = nodes.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left") \
         .select("sid", "doc_id", F.coalesce("root", "sid").alias("root"))
-    least = least.join(least.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root").select("sid", "component_id")
+    best = least.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "sid")).alias("best"))
+    least = least.join(best, "root").select("sid", F.col("best.doc_id").alias("component_id"), F.col("doc_id").alias("least_id"),
+                                            (F.col("sid") == F.col("best.sid")).alias("first"))
+    stays = (F.col("n") == 0) | (F.col("first") & F.col("doc_id").eqNullSafe(F.col("least_id")))
     return table.join(least, "sid", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), "sid", F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", F.col("n").alias("n_shingles"), "sid", F.coalesce("component_id", "doc_id").alias("component_id"), stays.alias("stays"))
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each group of linked documents: the one with the
-    smallest doc_id (null ids stay)."""
-    stay = link_components(docs, percent).where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))) \
-        .groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    stay = shared_table(stay, "stay")
-    out = docs.join(stay.where("doc_id is not null").select("doc_id").hint("merge"), "doc_id", "left_semi")
-    if stay.where("rows > 1 and doc_id is not null").isEmpty():
-        only = out
-    else:
-        only = out.dropDuplicates(["doc_id"])
-    return only.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    smallest doc_id, and of several such the smallest set id; one without an id if none has one.
+    Rows are told apart by (doc_id, set), so unlinked texts under one id all stay."""
+    linked = shared_table(_linked(docs, percent), "linked")
+    stay, named = linked.where("stays"), linked.where("doc_id is not null")
+    ids = stay.where("doc_id is not null").select("doc_id").hint("merge")
+    out = docs.join(ids, "doc_id", "left_semi").select(*docs.columns)
+    many = named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max("stays").alias("any")).where("rows > 1 and any").select("doc_id")
+    many = shared_table(many, "repeated")
+    if many.isEmpty() and linked.where("doc_id is null").isEmpty():
+        return out
+
+    def with_set(batches):
+        for batch in batches:
+            sid = pa.array([set_id(s) if len(s) else 0 for _, s in _sets(batch)], pa.int64())
+            blank = pa.array([not len(s) for _, s in _sets(batch)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([*batch.columns, sid, blank], names=[*batch.schema.names, "__sid", "__blank"])
+
+    unclear = docs.join(many.hint("merge"), "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    rows = unclear.mapInArrow(with_set, T.StructType([*docs.schema.fields, T.StructField("__sid", T.LongType()), T.StructField("__blank", T.BooleanType())]))
+    wanted = stay.select(F.col("doc_id").alias("__id"), F.when(F.col("n_shingles") == 0, 0).otherwise(F.col("sid")).alias("__set")).hint("merge")
+    rows = rows.join(wanted, rows["__sid"].eqNullSafe(wanted["__set"]) & rows["doc_id"].eqNullSafe(wanted["__id"]), "left_semi")
+    alone = F.col("doc_id").isNull() & F.col("__blank")
+    rows = rows.where(~alone).dropDuplicates(["doc_id", "__sid"]).unionByName(rows.where(alone)).select(*docs.columns)
+    return out.join(many.hint("merge"), "doc_id", "left_anti").select(*docs.columns).unionByName(rows)

@@ -43,6 +43,13 @@ def test_jaccard(docs, none):
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, i) for i in (0, 1, 2, 3, 4, 6, 7, 8)] + [(True, 0)]
 
 
+def test_keep_one_tells_rows_apart_by_id_and_text(spark):
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcde")
+    rows = [(1, a), (1, b), (2, a), (3, c), (4, c), (4, d), (4, d), (None, e), (None, e), (None, a), (None, ""), (None, " "), (5, ""), (5, "")]
+    kept = shingle_join.keep_one(spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)).collect()
+    assert sorted((r.doc_id or 0, r.text.strip()) for r in kept) == [(0, ""), (0, ""), (0, e), (1, a), (1, b), (3, c), (4, d), (5, "")]
+
+
 def test_lm_scores(docs, none):
     assert suffix_tree.score_documents(none).count() == 0
     rows = suffix_tree.score_documents(docs.withColumnRenamed("n_chars", "score")).collect()
