@@ -4,8 +4,9 @@
 DataFrame that is written as Parquet and read again as the next stage's ``docs``.  All
 stages but the last return the columns of ``documents``.
 
-1. language       documents without a recognisable language (``und``: no letter) go; a
-                  missing ``lang`` is filled with the predicted one
+1. language       documents without a letter (``und``) go, nothing else is rejected, given a
+                  labelled row to fit on; a missing ``lang`` is filled with the predicted one, and
+                  that is the only use of the predictions (scores and spans decide nothing here)
 2. near_duplicates  of each group of linked documents the smallest doc_id stays
 3. decontaminate  documents that hold a benchmark passage go
 4. secrets        findings are replaced in the text by a mark; no document goes
