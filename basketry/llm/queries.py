@@ -11,8 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import chat, decontaminate, hamming, html_text, language, mixing, secrets, shingle_join, suffix_tree, url_rules
+from basketry.llm import (chat, decontaminate, hamming, html_text, language, merkle, mixing, periodic, repeats, secrets, shingle_join,
+                          suffix_tree, url_rules)
 from basketry.llm.tables import table
+from basketry.llm.text import WORD_PATTERN
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -223,3 +225,117 @@ d AS (SELECT q.vec_id AS query_id, q.code AS query, c.vec_id,
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id, query ORDER BY distance, vec_id)::INTEGER AS rank FROM d)
 SELECT query_id, rank, vec_id, distance FROM r WHERE rank <= 10
 """
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root, proof and verdict of every document; every fifth checksum tells a document whose
+    text is held against the manifest in lower case."""
+    docs = table(spark, sf_dir, "documents")
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    seen = F.when(tampered, merkle.leaf_digest(text=lower)).otherwise(merkle.leaf_digest())
+    listed = merkle.verify(merkle.manifest(docs, carried={"seen": seen}), "seen")
+    return listed.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                         "folded_root", "verified", "source", "position")
+
+
+SQL["op11_merkle_manifest"] = r"""
+WITH RECURSIVE txt AS (
+  SELECT row_number() OVER () AS r, doc_id, source, lang, n_chars, text,
+         CASE WHEN doc_id IS NULL THEN '-' ELSE length(doc_id::VARCHAR) || ':' || doc_id::VARCHAR END
+         || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END
+         || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END
+         || CASE WHEN n_chars IS NULL THEN '-' ELSE length(n_chars::VARCHAR) || ':' || n_chars::VARCHAR END AS head
+  FROM documents),
+-- crc32, bit by bit over the digits of the id
+crc AS (
+  SELECT doc_id, doc_id::VARCHAR AS s, 1 AS i, 4294967295::BIGINT AS c FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
+  UNION ALL
+  SELECT doc_id, s, i + 1, list_reduce(list_prepend(xor(c, ascii(s[i])::BIGINT), range(8)::BIGINT[]),
+         lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)
+  FROM crc WHERE i <= length(s)),
+sums AS (SELECT doc_id, xor(c, 4294967295::BIGINT) AS h FROM crc WHERE i = length(s) + 1),
+low AS (SELECT *, coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS ltext FROM txt),
+leaves AS (
+  SELECT r, l.doc_id, source, sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END) AS leaf,
+         CASE WHEN h % 5 = 0 THEN sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(ltext) || ':' || ltext END)
+              ELSE sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END) END AS seen
+  FROM low l LEFT JOIN sums s ON l.doc_id = s.doc_id),
+placed AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) AS t,
+                  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves),
+up AS (
+  SELECT t, i, 0 AS lvl, leaf AS d, count(*) OVER (PARTITION BY t) AS n FROM placed
+  UNION ALL
+  SELECT t, i // 16, lvl + 1, sha256(string_agg(d, '' ORDER BY i)), (n + 15) // 16 FROM up WHERE n > 1 GROUP BY t, i // 16, lvl, n),
+subs AS (SELECT t - 1 AS i, d AS subroot FROM up WHERE n = 1),
+top AS (
+  SELECT i, 0 AS lvl, subroot AS d, (SELECT count(*) FROM subs) AS n FROM subs
+  UNION ALL
+  SELECT i // 16, lvl + 1, sha256(string_agg(d, '' ORDER BY i)), (n + 15) // 16 FROM top WHERE n > 1 GROUP BY i // 16, lvl, n),
+-- one tree per source, then tree 0 above them
+node AS (SELECT t, lvl, i, d, n FROM up WHERE n > 1 UNION ALL SELECT 0, lvl, i, d, n FROM top WHERE n > 1),
+run AS (SELECT t, lvl, i // 16 AS p, list(d ORDER BY i) AS ds FROM node GROUP BY t, lvl, i // 16),
+depth AS (SELECT t, max(lvl) + 1 AS levels FROM node GROUP BY t),
+fold AS (
+  SELECT r, t AS src, t, 0 AS lvl, i, '' AS proof, seen AS acc FROM placed
+  UNION ALL
+  SELECT f.r, f.src, CASE WHEN f.lvl = coalesce(d.levels, 0) THEN 0 ELSE f.t END, CASE WHEN f.lvl = coalesce(d.levels, 0) THEN 0 ELSE f.lvl + 1 END,
+         CASE WHEN f.lvl = coalesce(d.levels, 0) THEN f.src - 1 ELSE f.i // 16 END,
+         CASE WHEN f.lvl = coalesce(d.levels, 0) THEN f.proof
+              ELSE f.proof || array_to_string(run.ds[:f.i % 16], '') || array_to_string(run.ds[f.i % 16 + 2:], '') END,
+         CASE WHEN f.lvl = coalesce(d.levels, 0) THEN f.acc
+              ELSE sha256(array_to_string(run.ds[:f.i % 16], '') || f.acc || array_to_string(run.ds[f.i % 16 + 2:], '')) END
+  FROM fold f LEFT JOIN depth d ON d.t = f.t LEFT JOIN run ON run.t = f.t AND run.lvl = f.lvl AND run.p = f.i // 16
+  WHERE f.t > 0 OR f.lvl < coalesce((SELECT levels FROM depth WHERE t = 0), 0)),
+done AS (SELECT r, proof, acc FROM fold WHERE t = 0 AND lvl = coalesce((SELECT levels FROM depth WHERE t = 0), 0)),
+root AS (SELECT d AS root FROM top WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = root AS verified, source, p.i AS position
+FROM placed p JOIN subs ON subs.i = p.t - 1 JOIN done USING (r) CROSS JOIN root
+"""
+
+
+@query
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stay when passages found in an earlier document go."""
+    return repeats.find_repeats(table(spark, sf_dir, "documents")) \
+        .select("doc_id", F.col("words").alias("n_words"), F.col("removed").alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL["op12_substring_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+one AS (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS s FROM d WHERE len(w) >= 13),
+win AS (SELECT r, doc_id, s, md5_number(array_to_string(w[s:s + 12], ' ')) AS h FROM one),
+low AS (SELECT h, min(doc_id) AS first FROM win GROUP BY h),
+hit AS (SELECT r, s FROM win JOIN low USING (h) WHERE first < doc_id OR (doc_id IS NULL AND first IS NOT NULL)),
+gone AS (SELECT r, list_distinct(flatten(list(range(s, s + 13)))) AS lost FROM hit GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(lost), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(coalesce(lost, []), i)), ' ')) AS kept_sha256
+FROM d LEFT JOIN gone USING (r)
+"""
+
+
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The documents of the contract: where crc32(doc_id) ends in 0, a part of a text's own words is repeated."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = docs.withColumn("_h", h).withColumn(
+        "_w", F.when((F.col("_h") % 10 == 0) & F.col("text").isNotNull(), F.regexp_extract_all("text", F.lit(WORD_PATTERN), F.lit(0))))
+    places = words.withColumn("_n", F.size("_w")).withColumn("_g", F.floor(F.col("_h") / 10)) \
+        .withColumn("_a", F.when(F.col("_n") > 0, F.col("_g") % F.col("_n"))) \
+        .withColumn("_p", 1 + F.floor((F.col("_n") - F.col("_a")) / (3 + F.col("_g") % 8)))
+    again = F.transform(F.sequence(F.lit(0).cast("long"), F.col("_n") - F.lit(1).cast("long")),
+                        lambda i: F.get("_w", F.when(i < F.col("_a"), i).otherwise(F.col("_a") + (i - F.col("_a")) % F.col("_p")).cast("int")))
+    return places.withColumn("text", F.when(F.col("_a").isNotNull(), F.array_join(again, " ")).otherwise(F.col("text"))).select(*docs.columns)
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, and the text without their repeats."""
+    docs = _with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.find_runs(docs)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("_best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("_best.start")).alias("start"), F.col("_best.length").alias("length"),
+        (-F.col("_best.period")).alias("period"), F.floor(1000 * F.col("_best.length") / -F.col("_best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
