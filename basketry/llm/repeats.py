@@ -166,7 +166,7 @@ def _each_chunk(work: Callable, window: int) -> Callable:
 
 def entries(chunks: DataFrame, lengths: list[int], level: int, buckets: int) -> DataFrame:
     """What the chunks' candidates choose at ``lengths[level]``, by bucket.  A chunk with a gram in two of its own
-    documents also puts out a row without hashes in bucket -1."""
+    documents also puts out a row without hashes, in a bucket below 0."""
     window = lengths[-1]
     final = level == len(lengths) - 1
 
@@ -179,7 +179,7 @@ def entries(chunks: DataFrame, lengths: list[int], level: int, buckets: int) ->
         hi = np.append(cut, len(of)) if len(of) else cut
         rows = [(int(of[a]), distinct[a:b].tobytes(), first[a:b].tobytes() if final else None) for a, b in zip(lo.tolist(), hi.tolist())]
         if (first < last).any():
-            rows.append((-1, b"", None))
+            rows.append((-1 - chunk % buckets, b"", None))
         if rows:
             b, h, f = zip(*rows)
             yield pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array([chunk] * len(b), pa.int64()), pa.array(h, pa.binary()),
