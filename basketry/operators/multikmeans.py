@@ -2,41 +2,56 @@
 
 A k sweep with several seeds per k is dozens of independent Lloyd runs over
 the same points.  Fitted one by one (``pyspark.ml``), every run scans the
-cached points once per iteration.  Here all runs advance together: one
-``mapInPandas`` pass computes, for every active run, the nearest centre of
-each point in an Arrow batch (numpy, vectorised) and emits only the per
-(run, cluster) count, coordinate sums and squared distances of that batch;
-an aggregate with a map-side partial step folds them to sum(k) rows, which
-is all the driver sees.  Centres ship in the task closure (sum(k) x dims
-doubles, bounded by the sweep, not by the data).
+cached points once per iteration.  Here all runs advance together, over points packed into
+blocks of ``BLOCK`` rows: a pass folds each task's blocks (numpy, one matrix product for the
+centres of all runs) to sum(k) rows, and a tree of tasks adds those up, so the
+driver sees sum(k) rows at any size.  Centres ship in the task closure (sum(k) x dims
+doubles, bounded by the sweep, not by the data).  The passes are RDD jobs over the packed
+blocks: a fit is about a hundred short passes, and planning each as a
+DataFrame query cost more than the pass itself (README has the figures).
 
 * init: greedy k-means++ (D^2 weighting, 2 + floor(ln k) candidates per
-  step, the one leaving the smallest potential wins), batched the same way:
-  one pass draws the candidates of every run -- each batch proposes its
-  point with the smallest exponential key ``-ln(u) / D^2`` and a global
-  ``min_by`` picks the draw (u from a seeded hash of the point id, so a rerun
-  on a different partitioning draws the same points) -- and one pass scores
-  them;
+  step, the one leaving the smallest potential wins).  One pass per step: for every
+  candidate it sums the potential *and* draws the next step's candidates as if
+  that candidate had won, so that the winner's draws are at hand.  A draw is the
+  point with the smallest exponential key ``-ln(u) / D^2`` (u from a seeded hash of the
+  point id, so a rerun on a different partitioning draws the same points);
+* bounds: a full pass leaves, per point and run, the nearest centre and its margin (distance to
+  the second nearest less distance to the nearest) as state, together with the sums.  While the
+  centres have moved little since then, the triangle inequality tells which points cannot
+  have changed sides: margin > own centre's move + largest move of the others.  Only the
+  other points are measured again, and only those that change sides alter the sums.  The state
+  depends on the points and the centres of its pass alone, so a lost block is
+  rebuilt from the packed points; it is renewed when less than ``KEEP_SKIPPING`` of the
+  points were skipped;
+* a cluster that loses all its points is moved: the points farthest from their centres, farthest
+  first (ties by id hash), become the centres of the empty clusters in ascending order and
+  leave their old cluster's mean, as in the reference's library; nothing moves when every
+  point sits on its centre;
 * convergence: a run stops when the summed squared centre shift is at most
-  ``tol * mean feature variance`` (the reference's rule); an emptied cluster
-  keeps its previous centre (the reference's library moves it to a far point
-  instead, so a run here can end with fewer than k non-empty clusters; with
-  ten starts per k the best run is kept, and planted blobs are recovered);
+  ``tol * mean feature variance`` (the reference's rule);
 * inertia: sum of squared distances to the final centres (one extra pass).
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _M64 = (1 << 64) - 1
+#: points per packed block
+BLOCK = 4096
+#: share of (point, run) pairs that the bounds must settle for the state to be kept
+KEEP_SKIPPING = 0.5
+#: slack of the bounds test, above the rounding of a distance
+_SLACK = 1e-6
 
 # The per-batch functions below run in Python workers; ship them (and the
 # helpers they call) by value so workers need not import this package.
@@ -68,8 +83,11 @@ def _uniform(h: np.ndarray, seed: int, step: int) -> np.ndarray:
 
 
 def _sqdist(X: np.ndarray, C: np.ndarray) -> np.ndarray:
-    """n x k squared distances."""
-    return ((X[:, None, :] - C[None, :, :]) ** 2).sum(axis=2)
+    """n x k squared distances, coordinate by coordinate (exact zeros for equal points)."""
+    out = np.zeros((len(X), len(C)))
+    for d in range(X.shape[1]):
+        out += (X[:, d, None] - C[None, :, d]) ** 2
+    return out
 
 
 def prepare(features: DataFrame, id_col: str, cols: Sequence[str]) -> DataFrame:
@@ -83,173 +101,325 @@ def local_trials(k: int) -> int:
     return 2 + int(np.log(k))
 
 
-def _propose(points: DataFrame, runs: list[Run], todo: list[int], step: int, dims: int,
-             trials: dict[int, int]) -> dict[tuple[int, int], list[float]]:
-    """One pass: for every run in ``todo`` and trial l, a D^2-weighted draw
-    (uniform at step 0).  Each batch proposes its smallest exponential key
-    per (run, trial); a global ``min_by`` picks the draw."""
-    cents = {i: np.array(runs[i].centers) for i in todo if runs[i].centers}
-    seeds = {i: runs[i].seed for i in todo}
-    xs = [f"x{d}" for d in range(dims)]
-
-    def propose(batches):
-        best: dict = {}    # (run, trial) -> (key, point), kept across the task's batches
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            X = pdf[xs].to_numpy(dtype=np.float64)
-            h = pdf["h"].to_numpy()
-            for i in todo:
-                d2 = _sqdist(X, cents[i]).min(axis=1) if i in cents else None
-                for trial in range(trials[i]):
-                    u = _uniform(h, seeds[i], step * 64 + trial)
-                    if d2 is None:
-                        key = -np.log(u)
-                    else:
-                        with np.errstate(divide="ignore"):
-                            key = np.where(d2 > 0, -np.log(u) / d2, np.inf)
-                    j = int(np.argmin(key))
-                    if np.isfinite(key[j]) and ((i, trial) not in best or key[j] < best[(i, trial)][0]):
-                        best[(i, trial)] = (float(key[j]), X[j].tolist())
-        if best:
-            yield pd.DataFrame([(i, t, k, *x) for (i, t), (k, x) in best.items()],
-                               columns=["run", "trial", "key", *xs])
-
-    schema = "run int, trial int, key double, " + ", ".join(f"{x} double" for x in xs)
-    parts = points.mapInPandas(propose, schema)
-    best = parts.groupBy("run", "trial").agg(F.min_by(F.array(*xs), F.col("key")).alias("c")).collect()
-    return {(r.run, r.trial): list(r.c) for r in best}
-
-
-def _potentials(points: DataFrame, runs: list[Run], cands: dict[tuple[int, int], list[float]],
-                dims: int) -> dict[tuple[int, int], float]:
-    """One pass: for every candidate, the summed squared distance to the
-    nearest of (current centres + candidate)."""
-    by_run: dict[int, list] = {}
-    for (i, trial), c in cands.items():
-        by_run.setdefault(i, []).append((trial, c))
-    cents = {i: np.array(runs[i].centers) for i in by_run}
-    cand_arr = {i: (np.array([t for t, _ in v]), np.array([c for _, c in v])) for i, v in by_run.items()}
-    xs = [f"x{d}" for d in range(dims)]
-
-    def pot(batches):
-        acc: dict[int, np.ndarray] = {}
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            X = pdf[xs].to_numpy(dtype=np.float64)
-            for i in by_run:
-                d2 = _sqdist(X, cents[i]).min(axis=1)
-                dc = _sqdist(X, cand_arr[i][1])                    # n x trials
-                part = np.minimum(dc, d2[:, None]).sum(axis=0)
-                acc[i] = part if i not in acc else acc[i] + part
-        rows = [(i, int(t), float(v)) for i, a in acc.items() for t, v in zip(cand_arr[i][0], a)]
-        if rows:
-            yield pd.DataFrame(rows, columns=["run", "trial", "pot"])
-
-    parts = points.mapInPandas(pot, "run int, trial int, pot double")
-    return {(r.run, r.trial): r.pot for r in parts.groupBy("run", "trial").agg(F.sum("pot").alias("pot")).collect()}
-
+def pack(points: DataFrame) -> RDD:
+    """Points of ``prepare`` as blocks (id hashes, coordinates), persisted.  Blocks keep the partitioning."""
+    dims = len([c for c in points.columns if c.startswith("x")])
 
-def kmeans_pp_init(points: DataFrame, runs: list[Run], dims: int, greedy: bool = True) -> None:
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = b.column(b.schema.get_field_index("h")).to_numpy()
+            X = np.column_stack([b.column(b.schema.get_field_index(f"x{d}")).to_numpy(zero_copy_only=False) for d in range(dims)])
+            cut = range(0, len(h), BLOCK)
+            if len(h):
+                yield pa.RecordBatch.from_arrays([pa.array([h[i:i + BLOCK].tobytes() for i in cut], pa.binary()),
+                                                  pa.array([X[i:i + BLOCK].tobytes() for i in cut], pa.binary())], names=["h", "x"])
+
+    def arrays(row) -> tuple:
+        return np.frombuffer(row.h, dtype=np.int64), np.frombuffer(row.x, dtype=np.float64).reshape(-1, dims)
+
+    return points.mapInArrow(blocks, "h binary, x binary").rdd.map(arrays).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _fold(rdd: RDD, work, merge):
+    """Every task's blocks folded by ``work(blocks) -> value or None``, then added up by a tree of tasks; None
+    without any points."""
+    def both(a, b):
+        return b if a is None else a if b is None else merge(a, b)
+    if not rdd.getNumPartitions():
+        return None
+    return rdd.mapPartitions(lambda blocks: [work(blocks)]).treeReduce(both, depth=2)
+
+
+# -- init ---------------------------------------------------------------------
+
+def _least(a: dict, b: dict) -> dict:
+    """Smallest (key, point) per draw."""
+    for name, x in b.items():
+        if name not in a or x[0] < a[name][0]:
+            a[name] = x
+    return a
+
+
+def _first_draws(blocks: RDD, runs: list[Run]) -> dict:
+    """A uniform draw per run."""
+    seeds = [r.seed for r in runs]
+
+    def work(it):
+        best: dict = {}
+        for h, X in it:
+            for i, seed in enumerate(seeds):
+                key = -np.log(_uniform(h, seed, 0))
+                j = int(np.argmin(key))
+                _least(best, {i: (float(key[j]), X[j].tolist())})
+        return best or None
+
+    return {i: c for i, (_, c) in (_fold(blocks, work, _least) or {}).items()}
+
+
+def _try_candidates(blocks: RDD, runs: list[Run], cands: dict[int, list], step: int, trials: dict[int, int]) -> tuple[dict, dict]:
+    """One pass: (potentials, draws).  Potential of (run, candidate): the summed squared distance to the
+    nearest of the run's centres and the candidate.  Draw of (run, candidate, trial): D^2-weighted with
+    that candidate as a centre, for position ``step``; runs without ``trials`` draw nothing."""
+    cents = {i: np.array(runs[i].centers) for i in cands if runs[i].centers}
+    arr = {i: np.array(c) for i, c in cands.items()}
+    seeds = {i: runs[i].seed for i in cands}
+
+    def work(it):
+        pots: dict = {}
+        draws: dict = {}
+        for h, X in it:
+            for i, C in arr.items():
+                d2 = _sqdist(X, C)
+                if i in cents:
+                    d2 = np.minimum(d2, _sqdist(X, cents[i]).min(axis=1)[:, None])
+                p = d2.sum(axis=0)
+                pots[i] = p if i not in pots else pots[i] + p
+                for t in range(trials.get(i, 0)):
+                    e = -np.log(_uniform(h, seeds[i], step * 64 + t))
+                    with np.errstate(divide="ignore"):
+                        key = np.where(d2 > 0, e[:, None] / d2, np.inf)
+                    at = key.argmin(axis=0)
+                    for c, j in enumerate(at.tolist()):
+                        if np.isfinite(key[j, c]):
+                            _least(draws, {(i, c, t): (float(key[j, c]), X[j].tolist())})
+        return (pots, draws) if pots else None
+
+    def merge(a, b):
+        return {i: a[0][i] + b[0][i] for i in a[0]}, _least(a[1], b[1])
+
+    return _fold(blocks, work, merge) or ({}, {})
+
+
+def kmeans_pp_init(blocks: RDD, runs: list[Run], greedy: bool = True) -> None:
     """Greedy k-means++ (the reference's default init): the first centre is a
     uniform draw; each next one is the best, by resulting potential, of
     ``2 + floor(ln k)`` D^2-weighted draws.  ``greedy=False``: one draw per step."""
-    first = _propose(points, runs, list(range(len(runs))), 0, dims, {i: 1 for i in range(len(runs))})
-    for i, r in enumerate(runs):
-        r.centers = [first[(i, 0)]]
-    for step in range(1, max(r.k for r in runs)):
-        todo = [i for i, r in enumerate(runs) if r.k > step]
-        trials = {i: local_trials(runs[i].k) if greedy else 1 for i in todo}
-        cands = _propose(points, runs, todo, step, dims, trials)
-        pots = _potentials(points, runs, cands, dims) if greedy else {}
-        for i in todo:
-            mine = sorted(t for (j, t) in cands if j == i)
-            if not mine:   # fewer distinct points than k: repeat the last centre
-                runs[i].centers.append(list(runs[i].centers[-1]))
-                continue
-            best = min(mine, key=lambda t: (pots.get((i, t), 0.0), t))
-            runs[i].centers.append(cands[(i, best)])
-
-
-def _partials(points: DataFrame, runs: list[Run], ids: list[int], dims: int) -> list:
-    """Per (run, cluster): n, coordinate sums x0.., cost.  Each task folds all
-    its Arrow batches into one sum(k)-row table; a Spark aggregate sums the
-    tables, so the driver gets sum(k) rows at any size."""
-    cents = {i: np.array(runs[i].centers) for i in ids}
-    xs = [f"x{d}" for d in range(dims)]
-
-    def stats(batches):
-        acc = {i: None for i in ids}
-        for pdf in batches:
-            if pdf.empty:
+    first = _first_draws(blocks, runs)
+    for r in runs:
+        r.centers = []
+    cands = {i: [c] for i, c in first.items()}
+    for step in range(1, max(r.k for r in runs) + 1):
+        todo = {i: c for i, c in cands.items() if c}
+        trials = {i: local_trials(runs[i].k) if greedy else 1 for i in todo if runs[i].k > step}
+        pots, draws = _try_candidates(blocks, runs, todo, step, trials) if todo else ({}, {})
+        cands = {}
+        for i, r in enumerate(runs):
+            if i not in first or len(r.centers) >= r.k:
                 continue
-            X = pdf[xs].to_numpy(dtype=np.float64)
-            for i in ids:
-                C = cents[i]
-                k = C.shape[0]
-                d2 = _sqdist(X, C)
-                lab = d2.argmin(axis=1)
-                dmin = d2[np.arange(len(lab)), lab]
-                part = np.column_stack([
-                    np.bincount(lab, minlength=k).astype(np.float64),
-                    *[np.bincount(lab, weights=X[:, d], minlength=k) for d in range(dims)],
-                    np.bincount(lab, weights=dmin, minlength=k)])
-                acc[i] = part if acc[i] is None else acc[i] + part
-        frames = []
-        for i in ids:
-            if acc[i] is None:
+            if i not in todo:   # fewer distinct points than k: repeat the last centre
+                r.centers.append(list(r.centers[-1]))
                 continue
-            f = pd.DataFrame(acc[i][:, 1:], columns=[*xs, "cost"])
-            f.insert(0, "n", acc[i][:, 0].astype(np.int64))
-            f.insert(0, "cluster", np.arange(acc[i].shape[0], dtype=np.int32))
-            f.insert(0, "run", np.int32(i))
-            frames.append(f)
-        if frames:
-            yield pd.concat(frames, ignore_index=True)
-
-    schema = "run int, cluster int, n long, " + ", ".join(f"{x} double" for x in xs) + ", cost double"
-    parts = points.mapInPandas(stats, schema)
-    agg = parts.groupBy("run", "cluster").agg(
-        F.sum("n").alias("n"), *[F.sum(x).alias(x) for x in xs], F.sum("cost").alias("cost"))
-    return [r.asDict() for r in agg.collect()]
-
-
-def lloyd_step(points: DataFrame, runs: list[Run], ids: list[int], dims: int) -> dict[int, float]:
+            best = min(range(len(todo[i])), key=lambda c: (pots[i][c], c))
+            r.centers.append(todo[i][best])
+            cands[i] = [draws[(i, best, t)][1] for t in range(trials.get(i, 0)) if (i, best, t) in draws]
+
+
+# -- Lloyd ----------------------------------------------------------------------
+
+def _columns(X: np.ndarray) -> np.ndarray:
+    """What a cluster sums: 1, coordinates, squared norm."""
+    return np.column_stack([np.ones(len(X)), X, (X * X).sum(axis=1)])
+
+
+def _spans(cents: list[np.ndarray]) -> list[tuple[int, int]]:
+    ends = np.cumsum([len(c) for c in cents]).tolist()
+    return list(zip([0, *ends[:-1]], ends))
+
+
+def _near(X: np.ndarray, C: np.ndarray) -> np.ndarray:
+    """n x k squared distances less each point's squared norm (a matrix product; ranks as distances do)."""
+    return (C * C).sum(axis=1) - 2.0 * (X @ C.T)
+
+
+def _full(blocks: RDD, cents: list[np.ndarray]) -> tuple[RDD, np.ndarray]:
+    """All points against the centres of every run: the state (block, nearest, margin) and the sums,
+    one row per centre: n, coordinate sums, sum of squared norms."""
+    spans = _spans(cents)
+    every = np.concatenate(cents)
+
+    def measure(block):
+        _, X = block
+        D = _near(X, every)
+        size = (X * X).sum(axis=1)
+        one = np.zeros_like(D)
+        near = np.empty((len(spans), len(X)), dtype=np.uint16)
+        margin = np.empty((len(spans), len(X)), dtype=np.float32)
+        at = np.arange(len(X))
+        for r, (a, b) in enumerate(spans):
+            part = D[:, a:b]
+            near[r] = part.argmin(axis=1)
+            one[at, a + near[r]] = 1.0
+            if b - a > 1:
+                two = np.sqrt(np.maximum(np.partition(part, 1, axis=1)[:, :2] + size[:, None], 0.0))
+                margin[r] = two[:, 1] - two[:, 0]
+            else:
+                margin[r] = np.inf
+        return block, near, margin, one.T @ _columns(X)
+
+    state = blocks.map(measure).persist(StorageLevel.MEMORY_AND_DISK)
+    return state, _fold(state, lambda it: _added(s[3] for s in it), lambda a, b: a + b)
+
+
+def _added(parts):
+    total = None
+    for p in parts:
+        total = p if total is None else total + p
+    return total
+
+
+def _moved(state: RDD, rows: list[int], at_state: list[np.ndarray], now: list[np.ndarray]) -> tuple[np.ndarray, int]:
+    """Change of the sums since the state's pass, for the runs ``rows`` of the state, and how many (point, run)
+    pairs had to be measured again."""
+    spans = _spans(now)
+    limits = []
+    for c0, c1 in zip(at_state, now):
+        move = np.sqrt(((c1 - c0) ** 2).sum(axis=1))
+        others = [np.delete(move, j).max() if len(move) > 1 else 0.0 for j in range(len(move))]
+        limits.append(move + np.array(others))
+    width = at_state[0].shape[1] + 2
+
+    def work(it):
+        total, open_pairs = np.zeros((spans[-1][1], width)), 0
+        for (_, X), near, margin, _ in it:
+            for r, (a, b), limit, C in zip(rows, spans, limits, now):
+                was = near[r]
+                loose = np.flatnonzero(margin[r] * (1.0 - _SLACK) - _SLACK <= limit[was])
+                open_pairs += len(loose)
+                if not len(loose):
+                    continue
+                x = X[loose]
+                new = _near(x, C).argmin(axis=1)
+                turn = new != was[loose]
+                if turn.any():
+                    cols = _columns(x[turn])
+                    np.add.at(total, a + new[turn], cols)
+                    np.subtract.at(total, a + was[loose][turn].astype(np.int64), cols)
+        return total, open_pairs
+
+    return _fold(state, work, lambda p, q: (p[0] + q[0], p[1] + q[1]))
+
+
+def _farthest(blocks: RDD, C: np.ndarray, m: int) -> list[tuple]:
+    """The m points farthest from their nearest centre: (squared distance, id hash, cluster, point), farthest first."""
+    def top(xs):
+        return sorted(xs, key=lambda x: (-x[0], x[1]))[:m]
+
+    def work(it):
+        best: list = []
+        for h, X in it:
+            d2 = _sqdist(X, C)
+            near = d2.argmin(axis=1)
+            low = d2[np.arange(len(X)), near]
+            some = np.lexsort((h, -low))[:m]
+            best = top(best + [(float(low[j]), int(h[j]), int(near[j]), X[j].tolist()) for j in some])
+        return best or None
+
+    return _fold(blocks, work, lambda a, b: top(a + b)) or []
+
+
+def _means(blocks: RDD, old: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """New centres of one run from its sums (n, coordinates, ..); empty clusters are moved to the farthest points."""
+    n, total = np.rint(sums[:, 0]), sums[:, 1:1 + old.shape[1]].copy()
+    empty = np.flatnonzero(n == 0)
+    if len(empty):
+        far = _farthest(blocks, old, len(empty))
+        if far and far[0][0] > 0:
+            for j, (_, _, left, x) in zip(empty.tolist(), far):
+                total[left] -= x
+                n[left] -= 1
+                total[j], n[j] = x, 1
+    return np.where(n[:, None] > 0, total / np.maximum(n, 1)[:, None], old)
+
+
+def _advance(blocks: RDD, run: Run, sums: np.ndarray) -> float:
+    """Move a run's centres; the summed squared shift."""
+    old = np.array(run.centers)
+    new = _means(blocks, old, sums)
+    run.centers = new.tolist()
+    return float(((new - old) ** 2).sum())
+
+
+def lloyd_step(points: DataFrame, runs: list[Run], ids: list[int]) -> dict[int, float]:
     """Move the centres of the given runs to the means of their points, in place;
-    the summed squared shift of each run.  An empty cluster keeps its centre."""
-    got = {(r["run"], r["cluster"]): r for r in _partials(points, runs, ids, dims)}
-    shifts = {}
-    for i in ids:
-        new = []
-        for j, old in enumerate(runs[i].centers):
-            s = got.get((i, j))
-            new.append([s[f"x{d}"] / s["n"] for d in range(dims)] if s is not None and s["n"] > 0 else old)
-        shifts[i] = sum((a - b) ** 2 for c, old in zip(new, runs[i].centers) for a, b in zip(c, old))
-        runs[i].centers = new
+    the summed squared shift of each run."""
+    blocks = pack(points)
+    cents = [np.array(runs[i].centers) for i in ids]
+    state, sums = _full(blocks, cents)
+    # no points: no centre moves
+    shifts = {i: _advance(blocks, runs[i], sums[a:b]) for i, (a, b) in zip(ids, _spans(cents))} if sums is not None else dict.fromkeys(ids, 0.0)
+    state.unpersist()
+    blocks.unpersist()
     return shifts
 
 
-def fit_runs(points: DataFrame, runs: list[Run], max_iter: int = 300, tol: float = 1e-4) -> list[Run]:
-    """``points`` from ``prepare``; fits every run (in place) and returns them."""
-    dims = len([c for c in points.columns if c.startswith("x")])
-    var = points.groupBy().agg(*[F.var_pop(f"x{d}").alias(f"x{d}") for d in range(dims)]).first()
-    threshold = tol * sum(var[f"x{d}"] or 0.0 for d in range(dims)) / dims
-    kmeans_pp_init(points, runs, dims)
+@dataclass
+class FitReport:
+    """Passes of a fit, and the (point, run) pairs it looked at and measured."""
+
+    full_passes: int = 0
+    bound_passes: int = 0
+    pairs: int = 0
+    measured: int = 0
+
+
+def fit_runs(points: DataFrame, runs: list[Run], max_iter: int = 300, tol: float = 1e-4, report: FitReport | None = None,
+             keep_skipping: float = KEEP_SKIPPING) -> list[Run]:
+    """``points`` from ``prepare``; fits every run (in place) and returns them.  Runs that come with
+    centres start from those.  ``keep_skipping`` above 1: every pass measures all points."""
+    report = report if report is not None else FitReport()
+    blocks = pack(points)
+    stats = _fold(blocks, lambda it: _added(np.stack([_columns(X).sum(axis=0)]) for _, X in it), lambda a, b: a + b)
+    if stats is None:
+        blocks.unpersist()
+        return runs
+    dims = stats.shape[1] - 2
+    n = int(stats[0, 0])
+    mean = stats[0, 1:1 + dims] / n
+    threshold = tol * max(0.0, float(stats[0, -1] / n - (mean * mean).sum())) / dims
+    blank = [r for r in runs if not r.centers]
+    if blank:
+        kmeans_pp_init(blocks, blank)
     active = list(range(len(runs)))
+    state, held = None, []
     while active:
-        shifts = lloyd_step(points, runs, active, dims)
-        for i, shift in shifts.items():
+        now = [np.array(runs[i].centers) for i in active]
+        spans = _spans(now)
+        if state is None:
+            state, sums = _full(blocks, now)
+            held, base, at_state = list(active), dict(zip(active, (sums[a:b] for a, b in spans))), dict(zip(active, now))
+            report.full_passes += 1
+            measured, keep = n * len(active), keep_skipping <= 1
+        else:
+            change, measured = _moved(state, [held.index(i) for i in active], [at_state[i] for i in active], now)
+            sums = np.concatenate([base[i] for i in active]) + change
+            report.bound_passes += 1
+            keep = measured <= (1 - keep_skipping) * n * len(active)
+        report.pairs += n * len(active)
+        report.measured += measured
+        for i, (a, b) in zip(active, spans):
+            shift = _advance(blocks, runs[i], sums[a:b])
             runs[i].n_iter += 1
             runs[i].converged = shift <= threshold
+        if not keep:
+            state.unpersist()
+            state = None
         active = [i for i in active if not runs[i].converged and runs[i].n_iter < max_iter]
-    for r in runs:
-        r.inertia = 0.0
-    for r in _partials(points, runs, list(range(len(runs))), dims):
-        runs[r["run"]].inertia += float(r["cost"])
+    if state is not None:
+        state.unpersist()
+    for r, cost in zip(runs, _costs(blocks, [np.array(r.centers) for r in runs])):
+        r.inertia = cost
+    blocks.unpersist()
     return runs
 
 
+def _costs(blocks: RDD, cents: list[np.ndarray]) -> list[float]:
+    """Sum of squared distances to the nearest centre, per run."""
+    def work(it):
+        return _added(np.array([_sqdist(X, C).min(axis=1).sum() for C in cents]) for _, X in it)
+
+    return _fold(blocks, work, lambda a, b: a + b).tolist()
+
+
 def best_per_k(runs: list[Run]) -> dict[int, Run]:
     """Lowest inertia per k; runs are in seed order, so the first seed wins ties."""
     best: dict[int, Run] = {}

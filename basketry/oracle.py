@@ -671,6 +671,74 @@ FROM centres c LEFT JOIN (SELECT k, j, {", ".join(f"avg(x{d}) AS x{d}" for d in
   ON m.k = c.k AND m.j = c.j
 WHERE c.k IN (2, 5)""", extra=_NEAR_DEPS)
 
+def _squared(a: str, b: str) -> str:
+    return " + ".join(f"({a}{d} - {b}{d}) * ({a}{d} - {b}{d})" for d in _DIMS)
+
+
+#: two centres out of reach: 100 and 101 in every coordinate
+_FAR = "far_centres AS (SELECT 3 AS k, j, " + ", ".join(f"c{d}" for d in _DIMS) + " FROM centres WHERE k = 2 UNION ALL SELECT 3, 2, " + \
+    ", ".join("100.0::DOUBLE" for _ in _DIMS) + " UNION ALL SELECT 5, j + 1, " + ", ".join(f"c{d}" for d in _DIMS) + \
+    " FROM centres WHERE k = 3 UNION ALL SELECT 5, 0, " + ", ".join("100.0::DOUBLE" for _ in _DIMS) + \
+    " UNION ALL SELECT 5, 4, " + ", ".join("101.0::DOUBLE" for _ in _DIMS) + ")"
+
+# an empty cluster takes the farthest customer, who leaves the mean of the cluster it was in
+register("kmeans_relocation_step", [], f"""
+, placed AS (SELECT * FROM (SELECT z.*, c.k, c.j, {_squared('x', 'c')} AS dist,
+           row_number() OVER (PARTITION BY z.customer_id, c.k ORDER BY {_squared('x', 'c')}, c.j) AS rn
+         FROM zed z, far_centres c) WHERE rn = 1),
+bare AS (SELECT k, j, row_number() OVER (PARTITION BY k ORDER BY j) AS turn FROM far_centres
+         WHERE (k, j) NOT IN (SELECT (k, j) FROM placed)),
+far AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY dist DESC, customer_id) AS turn FROM placed),
+moved AS (SELECT f.k, f.customer_id, f.j AS was, b.j AS j, {", ".join(f"x{d}" for d in _DIMS)} FROM far f JOIN bare b ON b.k = f.k AND b.turn = f.turn),
+stay AS (SELECT k, j, {", ".join(f"x{d}" for d in _DIMS)} FROM placed WHERE (k, customer_id) NOT IN (SELECT (k, customer_id) FROM moved)
+         UNION ALL SELECT k, j, {", ".join(f"x{d}" for d in _DIMS)} FROM moved)
+SELECT k::INTEGER AS k, j::INTEGER AS cluster, {", ".join(f"round(avg(x{d}), 6) AS x{d}" for d in _DIMS)} FROM stay GROUP BY k, j""",
+         extra=_NEAR_DEPS + [(_FAR, ["centres"])])
+
+register("kmeans_fixed_silhouette", [], f"""
+, pairs AS (SELECT p.k, p.customer_id, p.j, q.j AS other, sum(sqrt({_squared('p.x', 'q.x')})) AS s, count(*) AS n
+            FROM near p JOIN near q ON p.k = q.k GROUP BY p.k, p.customer_id, p.j, q.j),
+ab AS (SELECT k, customer_id, max(n) FILTER (WHERE other = j) AS n,
+              max(s / (n - 1)) FILTER (WHERE other = j AND n > 1) AS a, min(s / n) FILTER (WHERE other <> j) AS b
+       FROM pairs GROUP BY k, customer_id)
+SELECT k::INTEGER AS k, count(*) AS customers,
+       round(avg(CASE WHEN n = 1 OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 4) AS euclidean_silhouette
+FROM ab GROUP BY k""", extra=_NEAR_DEPS)
+
+
+def _documented_steps(steps: int) -> list[tuple[str, list[str]]]:
+    """Lloyd steps from the five documented centres, one pair of tables per step."""
+    xs, cs = [f"x{d}" for d in _DIMS], [f"c{d}" for d in _DIMS]
+    out = [("cen0 AS (SELECT j, " + ", ".join(cs) + " FROM centres WHERE k = 5)", ["centres"])]
+    for i in range(steps + 1):
+        out.append((f"""near{i} AS (SELECT * FROM (SELECT z.*, c.j, row_number() OVER (PARTITION BY z.customer_id ORDER BY {_squared('x', 'c')}, c.j) AS rn
+  FROM zed z, cen{i} c) WHERE rn = 1)""", ["zed", f"cen{i}"]))
+        if i < steps:
+            out.append((f"cen{i + 1} AS (SELECT j, " + ", ".join(f"avg({x}) AS {c}" for x, c in zip(xs, cs)) + f" FROM near{i} GROUP BY j)", [f"near{i}"]))
+    return out
+
+
+_DOCUMENTED = """clustered AS (
+  SELECT f.*, CAST(o.cluster AS INTEGER) AS cluster FROM features f JOIN near4 n USING (customer_id) JOIN (
+    SELECT j, row_number() OVER (ORDER BY m DESC, r, j) - 1 AS cluster
+    FROM (SELECT j, """ + stable_mean("monetary") + """ AS m, avg(recency_days) AS r FROM features JOIN near4 USING (customer_id) GROUP BY j)) o ON o.j = n.j)"""
+_DOCUMENTED_DEPS = FEATURE_DEPS + [(_MATRIX, ["features"]), (_STATS, ["matrix"]), (_ZED, ["matrix", "stats"]), (_CENTRES, [])] \
+    + _documented_steps(4) + [(_DOCUMENTED, ["features", "near4"]), (PROF, ["clustered"]), (MAPPING, ["prof"]), (SEG, ["clustered", "rules"])]
+register("kmeans_documented_fit", [], "SELECT customer_id, cluster, segment FROM seg", extra=_DOCUMENTED_DEPS)
+register("kmeans_documented_summary", [], "SELECT * FROM summary", extra=_DOCUMENTED_DEPS + [(SEG_MEANS, ["seg"])])
+
+_RUNNER_UP = """ru1 AS (SELECT cluster FROM prof WHERE monetary IS NOT NULL ORDER BY monetary DESC, cluster LIMIT 1),
+ru2 AS (SELECT cluster FROM prof WHERE tenure_days IS NOT NULL AND cluster NOT IN (FROM ru1) ORDER BY tenure_days, cluster LIMIT 1),
+ru3 AS (SELECT cluster FROM prof WHERE recency_days IS NOT NULL AND cluster NOT IN (FROM ru1) AND cluster NOT IN (FROM ru2)
+        ORDER BY recency_days DESC, cluster LIMIT 1),
+ru4 AS (SELECT cluster FROM prof WHERE discount_usage_rate IS NOT NULL AND cluster NOT IN (FROM ru1) AND cluster NOT IN (FROM ru2)
+        AND cluster NOT IN (FROM ru3) ORDER BY discount_usage_rate DESC, cluster LIMIT 1),
+assigned AS (SELECT cluster, 'High Value Customers' AS segment FROM ru1 UNION ALL SELECT cluster, 'New Customers' FROM ru2
+             UNION ALL SELECT cluster, 'At Risk / Inactive Customers' FROM ru3 UNION ALL SELECT cluster, 'Price Sensitive Customers' FROM ru4),
+""" + MAPPING[MAPPING.index("pool AS"):]
+register("label_clusters_runner_up", [], "SELECT cluster, segment, count(*) AS customers FROM seg GROUP BY cluster, segment",
+         extra=FEATURE_DEPS + [(CLUSTERED, ["features"]), (PROF, ["clustered"]), (_RUNNER_UP, ["prof"]), (SEG, ["clustered", "ru1"])])
+
 WINDOWS = """win AS (
   SELECT * FROM (VALUES (101, 115, 1.3, 'early January'), (301, 320, 1.2, 'early March'),
                         (801, 831, 1.4, 'August'),

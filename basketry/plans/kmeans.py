@@ -9,10 +9,10 @@
       the points per iteration (``operators/multikmeans``); ``engine="ml"``
       fits each run with ``pyspark.ml`` KMeans instead
 * M4  inertia = sum of squared distances to the final centres
-* M5  silhouette from ``ClusteringEvaluator`` (squared Euclidean, linear
-      time).  The reference's all-pairs Euclidean silhouette is quadratic in
-      the number of customers and is not reproduced.
-* M6-M8 suggested k, final model, elbow table
+* M5  Euclidean silhouette from a cell tree, with a proven bound on its error
+      (``operators/silhouette``; all pairs would be quadratic in the customers), and next to it the
+      squared-distance one of ``ClusteringEvaluator``
+* M6-M8 suggested k (largest Euclidean silhouette), final model, elbow table
 
 The scaled matrix is written once to the checkpoint folder and cached, so the
 iterative fits re-read a short lineage.  Predictions and silhouettes are JVM
@@ -30,7 +30,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from basketry.functions.flags import stable_mean
 from basketry.operators.scalar import attach
+from basketry.operators.silhouette import Score, euclidean_silhouettes
 from basketry.session import checkpoint_dir
 
 CLUSTER_FEATURES = ["recency_days", "frequency", "monetary", "avg_order_value",
@@ -153,6 +155,32 @@ def squared_silhouette(scaled: DataFrame, centers: list[list[float]]) -> float:
                                distanceMeasure="squaredEuclidean").evaluate(pred)
 
 
+def silhouettes(scaled: DataFrame, centers: dict[int, list[list[float]]], **options) -> dict[int, Score]:
+    """Euclidean silhouette of the nearest-centre clusters of each k, all in one pass."""
+    ks = list(centers)
+    names = [f"_c{k}" for k in ks]
+    labelled = scaled.select(*Z_FEATURES, *[predict_expr(centers[k], Z_FEATURES).alias(n) for k, n in zip(ks, names)])
+    return dict(zip(ks, euclidean_silhouettes(labelled, Z_FEATURES, names, **options)))
+
+
+def renumbered(scaled: DataFrame, centers: list[list[float]]) -> DataFrame:
+    """Feature table + canonical cluster id: clusters renumbered by mean spend (desc), then mean
+    recency, then the centre's place, so positional labels do not depend on arbitrary ids."""
+    # the staged input holds the feature columns too: a projection, no join
+    joined = scaled.withColumn("_raw", predict_expr(centers, Z_FEATURES)).drop(*Z_FEATURES)
+    order = joined.groupBy("_raw").agg(stable_mean("monetary").alias("_m"), F.avg("recency_days").alias("_r"))
+    renum = order.select("_raw", (F.row_number().over(
+        Window.orderBy(F.desc("_m"), F.asc("_r"), F.asc("_raw"))) - 1).cast("int").alias("cluster"))
+    return joined.join(F.broadcast(renum), "_raw", "inner").drop("_raw")
+
+
+def fit_from(scaled: DataFrame, centers: list[list[float]], steps: int) -> list[list[float]]:
+    """Centres after ``steps`` Lloyd steps from the given ones."""
+    from basketry.operators import multikmeans as mk
+    run = mk.Run(k=len(centers), seed=0, centers=[list(c) for c in centers])
+    return mk.fit_runs(mk.prepare(scaled, "customer_id", Z_FEATURES), [run], max_iter=steps, tol=-1.0)[0].centers
+
+
 def elbow_row(k: int, cost: float, silhouette: float) -> tuple:
     """k, inertia and silhouette with the digits of the elbow table."""
     return k, round(float(cost), 2), round(float(silhouette), 4)
@@ -191,7 +219,7 @@ class Segmentation:
             scaled = scaled.checkpoint(eager=True)
         self.scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
         self.centers: dict[int, list[list[float]]] = {}
-        self.metrics: dict[int, tuple[float, float]] = {}
+        self.metrics: dict[int, tuple[float, Score, float]] = {}
 
     def _vectors(self) -> DataFrame:
         return assemble(self.scaled, Z_FEATURES)
@@ -208,38 +236,29 @@ class Segmentation:
                      for k, m in fitted.items()}
         else:
             from basketry.operators import multikmeans as mk
-            pts = mk.prepare(self.scaled, "customer_id", Z_FEATURES) \
-                    .persist(StorageLevel.MEMORY_AND_DISK)
+            pts = mk.prepare(self.scaled, "customer_id", Z_FEATURES)
             runs = mk.fit_runs(pts, mk.make_runs(todo, self.n_init, self.seed))
             found = {k: (r.centers, r.inertia) for k, r in mk.best_per_k(runs).items()}
-            pts.unpersist()
-        def sil(k):
-            return squared_silhouette(self.scaled, found[k][0])
-
-        with ThreadPoolExecutor(max_workers=len(todo)) as pool:
-            sils = list(pool.map(sil, todo))
-        for k, s_ in zip(todo, sils):
+        with ThreadPoolExecutor(max_workers=len(todo) + 1) as pool:
+            exact = pool.submit(silhouettes, self.scaled, {k: found[k][0] for k in todo})
+            squared = list(pool.map(lambda k: squared_silhouette(self.scaled, found[k][0]), todo))
+        for k, sq in zip(todo, squared):
             self.centers[k] = found[k][0]
-            self.metrics[k] = (found[k][1], s_)
+            self.metrics[k] = (found[k][1], exact.result()[k], sq)
 
     def sweep(self) -> DataFrame:
-        """Elbow table (k, inertia, silhouette, suggested)."""
+        """Elbow table (k, inertia, euclidean_silhouette, silhouette_error, squared_silhouette, suggested)."""
         self.fit_all()
-        rows = [(k, float(self.metrics[k][0]), float(self.metrics[k][1])) for k in self.ks]
-        best = max(rows, key=lambda r: (r[2], -r[0]))[0]
+        rows = []
+        for k in self.ks:
+            cost, score, squared = self.metrics[k]
+            rows.append((*elbow_row(k, cost, score.silhouette or 0.0), round(score.error or 0.0, 4), round(float(squared), 4)))
+        best = max(self.ks, key=lambda k: (self.metrics[k][1].silhouette or 0.0, -k))
         return self.spark.createDataFrame(
-            [(*elbow_row(*r), r[0] == best) for r in rows],
-            "k int, inertia double, silhouette double, suggested boolean")
+            [(*r, r[0] == best) for r in rows],
+            "k int, inertia double, euclidean_silhouette double, silhouette_error double, squared_silhouette double, suggested boolean")
 
     def clustered(self) -> DataFrame:
-        """Feature table + canonical cluster id: clusters renumbered by mean
-        spend (desc), then mean recency, then the model's id, so positional
-        labels do not depend on arbitrary model ids."""
+        """Feature table + canonical cluster id of the final k (``renumbered``)."""
         self.fit_all()
-        # the staged input holds the feature columns too: a projection, no join
-        joined = self.scaled.withColumn("_raw", predict_expr(self.centers[self.final_k], Z_FEATURES)) \
-                            .drop(*Z_FEATURES)
-        order = joined.groupBy("_raw").agg(F.avg("monetary").alias("_m"), F.avg("recency_days").alias("_r"))
-        renum = order.select("_raw", (F.row_number().over(
-            Window.orderBy(F.desc("_m"), F.asc("_r"), F.asc("_raw"))) - 1).cast("int").alias("cluster"))
-        return joined.join(F.broadcast(renum), "_raw", "inner").drop("_raw")
+        return renumbered(self.scaled, self.centers[self.final_k])

@@ -66,7 +66,30 @@ def cluster_profile(clustered: DataFrame) -> DataFrame:
         "score", -average_rank("recency_days") + average_rank("frequency") + average_rank("monetary"))
 
 
-def label_clusters(prof: DataFrame) -> DataFrame:
+# Naming rules in order of priority (name, profile column, largest wins).
+RULES = [(HIGH_VALUE, "monetary", True), (NEW, "tenure_days", False), (AT_RISK, "recency_days", True),
+         (PRICE_SENSITIVE, "discount_usage_rate", True)]
+
+
+def _runner_up_winners(prof: DataFrame) -> DataFrame:
+    """(cluster, segment): deferred acceptance.  A rule that finds its cluster taken by an earlier one goes on
+    to its next best; as every cluster prefers the earlier rule, taking the rules in order settles it
+    in one step per rule, each over the k-row profile."""
+    places = prof.select("cluster", *[F.row_number().over(Window.orderBy(
+        F.desc_nulls_last(value) if largest else F.asc_nulls_last(value), "cluster")).alias(f"_r{i}") for i, (_, value, largest) in enumerate(RULES)],
+        *[F.col(value).isNotNull().alias(f"_v{i}") for i, (_, value, _) in enumerate(RULES)])
+    taken = None
+    for i, (name, _, _) in enumerate(RULES):
+        free = places.where(f"_v{i}")
+        if taken is not None:
+            free = free.join(taken, "cluster", "left_anti")
+        won = free.groupBy().agg(F.min_by("cluster", f"_r{i}").alias("cluster")).where(F.col("cluster").isNotNull()) \
+            .select("cluster", F.lit(name).alias("segment"))
+        taken = won if taken is None else taken.unionByName(won)
+    return taken
+
+
+def label_clusters(prof: DataFrame, resolve: str = "position") -> DataFrame:
     """(cluster, segment) for every cluster of the k-row profile.
 
     1. winners: High Value = max monetary, New = min tenure, At Risk = max
@@ -75,14 +98,20 @@ def label_clusters(prof: DataFrame) -> DataFrame:
        lost name is not passed on;
     3. unnamed clusters (ascending id) take unused pool names in pool order;
     4. anything left is "Occasional Buyers".
+
+    ``resolve="runner_up"`` replaces step 2: a name whose cluster is taken goes to the next best
+    cluster of its rule (a rule without any value names none).
     """
+    if resolve not in ("position", "runner_up"):
+        raise ValueError(f"unknown resolve {resolve}")
     spark = prof.sparkSession
-    wins = [(HIGH_VALUE, "monetary", True), (NEW, "tenure_days", False), (AT_RISK, "recency_days", True),
-            (PRICE_SENSITIVE, "discount_usage_rate", True)]
-    rules = extreme_rows(prof, [(name, value, ["cluster"], "cluster", largest) for name, value, largest in wins])
-    rules = rules.select(F.col("key").cast(prof.schema["cluster"].dataType).alias("cluster"), F.col("fact").alias("segment"),
-                         F.array_position(F.array(*[F.lit(w[0]) for w in wins]), F.col("fact")).alias("rule"))
-    assigned = rules.groupBy("cluster").agg(F.min_by("segment", "rule").alias("segment"))
+    if resolve == "runner_up":
+        assigned = _runner_up_winners(prof)
+    else:
+        rules = extreme_rows(prof, [(name, value, ["cluster"], "cluster", largest) for name, value, largest in RULES])
+        rules = rules.select(F.col("key").cast(prof.schema["cluster"].dataType).alias("cluster"), F.col("fact").alias("segment"),
+                             F.array_position(F.array(*[F.lit(w[0]) for w in RULES]), F.col("fact")).alias("rule"))
+        assigned = rules.groupBy("cluster").agg(F.min_by("segment", "rule").alias("segment"))
     pool = spark.createDataFrame(list(enumerate(LABEL_POOL)), "pos int, segment string")
     free_names = pool.join(assigned, "segment", "left_anti") \
                      .withColumn("_rn", F.row_number().over(Window.orderBy("pos")))

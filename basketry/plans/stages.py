@@ -161,6 +161,12 @@ class AnalyticsRun:
         """Segments from the deterministic fixture cluster column (customer_id % 5)."""
         return Segmented(self, segments.fixed_clusters(self.features, 5), "fixed")
 
+    @cached_property
+    def documented(self) -> Segmented:
+        """Segments from four Lloyd steps from the documented centres (``kmeans.fixed_centers``)."""
+        scaled = kmeans.with_scaled(self.features)
+        return Segmented(self, kmeans.renumbered(scaled, kmeans.fit_from(scaled, kmeans.fixed_centers(5), 4)), "documented")
+
     @cached_property
     def segmentation(self) -> kmeans.Segmentation:
         return kmeans.Segmentation(self.spark, self.features, n_init=self.n_init,

@@ -36,7 +36,7 @@ def summary_payload(kpis: DataFrame, revenue_by_category: DataFrame, by_payment:
                "rfm_stats").alias("eda_summary")))
     # {"k": [...], "inertia": [...], "silhouette": [...]}, ordered by k
     elbow_s = elbow.groupBy().agg(F.sort_array(F.collect_list(
-        F.struct("k", "inertia", "silhouette"))).alias("_e")).select(
+        F.struct("k", "inertia", F.col("euclidean_silhouette").alias("silhouette")))).alias("_e")).select(
         F.struct(F.col("_e.k").alias("k"), F.col("_e.inertia").alias("inertia"),
                  F.col("_e.silhouette").alias("silhouette")).alias("elbow_data"))
     cmap = _as_map(mapping, "cluster", "segment", "cluster_mapping")

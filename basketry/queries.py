@@ -290,17 +290,58 @@ def q_kmeans_fixed_metrics(p: AnalyticsRun):
 def q_kmeans_lloyd_step(p: AnalyticsRun):
     """Centres after one Lloyd step from documented centres, through the production
     step, to 6 decimals."""
+    return _step_from(p, [kmeans.fixed_centers(k) for k in (2, 5)])
+
+
+def _step_from(p: AnalyticsRun, starts: list):
     from basketry.operators import multikmeans as mk
     dims = len(kmeans.CLUSTER_FEATURES)
     points = mk.prepare(kmeans.with_scaled(p.features), "customer_id", kmeans.Z_FEATURES)
-    runs = [mk.Run(k=k, seed=0, centers=kmeans.fixed_centers(k)) for k in (2, 5)]
-    mk.lloyd_step(points, runs, list(range(len(runs))), dims)
+    runs = [mk.Run(k=len(c), seed=0, centers=c) for c in starts]
+    mk.lloyd_step(points, runs, list(range(len(runs))))
     rows = [(r.k, j, *c) for r in runs for j, c in enumerate(r.centers)]
     names = [f"x{d}" for d in range(dims)]
     df = p.spark.createDataFrame(rows, "k int, cluster int, " + ", ".join(f"{x} double" for x in names))
     return df.select("k", "cluster", *[F.round(x, 6).alias(x) for x in names])
 
 
+@query("kmeans_relocation_step")
+def q_kmeans_relocation_step(p: AnalyticsRun):
+    """Centres after one Lloyd step in which one (k = 3) and two (k = 5) of the documented centres,
+    put out of reach, lose all points and are moved to the farthest customers, to 6 decimals."""
+    away = [[100.0 + j] * len(kmeans.CLUSTER_FEATURES) for j in range(2)]
+    return _step_from(p, [kmeans.fixed_centers(2) + away[:1], away[:1] + kmeans.fixed_centers(3) + away[1:]])
+
+
+@query("kmeans_fixed_silhouette")
+def q_kmeans_fixed_silhouette(p: AnalyticsRun):
+    """Euclidean silhouette of the documented centres' clusters per k, with the digits of the elbow
+    table; the tree goes down to single cells (``tolerance=0``)."""
+    scores = kmeans.silhouettes(kmeans.with_scaled(p.features), {k: kmeans.fixed_centers(k) for k in (2, 3, 5)}, tolerance=0.0)
+    return p.spark.createDataFrame([(k, s.points, round(s.silhouette, 4)) for k, s in scores.items()],
+                                   "k int, customers long, euclidean_silhouette double")
+
+
+@query("kmeans_documented_fit")
+def q_kmeans_documented_fit(p: AnalyticsRun):
+    """Customers with cluster and segment after four Lloyd steps from five documented centres: the
+    production fit, numbering and naming, from a start that SQL can follow."""
+    return p.documented.segmented.select("customer_id", "cluster", "segment")
+
+
+@query("kmeans_documented_summary")
+def q_kmeans_documented_summary(p: AnalyticsRun):
+    """Segment summary of ``kmeans_documented_fit``."""
+    return p.documented.summary
+
+
+@query("label_clusters_runner_up")
+def q_label_clusters_runner_up(p: AnalyticsRun):
+    """Cluster names where a name whose cluster is taken goes to the runner-up."""
+    mapping = segments.label_clusters(p.fixed.profile, resolve="runner_up")
+    return segments.cluster_sizes(segments.assign_segments(p.fixed.clustered, mapping))
+
+
 @query("kmeans_sweep")
 def q_kmeans_sweep(p: AnalyticsRun):
     return p.segmentation.sweep()
