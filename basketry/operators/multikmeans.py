@@ -102,8 +102,10 @@ def local_trials(k: int) -> int:
 
 
 def pack(points: DataFrame) -> RDD:
-    """Points of ``prepare`` as blocks (id hashes, coordinates), persisted.  Blocks keep the partitioning."""
+    """Points of ``prepare`` as blocks (id hashes, coordinates), persisted.  Blocks keep the partitioning, but partitions of
+    less than a block are put together: a pass over them would cost more in tasks than in work."""
     dims = len([c for c in points.columns if c.startswith("x")])
+    points = points.coalesce(max(1, -(-points.count() // BLOCK)))
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -40,18 +40,20 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CELLS = 4096
-TOLERANCE = 0.002
+TOLERANCE = 0.02
 #: points that go down the trees together
-POINTS = 64
+POINTS = 128
 
 
 @dataclass
 class Score:
-    """Silhouette of one clustering (null with fewer than two clusters), and how far off it is at most."""
+    """Silhouette of one clustering (null with fewer than two clusters), how far off it is at most, and the
+    silhouette over squared distances, which needs no cells and is exact."""
 
     silhouette: float | None
     error: float | None
     points: int
+    squared: float | None = None
 
 
 @dataclass
@@ -123,14 +125,13 @@ def visit(tree: Tree, X: np.ndarray, tolerance: float) -> np.ndarray:
 def point_scores(X: np.ndarray, own: np.ndarray, n: np.ndarray, centroid: np.ndarray, s2: np.ndarray, cluster: np.ndarray,
                  sizes: np.ndarray) -> np.ndarray:
     """(estimate, least, most) of every point's silhouette from the taken nodes of one clustering."""
-    d2 = np.zeros((len(X), len(n)))
-    for k in range(X.shape[1]):
-        d2 += (X[:, k, None] - centroid[None, :, k]) ** 2
+    d2 = np.maximum((X * X).sum(axis=1)[:, None] + (centroid * centroid).sum(axis=1) - 2.0 * (X @ centroid.T), 0.0)
     near = np.sqrt(d2)
-    far = np.sqrt(d2 + s2)
     member = np.zeros((len(n), len(sizes)))
     member[np.arange(len(n)), cluster] = n
-    low, high = near @ member, far @ member
+    low = near @ member
+    wide = np.flatnonzero(s2 > 0)
+    high = low + (np.sqrt(d2[:, wide] + s2[wide]) - near[:, wide]) @ member[wide]
     # residuals across the line of sight lengthen a distance, those along it cancel
     middle = low + (high - low) * ((X.shape[1] - 1) / X.shape[1])
     at = np.arange(len(X))
@@ -146,6 +147,19 @@ def point_scores(X: np.ndarray, own: np.ndarray, n: np.ndarray, centroid: np.nda
     return np.stack(out, axis=1)
 
 
+def squared_scores(X: np.ndarray, own: np.ndarray, centroid: np.ndarray, s2: np.ndarray, cluster: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Silhouettes over squared distances: a cluster's mean squared distance is that to its centroid plus s2."""
+    mean = np.full((len(X), len(sizes)), np.inf)
+    for j, c in enumerate(cluster.tolist()):
+        mean[:, c] = ((X - centroid[j]) ** 2).sum(axis=1) + s2[j]
+    at = np.arange(len(X))
+    a = mean[at, own] * (sizes[own] / np.maximum(sizes[own] - 1, 1))
+    mean[at, own] = np.inf
+    b = mean.min(axis=1)
+    top = np.maximum(a, b)
+    return np.where((sizes[own] > 1) & (top > 0), (b - a) / np.where(top > 0, top, 1.0), 0.0)
+
+
 def _matrix(batch: pa.RecordBatch, names: Sequence[str]) -> np.ndarray:
     return np.column_stack([batch.column(batch.schema.get_field_index(n)).to_numpy(zero_copy_only=False) for n in names])
 
@@ -170,7 +184,8 @@ def euclidean_silhouettes(points: DataFrame, cols: Sequence[str], labels: Sequen
             yield pa.RecordBatch.from_arrays([pa.array(morton(_matrix(b, xs), low, high)), *b.columns], names=["code", *xs, *ys])
 
     schema = ", ".join(["code long", *[f"{x} double" for x in xs], *[f"{y} long" for y in ys]])
-    placed = pts.mapInArrow(place, schema).repartitionByRange("code").persist(StorageLevel.MEMORY_AND_DISK)
+    width = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = pts.mapInArrow(place, schema).repartitionByRange(width, "code").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         tree = _cells_and_tree(placed, xs, ys, count, cells)
         sizes = []
@@ -181,7 +196,8 @@ def euclidean_silhouettes(points: DataFrame, cols: Sequence[str], labels: Sequen
 
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tree, sizes = shared.value
-            total = np.zeros((len(ys), 3))
+            total = np.zeros((len(ys), 4))
+            tops = [tree.root[tree.clustering[tree.root] == q] for q in range(len(ys))]
             for b in batches:
                 order = np.argsort(b.column(0).to_numpy(), kind="stable")
                 X, Y = _matrix(b, xs)[order], _matrix(b, ys)[order]
@@ -190,20 +206,21 @@ def euclidean_silhouettes(points: DataFrame, cols: Sequence[str], labels: Sequen
                     nodes = visit(tree, x, tolerance)
                     for q in range(len(ys)):
                         at = nodes[tree.clustering[nodes] == q]
-                        total[q] += point_scores(x, y[:, q], tree.n[at], tree.centroid[at], tree.s2[at], tree.cluster[at], sizes[q]).sum(axis=0)
-            yield pa.RecordBatch.from_pydict({"q": list(range(len(ys))), "s": total[:, 0].tolist(), "low": total[:, 1].tolist(),
-                                              "high": total[:, 2].tolist()}, schema=pa.schema(
-                [("q", pa.int32()), ("s", pa.float64()), ("low", pa.float64()), ("high", pa.float64())]))
-
-        sums = placed.mapInArrow(score, "q int, s double, low double, high double").groupBy("q") \
-            .agg(F.sum("s").alias("s"), F.sum("low").alias("low"), F.sum("high").alias("high")).collect()
+                        total[q, :3] += point_scores(x, y[:, q], tree.n[at], tree.centroid[at], tree.s2[at], tree.cluster[at], sizes[q]).sum(axis=0)
+                        at = tops[q]
+                        total[q, 3] += squared_scores(x, y[:, q], tree.centroid[at], tree.s2[at], tree.cluster[at], sizes[q]).sum()
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(ys)), pa.int32()), *[pa.array(total[:, j]) for j in range(4)]],
+                                             names=["q", "s", "low", "high", "squared"])
+
+        sums = placed.mapInArrow(score, "q int, s double, low double, high double, squared double").groupBy("q") \
+            .agg(*[F.sum(c).alias(c) for c in ("s", "low", "high", "squared")]).collect()
         shared.unpersist()
     finally:
         placed.unpersist()
     out = [Score(None, None, count) for _ in labels]
     for r in sums:
         if (sizes[r.q] > 0).sum() > 1:
-            out[r.q] = Score(r.s / count, max(r.high - r.s, r.s - r.low, 0.0) / count, count)
+            out[r.q] = Score(r.s / count, max(r.high - r.s, r.s - r.low, 0.0) / count, count, r.squared / count)
     return out
 
 
@@ -220,8 +237,9 @@ def _cells_and_tree(placed: DataFrame, xs: list[str], ys: list[str], count: int,
         cl = np.concatenate([np.array([r[y] for r in rows]) for y in ys])
         return build_tree(q, cl, np.tile(step, len(ys)), np.tile(n, len(ys)), np.tile(X * n[:, None], (len(ys), 1)),
                           np.tile((X * X).sum(axis=1) * n, len(ys)))
-    cuts = placed.agg(F.percentile_approx("code", [i / cells for i in range(1, cells)], cells * 4)).first()[0]
-    cuts = np.unique(np.array(cuts, dtype=np.int64))
+    # about four places per cell, drawn by hash, so that a rerun cuts alike
+    some = placed.where(F.pmod(F.xxhash64(*xs), F.lit(max(1, count // (4 * cells)))) == 0).select("code").toArrow().column("code").to_numpy()
+    cuts = np.unique(np.quantile(some, np.arange(1, cells) / cells, method="lower")) if len(some) else np.zeros(0, dtype=np.int64)
     names = ["q", "cluster", "cell", "n", *xs, "squares"]
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

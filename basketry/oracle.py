@@ -379,6 +379,28 @@ SELECT order_id, order_status, is_cancelled, is_returned FROM (
   WHERE order_date IS NOT NULL AND customer_id IS NOT NULL AND total_amount IS NOT NULL)
 WHERE order_status IS DISTINCT FROM 'Cancelled'""")
 
+def _periods(table: str, counts: str) -> str:
+    key = {"month": "strftime(order_date, '%Y-%m')", "quarter": "year(order_date)::VARCHAR || '-Q' || quarter(order_date)::VARCHAR",
+           "year": "year(order_date)::VARCHAR", "total": "'all'"}
+    return "\nUNION ALL\n".join(f"SELECT '{g}' AS grain, {k} AS period, {counts} FROM {table} GROUP BY {k}" for g, k in key.items())
+
+
+register("distinct_rollup", ["orders_clean"], _periods("orders_clean", "count(DISTINCT customer_id) AS customers"))
+register("distinct_rollup_raw", [], _periods("orders_valid", "count(DISTINCT customer_id) AS customers, count(DISTINCT order_id) AS orders"),
+         extra=[(ORDERS_VALID, ["orders_raw"])])
+register("calendar_cube", ["orders_clean"], f"""
+SELECT 'month' AS trend, year_month AS period, NULL::VARCHAR AS category, {MONEY_SUM} AS revenue, count(order_id) AS orders,
+       count(DISTINCT customer_id) AS customers, CAST(sum(total_amount) AS DOUBLE) / count(total_amount) AS avg_order_value,
+       NULL::BIGINT AS new_customers FROM orders_clean GROUP BY year_month
+UNION ALL SELECT 'weekday', d.weekday, NULL, a.revenue, a.orders, NULL, NULL, NULL FROM weekdays d LEFT JOIN (
+  SELECT weekday, {MONEY_SUM} AS revenue, count(order_id) AS orders FROM orders_clean GROUP BY weekday) a ON d.weekday = a.weekday
+UNION ALL SELECT 'month_category', year_month, category, {MONEY_SUM}, NULL, NULL, NULL, NULL FROM orders_clean
+  WHERE category IS NOT NULL GROUP BY year_month, category
+UNION ALL SELECT 'new_customers', strftime(first, '%Y-%m'), NULL, NULL, NULL, NULL, NULL, count(*) FROM (
+  SELECT customer_id, min(order_date) AS first FROM orders_clean GROUP BY customer_id) GROUP BY 2
+UNION ALL SELECT 'quarter', 'Q' || quarter || ' ' || year, NULL, {MONEY_SUM}, count(order_id), NULL, NULL, NULL FROM orders_clean
+  GROUP BY year, quarter""", extra=[(WEEKDAY_DOMAIN, [])])
+
 # ---------------------------------------------------------------------------
 # segments on the fixed cluster column customer_id % 5
 # ---------------------------------------------------------------------------

@@ -1,16 +1,18 @@
 """Customer features: RFM (C3), behaviour (C4), purchase interval (A14), web
 engagement (A15) and the joined feature table (C5).
 
-Plan shape: RFM and behaviour share the grouping key, so they are one fused
-aggregate (one shuffle by customer_id, map-side partial aggregation).  The
-purchase interval is derived from a (customer, day) aggregate whose size per
-customer is bounded by the number of calendar days, so even a customer holding
-a third of all orders never puts its raw rows into a single task.
+Plan shape of the feature table: the clean orders are scanned once, into sums per (customer, day,
+category) with a map-side partial step.  What is left of a customer is bounded by the
+calendar and the categories, so even a customer holding a third of all orders never puts
+its raw rows into a single task, and only these sums are dealt out by customer, once:
+the behaviour sums, the category counts and the gaps between days all work on that
+partitioning.  The one row per customer that results is staged; snapshot date, the median of the
+intervals and the joins read it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.dates import day_number, plus_days, second_of_day, whole_days
@@ -93,11 +95,7 @@ def purchase_intervals(orders_clean: DataFrame) -> DataFrame:
     per = daily.groupBy("customer_id").agg(
         F.sum("_n").alias("_n"), F.min("_day").alias("_d0"), F.max("_day").alias("_d1"),
         F.sum("_descent").alias("_desc"))
-    gap_sum = F.col("_d1") - F.col("_d0") - F.col("_desc")
-    return per.select(
-        "customer_id",
-        F.when(F.col("_n") >= 2, gap_sum.cast("double") / (F.col("_n") - 1))
-         .alias("avg_purchase_interval_days"))
+    return per.select("customer_id", _mean_gap().alias("avg_purchase_interval_days"))
 
 
 def web_features(sessions: DataFrame) -> DataFrame:
@@ -109,21 +107,68 @@ def web_features(sessions: DataFrame) -> DataFrame:
         F.avg("converted").alias("conversion_rate"))
 
 
-def customer_features(orders_clean: DataFrame, sessions: DataFrame,
-                      customers_clean: DataFrame) -> DataFrame:
+def daily_sums(orders_clean: DataFrame) -> DataFrame:
+    """Sums per (customer, day, category), dealt out by customer: at most days x categories rows each."""
+    amount, qty, pct = F.col("total_amount"), F.col("quantity"), F.col("discount_pct")
+    day = day_number("order_date").alias("_day")
+    sums = orders_clean.groupBy("customer_id", day, "category").agg(
+        F.count(F.lit(1)).alias("_rows"), F.count("order_id").alias("_orders"), F.sum(amount).alias("_amount"), F.count(amount).alias("_amounts"),
+        F.sum(qty).alias("_qty"), F.count(qty).alias("_qtys"), F.sum(F.when(pct > 0, 1).otherwise(0)).alias("_cut"),
+        F.sum(pct).alias("_pct"), F.count(pct).alias("_pcts"), F.sum(F.col("is_returned").cast("int")).alias("_ret"),
+        F.count("is_returned").alias("_rets"), F.min("order_date").alias("_first"), F.max("order_date").alias("_last"),
+        F.min(second_of_day("order_date")).alias("_smin"), F.max(second_of_day("order_date")).alias("_smax"))
+    return sums.repartition("customer_id")
+
+
+def customer_orders(orders_clean: DataFrame) -> DataFrame:
+    """One row per customer: the columns of ``customer_aggregates`` and the purchase interval.
+
+    One chain over the daily sums: the windows (a customer's categories, days and their order) and the
+    last aggregate all keep to the partitioning by customer, so nothing is scanned or dealt out twice."""
+    kind, day = Window.partitionBy("customer_id", "category"), Window.partitionBy("customer_id", "_day")
+    x = daily_sums(orders_clean).withColumns({
+        "_kind_rows": F.sum("_rows").over(kind), "_kind_at": F.row_number().over(kind.orderBy("_day")),
+        "_day_min": F.min("_smin").over(day), "_day_max": F.max("_smax").over(day), "_day_at": F.row_number().over(day.orderBy("category"))})
+    # the row before a day's first row is the last one of the day before, and knows that day's end
+    ended = F.lag("_day_max").over(Window.partitionBy("customer_id").orderBy("_day", "category"))
+    x = x.withColumn("_descent", F.when((F.col("_day_at") == 1) & (F.col("_day_min") < ended), 1).otherwise(0))
+    ratio = lambda a, b: F.try_divide(F.sum(a).cast("double"), F.sum(b))
+    named = F.col("category").isNotNull()
+    out = x.groupBy("customer_id").agg(
+        F.sum("_orders").alias("frequency"),
+        F.coalesce(F.sum("_amount"), F.lit(0)).cast("double").alias("monetary"),
+        ratio("_amount", "_amounts").alias("avg_order_value"),
+        F.coalesce(F.sum("_qty"), F.lit(0)).cast("bigint").alias("total_quantity"),
+        ratio("_qty", "_qtys").alias("avg_basket_size"),
+        ratio("_cut", "_rows").alias("discount_usage_rate"),
+        ratio("_pct", "_pcts").alias("avg_discount_pct"),
+        F.min(F.when(named, F.struct((-F.col("_kind_rows")).alias("n"), "category")))["category"].alias("_favorite"),
+        F.sum(F.when(named & (F.col("_kind_at") == 1), 1).otherwise(0)).alias("category_diversity"),
+        ratio("_ret", "_rets").alias("return_rate"),
+        F.min("_first").alias("first_purchase"), F.max("_last").alias("last_purchase"),
+        F.sum(F.when(F.col("_day").isNotNull(), F.col("_rows"))).alias("_n"), F.min("_day").alias("_d0"), F.max("_day").alias("_d1"),
+        F.sum("_descent").alias("_desc"))
+    return out.withColumn("favorite_category", F.coalesce("_favorite", F.lit("Unknown"))) \
+        .withColumn("avg_purchase_interval_days", _mean_gap()).drop("_favorite", "_n", "_d0", "_d1", "_desc")
+
+
+def _mean_gap() -> Column:
+    """Mean gap in whole days from _n orders between the days _d0 and _d1 with _desc descents."""
+    gap_sum = F.col("_d1") - F.col("_d0") - F.col("_desc")
+    return F.when(F.col("_n") >= 2, gap_sum.cast("double") / (F.col("_n") - 1))
+
+
+def customer_features(orders: DataFrame, sessions: DataFrame, customers_clean: DataFrame) -> DataFrame:
     """26-column feature table, one row per customer with a non-cancelled order.
 
+    ``orders`` is ``customer_orders``, best staged: the median and the snapshot date are taken from it as well.
     Joins are left joins keyed on customer_id; AQE picks broadcast or
     sort-merge from the measured sizes (the customer master grows with the
     data, so it is not hinted)."""
-    agg = customer_aggregates(orders_clean)
-    snap = snapshot(orders_clean)
-    iv = purchase_intervals(orders_clean)
-    base = (agg.join(iv, "customer_id", "left")
-               .join(web_features(sessions), "customer_id", "left")
+    snap = global_agg(orders, plus_days(F.max("last_purchase"), 1).alias("snapshot_date"))
+    base = (orders.join(web_features(sessions), "customer_id", "left")
                .join(customers_clean.select("customer_id", *CUSTOMER_ATTRS), "customer_id", "left"))
-    # same customer set as the feature rows, so the median needs only ``iv``
-    base = fill_with_median(base, "avg_purchase_interval_days", basis=iv, wide=True)
+    base = fill_with_median(base, "avg_purchase_interval_days", basis=orders, wide=True)
     base = attach(base, snap).withColumns({
         "recency_days": whole_days("snapshot_date", "last_purchase"),
         "tenure_days": whole_days("snapshot_date", "signup_date"),

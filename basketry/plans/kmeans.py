@@ -10,8 +10,8 @@
       fits each run with ``pyspark.ml`` KMeans instead
 * M4  inertia = sum of squared distances to the final centres
 * M5  Euclidean silhouette from a cell tree, with a proven bound on its error
-      (``operators/silhouette``; all pairs would be quadratic in the customers), and next to it the
-      squared-distance one of ``ClusteringEvaluator``
+      (``operators/silhouette``; all pairs would be quadratic in the customers), and from the same
+      pass the squared-distance one
 * M6-M8 suggested k (largest Euclidean silhouette), final model, elbow table
 
 The scaled matrix is written once to the checkpoint folder and cached, so the
@@ -219,7 +219,7 @@ class Segmentation:
             scaled = scaled.checkpoint(eager=True)
         self.scaled = scaled.persist(StorageLevel.MEMORY_AND_DISK)
         self.centers: dict[int, list[list[float]]] = {}
-        self.metrics: dict[int, tuple[float, Score, float]] = {}
+        self.metrics: dict[int, tuple[float, Score]] = {}
 
     def _vectors(self) -> DataFrame:
         return assemble(self.scaled, Z_FEATURES)
@@ -239,20 +239,18 @@ class Segmentation:
             pts = mk.prepare(self.scaled, "customer_id", Z_FEATURES)
             runs = mk.fit_runs(pts, mk.make_runs(todo, self.n_init, self.seed))
             found = {k: (r.centers, r.inertia) for k, r in mk.best_per_k(runs).items()}
-        with ThreadPoolExecutor(max_workers=len(todo) + 1) as pool:
-            exact = pool.submit(silhouettes, self.scaled, {k: found[k][0] for k in todo})
-            squared = list(pool.map(lambda k: squared_silhouette(self.scaled, found[k][0]), todo))
-        for k, sq in zip(todo, squared):
+        scores = silhouettes(self.scaled, {k: found[k][0] for k in todo})
+        for k in todo:
             self.centers[k] = found[k][0]
-            self.metrics[k] = (found[k][1], exact.result()[k], sq)
+            self.metrics[k] = (found[k][1], scores[k])
 
     def sweep(self) -> DataFrame:
         """Elbow table (k, inertia, euclidean_silhouette, silhouette_error, squared_silhouette, suggested)."""
         self.fit_all()
         rows = []
         for k in self.ks:
-            cost, score, squared = self.metrics[k]
-            rows.append((*elbow_row(k, cost, score.silhouette or 0.0), round(score.error or 0.0, 4), round(float(squared), 4)))
+            cost, score = self.metrics[k]
+            rows.append((*elbow_row(k, cost, score.silhouette or 0.0), round(score.error or 0.0, 4), round(score.squared or 0.0, 4)))
         best = max(self.ks, key=lambda k: (self.metrics[k][1].silhouette or 0.0, -k))
         return self.spark.createDataFrame(
             [(*r, r[0] == best) for r in rows],

@@ -18,7 +18,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from basketry.operators.dedup import keep_first
-from basketry.plans import clean, eda, features, kmeans, segments, trends
+from basketry.plans import clean, cube, eda, features, kmeans, segments, trends
 from basketry.session import checkpoint_dir
 from basketry.sources.schemas import CUSTOMER_COLUMNS
 from basketry.sources.tables import Tables, driver_tables
@@ -71,13 +71,14 @@ class AnalyticsRun:
             self._root = f"{checkpoint_dir(self.spark).rstrip('/')}/basketry-stages/{self.run_id}"
         return f"{self._root}/{name}"
 
-    def stage(self, name: str, df: DataFrame) -> DataFrame:
+    def stage(self, name: str, df: DataFrame, by: str | None = None) -> DataFrame:
+        """``df`` written and read back (one folder per value of ``by``)."""
         if not self.materialize:
             return df
         # unique per write: concurrent callers never share an output folder
         path = self._stage_path(f"{name}-{uuid.uuid4().hex[:8]}")
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        df.write.mode("overwrite").partitionBy(*([by] if by else [])).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
     def close(self) -> None:
         """Release the KMeans cache and delete this run's stage folder (only
@@ -138,15 +139,38 @@ class AnalyticsRun:
         return clean.valid_raw_orders(self.tables)
 
     # -- features and summaries ---------------------------------------------
+    @cached_property
+    def customer_orders(self) -> DataFrame:
+        """One row per customer, from one scan of the clean orders."""
+        return self.stage("customer_orders", features.customer_orders(self.orders_clean))
+
     @cached_property
     def features(self) -> DataFrame:
         return self.stage("customer_features", features.customer_features(
-            self.orders_clean, self.t.sessions, self.customers_clean))
+            self.customer_orders, self.t.sessions, self.customers_clean))
 
     @cached_property
     def monthly(self) -> DataFrame:
         return trends.monthly_trend(self.orders_clean)
 
+    @cached_property
+    def cube(self) -> DataFrame:
+        """Sums of all calendar grains from one scan of the clean orders."""
+        return self.stage("calendar_cube", cube.grouped(self.orders_clean, cube.SETS), by="grain")
+
+    @cached_property
+    def customer_bitmaps(self) -> DataFrame:
+        return self.stage("customer_bitmaps", cube.month_bitmaps(self.cube, "month_customer", cube.SETS, self.stage))
+
+    @cached_property
+    def raw_cube(self) -> DataFrame:
+        return self.stage("raw_cube", cube.grouped(cube.raw_view(self.orders_valid), cube.RAW_SETS), by="grain")
+
+    @cached_property
+    def raw_bitmaps(self) -> dict[str, DataFrame]:
+        return {n: self.stage(f"raw_{n}_bitmaps", cube.month_bitmaps(self.raw_cube, f"month_{n}", cube.RAW_SETS, self.stage))
+                for n in ("customer", "order")}
+
     @cached_property
     def kpis(self) -> DataFrame:
         return eda.kpis(self.orders_clean)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from basketry.plans import calendar, checks, clean, eda, features, insights, kmeans, segments, summary, trends
+from basketry.plans import calendar, checks, clean, cube, eda, features, insights, kmeans, segments, summary, trends
 from basketry.plans.stages import AnalyticsRun
 from basketry.registry import query
 
@@ -81,6 +81,26 @@ def q_quarterly_trend(p: AnalyticsRun):
     return trends.quarterly_trend(p.orders_clean)
 
 
+@query("calendar_cube")
+def q_calendar_cube(p: AnalyticsRun):
+    """The five trend tables from one scan of the clean orders."""
+    return cube.trend_rows(p.cube, p.customer_bitmaps)
+
+
+@query("distinct_rollup")
+def q_distinct_rollup(p: AnalyticsRun):
+    """Distinct customers by month, quarter, year and in total, rolled up from the months' bitmaps."""
+    return cube.periods(p.customer_bitmaps, "customers")
+
+
+@query("distinct_rollup_raw")
+def q_distinct_rollup_raw(p: AnalyticsRun):
+    """The same over the dashboard's raw rows, for customers and for order ids (which have gaps)."""
+    return cube.periods(p.raw_bitmaps["customer"], "customers") \
+        .join(cube.periods(p.raw_bitmaps["order"], "orders"), ["grain", "period"], "full_outer") \
+        .select("grain", "period", "customers", "orders")
+
+
 @query("dashboard_monthly_trend")
 def q_dashboard_monthly_trend(p: AnalyticsRun):
     return trends.dashboard_monthly_trend(p.orders_valid)

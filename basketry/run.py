@@ -16,7 +16,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.plans import eda, insights, segments, summary, trends
+from basketry.plans import cube, eda, insights, segments, summary, trends
 from basketry.plans.stages import AnalyticsRun
 from basketry.sources import files
 from basketry.sources.tables import driver_tables, read_csv_tables
@@ -34,11 +34,12 @@ def results(p: AnalyticsRun) -> dict[str, DataFrame]:
         "customer_features": p.features,
         "customer_features_segmented": seg.segmented,
         "segment_summary": seg.summary,
-        "monthly_trend": p.monthly,
-        "weekday_trend": trends.weekday_trend(oc),
-        "category_monthly_trend": trends.category_monthly_trend(oc),
-        "new_customers_trend": trends.new_customers_trend(oc),
-        "quarterly_trend": trends.quarterly_trend(oc),
+        # one scan of the clean orders for the five trend tables
+        "monthly_trend": cube.monthly_trend(p.cube, p.customer_bitmaps),
+        "weekday_trend": cube.weekday_trend(p.cube),
+        "category_monthly_trend": cube.category_monthly_trend(p.cube),
+        "new_customers_trend": cube.new_customers_trend(p.customer_bitmaps),
+        "quarterly_trend": cube.quarterly_trend(p.cube),
         "business_insights": ins,
         "summary": payload,
     }

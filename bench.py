@@ -23,7 +23,7 @@ HEADLINE = [
     "customer_features", "segment_summary", "segment_box_stats", "peak_facts", "growth",
     "demand_index", "amount_reconciliation", "kmeans_sweep", "kmeans_segment_summary",
 ]
-STAGES = ["tables", "orders_dedup", "orders_clean", "customers_clean", "features"]
+STAGES = ["tables", "orders_dedup", "orders_clean", "customers_clean", "customer_orders", "features"]
 
 
 def main():

@@ -1,7 +1,7 @@
 """Physical-plan shape: pushdown, pruning, partial aggregation, no Expand,
 no cartesian products of growing tables."""
 
-from basketry.plans import clean, features, trends
+from basketry.plans import cube, clean, features, trends
 from basketry.plans.stages import run_for
 from basketry.sources.tables import driver_tables
 
@@ -37,7 +37,7 @@ def test_dedup_aggregates_map_side_before_the_shuffle(spark):
 
 def test_feature_table_has_no_cartesian_product_of_growing_tables(spark):
     p = run_for(spark, SF)
-    df = features.customer_features(p.orders_clean, p.t.sessions, p.customers_clean)
+    df = features.customer_features(p.customer_orders, p.t.sessions, p.customers_clean)
     text = df._jdf.queryExecution().optimizedPlan().toString()
     # cross joins only attach 1-row aggregates (snapshot, median)
     assert "CartesianProduct" not in plan(df)
@@ -54,11 +54,11 @@ def test_feature_table_broadcasts_only_global_aggregates_at_scale(spark):
     """With size-based broadcast off (the 100 TB shape), what is still
     broadcast must be 1-row: a global aggregate (keys=[])."""
     p = run_for(spark, SF)
-    oc, cc = p.orders_clean, p.customers_clean
+    orders, cc = p.customer_orders, p.customers_clean
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        df = features.customer_features(oc, p.t.sessions, cc)
+        df = features.customer_features(orders, p.t.sessions, cc)
         lines = df._jdf.queryExecution().executedPlan().treeString().splitlines()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -72,3 +72,30 @@ def test_feature_table_broadcasts_only_global_aggregates_at_scale(spark):
         assert "Aggregate(keys=[]" in below, below
     assert found >= 1
     assert not any("SortMergeJoin" in x and "Cross" in x for x in lines)
+
+
+def scale_plan(spark, make):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return make()._jdf.queryExecution().executedPlan().treeString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_customer_orders_scan_once_and_are_dealt_out_by_customer_once(spark):
+    oc = run_for(spark, SF).orders_clean
+    text = scale_plan(spark, lambda: features.customer_orders(oc))
+    assert text.count("FileScan") == 1 and text.count("Join") == 0
+    assert text.count("Exchange hashpartitioning") == 2 and text.count("REPARTITION_BY_COL") == 1
+    # the first exchange takes partial sums
+    lines = text.splitlines()
+    last = max(i for i, x in enumerate(lines) if "Exchange hashpartitioning" in x)
+    assert "HashAggregate" in lines[last + 1]
+
+
+def test_calendar_cube_scans_once(spark):
+    oc = run_for(spark, SF).orders_clean
+    text = scale_plan(spark, lambda: cube.grouped(oc, cube.SETS))
+    assert text.count("FileScan") == 1 and text.count("Expand") == 1 and text.count("Exchange") == 1 and "SortAggregate" not in text

@@ -6,9 +6,10 @@ import pytest
 from basketry.operators import silhouette as S
 
 
-def brute(X, y):
+def brute(X, y, squared=False):
     n = np.bincount(y)
-    d = np.sqrt(((X[:, None] - X[None]) ** 2).sum(axis=2))
+    d = ((X[:, None] - X[None]) ** 2).sum(axis=2)
+    d = d if squared else np.sqrt(d)
     sums = np.stack([d[:, y == j].sum(axis=1) for j in range(len(n))], axis=1)
     at = np.arange(len(X))
     a = sums[at, y] / np.maximum(n[y] - 1, 1)
@@ -36,8 +37,9 @@ def test_two_thousand_points_within_the_stated_error(spark, cloud):
     df = frame(spark, X, *labels)
     want = [brute(X, y) for y in labels]
     args = (df, [f"x{i}" for i in range(5)], ["k0", "k1", "k2"])
-    for s, w in zip(S.euclidean_silhouettes(*args, tolerance=0.0), want):
+    for s, w, y in zip(S.euclidean_silhouettes(*args, tolerance=0.0), want, labels):
         assert s.error < 1e-9 and abs(s.silhouette - w) < 1e-9
+        assert abs(s.squared - brute(X, y, squared=True)) < 1e-9
     errors = []
     for cells, tolerance in ((4096, 0.002), (256, 0.002), (64, 0.05)):
         got = S.euclidean_silhouettes(*args, cells=cells, tolerance=tolerance)

@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    from basketry.plans import clean, features, segments, trends
+    from basketry.plans import clean, cube, features, segments, trends
     from basketry.plans.stages import AnalyticsRun
     from basketry.session import get_session
     from basketry.sources.tables import driver_tables
@@ -30,7 +30,9 @@ def main():
     items = [
         ("Keep-first dedup of orders (test-data adapter joins included)", clean.dedup_orders(p.t)),
         ("Monthly trend over the staged clean orders", trends.monthly_trend(oc)),
-        ("Customer feature table", features.customer_features(oc, p.t.sessions, cc)),
+        ("Customer orders: one scan, sums dealt out by customer once", features.customer_orders(oc)),
+        ("Customer feature table over the staged customer orders", features.customer_features(p.customer_orders, p.t.sessions, cc)),
+        ("Calendar cube: one scan for the five trend tables", cube.grouped(oc, cube.SETS)),
         ("Purchase interval", features.purchase_intervals(oc)),
         ("Segment box statistics (exact quantiles per segment)", segments.segment_box_stats(seg)),
     ]
