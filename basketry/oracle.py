@@ -788,8 +788,10 @@ FROM (SELECT t.*, 1.0 + CASE WHEN date_diff('day', d0, d1) > 0
       FROM tags t, (SELECT min(order_date) AS d0, max(order_date) AS d1 FROM tags))""",
          extra=[(WINDOWS, []), (DAILY, ["orders_clean", "win"])])
 
-register("seasonal_range_join", [], "SELECT order_date, multiplier FROM tags",
-         extra=[(WINDOWS, []), (DAILY, ["orders_clean", "win"])])
+register("seasonal_range_join", ["orders_clean"], """
+SELECT order_id, order_date, coalesce((SELECT CAST(max(boost) AS DOUBLE) FROM win
+         WHERE month(order_date) * 100 + day(order_date) BETWEEN s AND e), 1.0) AS multiplier
+FROM orders_clean""", extra=[(WINDOWS, [])])
 
 register("amount_reconciliation", ["orders_dedup"], """
 SELECT count(*) AS rows_checked,

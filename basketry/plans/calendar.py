@@ -7,8 +7,8 @@ several matching windows the largest boost wins; no match gives 1.0.
 The window list is a handful of literals, so the "range join" is written as
 one conditional expression per window (``greatest`` over the matches): no
 join, no shuffle, the whole thing stays inside whole-stage codegen.  For a
-window *table* of unknown size, ``tag_with_windows`` does the range join on
-a month bucket (equi-join key) plus the between-condition.
+window *table* of unknown size, ``tag_with_windows`` joins the rows with
+intervals of any length (``operators/intervals``).
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.dates import whole_days
+from basketry.operators.intervals import best_interval
 from basketry.operators.scalar import attach
 
 # Seasonal windows ((start month, day), (end month, day), boost, name).
@@ -81,24 +82,22 @@ def demand_index(orders_clean: DataFrame) -> DataFrame:
                       (F.col("revenue") / F.col("demand_index")).alias("revenue_per_index"))
 
 
+def window_intervals(windows: DataFrame, years: DataFrame) -> DataFrame:
+    """Month-day windows as intervals [start, end) of every year from _y0 to _y1 (one row): (start, end, boost, name)."""
+    day = lambda md: F.make_date(F.col("year"), F.floor(F.col(md) / 100).cast("int"), (F.col(md) % 100).cast("int"))
+    return attach(windows, years).withColumn("year", F.explode(F.sequence("_y0", "_y1"))) \
+        .select(day("start_md").cast("timestamp_ntz").alias("start"), F.date_add(day("end_md"), 1).cast("timestamp_ntz").alias("end"), "boost", "name")
+
+
 def tag_with_windows(df: DataFrame, date_col: str, windows: DataFrame) -> DataFrame:
-    """Range join against a window table (start_md, end_md, boost, name):
-    ``df`` plus the largest matching boost (1.0 when none) as ``multiplier``.
-
-    Only the distinct calendar days of ``df`` take part in the range join,
-    with each window exploded into the months it covers, so the month is an
-    equi-join key and the inclusive between-test runs on matched pairs only.
-    The tagged day table is bounded by the number of calendar days in the
-    data (not by its rows), so it is broadcast back to the rows: a day that
-    holds a third of all orders is never shuffled into one task."""
-    months = F.sequence((F.col("start_md") / 100).cast("int"), (F.col("end_md") / 100).cast("int"))
-    w = windows.select("start_md", "end_md", "boost", F.explode(months).alias("_month"))
-    days = df.select(F.to_date(date_col).alias("_day")).distinct() \
-             .withColumn("_md", month_day("_day")).withColumn("_month", F.month("_day"))
-    tagged = (days.join(w, (days["_month"] == w["_month"]) & days["_md"].between(w["start_md"], w["end_md"]), "left")
-                  .groupBy("_day").agg(F.coalesce(F.max("boost"), F.lit(1.0)).alias("multiplier")))
-    return (df.join(F.broadcast(tagged), F.to_date(df[date_col]) == tagged["_day"], "left")
-              .drop("_day"))
+    """Range join of all rows against a window table (start_md, end_md, boost, name): ``df`` plus the largest
+    matching boost (1.0 when none) as ``multiplier``.
+
+    The windows become one interval per year of the data (as many as windows x years), and the rows
+    are joined with those by ``operators/intervals``."""
+    years = df.groupBy().agg(F.min(F.year(date_col)).alias("_y0"), F.max(F.year(date_col)).alias("_y1"))
+    tagged = best_interval(df, date_col, window_intervals(windows, years), "boost", "name")
+    return tagged.select(*df.columns, F.coalesce("boost", F.lit(1.0)).alias("multiplier"))
 
 
 def windows_frame(spark, windows=SEASONAL_WINDOWS) -> DataFrame:
