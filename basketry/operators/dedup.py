@@ -26,16 +26,19 @@ def _q(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def keep_first(df: DataFrame, keys: str | Sequence[str], order: Sequence[str]) -> DataFrame:
+def keep_first(df: DataFrame, keys: str | Sequence[str], order: Sequence[str], copies: str | None = None) -> DataFrame:
+    """The first row per key; ``copies`` names a further column with the number of rows it stands for."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     if not order:
         raise ValueError("keep_first needs an ordering: the first row is only defined by one")
     order = [c for c in order if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
     packed = F.struct(*[_q(c) for c in order + rest])
-    first = df.groupBy(*[_q(k) for k in keys]).agg(F.min(packed).alias("_first"))
+    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
+    first = df.groupBy(*[_q(k) for k in keys]).agg(F.min(packed).alias("_first"), *counted)
     fields = [F.col("_first").getField(c).alias(c) for c in order + rest]
-    return first.select(*[_q(k) for k in keys], *fields).select(*[_q(c) for c in df.columns])
+    extra = [_q(copies)] if copies else []
+    return first.select(*[_q(k) for k in keys], *fields, *extra).select(*[_q(c) for c in df.columns], *extra)
 
 
 def duplicates_removed(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -543,6 +543,18 @@ register("segment_radar", [], "\nUNION ALL\n".join(
     f"SELECT segment, '{m}' AS metric, ({m} - min({m}) OVER ()) / (max({m}) OVER () - min({m}) OVER () + 1e-9) AS norm FROM summary"
     for m in _RADAR), extra=SUMMARY_DEPS)
 
+_PICK = "picked AS (SELECT * FROM summary WHERE segment IN ('High Value Customers', 'At Risk / Inactive Customers', 'No Such Segment'))"
+_PROFILE = [("customers", "customers"), ("pct_of_customers", "% of Customers"), ("pct_of_revenue", "% of Revenue"),
+            ("avg_recency_days", "Avg Recency (days)"), ("avg_frequency", "Avg Orders"), ("avg_monetary", "Avg Lifetime Spend (₹)"),
+            ("avg_order_value", "Avg Order Value (₹)")]
+_SHOWN = [("profile", n, f"CAST({c} AS DOUBLE)") for c, n in _PROFILE] \
+    + [("bars", c, c) for c in ("avg_order_value", "discount_usage_rate", "return_rate", "category_diversity")] \
+    + [("radar", c, f"({c} - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER () + 1e-9)") for c in _RADAR] \
+    + [("shares", c, c) for c in ("pct_of_customers", "pct_of_revenue", "avg_monetary")] \
+    + [("shares", "above_diagonal", "CAST(pct_of_revenue > pct_of_customers AS DOUBLE)")]
+register("segment_selection", [], "\nUNION ALL\n".join(
+    f"SELECT '{r}' AS result, segment, '{m}' AS metric, {v} AS value FROM picked" for r, m, v in _SHOWN), extra=SUMMARY_DEPS + [(_PICK, ["seg_means"])])
+
 register("share_vs_customers", [], """
 SELECT segment, pct_of_customers, pct_of_revenue, avg_monetary,
        pct_of_revenue > pct_of_customers AS above_diagonal FROM summary""", extra=SUMMARY_DEPS)

@@ -28,8 +28,9 @@ def clean_from_dedup(cust: DataFrame) -> DataFrame:
     return cust.select(*CUSTOMER_COLUMNS)
 
 
-def dedup_orders(t: Tables) -> DataFrame:
-    return keep_first(t.orders, "order_id", t.order_tiebreak).select(*ORDER_COLUMNS)
+def dedup_orders(t: Tables, copies: str | None = None) -> DataFrame:
+    extra = [copies] if copies else []
+    return keep_first(t.orders, "order_id", t.order_tiebreak, copies).select(*ORDER_COLUMNS, *extra)
 
 
 def flag_orders(dedup: DataFrame) -> DataFrame:
@@ -109,6 +110,45 @@ def cleaning_audit(t: Tables, orders_dedup: DataFrame | None = None,
     return out
 
 
+# -- the same figures from the jobs that clean ----------------------------------
+#
+# Observed at the top of a stage's plan, i.e. in the tasks that write it: their figures
+# count once per written partition, also when tasks or whole map stages run again.
+
+def _missing(*fields: str) -> F.Column:
+    out = F.lit(False)
+    for f in fields:
+        out = out | F.col(f).isNull()
+    return out
+
+
+def _how_many(cond: F.Column) -> F.Column:
+    return F.coalesce(F.sum(F.when(cond, 1).otherwise(0)), F.lit(0)).cast("long")
+
+
+def order_metrics(copies: str) -> dict[str, F.Column]:
+    """Observed on the deduplicated orders; ``copies`` counts the rows each stands for."""
+    lost = _missing(*REQUIRED_ORDER_FIELDS)
+    return {"rows_loaded": F.coalesce(F.sum(copies), F.lit(0)), "distinct": F.count(F.lit(1)),
+            "delivery_days_imputed": _how_many(F.col("delivery_days").isNull()), "null_rows_dropped": _how_many(lost),
+            "cancellations_excluded": _how_many(~lost & is_value("order_status", "Cancelled"))}
+
+
+def customer_metrics(copies: str) -> dict[str, F.Column]:
+    return {"rows_loaded": F.coalesce(F.sum(copies), F.lit(0)), "distinct": F.count(F.lit(1)),
+            "ages_imputed": _how_many(F.col("age").isNull())}
+
+
+def audit_rows(spark, customers: dict, orders: dict) -> DataFrame:
+    """``cleaning_audit`` from observed figures: no job of its own."""
+    rows = [("customers", "rows_loaded", customers["rows_loaded"]), ("customers", "duplicates_removed", customers["rows_loaded"] - customers["distinct"]),
+            ("customers", "ages_imputed", customers["ages_imputed"]), ("customers", "rows_kept", customers["distinct"]),
+            ("orders", "rows_loaded", orders["rows_loaded"]), ("orders", "duplicates_removed", orders["rows_loaded"] - orders["distinct"]),
+            *[("orders", m, orders[m]) for m in ("delivery_days_imputed", "null_rows_dropped", "cancellations_excluded")],
+            ("orders", "rows_kept", orders["distinct"] - orders["null_rows_dropped"] - orders["cancellations_excluded"])]
+    return spark.createDataFrame(rows, "table_name string, metric string, value long")
+
+
 def load_report(t: Tables) -> DataFrame:
     """S3: (table_name, rows) for every source."""
     out = None

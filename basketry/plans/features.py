@@ -98,9 +98,12 @@ def purchase_intervals(orders_clean: DataFrame) -> DataFrame:
     return per.select("customer_id", _mean_gap().alias("avg_purchase_interval_days"))
 
 
-def web_features(sessions: DataFrame) -> DataFrame:
-    """Per customer: distinct sessions, mean pages, mean duration, conversion."""
-    return sessions.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
+def web_features(sessions: DataFrame, rows: str | None = None) -> DataFrame:
+    """Per customer: distinct sessions, mean pages, mean duration, conversion.  ``rows`` names a further column with
+    the number of sessions read; the ones of no customer then have a row as well."""
+    known = sessions if rows else sessions.where(F.col("customer_id").isNotNull())
+    return known.groupBy("customer_id").agg(
+        *([F.count(F.lit(1)).alias(rows)] if rows else []),
         F.count_distinct("session_id").alias("total_sessions"),
         F.avg("pages_viewed").alias("avg_pages_viewed"),
         stable_mean("session_duration_min").alias("avg_session_duration"),
@@ -158,15 +161,16 @@ def _mean_gap() -> Column:
     return F.when(F.col("_n") >= 2, gap_sum.cast("double") / (F.col("_n") - 1))
 
 
-def customer_features(orders: DataFrame, sessions: DataFrame, customers_clean: DataFrame) -> DataFrame:
+def customer_features(orders: DataFrame, web: DataFrame, customers_clean: DataFrame) -> DataFrame:
     """26-column feature table, one row per customer with a non-cancelled order.
 
-    ``orders`` is ``customer_orders``, best staged: the median and the snapshot date are taken from it as well.
+    ``orders`` is ``customer_orders``, best staged: the median and the snapshot date are taken from it as well;
+    ``web`` is ``web_features``.
     Joins are left joins keyed on customer_id; AQE picks broadcast or
     sort-merge from the measured sizes (the customer master grows with the
     data, so it is not hinted)."""
     snap = global_agg(orders, plus_days(F.max("last_purchase"), 1).alias("snapshot_date"))
-    base = (orders.join(web_features(sessions), "customer_id", "left")
+    base = (orders.join(web, "customer_id", "left")
                .join(customers_clean.select("customer_id", *CUSTOMER_ATTRS), "customer_id", "left"))
     base = fill_with_median(base, "avg_purchase_interval_days", basis=orders, wide=True)
     base = attach(base, snap).withColumns({

@@ -69,11 +69,28 @@ GROWTH_TEXT = {
 
 
 def fixed(col, digits: int):
-    """Fixed-point text; ties of the decimal text go to the even digit, where
-    Java's ``%.1f`` would round half up.  (Python rounds the exact binary value:
-    0.35, stored a little below, prints as 0.3 there and as 0.4 here.)"""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.format_string(f"%.{digits}f", F.bround(c, digits))
+    """Fixed-point text with 0 or 1 digits, rounded as the reference rounds: on the exact binary value (0.35 is stored
+    a little below and gives 0.3), ties to even.
+
+    2 * 10^digits * x is taken without error: doubling is exact, and 20x = 16x + 4x is a sum of two exact terms
+    whose rounding error is known.  Beyond 2^48 a double has no digits to round."""
+    if digits not in (0, 1):
+        raise ValueError("0 or 1 digits")
+    c = (F.col(col) if isinstance(col, str) else col).cast("double")
+    x = F.abs(c)
+    if digits:
+        p, q = x * 16.0, x * 4.0
+        s = p + q
+        err = (p - (s - (s - p))) + (q - (s - p))
+    else:
+        s, err = x * 2.0, F.lit(0.0)
+    low = F.floor(s / 2.0)
+    rest = s - low.cast("double") * 2.0
+    up = (rest > 1.0) | ((rest == 1.0) & ((err > 0) | ((err == 0) & (low % 2 == 1))))
+    n = low + F.when(up, 1).otherwise(0)
+    text = n.cast("string") if not digits else F.concat(F.floor(n / 10).cast("string"), F.lit("."), (n % 10).cast("string"))
+    sign = F.when((c < 0) | (c.cast("string") == "-0.0"), F.lit("-")).otherwise(F.lit(""))
+    return F.when(x < float(2 ** 48), F.concat(sign, text)).when(c.isNotNull(), F.format_string(f"%.{digits}f", c))
 
 
 def growth_statements(g: DataFrame) -> DataFrame:

@@ -233,10 +233,14 @@ PROFILE_COLUMNS = ["segment", "customers", "pct_of_customers", "pct_of_revenue",
                    "top_category"]
 
 
+def chosen(summary: DataFrame, segments: list[str] | None) -> DataFrame:
+    """Membership filter: the rows of the given segments (all if None, none if the list is empty)."""
+    return summary if segments is None else summary.where(F.col("segment").isin(segments))
+
+
 def segment_profile(summary: DataFrame, segments: list[str] | None = None) -> DataFrame:
     """Display table: 9 columns, business names, largest mean spend first."""
-    s = summary if segments is None else summary.where(F.col("segment").isin(segments))
-    return (s.select(*PROFILE_COLUMNS).orderBy(F.desc("avg_monetary"), "segment")
+    return (chosen(summary, segments).select(*PROFILE_COLUMNS).orderBy(F.desc("avg_monetary"), "segment")
              .withColumnsRenamed(PROFILE_RENAMES))
 
 
@@ -244,15 +248,24 @@ RADAR_METRICS = ["avg_recency_days", "avg_frequency", "avg_monetary", "avg_order
                  "category_diversity"]
 
 
-def segment_radar(summary: DataFrame) -> DataFrame:
-    """Min-max scaled summary metrics, long format (segment, metric, norm)."""
-    scaled = minmax_scale(summary.select("segment", *RADAR_METRICS), RADAR_METRICS)
+BAR_METRICS = ["avg_order_value", "discount_usage_rate", "return_rate", "category_diversity"]
+
+
+def segment_bars(summary: DataFrame, segments: list[str] | None = None) -> DataFrame:
+    """The four bar charts' values, long format (segment, metric, value)."""
+    stack = ", ".join(f"'{m}', {m}" for m in BAR_METRICS)
+    return chosen(summary, segments).selectExpr("segment", f"stack({len(BAR_METRICS)}, {stack}) AS (metric, value)")
+
+
+def segment_radar(summary: DataFrame, segments: list[str] | None = None) -> DataFrame:
+    """Min-max scaled summary metrics of the chosen segments, long format (segment, metric, norm)."""
+    scaled = minmax_scale(chosen(summary, segments).select("segment", *RADAR_METRICS), RADAR_METRICS)
     stack = ", ".join(f"'{m}', {m}" for m in RADAR_METRICS)
     return scaled.selectExpr("segment", f"stack({len(RADAR_METRICS)}, {stack}) AS (metric, norm)")
 
 
-def share_vs_customers(summary: DataFrame) -> DataFrame:
-    return summary.select("segment", "pct_of_customers", "pct_of_revenue", "avg_monetary",
+def share_vs_customers(summary: DataFrame, segments: list[str] | None = None) -> DataFrame:
+    return chosen(summary, segments).select("segment", "pct_of_customers", "pct_of_revenue", "avg_monetary",
                           (F.col("pct_of_revenue") > F.col("pct_of_customers")).alias("above_diagonal"))
 
 

@@ -15,7 +15,8 @@ import uuid
 from dataclasses import replace
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from basketry.operators.dedup import keep_first
 from basketry.plans import clean, cube, eda, features, kmeans, segments, trends
@@ -64,6 +65,8 @@ class AnalyticsRun:
         self.materialize = materialize
         self.run_id = run_id or uuid.uuid4().hex[:12]
         self._root = None
+        #: figures of the stages' own writing jobs, by stage
+        self.metrics: dict[str, dict] = {}
 
     # -- storage ---------------------------------------------------------
     def _stage_path(self, name: str) -> str:
@@ -71,13 +74,20 @@ class AnalyticsRun:
             self._root = f"{checkpoint_dir(self.spark).rstrip('/')}/basketry-stages/{self.run_id}"
         return f"{self._root}/{name}"
 
-    def stage(self, name: str, df: DataFrame, by: str | None = None) -> DataFrame:
-        """``df`` written and read back (one folder per value of ``by``)."""
+    def stage(self, name: str, df: DataFrame, by: str | None = None, metrics: dict | None = None, helpers: tuple = ()) -> DataFrame:
+        """``df`` without its ``helpers`` columns, written and read back (one folder per value of ``by``).  ``metrics`` are
+        aggregates taken by the writing job itself, kept in ``self.metrics[name]``."""
         if not self.materialize:
-            return df
+            return df.drop(*helpers)
+        seen = Observation() if metrics else None
+        if seen is not None:
+            df = df.observe(seen, *[c.alias(n) for n, c in metrics.items()])
+        df = df.drop(*helpers)
         # unique per write: concurrent callers never share an output folder
         path = self._stage_path(f"{name}-{uuid.uuid4().hex[:8]}")
         df.write.mode("overwrite").partitionBy(*([by] if by else [])).parquet(path)
+        if seen is not None:
+            self.metrics[name] = seen.get
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
     def close(self) -> None:
@@ -114,7 +124,7 @@ class AnalyticsRun:
 
     @cached_property
     def orders_dedup(self) -> DataFrame:
-        return self.stage("orders_dedup", clean.dedup_orders(self.tables))
+        return self.stage("orders_dedup", clean.dedup_orders(self.tables, "_copies"), metrics=clean.order_metrics("_copies"), helpers=("_copies",))
 
     @cached_property
     def orders_flagged(self) -> DataFrame:
@@ -127,12 +137,35 @@ class AnalyticsRun:
     @cached_property
     def customers_dedup(self) -> DataFrame:
         return self.stage("customers_dedup", keep_first(
-            self.t.customers, "customer_id", self.t.customer_tiebreak).select(*CUSTOMER_COLUMNS))
+            self.t.customers, "customer_id", self.t.customer_tiebreak, "_copies").select(*CUSTOMER_COLUMNS, "_copies"),
+            metrics=clean.customer_metrics("_copies"), helpers=("_copies",))
 
     @cached_property
     def customers_clean(self) -> DataFrame:
         return self.stage("customers_clean", clean.clean_from_dedup(self.customers_dedup))
 
+    @cached_property
+    def web_features(self) -> DataFrame:
+        """Session features per customer (a null customer's sessions are only counted)."""
+        return self.stage("web_features", features.web_features(self.t.sessions, "_rows"),
+                          metrics={"rows_loaded": F.coalesce(F.sum("_rows"), F.lit(0))}, helpers=("_rows",)).where(F.col("customer_id").isNotNull())
+
+    def cleaning_audit(self) -> DataFrame:
+        """Audit rows from the figures of the cleaning stages."""
+        if not self.materialize:
+            return clean.cleaning_audit(self.t, self.orders_dedup, self.customers_dedup)
+        _ = self.orders_dedup, self.customers_dedup
+        return clean.audit_rows(self.spark, self.metrics["customers_dedup"], self.metrics["orders_dedup"])
+
+    def load_report(self) -> DataFrame:
+        """(table_name, rows) from the figures of the stages that read a source; the products, which no stage reads, are counted."""
+        if not self.materialize:
+            return clean.load_report(self.t)
+        _ = self.orders_dedup, self.customers_dedup, self.web_features
+        seen = {"customers": "customers_dedup", "orders": "orders_dedup", "sessions": "web_features"}
+        rows = [(t, self.metrics[s]["rows_loaded"]) for t, s in seen.items()] + [("products", self.t.products.count())]
+        return self.spark.createDataFrame(rows, "table_name string, rows long")
+
     @cached_property
     def orders_valid(self) -> DataFrame:
         """Dashboard view: raw rows (no dedup), cancellations removed."""
@@ -147,7 +180,7 @@ class AnalyticsRun:
     @cached_property
     def features(self) -> DataFrame:
         return self.stage("customer_features", features.customer_features(
-            self.customer_orders, self.t.sessions, self.customers_clean))
+            self.customer_orders, self.web_features, self.customers_clean))
 
     @cached_property
     def monthly(self) -> DataFrame:

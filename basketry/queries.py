@@ -149,12 +149,12 @@ def q_rfm_stats(p: AnalyticsRun):
 
 @query("cleaning_audit")
 def q_cleaning_audit(p: AnalyticsRun):
-    return clean.cleaning_audit(p.t, p.orders_dedup, p.customers_dedup)
+    return p.cleaning_audit()
 
 
 @query("load_report")
 def q_load_report(p: AnalyticsRun):
-    return clean.load_report(p.t)
+    return p.load_report()
 
 
 @query("null_status_filter")
@@ -224,6 +224,21 @@ def q_share_vs_customers(p: AnalyticsRun):
     return segments.share_vs_customers(p.fixed.summary)
 
 
+@query("segment_selection")
+def q_segment_selection(p: AnalyticsRun):
+    """What the dashboard shows of two chosen segments and a name that no cluster has: profile, four bar
+    charts, radar, shares, as rows (result, segment, metric, value)."""
+    pick = [segments.HIGH_VALUE, segments.AT_RISK, "No Such Segment"]
+    s = p.fixed.summary
+    rows = lambda df, name, cols: df.selectExpr(
+        f"'{name}' AS result", "segment", "stack({}, {}) AS (metric, value)".format(len(cols), ", ".join(f"'{m}', CAST(`{m}` AS DOUBLE)" for m in cols)))
+    profile = segments.segment_profile(s, pick)
+    return (rows(profile, "profile", [c for c, t in profile.dtypes if t != "string"])
+            .unionByName(segments.segment_bars(s, pick).select(F.lit("bars").alias("result"), "segment", "metric", "value"))
+            .unionByName(segments.segment_radar(s, pick).select(F.lit("radar").alias("result"), "segment", "metric", F.col("norm").alias("value")))
+            .unionByName(rows(segments.share_vs_customers(s, pick), "shares", ["pct_of_customers", "pct_of_revenue", "avg_monetary", "above_diagonal"])))
+
+
 @query("recency_spend_points")
 def q_recency_spend_points(p: AnalyticsRun):
     return segments.recency_spend_points(p.fixed.segmented)

@@ -3,7 +3,9 @@
     python -m basketry.run --csv DATA_DIR --out OUT_DIR          # canonical CSV exports
     python -m basketry.run --parquet SF_DIR --out OUT_DIR        # driver test tables
 
-Writes (overwriting): customer_features, customer_features_segmented,
+    python -m basketry.run --from OUT_DIR --dashboard            # serve the newest complete run
+
+Publishes a version (``sources/published``): customer_features, customer_features_segmented,
 segment_summary, monthly_trend, weekday_trend, category_monthly_trend,
 new_customers_trend, quarterly_trend (CSV with header, or parquet), plus
 business_insights and summary payloads as JSON, and with ``--dashboard`` the
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from basketry.plans import cube, eda, insights, segments, summary, trends
 from basketry.plans.stages import AnalyticsRun
-from basketry.sources import files
+from basketry.sources import published
 from basketry.sources.tables import driver_tables, read_csv_tables
 
 
@@ -45,6 +47,23 @@ def results(p: AnalyticsRun) -> dict[str, DataFrame]:
     }
 
 
+def segment_tables(segmented: DataFrame, summary: DataFrame, chosen: list[str] | None = None) -> dict[str, DataFrame]:
+    """The dashboard's tables that need the segments alone; ``chosen`` names the segments shown where the
+    dashboard lets the user choose."""
+    return {
+        "segment_sizes": segments.segment_sizes(segmented),
+        "segment_profile": segments.segment_profile(summary, chosen),
+        "segment_bars": segments.segment_bars(summary, chosen),
+        "segment_box_stats": segments.segment_box_stats(segmented),
+        "segment_leaders": segments.segment_leaders(segmented, summary),
+        "segment_pref_category": segments.segment_pref_category(segmented),
+        "segment_radar": segments.segment_radar(summary, chosen),
+        "share_vs_customers": segments.share_vs_customers(summary, chosen),
+        "customer_explorer": segments.customer_explorer(segmented),
+        "recency_spend_points": segments.recency_spend_points(segmented),
+    }
+
+
 def dashboard(p: AnalyticsRun) -> dict[str, DataFrame]:
     seg = p.kmeans
     ov = p.orders_valid
@@ -60,35 +79,53 @@ def dashboard(p: AnalyticsRun) -> dict[str, DataFrame]:
         "category_trend": trends.dashboard_category_trend(ov),
         "growth": growth,
         "growth_statements": insights.growth_statements(growth),
-        "segment_sizes": segments.segment_sizes(seg.segmented),
-        "segment_profile": segments.segment_profile(seg.summary),
-        "segment_box_stats": segments.segment_box_stats(seg.segmented),
-        "segment_leaders": segments.segment_leaders(seg.segmented, seg.summary),
-        "segment_pref_category": segments.segment_pref_category(seg.segmented),
         "weekday_pattern": segments.weekday_pattern(ov, seg.segmented),
-        "segment_radar": segments.segment_radar(seg.summary),
-        "share_vs_customers": segments.share_vs_customers(seg.summary),
-        "customer_explorer": segments.customer_explorer(seg.segmented),
-        "recency_spend_points": segments.recency_spend_points(seg.segmented),
+        **segment_tables(seg.segmented, seg.summary),
     }
 
 
+def served(spark: SparkSession, out_dir: str, chosen: list[str] | None = None) -> dict[str, DataFrame]:
+    """Dashboard tables of the newest complete run in ``out_dir``, read back instead of computed.  The tables made from
+    segments alone are derived from the published segments, so a choice of segments needs no new run; the others are
+    there if the run was made with ``--dashboard``."""
+    run = published.latest(spark, out_dir)
+    out = {n.removeprefix("dashboard_"): run.table(n) for n in run.tables if n.startswith("dashboard_")}
+    # results that the dashboard shows as they are
+    out |= {n: run.table(n) for n in ("monthly_trend", "weekday_trend", "category_monthly_trend", "new_customers_trend", "quarterly_trend",
+                                      "business_insights", "summary")}
+    return out | segment_tables(run.table("customer_features_segmented"), run.table("segment_summary"), chosen)
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--csv", help="folder with customers.csv, products.csv, orders.csv, website_sessions.csv")
     src.add_argument("--parquet", help="driver test-data folder (sf*)")
-    ap.add_argument("--out", required=True)
+    src.add_argument("--from", dest="published", metavar="OUT_DIR", help="serve the newest complete run in OUT_DIR, compute nothing anew")
+    ap.add_argument("--out", help="folder for the new version (with --from: for the dashboard tables; without it they are shown)")
     ap.add_argument("--format", choices=["csv", "parquet"], default="csv")
     ap.add_argument("--n-init", type=int, default=10)
     ap.add_argument("--kmeans-engine", choices=["batched", "ml"], default="batched",
                     help="batched: all (k, seed) runs share each pass; ml: pyspark.ml KMeans per run")
     ap.add_argument("--dashboard", action="store_true")
+    ap.add_argument("--segments", nargs="+", help="with --from: segments to show")
     a = ap.parse_args(argv)
+    if not a.published and not a.out:
+        ap.error("--out is needed")
     spark = SparkSession.builder.getOrCreate()
     from basketry.session import REQUIRED_CONF
     for k, v in REQUIRED_CONF.items():
         spark.conf.set(k, v)
+    json_names = ("business_insights", "summary")
+    if a.published:
+        out = served(spark, a.published, a.segments)
+        if a.out:
+            print(published.publish(spark, out, a.out, a.format, json_names))
+        else:
+            for name, df in out.items():
+                print(name)
+                df.show(20, truncate=False)
+        return
     tables = read_csv_tables(spark, a.csv) if a.csv else driver_tables(spark, a.parquet)
     p = AnalyticsRun(spark, tables)
     p.n_init = a.n_init
@@ -96,9 +133,7 @@ def main(argv=None) -> None:
     out = results(p)
     if a.dashboard:
         out.update({f"dashboard_{k}": v for k, v in dashboard(p).items()})
-    json_names = ("business_insights", "summary")
-    for name, path in files.write_results(out, a.out, a.format, json_names).items():
-        print(f"{name}: {path}")
+    print(published.publish(spark, out, a.out, a.format, json_names))
     p.close()
 
 

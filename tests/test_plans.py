@@ -37,7 +37,7 @@ def test_dedup_aggregates_map_side_before_the_shuffle(spark):
 
 def test_feature_table_has_no_cartesian_product_of_growing_tables(spark):
     p = run_for(spark, SF)
-    df = features.customer_features(p.customer_orders, p.t.sessions, p.customers_clean)
+    df = features.customer_features(p.customer_orders, features.web_features(p.t.sessions), p.customers_clean)
     text = df._jdf.queryExecution().optimizedPlan().toString()
     # cross joins only attach 1-row aggregates (snapshot, median)
     assert "CartesianProduct" not in plan(df)
@@ -58,7 +58,7 @@ def test_feature_table_broadcasts_only_global_aggregates_at_scale(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        df = features.customer_features(orders, p.t.sessions, cc)
+        df = features.customer_features(orders, features.web_features(p.t.sessions), cc)
         lines = df._jdf.queryExecution().executedPlan().treeString().splitlines()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -31,7 +31,7 @@ def main():
         ("Keep-first dedup of orders (test-data adapter joins included)", clean.dedup_orders(p.t)),
         ("Monthly trend over the staged clean orders", trends.monthly_trend(oc)),
         ("Customer orders: one scan, sums dealt out by customer once", features.customer_orders(oc)),
-        ("Customer feature table over the staged customer orders", features.customer_features(p.customer_orders, p.t.sessions, cc)),
+        ("Customer feature table over the staged customer orders", features.customer_features(p.customer_orders, features.web_features(p.t.sessions), cc)),
         ("Calendar cube: one scan for the five trend tables", cube.grouped(oc, cube.SETS)),
         ("Purchase interval", features.purchase_intervals(oc)),
         ("Segment box statistics (exact quantiles per segment)", segments.segment_box_stats(seg)),
