@@ -15,10 +15,12 @@ Method.
 2. CGK embedding.  A random walk over the window (at each of 3L steps the current word is
    put out and a random bit of (step, word) says whether to move on) maps edit distance
    to Hamming distance.
-3. Bit sampling.  Each repetition has its own walk and ``SAMPLED`` output places; a window is a
-   candidate if in any repetition it equals the item at all of them.  The number of
-   repetitions is raised until copies of the items with the most edits allowed are
-   found with ``RECALL`` (measured on the items, seeds fixed).
+3. Bit sampling.  Each repetition has its own walk and ``SAMPLED`` output places in the first
+   ``REACH`` of the walk, before it has used up the words; a window is a candidate if in any
+   repetition it equals the item at all of them, and at none because both are at their end.  The number
+   of repetitions is doubled until copies of the items with the most edits allowed are found with
+   ``RECALL``, measured on the very walks and places that are used.  Items for which ``MOST_REPETITIONS`` don't
+   reach it have no filter: all their windows are verified.
 4. Candidates are verified exactly: bit-parallel edit distance of the item against the
    window's surroundings, free ends.
 
@@ -47,9 +49,12 @@ from basketry.llm.text import _LOWER, Words, byte_chunks, mix64, shingle_hashes,
 
 MAX_EDITS = 0.25
 RECALL = 0.999
-SAMPLED = 2
+SAMPLED = 3
+REACH = 0.6
 BLOCK_WORDS = 1_000_000
-REPETITIONS = (8, 16, 32, 64, 128, 256)
+MOST_REPETITIONS = 2048
+#: edited copies that recall is measured on
+COPIES = 2000
 _PAD = np.uint64(0x5BD1E9955BD1E995)
 _FILTER_BITS = 22
 _WALKERS = 200_000
@@ -83,9 +88,17 @@ def anchor_width(n: int, k: int) -> int:
 
 
 def _draws(seed: int, repetitions: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per repetition: a salt for the walk, and the sampled places as shares of its length."""
+    """Per repetition: a salt for the walk, and the sampled places as shares of its length, one in each of ``SAMPLED``
+    equal parts (places close together would agree wherever a short run is shared).  More repetitions begin with the
+    same ones."""
     rng = np.random.default_rng(seed)
-    return rng.integers(1, 2 ** 63, repetitions, dtype=np.uint64), np.sort(rng.random((repetitions, SAMPLED)), axis=1)
+    draws = rng.random((repetitions, SAMPLED + 1))
+    return (draws[:, 0] * 2.0 ** 63).astype(np.uint64), (draws[:, 1:] + np.arange(SAMPLED)) / SAMPLED * REACH
+
+
+def matches(got: np.ndarray, want: np.ndarray) -> np.ndarray:
+    """Sequences that equal each other at all sampled places of some repetition; the end of a walk equals nothing."""
+    return ((got == want) & (want != _PAD)).all(axis=2).any(axis=1)
 
 
 def cgk_samples(words: np.ndarray, length: np.ndarray, steps: np.ndarray, salts: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -129,21 +142,23 @@ def _edited(words: np.ndarray, k: int, rng) -> np.ndarray:
     return np.array(out[:len(words)], dtype=np.uint64)
 
 
-def repetitions_for(items: list[np.ndarray], recall: float = RECALL, seed: int = 7) -> int:
-    """Least listed number of repetitions that finds copies of the items (a sample of
-    50, four copies each) with the most edits allowed; the largest if none does."""
+def repetitions_for(items: list[np.ndarray], recall: float = RECALL, seed: int = 7, copies: int = COPIES) -> int:
+    """Least power of two of repetitions that finds copies of the items (``copies`` of a sample of at most 50) with the
+    most edits allowed; 0 if ``MOST_REPETITIONS`` are too few."""
     rng = np.random.default_rng(seed)
     some = [items[i] for i in rng.permutation(len(items))[:50]]
-    pairs = [(w, _edited(w, edits_allowed(len(w)), rng)) for w in some for _ in range(4)]
-    a, b = _matrix([p[0] for p in pairs]), _matrix([p[1] for p in pairs])
-    salts, places = _draws(seed, REPETITIONS[-1])
-    steps = 3 * a[1]
-    same = (cgk_samples(*a, steps, salts, places) == cgk_samples(*b, steps, salts, places)).all(axis=2)
-    chance = np.clip(same.mean(axis=1), 1 / 512, 1 - 1e-9)
-    for r in REPETITIONS:
-        if 1 - np.mean((1 - chance) ** r) >= recall:
+    left = [(w, _edited(w, edits_allowed(len(w)), rng)) for w in some for _ in range(-(-copies // len(some)))]
+    total, r = len(left), 8
+    tried = 0
+    while r <= MOST_REPETITIONS:
+        salts, places = (x[tried:] for x in _draws(seed, r))
+        a, b = _matrix([p[0] for p in left]), _matrix([p[1] for p in left])
+        found = matches(cgk_samples(*b, 3 * a[1], salts, places), cgk_samples(*a, 3 * a[1], salts, places))
+        left = [p for p, f in zip(left, found.tolist()) if not f]
+        if 1 - len(left) / total >= recall:
             return r
-    return REPETITIONS[-1]
+        tried, r = r, 2 * r
+    return 0
 
 
 @dataclass
@@ -198,6 +213,8 @@ def _windows(index: ItemIndex, h: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def _candidates(index: ItemIndex, h: np.ndarray, first: np.ndarray, win: np.ndarray) -> np.ndarray:
     """Windows that equal their item in all sampled places of some repetition."""
+    if not len(index.salts):
+        return win
     keep = np.zeros(len(win), dtype=bool)
     size = np.array([len(w) for w in index.words])
     step = max(1, _WALKERS // max(1, len(index.salts)))
@@ -208,7 +225,7 @@ def _candidates(index: ItemIndex, h: np.ndarray, first: np.ndarray, win: np.ndar
         at = begin[:, None] + np.arange(int(size[item].max()))[None]
         words = h[np.minimum(at, len(h) - 1)]
         got = cgk_samples(words, length, 3 * size[item], index.salts, index.places)
-        keep[a:a + step] = (got == index.samples[item]).all(axis=2).any(axis=1)
+        keep[a:a + step] = matches(got, index.samples[item])
     return win[keep]
 
 

@@ -145,7 +145,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", scope: int = SCOPE) -> DataF
 
     Documents without findings are returned as they are."""
     found = scan(docs, scope).where(F.size("spans") > 0).distinct() \
-        .select(F.col("doc_id").alias("_d"), F.col("_h").alias("_g"), "spans")
+        .select(F.col("doc_id").alias("_d"), F.col("_h").alias("_g"), F.col("spans").alias("_spans"))
     keyed = docs.withColumn("_h", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
     on = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_g"))
 
@@ -157,9 +157,9 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", scope: int = SCOPE) -> DataF
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), fresh.alias("out"))
 
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("spans", zero, step, lambda acc: F.concat(
+    clean = F.aggregate("_spans", zero, step, lambda acc: F.concat(
         acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.length("text"))))
-    out = keyed.join(found, on, "left").withColumn("text", F.when(F.col("spans").isNotNull(), clean).otherwise(F.col("text")))
+    out = keyed.join(found, on, "left").withColumn("text", F.when(F.col("_spans").isNotNull(), clean).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("spans").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col("_spans").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)

@@ -129,8 +129,10 @@ def judge_urls(urls: DataFrame, rules: DataFrame, default: str = DEFAULT) -> Dat
                                    "key", "is_ask", "host", "path", "verdict")))
     found = (events.repartition(ranges, "range").sortWithinPartitions("range", "key", "is_ask")
              .mapInArrow(_sweep, "host string, path string, rule string, verdict string"))
+    slash = F.instr("rule", "/")
+    host_end = F.when(slash > 0, slash).otherwise(F.length("rule") + 1)
     best = found.groupBy("host", "path").agg(
-        F.max(F.struct(F.length("rule").alias("n"), F.instr("rule", "/").alias("h"), "rule", "verdict")).alias("m")) \
+        F.max(F.struct(F.length("rule").alias("n"), host_end.alias("h"), "rule", "verdict")).alias("m")) \
         .select("host", "path", F.col("m.rule").alias("rule"), F.col("m.verdict").alias("_v"))
     return parsed.join(best, ["host", "path"], "left") \
         .select(*kept, "host", "path", "rule", F.coalesce("_v", F.lit(default)).alias("verdict"))
