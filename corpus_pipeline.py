@@ -4,8 +4,8 @@
 DataFrame that is written as Parquet and read again as the next stage's ``docs``.  All
 stages but the last return the columns of ``documents``.
 
-1. language       documents without a letter (``und``) go, nothing else is rejected, given a
-                  labelled row to fit on; a missing ``lang`` is filled with the predicted one, and
+1. language       documents without a letter go, nothing else is rejected, whether there are labelled rows to
+                  fit on or not; a missing ``lang`` is filled with the predicted one (if there are), and
                   that is the only use of the predictions (scores and spans decide nothing here)
 2. near_duplicates  of each group of linked documents the smallest doc_id stays
 3. decontaminate  documents that hold a benchmark passage go
@@ -28,8 +28,8 @@ from basketry.llm.tables import shared_table, table
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = language.label_languages(docs, language.fit_documents(docs)).where(F.col("lang_pred") != language.UNKNOWN)
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    found = language.label_languages(docs, language.fit_documents(docs)).where(F.regexp_like("text", F.lit(r"\p{L}")))
+    return found.withColumn("lang", F.coalesce("lang", F.nullif("lang_pred", F.lit(language.UNKNOWN)))).select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
