@@ -873,3 +873,23 @@ UNION ALL SELECT 7, printf({t[6]}, '7')"""
 
 register("insights", [], _insights_sql(),
          extra=SUMMARY_DEPS + _DASH + [(PEAK, ["orders_clean", "orders_valid", "weekdays", "seg"])])
+
+
+def _payload_sql() -> str:
+    """Every value of the payload from the statements of its parts."""
+    rows = [f"SELECT 'eda_summary/{n}' AS path, NULL::VARCHAR AS text, CAST({n} AS DOUBLE) AS number FROM kpi"
+            for n in ("total_revenue", "total_orders", "total_customers", "avg_order_value", "return_rate_overall")]
+    rows += [f"SELECT 'eda_summary/date_range/{i}', {c}, NULL FROM kpi" for i, c in enumerate(("date_min", "date_max"))]
+    rows += [f"SELECT 'eda_summary/rfm_stats/{m}/{s}', NULL, {m}_{s} FROM rfm" for m in ("recency_days", "frequency", "monetary") for s in ("mean", "median")]
+    rows += [f"SELECT 'eda_summary/{n}/' || {k}, NULL, CAST({v} AS DOUBLE) FROM {t}" for n, k, v, t in (
+        ("revenue_by_category", "category", "revenue", "by_category"), ("orders_by_payment_method", "payment_method", "orders", "by_payment"),
+        ("orders_by_weekday", "weekday", "orders", "by_weekday"))]
+    rows += [f"SELECT 'elbow_data/{n}/' || (row_number() OVER (ORDER BY k) - 1), NULL, CAST({c} AS DOUBLE) FROM metric JOIN sil USING (k)"
+             for n, c in (("k", "k"), ("inertia", "inertia"), ("silhouette", "euclidean_silhouette"))]
+    rows += ["SELECT 'cluster_mapping/' || cluster, segment, NULL FROM names", "SELECT 'insights/' || (n - 1), text, NULL FROM says"]
+    parts = {"kpi": "eda_kpis", "rfm": "rfm_stats", "by_category": "revenue_by_category", "by_payment": "orders_by_payment",
+             "by_weekday": "orders_by_weekday", "metric": "kmeans_fixed_metrics", "sil": "kmeans_fixed_silhouette", "names": "label_clusters", "says": "insights"}
+    return "WITH " + ",\n".join(f"{a} AS ({SQL[b]})" for a, b in parts.items()) + "\n" + "\nUNION ALL\n".join(rows)
+
+
+SQL["summary_payload_values"] = _payload_sql()

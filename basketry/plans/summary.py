@@ -43,3 +43,31 @@ def summary_payload(kpis: DataFrame, revenue_by_category: DataFrame, by_payment:
     ins = insights.groupBy().agg(F.sort_array(F.collect_list(F.struct("n", "text"))).alias("_i")) \
                   .select(F.col("_i.text").alias("insights"))
     return combine(eda, elbow_s, cmap, ins)
+
+
+def payload_rows(payload: DataFrame) -> DataFrame:
+    """The payload's values one by one: (path, text, number), paths as in the JSON (``a/b/0``)."""
+    eda = F.col("eda_summary")
+    no_text, no_number = F.lit(None).cast("string"), F.lit(None).cast("double")
+
+    def cell(path, text=no_text, number=no_number):
+        return F.struct((F.lit(path) if isinstance(path, str) else path).alias("path"), text.cast("string").alias("text"),
+                        number.cast("double").alias("number"))
+
+    def of_map(name):
+        return F.transform(F.map_entries(eda[name]), lambda e: cell(F.concat(F.lit(f"eda_summary/{name}/"), e["key"]), number=e["value"]))
+
+    def of_list(path, values, text=False):
+        place = lambda i: F.concat(F.lit(f"{path}/"), i.cast("string"))
+        return F.transform(values, lambda v, i: cell(place(i), text=v) if text else cell(place(i), number=v))
+
+    numbers = ["total_revenue", "total_orders", "total_customers", "avg_order_value", "return_rate_overall"]
+    single = F.array(*[cell(f"eda_summary/{n}", number=eda[n]) for n in numbers],
+                     *[cell(f"eda_summary/rfm_stats/{m}/{s}", number=eda["rfm_stats"][m][s])
+                       for m in ("recency_days", "frequency", "monetary") for s in ("mean", "median")])
+    parts = [single, of_list("eda_summary/date_range", eda["date_range"], text=True),
+             *[of_map(n) for n in ("revenue_by_category", "orders_by_payment_method", "orders_by_weekday")],
+             *[of_list(f"elbow_data/{n}", F.col("elbow_data")[n]) for n in ("k", "inertia", "silhouette")],
+             F.transform(F.map_entries("cluster_mapping"), lambda e: cell(F.concat(F.lit("cluster_mapping/"), e["key"]), text=e["value"])),
+             of_list("insights", F.col("insights"), text=True)]
+    return payload.select(F.explode(F.concat(*parts)).alias("_c")).select("_c.*")

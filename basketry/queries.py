@@ -403,6 +403,20 @@ def q_summary_payload(p: AnalyticsRun):
         p.segmentation.sweep(), p.kmeans.mapping, ins)
 
 
+@query("summary_payload_values")
+def q_summary_payload_values(p: AnalyticsRun):
+    """The payload, value by value, with the clusters ``customer_id % 5`` and the elbow table of the documented centres."""
+    scaled = kmeans.with_scaled(p.features)
+    centers = {k: kmeans.fixed_centers(k) for k in (2, 3, 5)}
+    scores = kmeans.silhouettes(scaled, centers, tolerance=0.0)
+    elbow = p.spark.createDataFrame([kmeans.elbow_row(k, kmeans.inertia(scaled, c), scores[k].silhouette) for k, c in centers.items()],
+                                    "k int, inertia double, euclidean_silhouette double")
+    ins = insights.insights(p.fixed.summary, p.revenue_by_category, p.monthly, p.kpis)
+    return summary.payload_rows(summary.summary_payload(
+        p.kpis, p.revenue_by_category, eda.value_counts(p.orders_clean, "payment_method"),
+        eda.value_counts(p.orders_clean, "weekday"), eda.rfm_stats(p.features), elbow, p.fixed.mapping, ins))
+
+
 # -- calendar windows, reconciliation, append + dedup -------------------------
 
 @query("seasonal_tags")
