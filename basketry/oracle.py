@@ -3,8 +3,8 @@
 The driver registers the raw test tables as views (``lineitem``, ``orders``,
 ...).  Each statement below first rebuilds the canonical tables with the same
 mapping as ``basketry.sources.tables`` (CTEs), then states the query plainly in
-SQL.  The SQL is independent of the Spark code: it is the brute-force
-definition the Spark plans are checked against.
+SQL.  But for the sentence templates (fixed values, taken from the plans) the SQL is independent of the
+Spark code: it is the brute-force definition the Spark plans are checked against.
 """
 
 from __future__ import annotations

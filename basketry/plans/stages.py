@@ -25,6 +25,16 @@ from basketry.sources.schemas import CUSTOMER_COLUMNS
 from basketry.sources.tables import Tables, driver_tables
 
 
+class once(cached_property):
+    """A property computed once per run, also when several threads ask for it."""
+
+    def __get__(self, instance, owner=None):
+        if instance is None:
+            return self
+        with instance.lock:
+            return super().__get__(instance, owner)
+
+
 class Segmented:
     """Segment results for one cluster assignment of the feature table."""
 
@@ -32,23 +42,24 @@ class Segmented:
         self.run = run
         self.clustered = clustered
         self.name = name
+        self.lock = run.lock
 
-    @cached_property
+    @once
     def profile(self) -> DataFrame:
         return segments.cluster_profile(self.clustered)
 
-    @cached_property
+    @once
     def mapping(self) -> DataFrame:
         # k rows from an aggregate of the (staged) feature table: cheap to
         # recompute, evaluated once inside the staging of ``segmented``
         return segments.label_clusters(self.profile)
 
-    @cached_property
+    @once
     def segmented(self) -> DataFrame:
         return self.run.stage(f"{self.name}_segmented",
                               segments.assign_segments(self.clustered, self.mapping))
 
-    @cached_property
+    @once
     def summary(self) -> DataFrame:
         # one row per segment, aggregated from the staged segmented table
         return segments.segment_summary(self.segmented)
@@ -65,6 +76,8 @@ class AnalyticsRun:
         self.materialize = materialize
         self.run_id = run_id or uuid.uuid4().hex[:12]
         self._root = None
+        #: re-entrant: a stage asks for the stages it is built from
+        self.lock = threading.RLock()
         #: figures of the stages' own writing jobs, by stage
         self.metrics: dict[str, dict] = {}
 
@@ -114,7 +127,7 @@ class AnalyticsRun:
                 del _RUNS[key]
 
     # -- cleaned tables ---------------------------------------------------
-    @cached_property
+    @once
     def tables(self) -> Tables:
         """Source tables with the raw orders staged once as parquet: the cleaning and every
         raw dashboard query read them, whether they are parsed text or a join of tables."""
@@ -122,29 +135,29 @@ class AnalyticsRun:
             return self.t
         return replace(self.t, orders=self.stage("orders_raw", self.t.orders))
 
-    @cached_property
+    @once
     def orders_dedup(self) -> DataFrame:
         return self.stage("orders_dedup", clean.dedup_orders(self.tables, "_copies"), metrics=clean.order_metrics("_copies"), helpers=("_copies",))
 
-    @cached_property
+    @once
     def orders_flagged(self) -> DataFrame:
         return clean.flag_orders(self.orders_dedup)
 
-    @cached_property
+    @once
     def orders_clean(self) -> DataFrame:
         return self.stage("orders_clean", clean.clean_from_flagged(self.orders_flagged))
 
-    @cached_property
+    @once
     def customers_dedup(self) -> DataFrame:
         return self.stage("customers_dedup", keep_first(
             self.t.customers, "customer_id", self.t.customer_tiebreak, "_copies").select(*CUSTOMER_COLUMNS, "_copies"),
             metrics=clean.customer_metrics("_copies"), helpers=("_copies",))
 
-    @cached_property
+    @once
     def customers_clean(self) -> DataFrame:
         return self.stage("customers_clean", clean.clean_from_dedup(self.customers_dedup))
 
-    @cached_property
+    @once
     def web_features(self) -> DataFrame:
         """Session features per customer (a null customer's sessions are only counted)."""
         return self.stage("web_features", features.web_features(self.t.sessions, "_rows"),
@@ -166,71 +179,71 @@ class AnalyticsRun:
         rows = [(t, self.metrics[s]["rows_loaded"]) for t, s in seen.items()] + [("products", self.t.products.count())]
         return self.spark.createDataFrame(rows, "table_name string, rows long")
 
-    @cached_property
+    @once
     def orders_valid(self) -> DataFrame:
         """Dashboard view: raw rows (no dedup), cancellations removed."""
         return clean.valid_raw_orders(self.tables)
 
     # -- features and summaries ---------------------------------------------
-    @cached_property
+    @once
     def customer_orders(self) -> DataFrame:
         """One row per customer, from one scan of the clean orders."""
         return self.stage("customer_orders", features.customer_orders(self.orders_clean))
 
-    @cached_property
+    @once
     def features(self) -> DataFrame:
         return self.stage("customer_features", features.customer_features(
             self.customer_orders, self.web_features, self.customers_clean))
 
-    @cached_property
+    @once
     def monthly(self) -> DataFrame:
         return trends.monthly_trend(self.orders_clean)
 
-    @cached_property
+    @once
     def cube(self) -> DataFrame:
         """Sums of all calendar grains from one scan of the clean orders."""
         return self.stage("calendar_cube", cube.grouped(self.orders_clean, cube.SETS), by="grain")
 
-    @cached_property
+    @once
     def customer_bitmaps(self) -> DataFrame:
         return self.stage("customer_bitmaps", cube.month_bitmaps(self.cube, "month_customer", cube.SETS, self.stage))
 
-    @cached_property
+    @once
     def raw_cube(self) -> DataFrame:
         return self.stage("raw_cube", cube.grouped(cube.raw_view(self.orders_valid), cube.RAW_SETS), by="grain")
 
-    @cached_property
+    @once
     def raw_bitmaps(self) -> dict[str, DataFrame]:
         return {n: self.stage(f"raw_{n}_bitmaps", cube.month_bitmaps(self.raw_cube, f"month_{n}", cube.RAW_SETS, self.stage))
                 for n in ("customer", "order")}
 
-    @cached_property
+    @once
     def kpis(self) -> DataFrame:
         return eda.kpis(self.orders_clean)
 
-    @cached_property
+    @once
     def revenue_by_category(self) -> DataFrame:
         return eda.revenue_by_category(self.orders_clean)
 
     # -- segments -------------------------------------------------------------
-    @cached_property
+    @once
     def fixed(self) -> Segmented:
         """Segments from the deterministic fixture cluster column (customer_id % 5)."""
         return Segmented(self, segments.fixed_clusters(self.features, 5), "fixed")
 
-    @cached_property
+    @once
     def documented(self) -> Segmented:
         """Segments from four Lloyd steps from the documented centres (``kmeans.fixed_centers``)."""
         scaled = kmeans.with_scaled(self.features)
         return Segmented(self, kmeans.renumbered(scaled, kmeans.fit_from(scaled, kmeans.fixed_centers(5), 4)), "documented")
 
-    @cached_property
+    @once
     def segmentation(self) -> kmeans.Segmentation:
         return kmeans.Segmentation(self.spark, self.features, n_init=self.n_init,
                                    stage=self.stage if self.materialize else None,
                                    engine=self.kmeans_engine)
 
-    @cached_property
+    @once
     def kmeans(self) -> Segmented:
         """Segments from the final KMeans model (canonical cluster numbering)."""
         return Segmented(self, self.segmentation.clustered(), "kmeans")
@@ -240,10 +253,17 @@ _RUNS: dict[tuple, AnalyticsRun] = {}
 _RUNS_LOCK = threading.Lock()
 
 
+def _state(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of the folder's entries, whatever store it is in."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple(sorted((e.getPath().getName(), e.getLen(), e.getModificationTime()) for e in fs.listStatus(path)))
+
+
 def run_for(spark: SparkSession, sf_dir: str, materialize: bool = True) -> AnalyticsRun:
-    """One run per (application, data folder): queries registered by name
-    share its intermediates within a session."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), materialize)
+    """One run per (application, data folder, state of its tables): queries registered by name
+    share its intermediates within a session, until a table is written again."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _state(spark, sf_dir), materialize)
     with _RUNS_LOCK:
         run = _RUNS.get(key)
         if run is None:

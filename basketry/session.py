@@ -1,8 +1,8 @@
 """Spark session defaults used by tests, bench and the CLI.
 
-On a cluster the session is created by the platform; ``get_session`` only fills
-in settings that are unset, so cluster-level choices (shuffle partitions,
-checkpoint folder) win.
+On a cluster the session is created by the platform.  Only two settings are forced on it, because results
+depend on them (time zone, ANSI); everything else (adaptive execution, shuffle partitions,
+checkpoint folder) stays as the cluster has it.
 """
 
 from __future__ import annotations
@@ -18,9 +18,6 @@ REQUIRED_CONF = {
     # pin the zone so session-local conversions never shift a day
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
 
