@@ -21,16 +21,17 @@ sets short of credits, chance matches).
 
 Signatures go to buckets as packed arrays, one row per task and bucket, and are sorted
 there.  Sets with a common signature form a group.  Verification (exact, on the
-texts) runs in four steps, so that groups are never expanded into all pairs:
+texts) runs in four steps, so that groups are never expanded into pairs of rows:
 every set against the smallest set of its groups; then the other star links between
-different components; then, in groups that still hold several components, every
-set against a few of nearest size; then the pairs that still lie across
-components, in blocks.  Texts are sent only for pairs that an exact
-lower bound on the difference (parity sketches, about 1.25 bits a shingle) doesn't rule
-out.  A pair inside one component can't change the components, so nothing is lost.
+different components; then groups that still hold several components, in blocks of about
+``BLOCK`` sets; then, between the blocks of groups that still do, the sets outside the largest
+component with each other and with that component.  A block is one task's work: sets that may link (an exact lower bound on
+the difference from parity sketches, about 1.25 bits a shingle, tells) are compared there and only a
+spanning set of the links comes out, fewer than the block has sets.  Two sets with several common groups
+are compared in the first.  A pair inside one component can't change the components, so nothing is lost.
 
 Scale.  Rows shuffled are packed signatures (about n/4 + n/4 per document), each text at most
-once, and the texts of sets that share a signature.  A hub with many members is salted.  Joins of tables
+once, and the texts of sets that share a signature (to a block: that have a possible partner there).  A hub with many members is salted.  Joins of tables
 that grow with the documents are sort-merge joins at every size, so that what a run
 needs grows evenly.
 Buckets hold about ``BUCKET_SIGNATURES`` signatures; equal sets are merged in the task that reads
@@ -64,8 +65,11 @@ HUB_MEMBERS = 200
 BLOCK = 512
 #: row pairs compared at a time in a task
 PAIRS = 1 << 18
-#: next sets by size tried before all pairs of a group
-REACH = 3
+#: shingles of the sets of a block
+BLOCK_SHINGLES = 1 << 20
+#: first groups of a set that its rows carry
+LOW = 8
+LAST = 2 ** 63 - 1
 #: what verifying a chance match costs, in signatures
 CHECK_COST = 250
 SKETCH_MIN = 256
@@ -381,34 +385,79 @@ def across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return x.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
-def _block_pairs(size: np.ndarray, mid: np.ndarray, reach: int | None) -> tuple[np.ndarray, np.ndarray]:
+def _low(col: pa.Array) -> np.ndarray:
+    return col.flatten().to_numpy().reshape(-1, LOW)
+
+
+def _met_before(low: np.ndarray, grp, left, right) -> np.ndarray:
+    """Which row pairs have a common group before ``grp`` among their first groups; they are
+    compared there."""
+    x, y = low[left][:, :, None], low[right][:, None, :]
+    return ((x == y) & (x < np.reshape(grp, (-1, 1, 1)))).any(axis=(1, 2))
+
+
+def group_blocks(members: DataFrame, roots: DataFrame, sets: DataFrame, crossed: bool) -> DataFrame:
+    """Members of groups that hold several components, dealt to blocks of about ``BLOCK`` members and at most
+    about ``BLOCK_SHINGLES`` shingles: (grp, x, y, second, n, sid, root, sketch, low), where ``low`` are the
+    set's first groups.
+
+    Not crossed: every member to its own block.  Crossed, only groups of several blocks: the blocks of the members outside
+    the group's largest component meet each other and the blocks of that component, which do not meet
+    among themselves; so a group in one component but for a block's worth of sets sends every member
+    a constant number of times on average."""
+    m = members.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left") \
+        .select("grp", "sid", F.coalesce("root", "sid").alias("root"))
+    mixed = m.groupBy("grp").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("grp")
+    m = shared_table(m.join(mixed.hint("merge"), "grp").join(sets.select("sid", "n", "sketch").hint("merge"), "sid"), "mixed")
+    parts = m.groupBy("grp", "root").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("w"))
+    whole = parts.groupBy("grp").agg(F.sum("k").alias("k"), F.sum("w").alias("w"), F.max(F.struct("k", "w", "root")).alias("big"))
+    blocks = lambda k, w: F.greatest(F.ceil(k / BLOCK), F.ceil(w / BLOCK_SHINGLES), F.lit(1)).cast("int")
+    whole = whole.select("grp", F.col("big.root").alias("big"), blocks(F.col("k"), F.col("w")).alias("blocks"),
+                         blocks(F.col("big.k"), F.col("big.w")).alias("inner"),
+                         blocks(F.col("k") - F.col("big.k"), F.col("w") - F.col("big.w")).alias("outer"))
+    m = m.join((whole.where("blocks > 1") if crossed else whole).hint("merge"), "grp")
+    first = F.slice(F.concat(F.array_sort(F.collect_set("grp")), F.array_repeat(F.lit(LAST), LOW)), 1, LOW)
+    m = m.join(m.groupBy("sid").agg(first.alias("low")).hint("merge"), "sid")
+    place = F.xxhash64("sid")
+    if crossed:
+        is_big = F.col("root") == F.col("big")
+        own = F.when(is_big, F.col("outer") + F.pmod(place, F.col("inner"))).otherwise(F.pmod(place, F.col("outer"))).cast("int")
+        others = F.sequence(F.lit(0), F.col("outer") - 1 + F.when(is_big, 0).otherwise(F.col("inner")))
+        m = m.withColumn("own", own).withColumn("other", F.explode(others))
+    else:
+        m = m.withColumn("own", F.pmod(place, F.col("blocks")).cast("int")).withColumn("other", F.col("own"))
+    return m.select("grp", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
+                    (F.col("own") > F.col("other")).alias("second"), "n", "sid", "root", "sketch", "low")
+
+
+def _block_pairs(size: np.ndarray, mid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row pairs of consecutive blocks: rows of a block with each other (mid 0), or its first
-    ``mid`` rows with the others; ``reach``: only with so many of the next rows."""
+    ``mid`` rows with the others."""
     start = np.cumsum(size) - size
     row = np.arange(int(size.sum()))
     begin, end = np.repeat(start, size), np.repeat(start + size, size)
     cut = np.repeat(start + mid, size)
     one = np.repeat(mid == 0, size)
     lo = np.where(one, row + 1, np.where(row < cut, cut, end))
-    n = end - lo if reach is None else np.minimum(end - lo, reach)
+    n = end - lo
     left = np.repeat(row, n)
     return left, np.repeat(lo, n) + np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n)
 
 
-def _near_pairs(rows: dict, size: np.ndarray, mid: np.ndarray, reach: int | None, percent: int) -> np.ndarray:
-    """(a, b) of the row pairs of different components that sizes and sketches allow."""
-    out = [np.zeros((0, 2), np.int64)]
+def _with_partner(rows: dict, size: np.ndarray, mid: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows have a row of another component in their block that sizes and sketches allow and
+    that they meet here first."""
+    found = np.zeros(len(rows["sid"]), dtype=bool)
     length = np.array([len(x) for x in rows["sketch"]])
     at = 0
     while at < len(size):  # blocks, about PAIRS pairs at a time
         upto = at + max(1, int(np.searchsorted(np.cumsum(size[at:].astype(np.int64) ** 2 // 2 + 1), PAIRS)))
         lo = int(size[:at].sum())
-        left, right = _block_pairs(size[at:upto], mid[at:upto], reach)
+        left, right = _block_pairs(size[at:upto], mid[at:upto])
         left, right = left + lo, right + lo
         ok = rows["root"][left] != rows["root"][right]
         left, right = left[ok], right[ok]
-        na, nb = rows["n"][left], rows["n"][right]
-        ok = may_link(np.zeros(len(left), np.int64), na, nb, percent)
+        ok = may_link(np.zeros(len(left), np.int64), rows["n"][left], rows["n"][right], percent)
         left, right = left[ok], right[ok]
         short = np.minimum(length[left], length[right])
         for width in np.unique(short):
@@ -419,27 +468,15 @@ def _near_pairs(rows: dict, size: np.ndarray, mid: np.ndarray, reach: int | None
                 i, j = x[c:c + PAIRS // 8], y[c:c + PAIRS // 8]
                 least = np.bitwise_count(bits[inv[c:c + len(i)]] ^ bits[inv[len(x) + c:len(x) + c + len(i)]]).sum(axis=1, dtype=np.int64)
                 ok = may_link(least, rows["n"][i], rows["n"][j], percent)
-                a, b = rows["sid"][i[ok]], rows["sid"][j[ok]]
-                out.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
+                i, j = i[ok], j[ok]
+                ok = ~_met_before(rows["low"], rows["grp"][i], i, j)
+                found[i[ok]] = found[j[ok]] = True
         at = upto
-    return np.unique(np.concatenate(out), axis=0)
+    return found
 
 
-def group_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int = PERCENT, reach: int | None = None) -> DataFrame:
-    """Pairs across components inside groups that hold several, if sizes and sketches
-    allow a link.  Groups are worked through in blocks of about ``BLOCK`` members, every block
-    with every block; with ``reach``, only the next sets by size inside a block."""
-    m = members.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left") \
-        .select("grp", "sid", F.coalesce("root", "sid").alias("root"))
-    mixed = m.groupBy("grp").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("k")) \
-        .where("lo <> hi").select("grp", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
-    m = m.join(mixed, "grp").join(sets.select("sid", "n", "sketch").hint("merge"), "sid")
-    m = m.withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
-    others = F.array("own") if reach is not None else F.sequence(F.lit(0), F.col("blocks") - 1)
-    m = m.withColumn("other", F.explode(others))
-    m = m.select("grp", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
-                 (F.col("own") > F.col("other")).alias("second"), "n", "sid", "root", "sketch")
-
+def promising(blocks: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The block rows whose sets may link with a set of another component in their block."""
     def run(batches):
         held = None
         for batch in _then_none(batches):
@@ -453,20 +490,81 @@ def group_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, percent:
             if done:
                 size = np.diff(np.append(first, held.num_rows))[:len(first) if batch is None else -1]
                 part = held.slice(0, done)
-                rows = {c: part.column(c).to_numpy() for c in ("n", "sid", "root")} | {"sketch": part.column("sketch").to_pylist()}
                 second = part.column("second").to_numpy(zero_copy_only=False)
                 start = first[:len(size)]
+                # rows of the first block; a block pair without rows from both has no pairs
                 mid = np.where(x[start] == y[start], 0, size - np.add.reduceat(second.astype(np.int64), start))
-                # blocks of two need rows from both
                 keep = (x[start] == y[start]) | ((mid > 0) & (mid < size))
-                pick = np.repeat(keep, size)
-                rows = {k: v[pick] if k != "sketch" else [s for s, p in zip(v, pick) if p] for k, v in rows.items()}
-                found = _near_pairs(rows, size[keep], mid[keep], reach, percent)
-                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+                part = part.filter(pa.array(np.repeat(keep, size)))
+                rows = {c: part.column(c).to_numpy() for c in ("grp", "n", "sid", "root")} \
+                    | {"sketch": part.column("sketch").to_pylist(), "low": _low(part.column("low"))}
+                found = _with_partner(rows, size[keep], mid[keep], percent)
+                yield part.select(["grp", "x", "y", "second", "sid", "root", "low"]).filter(pa.array(found))
             held = None if batch is None else held.slice(done)
-    width = shuffle_width(members.sparkSession)
-    return m.repartition(width, "grp", "x", "y").sortWithinPartitions("grp", "x", "y", "second", "n", "sid") \
-        .mapInArrow(run, "a long, b long").distinct()
+    return blocks.repartition(shuffle_width(blocks.sparkSession), "grp", "x", "y").sortWithinPartitions("grp", "x", "y", "second", "sid") \
+        .mapInArrow(run, "grp long, x int, y int, second boolean, sid long, root long, low array<long>")
+
+
+def block_links(grp: int, second: np.ndarray, sid: np.ndarray, root: np.ndarray, low: np.ndarray, sets: list[np.ndarray],
+                crossed: bool, percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Links between components of one block, exactly verified: a spanning set, so fewer than the block has
+    rows.  Crossed: only rows of the first block with rows of the second, which come last."""
+    n = np.array([len(s) for s in sets])
+    _, label = np.unique(root, return_inverse=True)
+    known, code = np.unique(np.concatenate(sets), return_inverse=True)
+    start = np.cumsum(n) - n
+    sketches = [parity_sketch(s) for s in sets]
+    width = min(len(x) for x in sketches)
+    bits = np.stack([folded(x, width) for x in sketches]).view(np.uint64)
+    here = np.zeros(len(known), dtype=bool)
+    cut = int((~second).sum())
+    out = []
+    for i in range(cut if crossed else len(sets)):
+        js = np.arange(cut if crossed else i + 1, len(sets))
+        js = js[label[js] != label[i]]
+        js = js[may_link(np.bitwise_count(bits[i] ^ bits[js]).sum(axis=1, dtype=np.int64), n[i], n[js], percent)]
+        js = js[~_met_before(low, grp, np.full(len(js), i), js)]
+        if not len(js):
+            continue
+        mine = code[start[i]:start[i] + n[i]]
+        here[mine] = True
+        first = np.cumsum(n[js]) - n[js]
+        common = np.add.reduceat(here[code[np.repeat(start[js] - first, n[js]) + np.arange(int(n[js].sum()))]], first, dtype=np.int64)
+        here[mine] = False
+        for j in js[(100 * common >= percent * (n[i] + n[js] - common)) & (common > 0)]:
+            if label[j] != label[i]:
+                out.append((int(sid[i]), int(sid[j])))
+                label[label == label[j]] = label[i]
+    return out
+
+
+def group_links(members: DataFrame, roots: DataFrame, sets: DataFrame, texts: DataFrame, percent: int = PERCENT,
+                crossed: bool = False) -> DataFrame:
+    """(a, b) links that join the components inside the blocks of every group.  Sketches find the sets that
+    have a possible partner in their block; only these send their text there, and a block puts out
+    a spanning set of its links."""
+    sent = promising(group_blocks(members, roots, sets, crossed), percent)
+
+    def run(batches):
+        name, rows, held = None, [], []
+        for batch in _then_none(batches):
+            out = []
+            if batch is not None:
+                keys = list(zip(*[batch.column(c).to_pylist() for c in ("grp", "x", "y")]))
+                rest = list(zip(*[batch.column(c).to_pylist() for c in ("second", "sid", "root")]))
+                low = _low(batch.column("low"))
+            for i, s in (_sets(batch) if batch is not None else [(None, None)]):
+                if i is None or keys[i] != name:
+                    if len(held) > 1:
+                        second, sid, root, first = (np.array([r[c] for r in rows]) for c in range(4))
+                        out += block_links(name[0], second, sid, root, first, held, name[1] != name[2], percent)
+                    name, rows, held = None if i is None else keys[i], [], []
+                if i is not None:
+                    rows.append((*rest[i], low[i]))
+                    held.append(s)
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+    return sent.join(texts.hint("merge"), "sid").repartition(shuffle_width(sent.sparkSession), "grp", "x", "y") \
+        .sortWithinPartitions("grp", "x", "y", "second", "sid").mapInArrow(run, "a long, b long").distinct()
 
 
 def _then_none(batches):
@@ -500,10 +598,8 @@ def _linked(docs: DataFrame, percent: int) -> DataFrame:
     roots = forest_roots(verified(hubs, texts, percent).select(F.col("b").alias("node"), F.col("a").alias("up")))
     rest = shared_table(plausible(across(star, roots), nodes, percent), "star-rest")
     roots = merge_roots(roots, shared_table(verified(rest, texts, percent), "links-star"))
-    some = shared_table(group_pairs(members, roots, nodes, percent, REACH), "group-near")
-    roots = merge_roots(roots, shared_table(verified(some, texts, percent), "links-near"))
-    more = shared_table(group_pairs(members, roots, nodes, percent), "group-pairs")
-    roots = merge_roots(roots, shared_table(verified(more, texts, percent), "links-group"))
+    roots = merge_roots(roots, shared_table(group_links(members, roots, nodes, texts, percent), "links-blocks"))
+    roots = merge_roots(roots, shared_table(group_links(members, roots, nodes, texts, percent, crossed=True), "links-crossed"))
     least = nodes.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left") \
         .select("sid", "doc_id", F.coalesce("root", "sid").alias("root"))
     best = least.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "sid")).alias("best"))

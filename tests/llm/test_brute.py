@@ -87,6 +87,44 @@ def test_components_at_the_threshold(spark):
     assert got == components(texts)
 
 
+def test_components_of_groups_in_many_blocks(spark, monkeypatch):
+    """Large groups of near copies, most of them not linked with each other, dealt to blocks of five."""
+    monkeypatch.setattr(shingle_join, "BLOCK", 5)
+    rng = random.Random(5)
+    texts = {}
+    for base in range(3):
+        words = [f"w{base}x{i}" for i in range(70)]
+        for copy in range(60):
+            w = list(words)
+            for _ in range(rng.choice([1, 2, 3])):
+                w[rng.randrange(len(w))] = f"v{rng.randint(0, 10 ** 6)}"
+            texts[len(texts)] = " ".join(w)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in shingle_join.link_components(docs).collect()}
+    want = components(texts)
+    assert got == want
+    assert 3 < len({c for _, c in want.values()}) < len(texts)
+
+
+def test_a_block_puts_out_a_spanning_set():
+    rng = np.random.default_rng(3)
+    base = np.unique(rng.integers(0, 2 ** 63, 100).astype(np.uint64))
+    sets = [np.unique(np.concatenate([rng.permutation(base)[:100 - k], rng.integers(0, 2 ** 63, k).astype(np.uint64)]))
+            for k in rng.integers(0, 25, 60)]
+    sid = np.arange(60)
+    none = np.full((60, shingle_join.LOW), shingle_join.LAST)
+    for crossed, pairs in ((False, [(i, j) for i in range(60) for j in range(i)]), (True, [(i, j) for i in range(30) for j in range(30, 60)])):
+        got = shingle_join.block_links(7, sid >= 30 if crossed else sid < 0, sid, sid, none, sets, crossed)
+        assert len(got) < 60 and all(shingle_join.linked(sets[a], sets[b]) for a, b in got)
+
+        def classes(links):
+            to = list(range(60))
+            for a, b in links:
+                to = [to[a] if x == to[b] else x for x in to]
+            return [to.index(x) for x in to]
+        assert classes(got) == classes([p for p in pairs if shingle_join.linked(sets[p[0]], sets[p[1]])])
+
+
 def test_linked_sets_share_a_signature():
     rng = np.random.default_rng(11)
     seen = 0
