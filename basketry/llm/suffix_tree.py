@@ -50,7 +50,9 @@ GAIN = 3.0
 HOT_GRAMS = 1 << 20
 HOT = 1 / 2500
 SEGMENT = 512
-MERGE_ROWS = 3_000_000
+MERGE_ROWS = 2_000_000
+SEND_ROWS = 1 << 16
+COLD_GRAMS = 1 << 20
 SHIFT = np.uint64(8)
 LOG10 = np.log(10.0)
 
@@ -93,8 +95,10 @@ def gram_codes(stream: np.ndarray, scored: np.ndarray, depth: int) -> np.ndarray
 def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     code, n = (np.concatenate(c) for c in zip(*parts))
     parts.clear()  # the pieces are not needed twice
-    order = np.argsort(code, kind="stable")
-    code, n = code[order], n[order]
+    order = np.argsort(code)
+    code = code[order]
+    n = n[order]
+    del order
     first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
     return code[first], np.add.reduceat(n, first)
 
@@ -123,9 +127,14 @@ class _Counter:
         return out
 
 
-def _count_batch(kind: int, got) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(got[0]), kind, np.int32)), pa.array(got[0].view(np.int64)),
-                                       pa.array(got[1].astype(np.int64))], names=["kind", "code", "n"])
+def _count_batches(kind: int, got) -> Iterator[pa.RecordBatch]:
+    """Counts in batches of ``SEND_ROWS``, so that neither side holds them a second time."""
+    if got is None:
+        return
+    for lo in range(0, len(got[0]), SEND_ROWS):
+        code, n = (x[lo:lo + SEND_ROWS] for x in got)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(code), kind, np.int32)), pa.array(code.view(np.int64)),
+                                          pa.array(n.astype(np.int64))], names=["kind", "code", "n"])
 
 
 def corpus_counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -144,13 +153,9 @@ def corpus_counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                 known = np.repeat(here, np.diff(np.append(begin, len(stream))) - depth)
                 spoken = w.hashes()[np.repeat(here, np.diff(w.first))]
                 for kind, counter, some, weight in ((0, grams, codes[known], 1), (0, grams, codes[~known], 0), (1, words, spoken, 1)):
-                    got = counter.add(some, weight)
-                    if got is not None:
-                        yield _count_batch(kind, got)
+                    yield from _count_batches(kind, counter.add(some, weight))
         for kind, counter in ((0, grams), (1, words)):
-            got = counter.drain()
-            if got is not None:
-                yield _count_batch(kind, got)
+            yield from _count_batches(kind, counter.drain())
     return docs.select("text", held.alias("held_out")).mapInArrow(run, "kind int, code long, n long") \
         .groupBy("kind", "code").agg(F.sum("n").alias("n"))
 
@@ -364,6 +369,12 @@ def _score_pass(depth: int, hot_grams, hot, buckets: int):
     words) and, per bucket, the other grams and words of the rows."""
     hot_hash, hot_count = hot
 
+    def grams(here, cold):
+        gram, row = (np.concatenate(x) for x in zip(*cold))
+        cold.clear()
+        return _packed([(buckets + b, here, _GRAMS, gram[pick].tobytes(), row[pick].tobytes(), b"", b"")
+                        for b, pick in _dealt(_buckets(mix64(gram), buckets), buckets)])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part, number = TaskContext.get().partitionId(), 0
@@ -373,13 +384,19 @@ def _score_pass(depth: int, hot_grams, hot, buckets: int):
             train = ~np.array(batch.column(1).to_pylist(), dtype=bool)
             n = batch.num_rows
             score, tokens, known, base = np.zeros(n), np.ones(n, np.int64), np.zeros(n, np.int64), np.zeros(n)
-            rows, words, times, cold, cold_rows = [], [], [], [], []
+            rows, words, times, cold, held = [], [], [], [], 0
+            here = (part << 32) + number
+            number += 1
             for w in word_chunks(text_column(batch, "text")):
                 stream, begin, scored = symbols(w, depth)
                 codes, first = gram_codes(stream, scored, depth), begin - depth * np.arange(w.hi - w.lo)
                 score[w.lo:w.hi], rest = hot_scores(hot_grams.value, codes, first)
-                cold.append(codes[rest])
-                cold_rows.append(w.lo + np.searchsorted(first, rest, side="right") - 1)
+                cold.append((codes[rest], (w.lo + np.searchsorted(first, rest, side="right") - 1).astype(np.uint32)))
+                held += len(rest)
+                del stream, scored, codes, rest
+                if held >= COLD_GRAMS:
+                    yield grams(here, cold)
+                    held = 0
                 tokens[w.lo:w.hi] += np.diff(w.first)
                 r, h, c = _word_counts(w.hashes(), np.repeat(np.arange(w.lo, w.hi), np.diff(w.first)))
                 at = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
@@ -389,8 +406,6 @@ def _score_pass(depth: int, hot_grams, hot, buckets: int):
                 rows.append(r[~is_hot])
                 words.append(h[~is_hot])
                 times.append(c[~is_hot])
-            here = (part << 32) + number
-            number += 1
             out = [(here % buckets, here, _HEAD, pa.array(ids, pa.int64()).fill_null(0).to_numpy(zero_copy_only=False).tobytes(),
                     np.stack([tokens, known, train.astype(np.int64), np.array(ids.is_null())]).astype(np.int64).tobytes(), score.tobytes(), base.tobytes())]
             row, word, time = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (rows, words, times))
@@ -399,10 +414,8 @@ def _score_pass(depth: int, hot_grams, hot, buckets: int):
                             np.minimum(time[pick], 2 ** 32 - 1).astype(np.uint32).tobytes(), np.packbits(train).tobytes()))
             yield _packed(out)
             out, rows, words, times, word, time = [], [], [], [], None, None
-            gram, row = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (cold, cold_rows))
-            for b, pick in _dealt(_buckets(mix64(gram), buckets), buckets):
-                out.append((buckets + b, here, _GRAMS, gram[pick].tobytes(), row[pick].astype(np.uint32).tobytes(), b"", b""))
-            yield _packed(out)
+            if held:
+                yield grams(here, cold)
     return run
 
 
