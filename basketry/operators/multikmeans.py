@@ -50,6 +50,8 @@ _M64 = (1 << 64) - 1
 BLOCK = 4096
 #: share of (point, run) pairs that the bounds must settle for the state to be kept
 KEEP_SKIPPING = 0.5
+#: the state is renewed when only one of so many of its runs still goes on
+KEEP_RUNS = 4
 #: slack of the bounds test, above the rounding of a distance
 _SLACK = 1e-6
 
@@ -83,10 +85,10 @@ def _uniform(h: np.ndarray, seed: int, step: int) -> np.ndarray:
 
 
 def _sqdist(X: np.ndarray, C: np.ndarray) -> np.ndarray:
-    """n x k squared distances, coordinate by coordinate (exact zeros for equal points)."""
-    out = np.zeros((len(X), len(C)))
-    for d in range(X.shape[1]):
-        out += (X[:, d, None] - C[None, :, d]) ** 2
+    """k x n squared distances, coordinate by coordinate (exact zeros for equal points)."""
+    out = np.zeros((len(C), len(X)))
+    for d, x in enumerate(np.ascontiguousarray(X.T)):
+        out += (x - C[:, d, None]) ** 2
     return out
 
 
@@ -102,10 +104,17 @@ def local_trials(k: int) -> int:
 
 
 def pack(points: DataFrame) -> RDD:
-    """Points of ``prepare`` as blocks (id hashes, coordinates), persisted.  Blocks keep the partitioning, but partitions of
-    less than a block are put together: a pass over them would cost more in tasks than in work."""
+    """Points of ``prepare`` as blocks (id hashes, coordinates), persisted.  Partitions of less than a block are put
+    together: a pass over them would cost more in tasks than in work.  Points in fewer partitions than there are cores (a few
+    files) or in uneven ones (parts of files without a row group) are dealt out evenly, since every pass waits for the longest task."""
     dims = len([c for c in points.columns if c.startswith("x")])
-    points = points.coalesce(max(1, -(-points.count() // BLOCK)))
+    sizes = [r["count"] for r in points.groupBy(F.spark_partition_id().alias("part")).count().collect()]
+    total = sum(sizes)
+    parts = min(max(1, -(-total // BLOCK)), 2 * points.sparkSession.sparkContext.defaultParallelism)
+    if len(sizes) < parts // 2 or max(sizes, default=0) * parts > 4 * max(total, parts * BLOCK):
+        points = points.repartition(parts, "h")
+    else:
+        points = points.coalesce(max(1, -(-total // BLOCK)))
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -149,10 +158,12 @@ def _first_draws(blocks: RDD, runs: list[Run]) -> dict:
     def work(it):
         best: dict = {}
         for h, X in it:
-            for i, seed in enumerate(seeds):
+            draw = {}
+            for seed in set(seeds):
                 key = -np.log(_uniform(h, seed, 0))
                 j = int(np.argmin(key))
-                _least(best, {i: (float(key[j]), X[j].tolist())})
+                draw[seed] = float(key[j]), X[j].tolist()
+            _least(best, {i: draw[seed] for i, seed in enumerate(seeds)})
         return best or None
 
     return {i: c for i, (_, c) in (_fold(blocks, work, _least) or {}).items()}
@@ -170,20 +181,22 @@ def _try_candidates(blocks: RDD, runs: list[Run], cands: dict[int, list], step:
         pots: dict = {}
         draws: dict = {}
         for h, X in it:
+            keys: dict = {}   # runs of one seed draw by the same numbers
             for i, C in arr.items():
                 d2 = _sqdist(X, C)
                 if i in cents:
-                    d2 = np.minimum(d2, _sqdist(X, cents[i]).min(axis=1)[:, None])
-                p = d2.sum(axis=0)
+                    d2 = np.minimum(d2, _sqdist(X, cents[i]).min(axis=0))
+                p = d2.sum(axis=1)
                 pots[i] = p if i not in pots else pots[i] + p
                 for t in range(trials.get(i, 0)):
-                    e = -np.log(_uniform(h, seeds[i], step * 64 + t))
+                    if (seeds[i], t) not in keys:
+                        keys[seeds[i], t] = -np.log(_uniform(h, seeds[i], step * 64 + t))
                     with np.errstate(divide="ignore"):
-                        key = np.where(d2 > 0, e[:, None] / d2, np.inf)
-                    at = key.argmin(axis=0)
+                        key = np.where(d2 > 0, keys[seeds[i], t] / d2, np.inf)
+                    at = key.argmin(axis=1)
                     for c, j in enumerate(at.tolist()):
-                        if np.isfinite(key[j, c]):
-                            _least(draws, {(i, c, t): (float(key[j, c]), X[j].tolist())})
+                        if np.isfinite(key[c, j]):
+                            _least(draws, {(i, c, t): (float(key[c, j]), X[j].tolist())})
         return (pots, draws) if pots else None
 
     def merge(a, b):
@@ -228,35 +241,44 @@ def _spans(cents: list[np.ndarray]) -> list[tuple[int, int]]:
     return list(zip([0, *ends[:-1]], ends))
 
 
-def _near(X: np.ndarray, C: np.ndarray) -> np.ndarray:
-    """n x k squared distances less each point's squared norm (a matrix product; ranks as distances do)."""
-    return (C * C).sum(axis=1) - 2.0 * (X @ C.T)
+def _near(XT: np.ndarray, C: np.ndarray) -> np.ndarray:
+    """k x n squared distances less each point's squared norm (a matrix product; ranks as distances do), from the
+    points' coordinates as rows.  The points of a block lie side by side, so that each step below is over a row."""
+    return (C * C).sum(axis=1)[:, None] - 2.0 * (C @ XT)
+
+
+def _two_nearest(D: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per column: the row of the least value (the first one on ties), that value and the next."""
+    at, low, second = np.zeros(D.shape[1], dtype=np.uint16), D[0].copy(), np.full(D.shape[1], np.inf)
+    for j in range(1, len(D)):
+        at[D[j] < low] = j
+        np.minimum(second, np.maximum(low, D[j]), out=second)
+        np.minimum(low, D[j], out=low)
+    return at, low, second
+
+
+def _members(at: np.ndarray, k: int) -> np.ndarray:
+    """k x n: 1 where a point is in a cluster."""
+    return (at == np.arange(k, dtype=at.dtype)[:, None]).astype(np.float64)
 
 
 def _full(blocks: RDD, cents: list[np.ndarray]) -> tuple[RDD, np.ndarray]:
     """All points against the centres of every run: the state (block, nearest, margin) and the sums,
     one row per centre: n, coordinate sums, sum of squared norms."""
     spans = _spans(cents)
-    every = np.concatenate(cents)
 
     def measure(block):
         _, X = block
-        D = _near(X, every)
-        size = (X * X).sum(axis=1)
-        one = np.zeros_like(D)
+        XT, cols = np.ascontiguousarray(X.T), _columns(X)
+        size = cols[:, -1]
         near = np.empty((len(spans), len(X)), dtype=np.uint16)
         margin = np.empty((len(spans), len(X)), dtype=np.float32)
-        at = np.arange(len(X))
-        for r, (a, b) in enumerate(spans):
-            part = D[:, a:b]
-            near[r] = part.argmin(axis=1)
-            one[at, a + near[r]] = 1.0
-            if b - a > 1:
-                two = np.sqrt(np.maximum(np.partition(part, 1, axis=1)[:, :2] + size[:, None], 0.0))
-                margin[r] = two[:, 1] - two[:, 0]
-            else:
-                margin[r] = np.inf
-        return block, near, margin, one.T @ _columns(X)
+        sums = np.empty((spans[-1][1], cols.shape[1]))
+        for r, ((a, b), C) in enumerate(zip(spans, cents)):
+            near[r], low, second = _two_nearest(_near(XT, C))
+            margin[r] = np.sqrt(np.maximum(second + size, 0.0)) - np.sqrt(np.maximum(low + size, 0.0))
+            sums[a:b] = _members(near[r], b - a) @ cols
+        return block, near, margin, sums
 
     state = blocks.map(measure).persist(StorageLevel.MEMORY_AND_DISK)
     return state, _fold(state, lambda it: _added(s[3] for s in it), lambda a, b: a + b)
@@ -283,19 +305,17 @@ def _moved(state: RDD, rows: list[int], at_state: list[np.ndarray], now: list[np
     def work(it):
         total, open_pairs = np.zeros((spans[-1][1], width)), 0
         for (_, X), near, margin, _ in it:
+            XT = np.ascontiguousarray(X.T)
             for r, (a, b), limit, C in zip(rows, spans, limits, now):
                 was = near[r]
                 loose = np.flatnonzero(margin[r] * (1.0 - _SLACK) - _SLACK <= limit[was])
                 open_pairs += len(loose)
                 if not len(loose):
                     continue
-                x = X[loose]
-                new = _near(x, C).argmin(axis=1)
-                turn = new != was[loose]
-                if turn.any():
-                    cols = _columns(x[turn])
-                    np.add.at(total, a + new[turn], cols)
-                    np.subtract.at(total, a + was[loose][turn].astype(np.int64), cols)
+                new, old = _two_nearest(_near(XT[:, loose], C))[0], was[loose]
+                turn = np.flatnonzero(new != old)
+                if len(turn):
+                    total[a:b] += (_members(new[turn], b - a) - _members(old[turn], b - a)) @ _columns(X[loose[turn]])
         return total, open_pairs
 
     return _fold(state, work, lambda p, q: (p[0] + q[0], p[1] + q[1]))
@@ -310,8 +330,8 @@ def _farthest(blocks: RDD, C: np.ndarray, m: int) -> list[tuple]:
         best: list = []
         for h, X in it:
             d2 = _sqdist(X, C)
-            near = d2.argmin(axis=1)
-            low = d2[np.arange(len(X)), near]
+            near = d2.argmin(axis=0)
+            low = d2[near, np.arange(len(X))]
             some = np.lexsort((h, -low))[:m]
             best = top(best + [(float(low[j]), int(h[j]), int(near[j]), X[j].tolist()) for j in some])
         return best or None
@@ -402,10 +422,11 @@ def fit_runs(points: DataFrame, runs: list[Run], max_iter: int = 300, tol: float
             shift = _advance(blocks, runs[i], sums[a:b])
             runs[i].n_iter += 1
             runs[i].converged = shift <= threshold
-        if not keep:
+        active = [i for i in active if not runs[i].converged and runs[i].n_iter < max_iter]
+        # the state of runs that have ended is read by every pass: renew it for the few that are left
+        if not keep or len(active) <= len(held) // KEEP_RUNS:
             state.unpersist()
             state = None
-        active = [i for i in active if not runs[i].converged and runs[i].n_iter < max_iter]
     if state is not None:
         state.unpersist()
     for r, cost in zip(runs, _costs(blocks, [np.array(r.centers) for r in runs])):
@@ -417,7 +438,7 @@ def fit_runs(points: DataFrame, runs: list[Run], max_iter: int = 300, tol: float
 def _costs(blocks: RDD, cents: list[np.ndarray]) -> list[float]:
     """Sum of squared distances to the nearest centre, per run."""
     def work(it):
-        return _added(np.array([_sqdist(X, C).min(axis=1).sum() for C in cents]) for _, X in it)
+        return _added(np.array([_sqdist(X, C).min(axis=0).sum() for C in cents]) for _, X in it)
 
     return _fold(blocks, work, lambda a, b: a + b).tolist()
 
