@@ -115,11 +115,13 @@ def exact_median(df: DataFrame, value: str, name: str = "median",
     return exact_quantiles(df, value, [0.5], [name], by, wide)
 
 
-def fill_with_median(df: DataFrame, column: str, basis: DataFrame | None = None, wide: bool = False) -> DataFrame:
+def fill_with_median(df: DataFrame, column: str, basis: DataFrame | None = None, wide: bool = False,
+                     median: DataFrame | None = None) -> DataFrame:
     """``fillna(col.median())``: the median of ``basis`` (default ``df``)
-    replaces nulls in ``column``; the column keeps its type."""
+    replaces nulls in ``column``; the column keeps its type.  ``median``: the row of
+    ``exact_median``, if it is at hand."""
     basis = df if basis is None else basis
-    med = exact_median(basis, column, "_median", wide=wide)
+    med = exact_median(basis, column, "_median", wide=wide) if median is None else median.select(F.col("median").alias("_median"))
     dtype = dict(df.dtypes)[column]
     filled = attach(df, med).withColumn(
         column, F.coalesce(F.col(column), F.col("_median").cast(dtype)))

@@ -33,11 +33,12 @@ def dedup_orders(t: Tables, copies: str | None = None) -> DataFrame:
     return keep_first(t.orders, "order_id", t.order_tiebreak, copies).select(*ORDER_COLUMNS, *extra)
 
 
-def flag_orders(dedup: DataFrame) -> DataFrame:
+def flag_orders(dedup: DataFrame, median: DataFrame | None = None) -> DataFrame:
     """Delivery days imputed (median over all deduplicated rows, cancelled
     included, before the null drop), rows missing a required field dropped,
-    cancelled / returned flags (a missing status is neither)."""
-    o = fill_with_median(dedup, "delivery_days")
+    cancelled / returned flags (a missing status is neither).  ``median``: that median as
+    a 1-row frame, if it is at hand."""
+    o = fill_with_median(dedup, "delivery_days", median=median)
     o = o.na.drop(how="any", subset=REQUIRED_ORDER_FIELDS)
     return (o.withColumn("is_cancelled", is_value("order_status", "Cancelled"))
              .withColumn("is_returned", is_value("order_status", "Returned")))

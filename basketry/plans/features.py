@@ -111,16 +111,18 @@ def web_features(sessions: DataFrame, rows: str | None = None) -> DataFrame:
 
 
 def daily_sums(orders_clean: DataFrame) -> DataFrame:
-    """Sums per (customer, day, category), dealt out by customer: at most days x categories rows each."""
+    """Sums per (customer, day, category), dealt out by customer: at most days x categories rows each.
+
+    The number of shuffle partitions is stated, so that they are not put together: the windows that follow sort
+    rows several times as large as their compressed form, by which partitions are put together."""
     amount, qty, pct = F.col("total_amount"), F.col("quantity"), F.col("discount_pct")
     day = day_number("order_date").alias("_day")
     sums = orders_clean.groupBy("customer_id", day, "category").agg(
         F.count(F.lit(1)).alias("_rows"), F.count("order_id").alias("_orders"), F.sum(amount).alias("_amount"), F.count(amount).alias("_amounts"),
         F.sum(qty).alias("_qty"), F.count(qty).alias("_qtys"), F.sum(F.when(pct > 0, 1).otherwise(0)).alias("_cut"),
         F.sum(pct).alias("_pct"), F.count(pct).alias("_pcts"), F.sum(F.col("is_returned").cast("int")).alias("_ret"),
-        F.count("is_returned").alias("_rets"), F.min("order_date").alias("_first"), F.max("order_date").alias("_last"),
-        F.min(second_of_day("order_date")).alias("_smin"), F.max(second_of_day("order_date")).alias("_smax"))
-    return sums.repartition("customer_id")
+        F.count("is_returned").alias("_rets"), F.min("order_date").alias("_first"), F.max("order_date").alias("_last"))
+    return sums.repartition(int(orders_clean.sparkSession.conf.get("spark.sql.shuffle.partitions")), "customer_id")
 
 
 def customer_orders(orders_clean: DataFrame) -> DataFrame:
@@ -131,7 +133,8 @@ def customer_orders(orders_clean: DataFrame) -> DataFrame:
     kind, day = Window.partitionBy("customer_id", "category"), Window.partitionBy("customer_id", "_day")
     x = daily_sums(orders_clean).withColumns({
         "_kind_rows": F.sum("_rows").over(kind), "_kind_at": F.row_number().over(kind.orderBy("_day")),
-        "_day_min": F.min("_smin").over(day), "_day_max": F.max("_smax").over(day), "_day_at": F.row_number().over(day.orderBy("category"))})
+        # the rows of a window are of one day: its earliest and latest time of day
+        "_day_min": second_of_day(F.min("_first").over(day)), "_day_max": second_of_day(F.max("_last").over(day)), "_day_at": F.row_number().over(day.orderBy("category"))})
     # the row before a day's first row is the last one of the day before, and knows that day's end
     ended = F.lag("_day_max").over(Window.partitionBy("customer_id").orderBy("_day", "category"))
     x = x.withColumn("_descent", F.when((F.col("_day_at") == 1) & (F.col("_day_min") < ended), 1).otherwise(0))

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.operators.dedup import keep_first
+from basketry.operators.quantile import exact_median
 from basketry.plans import clean, cube, eda, features, kmeans, segments, trends
 from basketry.session import checkpoint_dir
 from basketry.sources.schemas import CUSTOMER_COLUMNS
@@ -98,7 +99,7 @@ class AnalyticsRun:
         df = df.drop(*helpers)
         # unique per write: concurrent callers never share an output folder
         path = self._stage_path(f"{name}-{uuid.uuid4().hex[:8]}")
-        df.write.mode("overwrite").partitionBy(*([by] if by else [])).parquet(path)
+        df.write.mode("overwrite").option("compression", "zstd").partitionBy(*([by] if by else [])).parquet(path)
         if seen is not None:
             self.metrics[name] = seen.get
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
@@ -129,23 +130,31 @@ class AnalyticsRun:
     # -- cleaned tables ---------------------------------------------------
     @once
     def tables(self) -> Tables:
-        """Source tables with the raw orders staged once as parquet: the cleaning and every
-        raw dashboard query read them, whether they are parsed text or a join of tables."""
+        """Source tables with the raw orders staged once as parquet: every raw dashboard query reads them,
+        whether they are parsed text or a join of tables."""
         if not self.materialize:
             return self.t
         return replace(self.t, orders=self.stage("orders_raw", self.t.orders))
 
     @once
     def orders_dedup(self) -> DataFrame:
-        return self.stage("orders_dedup", clean.dedup_orders(self.tables, "_copies"), metrics=clean.order_metrics("_copies"), helpers=("_copies",))
+        # a columnar source is read once by the cleaning: its raw rows go into the dedup without being written
+        source = self.t if self.t.columnar else self.tables
+        return self.stage("orders_dedup", clean.dedup_orders(source, "_copies"), metrics=clean.order_metrics("_copies"), helpers=("_copies",))
 
     @once
     def orders_flagged(self) -> DataFrame:
-        return clean.flag_orders(self.orders_dedup)
+        return clean.flag_orders(self.orders_dedup, self.delivery_median)
+
+    @once
+    def delivery_median(self) -> DataFrame:
+        """1 row: the median that fills missing delivery days."""
+        return self.stage("delivery_median", exact_median(self.orders_dedup, "delivery_days"))
 
     @once
     def orders_clean(self) -> DataFrame:
-        return self.stage("orders_clean", clean.clean_from_flagged(self.orders_flagged))
+        """A view of the staged ``orders_dedup``: filters and expressions over its columns, not written a second time."""
+        return clean.clean_from_flagged(self.orders_flagged)
 
     @once
     def customers_dedup(self) -> DataFrame:
