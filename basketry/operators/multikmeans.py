@@ -111,7 +111,7 @@ def pack(points: DataFrame) -> RDD:
     sizes = [r["count"] for r in points.groupBy(F.spark_partition_id().alias("part")).count().collect()]
     total = sum(sizes)
     parts = min(max(1, -(-total // BLOCK)), 2 * points.sparkSession.sparkContext.defaultParallelism)
-    if len(sizes) < parts // 2 or max(sizes, default=0) * parts > 4 * max(total, parts * BLOCK):
+    if 2 * len(sizes) < parts or max(sizes, default=0) * parts > 4 * max(total, parts * BLOCK):
         points = points.repartition(parts, "h")
     else:
         points = points.coalesce(max(1, -(-total // BLOCK)))

@@ -72,3 +72,12 @@ def test_fewer_distinct_points_than_clusters(spark):
 
 def test_no_points(spark):
     assert [r.centers for r in mk.fit_runs(points(spark, np.zeros((1, 2))).limit(0), mk.make_runs([2], 1, 0))] == [[]]
+
+
+def test_points_of_one_file_are_dealt_out(spark):
+    n = 3 * mk.BLOCK
+    df = spark.range(0, n, 1, 1).selectExpr("id", "cast(id AS double) AS c0")
+    blocks = mk.pack(mk.prepare(df, "id", ["c0"]))
+    sizes = blocks.mapPartitions(lambda it: [sum(len(h) for h, _ in it)]).collect()
+    blocks.unpersist()
+    assert sum(sizes) == n and sum(s > 0 for s in sizes) > 1
