@@ -41,7 +41,9 @@ SMOOTH = 0.3
 SWITCH = 10.0
 MIN_SCRIPT_SHARE = 0.005
 OUTSIDE = 30.0
-LATTICE = 8_000_000
+LATTICE = 2_000_000
+#: bytes of text that are scored together: a byte takes one row of scores per language while they are added up
+TEXT_BYTES = 1 << 18
 UNKNOWN = "und"
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -281,7 +283,7 @@ def label_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
         for batch in batches:
             since, words, parts, scores, letters = 0, 0, [], [], []
-            for lo, hi, raw, off in byte_chunks(text_column(batch, "text")):
+            for lo, hi, raw, off in byte_chunks(text_column(batch, "text"), TEXT_BYTES):
                 s = _scan_words(raw, off)
                 s.row = s.row + (lo - since)
                 parts.append(s)
