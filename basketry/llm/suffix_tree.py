@@ -50,9 +50,12 @@ GAIN = 3.0
 HOT_GRAMS = 1 << 20
 HOT = 1 / 2500
 SEGMENT = 512
-MERGE_ROWS = 2_000_000
+PIECE_BYTES = 1 << 18
+FRESH_ROWS = 1 << 19
+HELD_ROWS = 1_600_000
 SEND_ROWS = 1 << 16
-COLD_GRAMS = 1 << 20
+SEND_PARTS = 64
+COLD_ROWS = 1 << 19
 SHIFT = np.uint64(8)
 LOG10 = np.log(10.0)
 
@@ -92,38 +95,55 @@ def gram_codes(stream: np.ndarray, scored: np.ndarray, depth: int) -> np.ndarray
     return code[scored]
 
 
-def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    code, n = (np.concatenate(c) for c in zip(*parts))
-    parts.clear()  # the pieces are not needed twice
-    order = np.argsort(code)
-    code = code[order]
-    n = n[order]
-    del order
-    first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
-    return code[first], np.add.reduceat(n, first)
+def _between(column: np.ndarray, old: np.ndarray, new: np.ndarray, at: np.ndarray) -> np.ndarray:
+    out = np.empty(len(old), column.dtype)
+    out[old], out[at] = column, new
+    return out
 
 
 class _Counter:
-    """Counts of codes, merged whenever many are held."""
+    """Counts of codes, ascending.  Fresh codes wait unsorted, ``FRESH_ROWS`` at most or one call's, and are then
+    folded into those held, so that beside these only one new copy of a column is needed."""
 
     def __init__(self):
-        self.parts, self.held = [], 0
+        self.fresh, self.waiting = {}, 0
+        self.code, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
     def add(self, codes: np.ndarray, weight: int = 1):
-        if len(codes):
-            code, n = np.unique(codes, return_counts=True)
-            self.parts.append((code, n * weight))
-            self.held += len(code)
-            if self.held > MERGE_ROWS:
-                self.parts = [_merge(self.parts)]
-                self.held = len(self.parts[0][0])
-                if self.held > MERGE_ROWS * 4 // 5:
-                    return self.drain()
+        self.fresh.setdefault(weight, []).append(codes)
+        self.waiting += len(codes)
+        if self.waiting > FRESH_ROWS:
+            self._fold()
+            if len(self.code) > HELD_ROWS:
+                return self.drain()
         return None
 
+    def _fold(self):
+        while self.fresh:
+            weight, parts = self.fresh.popitem()
+            code = np.concatenate(parts)
+            parts.clear()
+            code.sort()
+            first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
+            n = np.diff(np.append(first, len(code))) * weight
+            code = code[first]
+            at = np.searchsorted(self.code, code)
+            held = np.zeros(len(code), bool)
+            inside = at < len(self.code)
+            held[inside] = self.code[at[inside]] == code[inside]
+            self.n[at[held]] += n[held]
+            code, n, at = code[~held], n[~held], at[~held]
+            at += np.arange(len(at))  # where new codes stand in the columns to come
+            old = np.ones(len(self.code) + len(at), bool)
+            old[at] = False
+            self.code = _between(self.code, old, code, at)
+            self.n = _between(self.n, old, n, at)
+        self.waiting = 0
+
     def drain(self):
-        out = _merge(self.parts) if self.parts else None
-        self.parts, self.held = [], 0
+        self._fold()
+        out = self.code, self.n
+        self.code, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         return out
 
 
@@ -137,17 +157,13 @@ def _count_batches(kind: int, got) -> Iterator[pa.RecordBatch]:
                                           pa.array(n.astype(np.int64))], names=["kind", "code", "n"])
 
 
-def corpus_counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(kind, code, n) over all training texts: kind 0, packed symbol grams; kind 1, words (hash).
-    Every task sends each of its distinct codes once.  Without a column held_out all texts are
-    training texts; grams that only held-out texts have get n = 0."""
-    held = F.col("held_out") if "held_out" in docs.columns else F.lit(False)
-
+def _count_pass(depth: int):
+    """Rows (kind, code, n) of the rows (text, held_out) of a task."""
     def run(batches):
         grams, words = _Counter(), _Counter()
         for batch in batches:
             train = ~np.array(batch.column(1).to_pylist(), dtype=bool)
-            for w in word_chunks(text_column(batch, "text")):
+            for w in word_chunks(text_column(batch, "text"), PIECE_BYTES):
                 stream, begin, scored = symbols(w, depth)
                 codes, here = gram_codes(stream, scored, depth), train[w.lo:w.hi]
                 known = np.repeat(here, np.diff(np.append(begin, len(stream))) - depth)
@@ -156,7 +172,15 @@ def corpus_counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                     yield from _count_batches(kind, counter.add(some, weight))
         for kind, counter in ((0, grams), (1, words)):
             yield from _count_batches(kind, counter.drain())
-    return docs.select("text", held.alias("held_out")).mapInArrow(run, "kind int, code long, n long") \
+    return run
+
+
+def corpus_counts(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(kind, code, n) over all training texts: kind 0, packed symbol grams; kind 1, words (hash).
+    A task sends its distinct codes whenever many are held.  Without a column held_out all texts are
+    training texts; grams that only held-out texts have get n = 0."""
+    held = F.col("held_out") if "held_out" in docs.columns else F.lit(False)
+    return docs.select("text", held.alias("held_out")).mapInArrow(_count_pass(depth), "kind int, code long, n long") \
         .groupBy("kind", "code").agg(F.sum("n").alias("n"))
 
 
@@ -375,6 +399,12 @@ def _score_pass(depth: int, hot_grams, hot, buckets: int):
         return _packed([(buckets + b, here, _GRAMS, gram[pick].tobytes(), row[pick].tobytes(), b"", b"")
                         for b, pick in _dealt(_buckets(mix64(gram), buckets), buckets)])
 
+    def words(here, rare, train):
+        row, word, time = (np.concatenate(x) for x in zip(*rare))
+        rare.clear()
+        return _packed([(b, here, _WORDS, word[pick].tobytes(), row[pick].tobytes(), time[pick].tobytes(), np.packbits(train[row[pick]]).tobytes())
+                        for b, pick in _dealt(_buckets(word, buckets), buckets)])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part, number = TaskContext.get().partitionId(), 0
@@ -384,17 +414,17 @@ def _score_pass(depth: int, hot_grams, hot, buckets: int):
             train = ~np.array(batch.column(1).to_pylist(), dtype=bool)
             n = batch.num_rows
             score, tokens, known, base = np.zeros(n), np.ones(n, np.int64), np.zeros(n, np.int64), np.zeros(n)
-            rows, words, times, cold, held = [], [], [], [], 0
+            cold, held, rare, kept = [], 0, [], 0
             here = (part << 32) + number
             number += 1
-            for w in word_chunks(text_column(batch, "text")):
+            for w in word_chunks(text_column(batch, "text"), PIECE_BYTES):
                 stream, begin, scored = symbols(w, depth)
                 codes, first = gram_codes(stream, scored, depth), begin - depth * np.arange(w.hi - w.lo)
                 score[w.lo:w.hi], rest = hot_scores(hot_grams.value, codes, first)
                 cold.append((codes[rest], (w.lo + np.searchsorted(first, rest, side="right") - 1).astype(np.uint32)))
                 held += len(rest)
                 del stream, scored, codes, rest
-                if held >= COLD_GRAMS:
+                if held >= COLD_ROWS:
                     yield grams(here, cold)
                     held = 0
                 tokens[w.lo:w.hi] += np.diff(w.first)
@@ -403,19 +433,18 @@ def _score_pass(depth: int, hot_grams, hot, buckets: int):
                 is_hot = keys[at] == h if len(keys) else np.zeros(len(h), bool)
                 np.add.at(base, r[is_hot], c[is_hot] * np.log10(counts[at[is_hot]] + 0.1))
                 np.add.at(known, r[is_hot], c[is_hot])
-                rows.append(r[~is_hot])
-                words.append(h[~is_hot])
-                times.append(c[~is_hot])
-            out = [(here % buckets, here, _HEAD, pa.array(ids, pa.int64()).fill_null(0).to_numpy(zero_copy_only=False).tobytes(),
-                    np.stack([tokens, known, train.astype(np.int64), np.array(ids.is_null())]).astype(np.int64).tobytes(), score.tobytes(), base.tobytes())]
-            row, word, time = (np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (rows, words, times))
-            for b, pick in _dealt(_buckets(word, buckets), buckets):
-                out.append((b, here, _WORDS, word[pick].tobytes(), row[pick].astype(np.uint32).tobytes(),
-                            np.minimum(time[pick], 2 ** 32 - 1).astype(np.uint32).tobytes(), np.packbits(train).tobytes()))
-            yield _packed(out)
-            out, rows, words, times, word, time = [], [], [], [], None, None
+                rare.append((r[~is_hot].astype(np.uint32), h[~is_hot], np.minimum(c[~is_hot], 2 ** 32 - 1).astype(np.uint32)))
+                kept += len(rare[-1][0])
+                del w, r, h, c, at, is_hot
+                if kept >= COLD_ROWS:
+                    yield words(here, rare, train)
+                    kept = 0
             if held:
                 yield grams(here, cold)
+            if kept:
+                yield words(here, rare, train)
+            yield _packed([(here % buckets, here, _HEAD, pa.array(ids, pa.int64()).fill_null(0).to_numpy(zero_copy_only=False).tobytes(),
+                            np.stack([tokens, known, train.astype(np.int64), np.array(ids.is_null())]).astype(np.int64).tobytes(), score.tobytes(), base.tobytes())])
     return run
 
 
@@ -423,22 +452,25 @@ def _bucket_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One bucket at a time: counts of its words from the training rows, then the partial sums of
     every batch; or probabilities of its grams, then the same; heads pass through."""
     def emit(parts):
-        word = np.concatenate([np.frombuffer(p[1], np.uint64) for p in parts])
-        size = [len(p[1]) // 8 for p in parts]
-        row = np.concatenate([np.frombuffer(p[2], np.uint32) for p in parts]).astype(np.int64)
-        times = np.concatenate([np.frombuffer(p[3], np.uint32) for p in parts]).astype(np.int64)
-        train = np.concatenate([np.unpackbits(np.frombuffer(p[4], np.uint8))[np.frombuffer(p[2], np.uint32)] for p in parts])
-        _, code = np.unique(word, return_inverse=True)
-        count = np.bincount(code, weights=times * train)[code]
-        value, known = times * np.log10(count + 0.1), times * (count > 0)
-        out, at = [], 0
-        for p, k in zip(parts, size):
-            r = row[at:at + k]
-            which, inv = np.unique(r, return_inverse=True)
-            out.append((0, p[0], _SUMS, which.astype(np.uint32).tobytes(), np.bincount(inv, weights=value[at:at + k]).tobytes(),
-                        np.bincount(inv, weights=known[at:at + k]).astype(np.int64).tobytes(), b""))
-            at += k
-        return _packed(out)
+        words = [np.frombuffer(p[1], np.uint64) for p in parts]
+        keys = np.unique(np.concatenate(words))
+        places, count = [], np.zeros(len(keys))
+        for p, word in zip(parts, words):
+            at = np.searchsorted(keys, word)
+            train = np.unpackbits(np.frombuffer(p[4], np.uint8), count=len(word))
+            count += np.bincount(at, weights=np.frombuffer(p[3], np.uint32) * train.astype(np.int64), minlength=len(keys))
+            places.append(at.astype(np.uint32))
+        out = []
+        for p, at in zip(parts, places):
+            n, times = count[at], np.frombuffer(p[3], np.uint32).astype(np.int64)
+            which, inv = np.unique(np.frombuffer(p[2], np.uint32), return_inverse=True)
+            out.append((0, p[0], _SUMS, which.tobytes(), np.bincount(inv, weights=times * np.log10(n + 0.1)).tobytes(),
+                        np.bincount(inv, weights=times * (n > 0)).astype(np.int64).tobytes(), b""))
+            if len(out) == SEND_PARTS:
+                yield _packed(out)
+                out = []
+        if out:
+            yield _packed(out)
 
     def gram_sums(name, known, a, b):
         code, row = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint32)
@@ -449,26 +481,30 @@ def _bucket_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     now, parts, answers, known = None, [], [], None
     for batch in batches:
         heads = []
-        for place, name, kind, a, b, c, d in zip(*[x.to_pylist() for x in batch.columns]):
+        values = batch.columns[3:]
+        for i, (place, name, kind) in enumerate(zip(*[x.to_pylist() for x in batch.columns[:3]])):
             if place != now:
                 if parts:
-                    yield emit(parts)
+                    yield from emit(parts)
                 now, parts, answers, known = place, [], [], None
-            if kind == _HEAD:
-                heads.append((place, name, kind, a, b, c, d))
-            elif kind == _ANSWERS:
-                answers.append((np.frombuffer(a, np.uint64), np.frombuffer(b, np.float32)))
-            elif kind == _GRAMS:
+            if kind == _GRAMS:
                 if known is None:
                     known = tuple(np.concatenate(x) for x in zip(*answers))
                     known, answers = tuple(x[np.argsort(known[0])] for x in known), []
-                heads.append(gram_sums(name, known, a, b))
+                heads.append(gram_sums(name, known, *(x[i].as_buffer() for x in values[:2])))  # read in place
+            elif kind == _HEAD:
+                heads.append((place, name, kind, *(x[i].as_py() for x in values)))
+            elif kind == _ANSWERS:
+                answers.append((np.frombuffer(values[0][i].as_py(), np.uint64), np.frombuffer(values[1][i].as_py(), np.float32)))
             else:
-                parts.append((name, a, b, c, d))
+                parts.append((name, *(x[i].as_py() for x in values)))
+            if len(heads) == SEND_PARTS:
+                yield _packed(heads)
+                heads = []
         if heads:
             yield _packed(heads)
     if parts:
-        yield emit(parts)
+        yield from emit(parts)
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, raw_base double, score double"
