@@ -12,10 +12,12 @@ from __future__ import annotations
 
 import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import replace
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.operators.dedup import keep_first
@@ -25,6 +27,41 @@ from basketry.sources.schemas import CUSTOMER_COLUMNS
 from basketry.sources.tables import Tables, driver_tables
 
 
+#: a stage whose shuffles would hold all its rows is written in passes over this many bytes of its source files, in
+#: at most so many passes (each reads the files again): the shuffle files of one pass are on disk at a time
+PASS_BYTES = 16 << 20
+PASSES = 8
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the jobs inside go as soon as each job ends; Spark keeps them until the driver collects garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
+def source_bytes(df: DataFrame) -> int:
+    """Bytes of the files a frame reads (0 for rows in memory)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    files = [leaves.apply(i) for i in range(leaves.size())]
+    return sum(int(str(x.stats().sizeInBytes())) for x in files if x.getClass().getSimpleName() == "LogicalRelation")
+
+
+def passes(df: DataFrame, key: str) -> list[Column]:
+    """Conditions that deal the rows of ``df`` out to passes by their key; every row, also one without a key, meets one."""
+    n = min(PASSES, max(1, source_bytes(df) // PASS_BYTES))
+    # not the hash of Spark's shuffles, which are to use all partitions in every pass
+    return [F.pmod(F.xxhash64(key), F.lit(n)) == i for i in range(n)] if n > 1 else [F.lit(True)]
+
+
 class once(cached_property):
     """A property computed once per run, also when several threads ask for it."""
 
@@ -87,21 +124,30 @@ class AnalyticsRun:
             self._root = f"{checkpoint_dir(self.spark).rstrip('/')}/basketry-stages/{self.run_id}"
         return f"{self._root}/{name}"
 
-    def stage(self, name: str, df: DataFrame, by: str | None = None, metrics: dict | None = None, helpers: tuple = ()) -> DataFrame:
+    def stage(self, name: str, df: DataFrame, by: str | None = None, metrics: dict | None = None, helpers: tuple = (),
+              parts: list[Column] | None = None) -> DataFrame:
         """``df`` without its ``helpers`` columns, written and read back (one folder per value of ``by``).  ``metrics`` are
-        aggregates taken by the writing job itself, kept in ``self.metrics[name]``."""
+        aggregates taken by the writing job itself, kept in ``self.metrics[name]``.  ``parts`` are conditions of which every row
+        meets one: one writing job for each, whose metrics are added up."""
         if not self.materialize:
             return df.drop(*helpers)
-        seen = Observation() if metrics else None
-        if seen is not None:
-            df = df.observe(seen, *[c.alias(n) for n, c in metrics.items()])
-        df = df.drop(*helpers)
         # unique per write: concurrent callers never share an output folder
         path = self._stage_path(f"{name}-{uuid.uuid4().hex[:8]}")
-        df.write.mode("overwrite").option("compression", "zstd").partitionBy(*([by] if by else [])).parquet(path)
-        if seen is not None:
-            self.metrics[name] = seen.get
-        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        found: dict[str, int] = {}
+        out = df.drop(*helpers)
+        for i, part in enumerate(parts or [F.lit(True)]):
+            rows = df.where(part)
+            seen = Observation() if metrics else None
+            if seen is not None:
+                rows = rows.observe(seen, *[c.alias(n) for n, c in metrics.items()])
+            with shuffles_dropped(self.spark):
+                rows.drop(*helpers).write.mode("append" if i else "overwrite").option("compression", "zstd") \
+                    .partitionBy(*([by] if by else [])).parquet(path)
+            if seen is not None:
+                found = {n: v + found.get(n, 0) for n, v in seen.get.items()}
+        if metrics:
+            self.metrics[name] = found
+        return self.spark.read.schema(out.schema).parquet(path).select(*out.columns)
 
     def close(self) -> None:
         """Release the KMeans cache and delete this run's stage folder (only
@@ -135,11 +181,16 @@ class AnalyticsRun:
             return self.t
         return replace(self.t, orders=self.stage("orders_raw", self.t.orders))
 
+    @property
+    def read_once(self) -> Tables:
+        """Source tables for a job that reads the raw orders once: those of a columnar source are not written for it."""
+        return self.t if self.t.columnar and "tables" not in self.__dict__ else self.tables
+
     @once
     def orders_dedup(self) -> DataFrame:
-        # a columnar source is read once by the cleaning: its raw rows go into the dedup without being written
-        source = self.t if self.t.columnar else self.tables
-        return self.stage("orders_dedup", clean.dedup_orders(source, "_copies"), metrics=clean.order_metrics("_copies"), helpers=("_copies",))
+        source = self.read_once
+        return self.stage("orders_dedup", clean.dedup_orders(source, "_copies"), metrics=clean.order_metrics("_copies"),
+                          helpers=("_copies",), parts=passes(source.orders, "order_id"))
 
     @once
     def orders_flagged(self) -> DataFrame:
@@ -186,6 +237,12 @@ class AnalyticsRun:
         """Dashboard view: raw rows (no dedup), cancellations removed."""
         return clean.valid_raw_orders(self.tables)
 
+    @once
+    def dashboard_series(self) -> DataFrame:
+        """Revenue and orders of ``trends.dashboard_monthly_trend``, for both series of the growth figures."""
+        trend = trends.dashboard_monthly_trend(clean.valid_raw_orders(self.read_once))
+        return self.stage("dashboard_series", trend.select("year_month", "revenue", "orders"))
+
     # -- features and summaries ---------------------------------------------
     @once
     def customer_orders(self) -> DataFrame:

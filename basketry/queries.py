@@ -273,7 +273,7 @@ def q_peak_facts(p: AnalyticsRun):
 
 
 def _growth_rows(p: AnalyticsRun):
-    dm = trends.dashboard_monthly_trend(p.orders_valid)
+    dm = p.dashboard_series
     nc = trends.new_customers_trend(p.orders_clean)
     return (insights.growth(dm, "Revenue", "year_month", "revenue")
             .unionByName(insights.growth(dm, "Order volume", "year_month", "orders"))

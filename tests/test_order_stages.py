@@ -2,9 +2,14 @@
 
 import datetime as dt
 import random
+import time
+from collections import Counter
 from decimal import Decimal
 
-from basketry.plans import features
+from pyspark.sql import functions as F
+
+from basketry import queries
+from basketry.plans import clean, features, stages
 from basketry.plans.stages import AnalyticsRun
 from basketry.sources.tables import driver_tables
 
@@ -46,6 +51,61 @@ def test_text_orders_are_parsed_once(spark):
         p.close()
 
 
+def test_growth_does_not_write_joined_orders(spark):
+    p = AnalyticsRun(spark, driver_tables(spark, SF))
+    written = []
+    stage = p.stage
+    p.stage = lambda name, *a, **kw: written.append(name) or stage(name, *a, **kw)
+    try:
+        got = queries.q_growth(p).collect()
+        assert sorted(written) == ["dashboard_series", "orders_clean", "orders_dedup"]
+        _ = p.orders_valid
+        del p.__dict__["dashboard_series"]
+        assert sorted(queries.q_growth(p).collect()) == sorted(got)
+    finally:
+        p.close()
+
+
+def test_dedup_in_passes_gives_the_rows_and_figures_of_one_job(spark, monkeypatch):
+    t = driver_tables(spark, SF)
+    # rows without an id, equal in all that orders them
+    lost = t.orders.limit(3).withColumn("order_id", F.lit(None).cast("long"))
+    t.orders = t.orders.unionByName(lost).unionByName(lost)
+    want = Counter(map(tuple, clean.dedup_orders(t).collect()))
+    one, many = AnalyticsRun(spark, t), AnalyticsRun(spark, t)
+    try:
+        _ = one.orders_dedup
+        monkeypatch.setattr(stages, "PASS_BYTES", 1000)
+        assert len(stages.passes(t.orders, "order_id")) == stages.PASSES > 1
+        assert Counter(map(tuple, many.orders_dedup.collect())) == want
+        assert many.metrics["orders_dedup"] == one.metrics["orders_dedup"]
+        assert many.metrics["orders_dedup"]["rows_loaded"] == t.orders.count()
+    finally:
+        one.close()
+        many.close()
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_stage_leaves_no_shuffle_files(spark):
+    p = AnalyticsRun(spark, driver_tables(spark, SF))
+    try:
+        df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+        before = shuffle_files(spark)
+        staged = p.stage("counts", df)
+        until = time.time() + 20
+        while (left := shuffle_files(spark) - before) and time.time() < until:
+            time.sleep(0.2)
+        assert not left and spark.conf.get(stages._CLEANUP) == "false"
+        # the frame itself and what reads the stage still work
+        assert Counter(staged.collect()) == Counter(df.collect())
+    finally:
+        p.close()
+
+
 def test_gaps_of_times_of_day(spark):
     df = orders(spark)
     want = {r.customer_id: r.avg_purchase_interval_days for r in features.purchase_intervals(df).collect()}
