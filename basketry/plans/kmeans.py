@@ -9,9 +9,9 @@
       the points per iteration (``operators/multikmeans``); ``engine="ml"``
       fits each run with ``pyspark.ml`` KMeans instead
 * M4  inertia = sum of squared distances to the final centres
-* M5  Euclidean silhouette from a cell tree, with a proven bound on its error
-      (``operators/silhouette``; all pairs would be quadratic in the customers), and from the same
-      pass the squared-distance one
+* M5  Euclidean silhouette (``operators/silhouette``): in the sweep from a cell tree, with a proven
+      bound on its error (all pairs are quadratic in the customers), with ``tolerance=0`` from all
+      pairs; and from the same pass the squared-distance one
 * M6-M8 suggested k (largest Euclidean silhouette), final model, elbow table
 
 The scaled matrix is written once to the checkpoint folder and cached, so the
@@ -156,7 +156,7 @@ def squared_silhouette(scaled: DataFrame, centers: list[list[float]]) -> float:
 
 
 def silhouettes(scaled: DataFrame, centers: dict[int, list[list[float]]], **options) -> dict[int, Score]:
-    """Euclidean silhouette of the nearest-centre clusters of each k, all in one pass."""
+    """Euclidean silhouette of the nearest-centre clusters of each k, all in one pass; ``tolerance=0`` measures all pairs."""
     ks = list(centers)
     names = [f"_c{k}" for k in ks]
     labelled = scaled.select(*Z_FEATURES, *[predict_expr(centers[k], Z_FEATURES).alias(n) for k, n in zip(ks, names)])

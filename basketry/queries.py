@@ -351,7 +351,7 @@ def q_kmeans_relocation_step(p: AnalyticsRun):
 @query("kmeans_fixed_silhouette")
 def q_kmeans_fixed_silhouette(p: AnalyticsRun):
     """Euclidean silhouette of the documented centres' clusters per k, with the digits of the elbow
-    table; the tree goes down to single cells (``tolerance=0``)."""
+    table, from all pairs (``tolerance=0``)."""
     scores = kmeans.silhouettes(kmeans.with_scaled(p.features), {k: kmeans.fixed_centers(k) for k in (2, 3, 5)}, tolerance=0.0)
     return p.spark.createDataFrame([(k, s.points, round(s.silhouette, 4)) for k, s in scores.items()],
                                    "k int, customers long, euclidean_silhouette double")

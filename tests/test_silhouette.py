@@ -70,3 +70,34 @@ def test_single_members_single_clusters_copies_and_empty_tables(spark):
     assert S.euclidean_silhouettes(frame(spark, X, y).limit(0), ["x0", "x1"], ["k0"]) == [S.Score(None, None, 0)]
     same = S.euclidean_silhouettes(frame(spark, np.zeros((4, 2)), [0, 0, 1, 1]), ["x0", "x1"], ["k0"])[0]
     assert same.silhouette == 0.0 and same.error == 0.0
+
+
+def test_all_pairs_are_measured_at_any_number_of_points(spark, cloud):
+    # more points than cells, in several blocks, and copies that are one point
+    X, *labels = cloud
+    df = frame(spark, X, *labels)
+    for s, y in zip(S.euclidean_silhouettes(df, [f"x{i}" for i in range(5)], ["k0", "k1", "k2"], cells=64, tolerance=0.0), labels):
+        assert s.points == len(X) and s.error == 0.0 and abs(s.silhouette - brute(X, y)) < 1e-9
+    rng = np.random.default_rng(3)
+    X = np.concatenate([rng.normal(m, 1, (1500, 2)) for m in (0, 3, 4)] + [np.full((700, 2), 2.5)])
+    y = np.minimum((np.abs(X).sum(axis=1)).astype(int), 4)
+    got = S.euclidean_silhouettes(frame(spark, X, y), ["x0", "x1"], ["k0"], tolerance=0.0)[0]
+    assert len(X) > S.CELLS and abs(got.silhouette - brute(X, y)) < 1e-9 and abs(got.squared - brute(X, y, squared=True)) < 1e-9
+
+
+def test_cells_hold_one_point_while_the_points_not_the_rows_are_few(spark):
+    # all points of a clump are in one place of the curve
+    rng = np.random.default_rng(4)
+    X = np.concatenate([rng.normal(0, 1e-5, (100, 5)), 1.0 + rng.normal(0, 1e-5, (100, 5))])
+    y = rng.integers(0, 2, 200)
+    for copies in (1, 2):
+        X2, y2 = np.repeat(X, copies, axis=0), np.repeat(y, copies)
+        got = S.euclidean_silhouettes(frame(spark, X2, y2), [f"x{i}" for i in range(5)], ["k0"], cells=256, tolerance=1e-12)[0]
+        assert got.error < 1e-9 and abs(got.silhouette - brute(X2, y2)) < 1e-9
+
+
+def test_near_points_far_from_the_origin_keep_their_distance():
+    rng = np.random.default_rng(5)
+    X = 1e3 + np.concatenate([rng.normal(0, 1e-4, (50, 3)), rng.normal(0, 10, (50, 3))])
+    want = np.sqrt(((X[:, None] - X[None]) ** 2).sum(axis=2))
+    assert np.abs(S.distances(X, X) - want).max() < 1e-9 and (np.diag(S.distances(X, X)) == 0).all()
